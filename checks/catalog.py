@@ -17,6 +17,7 @@ from mercata.market import Market
 from mercata.plans import gold_products as gp
 from mercata.plans import gold_reviews as gr
 from mercata.plans import silver
+from mercata.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,7 +27,7 @@ def entry(name: str, sql: str | None = None, **extra: str):
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"{name} registered twice")
-        QUERIES[name] = lambda spark, sf_dir: fn(roles.market(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(roles.market(tune(spark), sf_dir))
         if sql is not None:
             ORACLE[name] = S.query(sql, **extra)
         return fn
@@ -37,7 +38,7 @@ def entry(name: str, sql: str | None = None, **extra: str):
 def raw_entry(name: str, sql: str | None = None, **extra: str):
     """For operators that start from files: the function gets (spark, sf_dir)."""
     def add(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(tune(spark), sf_dir)
         if sql is not None:
             ORACLE[name] = S.query(sql, **extra)
         return fn
@@ -68,7 +69,7 @@ def _(m):
     return silver.present_products_full(m.products_full)
 
 
-@entry("G5_silver_reviews", "SELECT * FROM reviews")
+@entry("G5_silver_reviews", "SELECT * EXCLUDE (doc_id) FROM reviews")
 def _(m):
     return m.reviews
 
@@ -84,6 +85,6 @@ for _id, _name in [
     entry(f"{_id}_{_name}", f"SELECT * FROM {_name}")(lambda m, n=_name: getattr(m, n))
 
 
-@entry("G21_review_keywords_whole_text", S.keywords("text"))
+@entry("G21_review_keywords_whole_text", S.keywords("documents", "doc_id", "text"))
 def _(m):
     return gr.review_keywords(m.reviews, "text")

@@ -144,7 +144,7 @@ FROM (
 table("reviews", """
 SELECT CAST(1 + CAST(l_quantity AS BIGINT) % 5 AS DOUBLE) AS rating,
   p_name AS title,
-  text,
+  text, doc_id,
   CAST(l_partkey AS VARCHAR) AS asin,
   CASE WHEN l_linenumber = 7 THEN 'U' ELSE '' END || l_partkey AS parent_asin,
   CAST(o_custkey AS VARCHAR) AS user_id,
@@ -456,22 +456,23 @@ SELECT source_category, review_year, review_month, count(*) AS review_count,
 FROM reviews WHERE review_year BETWEEN 1995 AND 2025 GROUP BY ALL""")
 
 
-def keywords(column: str) -> str:
-    """Word counts: texts are split once each, then meet their reviews' counts."""
+def keywords(source: str, key: str, column: str) -> str:
+    """Word counts: each text is split once, then meets the reviews that carry it."""
     from mercata.plans.gold_reviews import STOPWORDS
 
     stop = ", ".join(f"'{w}'" for w in STOPWORDS)
     return f"""
 SELECT source_category, sentiment, word, {big('sum(n * m)')} AS word_count
-FROM (SELECT source_category, {column} AS body,
+FROM (SELECT source_category, {key} AS body,
         CASE WHEN {POS} THEN 'positive' WHEN {NEG} THEN 'negative' ELSE 'neutral' END AS sentiment,
         count(*) AS n
-      FROM reviews WHERE {column} <> '' GROUP BY ALL)
+      FROM reviews GROUP BY ALL)
 JOIN (SELECT body, word, count(*) AS m
-      FROM (SELECT body, unnest(string_split(regexp_replace(lower(body), '[^a-z0-9 ]', ' ', 'g'), ' ')) AS word
-            FROM (SELECT DISTINCT {column} AS body FROM reviews WHERE {column} <> ''))
+      FROM (SELECT {key} AS body,
+              unnest(string_split(regexp_replace(lower({column}), '[^a-z0-9 ]', ' ', 'g'), ' ')) AS word
+            FROM (SELECT DISTINCT {key}, {column} FROM {source}))
       WHERE length(word) > 2 AND word NOT IN ({stop}) GROUP BY ALL) USING (body)
 GROUP BY ALL HAVING sum(n * m) >= 50"""
 
 
-table("review_keywords", keywords("title"))
+table("review_keywords", keywords("(SELECT p_name AS title FROM part)", "title", "title"))

@@ -9,18 +9,31 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Noting the Python call site of every column costs seconds per large plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session somebody else built, where they can still change."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "mercata", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators rely on: UTC dates, AQE with
     skew-join splitting, and no web page."""
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-    )
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
