@@ -16,7 +16,7 @@ from mercata import roles
 from mercata.market import Market
 from mercata.plans import gold_products as gp
 from mercata.plans import gold_reviews as gr
-from mercata.plans import silver
+from mercata.plans import analysis, silver
 from mercata.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,716 @@ for _id, _name in [
 @entry("G21_review_keywords_whole_text", S.keywords("documents", "doc_id", "text"))
 def _(m):
     return gr.review_keywords(m.reviews, "text")
+
+
+# ---- reports over the tables ----------------------------------------------------
+
+def top(sql: str, c: str, k: int, *ties: str, asc: bool = False) -> str:
+    """The k largest (smallest) rows of a statement."""
+    order = ", ".join([f"{c} {'ASC' if asc else 'DESC'}", *ties])
+    return f"SELECT * FROM ({sql}) WHERE {c} IS NOT NULL ORDER BY {order} LIMIT {k}"
+
+
+def both_ends(sql: str, c: str, k: int, tie: str) -> str:
+    return f"({top(sql, c, k, tie, asc=True)}) UNION ALL ({top(sql, c, k, tie)})"
+
+
+WIDE_BRANDS = """SELECT subcategory,
+  max(avg_revenue_per_product) FILTER (WHERE brand_status = 'Branded') AS branded_rev,
+  max(avg_revenue_per_product) FILTER (WHERE brand_status = 'Unbranded') AS unbranded_rev
+  FROM brand_dynamics GROUP BY subcategory"""
+
+
+@entry("G22_A13_brand_multiplier_top", top(
+    f"SELECT *, {S.half_up('branded_rev / unbranded_rev', 10)} AS brand_multiplier "
+    f"FROM ({WIDE_BRANDS}) WHERE branded_rev IS NOT NULL AND unbranded_rev > 0",
+    "brand_multiplier", 10, "subcategory"))
+def _(m):
+    return gp.brand_multiplier_top(m.brand_dynamics)
+
+
+@entry("G23_completeness_top", top(
+    "SELECT subcategory, avg_completeness_score, avg_rev_high_completeness, avg_rev_low_completeness, "
+    + S.half_up("avg_rev_high_completeness / avg_rev_low_completeness", 10)
+    + " AS completeness_multiplier FROM listing_quality WHERE avg_rev_low_completeness > 0",
+    "completeness_multiplier", 5, "subcategory"))
+def _(m):
+    return gp.completeness_top(m.listing_quality)
+
+
+@entry("G24_badge_top", top(
+    "SELECT subcategory, bestseller_count, pct_bestsellers, avg_rev_bestseller, avg_rev_non_bestseller, "
+    "bestseller_revenue_multiplier FROM bestseller_analysis WHERE bestseller_count >= 2",
+    "bestseller_revenue_multiplier", 5, "subcategory"))
+def _(m):
+    return gp.badge_top(m.bestseller_analysis, min_badges=2)
+
+
+GAP = (
+    "SELECT source_category, pct_verified, pct_5star_among_unverified, pct_5star_among_verified, "
+    + S.half_up("pct_5star_among_unverified - pct_5star_among_verified", 10)
+    + " AS unverified_5star_gap FROM review_trust"
+)
+
+
+@entry("G25_unverified_gap", top(GAP, "unverified_5star_gap", 5, "source_category"))
+def _(m):
+    return gr.unverified_gap(m.review_trust)
+
+
+@entry("G26_most_suspicious", """SELECT parent_asin, source_category, review_count, pct_extreme_ratings,
+  pct_verified, pct_very_short_text, reviews_per_day FROM product_review_trust WHERE review_count >= 20
+  ORDER BY pct_extreme_ratings DESC, pct_verified, parent_asin, source_category LIMIT 5""")
+def _(m):
+    return gr.most_suspicious(m.product_review_trust, min_reviews=20)
+
+
+@entry("G27_A12_store_type_performance", f"""SELECT store_type, count(*) AS stores,
+  {S.rated('avg_revenue_per_product', 100)} AS avg_rev_per_product,
+  {S.rated('pct_active', 10)} AS avg_pct_active FROM store_performance GROUP BY store_type""")
+def _(m):
+    return gp.store_type_performance(m.store_performance)
+
+
+@entry("G28_A12_yearly_volume", f"""SELECT review_year, {S.big('sum(review_count)')} AS total_reviews,
+  {S.rated('avg_rating', 100)} AS avg_rating FROM temporal_trends WHERE review_year >= 1998
+  GROUP BY review_year""")
+def _(m):
+    return gr.yearly_volume(m.temporal_trends, 1998)
+
+
+@entry("G29_match_rate", f"""SELECT subcategory, product_count, products_with_reviews,
+  {S.ratio('products_with_reviews', 'product_count', 1000, 10)} AS pct_matched
+  FROM category_benchmarks_full""")
+def _(m):
+    return gp.match_rate(m.category_benchmarks_full)
+
+
+@entry("G30_enrichment_coverage", f"""SELECT count(*) AS total, {S.big('sum(is_matched)')} AS enriched,
+  {S.pct('is_matched = 1')} AS pct_enriched,
+  count(*) FILTER (WHERE list_cents > 0) AS has_list_price,
+  count(*) FILTER (WHERE is_best_seller) AS bestsellers,
+  {S.big('sum(has_features)')} AS has_features, {S.big('sum(has_description)')} AS has_description,
+  count(title) AS has_title FROM products""")
+def _(m):
+    return gp.enrichment_coverage(m.products)
+
+
+@entry("G31_most_negative", top(
+    "SELECT source_category, pct_negative, avg_text_length_negative, negative_verbosity_ratio, "
+    "avg_helpful_negative FROM review_sentiment", "pct_negative", 5, "source_category"))
+def _(m):
+    return gr.most_negative(m.review_sentiment)
+
+
+@entry("G32_leaderboard_subcategories",
+       top("SELECT subcategory, total_revenue, pct_active FROM subcategory_landscape",
+           "total_revenue", 5, "subcategory"))
+def _(m):
+    df = m.subcategory_landscape.select("subcategory", "total_revenue", "pct_active")
+    return gp.leaderboard(df, "total_revenue", 5, key=["subcategory"])
+
+
+@entry("G32_leaderboard_main_categories",
+       top("SELECT main_category, total_revenue, ecosystem_products FROM main_category_landscape",
+           "total_revenue", 5, "main_category"))
+def _(m):
+    df = m.main_category_landscape.select("main_category", "total_revenue", "ecosystem_products")
+    return gp.leaderboard(df, "total_revenue", 5, key=["main_category"])
+
+
+@entry("G32_leaderboard_most_reviewed",
+       top("SELECT * FROM product_review_summary", "review_count", 5, "parent_asin", "source_category"))
+def _(m):
+    return gp.leaderboard(m.product_review_summary, "review_count", 5, key=["parent_asin", "source_category"])
+
+
+SUB = "Brand#7"
+
+
+@entry("G33_lookup_price_tiers", f"""SELECT price_tier, product_count, total_revenue,
+  avg_revenue_per_product, pct_active FROM price_positioning WHERE subcategory = '{SUB}'""")
+def _(m):
+    cols = ["price_tier", "product_count", "total_revenue", "avg_revenue_per_product", "pct_active"]
+    return gp.lookup(m.price_positioning, {"subcategory": SUB}, [F.desc("total_revenue")]).select(*cols)
+
+
+@entry("G33_lookup_discounts", f"""SELECT discount_tier, product_count, total_revenue,
+  avg_revenue_per_product, pct_active FROM discount_effectiveness WHERE subcategory = '{SUB}'""")
+def _(m):
+    cols = ["discount_tier", "product_count", "total_revenue", "avg_revenue_per_product", "pct_active"]
+    return gp.lookup(m.discount_effectiveness, {"subcategory": SUB}, [F.desc("total_revenue")]).select(*cols)
+
+
+@entry("G33_lookup_benchmark", f"""SELECT price_p25, price_p50, price_p75, reviews_p25, reviews_p50,
+  reviews_p75, sales_p50 FROM product_benchmarks WHERE subcategory = '{SUB}'""")
+def _(m):
+    return gp.lookup(m.product_benchmarks, {"subcategory": SUB}).select(
+        "price_p25", "price_p50", "price_p75", "reviews_p25", "reviews_p50", "reviews_p75", "sales_p50"
+    )
+
+
+WORDS = "SELECT word, word_count FROM review_keywords WHERE source_category = 'PROMO' AND sentiment = '{}'"
+
+
+@entry("G33_lookup_words", top(WORDS.format("negative"), "word_count", 10, "word"))
+def _(m):
+    return gp.lookup(
+        m.review_keywords, {"source_category": "PROMO", "sentiment": "negative"},
+        [F.desc("word_count"), "word"], 10,
+    ).select("word", "word_count")
+
+
+@entry("G34_W3_W4_taxonomy_agreement", top("""
+  SELECT subcategory, main_category, cnt, floor(cnt * 100.0 / total * 10 + 0.5) / 10.0 AS pct FROM (
+    SELECT *, sum(cnt) OVER (PARTITION BY subcategory) AS total,
+      row_number() OVER (PARTITION BY subcategory ORDER BY cnt DESC, main_category DESC) AS rn
+    FROM (SELECT subcategory, main_category, count(*) AS cnt FROM products
+          WHERE main_category IS NOT NULL GROUP BY subcategory, main_category)) WHERE rn = 1""",
+    "pct", 20, "subcategory", asc=True))
+def _(m):
+    return gp.taxonomy_agreement(m.products)
+
+
+@entry("N32_distinctive_keywords", f"""
+  SELECT word, own_count, other_count, {S.half_up('own_count / other_count', 100)} AS ratio FROM (
+    SELECT word, {S.big("sum(word_count) FILTER (WHERE sentiment = 'negative')")} AS own_count,
+      {S.big("sum(word_count) FILTER (WHERE sentiment = 'positive')")} AS other_count
+    FROM review_keywords GROUP BY word) WHERE own_count IS NOT NULL AND other_count IS NOT NULL""")
+def _(m):
+    return gr.distinctive_keywords(m.review_keywords)
+
+
+@entry("N32_distinctive_praise", top(f"""
+  SELECT word, own_count, other_count, {S.half_up('own_count / other_count', 100)} AS ratio FROM (
+    SELECT word, {S.big("sum(word_count) FILTER (WHERE sentiment = 'positive')")} AS own_count,
+      {S.big("sum(word_count) FILTER (WHERE sentiment = 'negative')")} AS other_count
+    FROM review_keywords GROUP BY word)""", "ratio", 20, "word"))
+def _(m):
+    return gr.distinctive_keywords(m.review_keywords, "positive", 20)
+
+
+# ---- reports over listings, trends, tiers, brands, stores ---------------------------
+
+A = analysis
+LO, HI = roles.WINDOW
+
+
+@entry("N1_A21_profile_nulls", """SELECT count(*) AS total,
+  count(*) FILTER (WHERE price_cents IS NULL) AS null_price_cents,
+  count(*) FILTER (WHERE rating_tenths IS NULL) AS null_rating_tenths,
+  count(*) FILTER (WHERE review_count IS NULL) AS null_review_count,
+  count(*) FILTER (WHERE bought_last_month IS NULL) AS null_bought_last_month,
+  count(*) FILTER (WHERE title IS NULL OR title = '') AS null_title,
+  count(*) FILTER (WHERE review_count = 0) AS zero_review_count,
+  count(*) FILTER (WHERE bought_last_month = 0) AS zero_bought_last_month,
+  count(*) FILTER (WHERE price_cents = 0) AS zero_price_cents FROM listings""")
+def _(m):
+    return A.profile_nulls(
+        m.listings,
+        ["price_cents", "rating_tenths", "review_count", "bought_last_month", "title"],
+        ["review_count", "bought_last_month", "price_cents"],
+    )
+
+
+@entry("N1_profile_nulls_metadata", "SELECT count(*) AS total, " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL OR {c} = '') AS null_{c}"
+    for c in ("store", "features", "description", "details_brand", "details_manufacturer")
+) + " FROM metadata")
+def _(m):
+    return A.profile_nulls(
+        m.metadata, ["store", "features", "description", "details_brand", "details_manufacturer"]
+    )
+
+
+@entry("N2_A1_A3_profile_numeric", f"""SELECT min(price_cents) / 100.0 AS min_price,
+  floor(median(price_cents) + 0.5) / 100.0 AS median_price, {S.money('price_cents')} AS avg_price,
+  max(price_cents) / 100.0 AS max_price, min(rating_tenths) / 10.0 AS min_stars,
+  {S.mean('rating_tenths', 1, 10)} AS avg_stars, max(rating_tenths) / 10.0 AS max_stars,
+  max(review_count) AS max_reviews, max(bought_last_month) AS max_bought,
+  count(*) FILTER (WHERE is_best_seller) AS bestseller_count FROM listings""")
+def _(m):
+    return A.profile_numeric(m.listings)
+
+
+DEMAND = f"""SELECT category_name, count(*) AS products, {S.money('price_cents')} AS avg_price,
+  {S.stars10('rating_tenths')} AS avg_stars, count(*) FILTER (WHERE review_count > 0) AS has_reviews,
+  {S.pct('review_count > 0')} AS pct_with_reviews, {S.big('sum(bought_last_month)')} AS total_bought,
+  count(*) FILTER (WHERE is_best_seller) AS bestsellers
+  FROM listings JOIN categories ON category_id = id GROUP BY category_name"""
+
+
+@entry("N3_J8_category_demand", top(DEMAND, "total_bought", 20, "category_name"))
+def _(m):
+    return A.category_demand(m.listings, m.categories)
+
+
+@entry("N3_J8_category_demand_bottom", top(DEMAND, "total_bought", 20, "category_name", asc=True))
+def _(m):
+    return A.category_demand(m.listings, m.categories, asc=True)
+
+
+@entry("N3_A2_category_totals", f"""SELECT count(DISTINCT category_name) AS total_categories,
+  {S.big('sum(bought_last_month)')} AS total_bought_all
+  FROM listings JOIN categories ON category_id = id""")
+def _(m):
+    return A.category_totals(m.listings, m.categories)
+
+
+@entry("N4_P9_tier_outcomes", f"""SELECT CASE WHEN price_cents >= 10000 THEN '5. $100+'
+    WHEN price_cents >= 5000 THEN '4. $50-100' WHEN price_cents >= 2500 THEN '3. $25-50'
+    WHEN price_cents >= 1000 THEN '2. $10-25' ELSE '1. Under $10' END AS price_tier,
+  count(*) AS products, {S.whole('bought_last_month')} AS avg_bought,
+  {S.stars10('rating_tenths')} AS avg_stars, {S.pct('is_best_seller', 2)} AS pct_bestseller
+  FROM listings WHERE price_cents > 0 GROUP BY ALL""")
+def _(m):
+    return A.tier_outcomes(m.listings)
+
+
+@entry("N4_P19_W5_sales_power_law", """SELECT sales_tier, products, total_bought,
+  floor(products * 100.0 / sum(products) OVER () * 10 + 0.5) / 10.0 AS pct_of_catalog,
+  floor(total_bought * 100.0 / sum(total_bought) OVER () * 10 + 0.5) / 10.0 AS pct_of_revenue
+  FROM (SELECT CASE WHEN bought_last_month >= 5000 THEN '5. 5000+'
+      WHEN bought_last_month >= 500 THEN '4. 500-4999' WHEN bought_last_month >= 50 THEN '3. 50-499'
+      WHEN bought_last_month >= 1 THEN '2. 1-49' ELSE '1. Zero sales' END AS sales_tier,
+    count(*) AS products, CAST(sum(bought_last_month) AS BIGINT) AS total_bought
+    FROM listings GROUP BY ALL)""")
+def _(m):
+    return A.sales_power_law(m.listings)
+
+
+@entry("N5_demand_density",
+       "SELECT *, total_revenue / nullif(product_count, 0) AS revenue_per_product FROM subcategory_landscape")
+def _(m):
+    return A.demand_density(m.subcategory_landscape)
+
+
+@entry("N6_competition", "SELECT *, product_count / nullif(pct_active, 0) AS competition_score FROM subcategory_landscape")
+def _(m):
+    return A.competition(m.subcategory_landscape)
+
+
+@entry("N7_hidden_gems", top("""SELECT *, revenue_per_product * pct_active / product_count AS opportunity_score
+  FROM (SELECT *, total_revenue / nullif(product_count, 0) AS revenue_per_product FROM subcategory_landscape)""",
+    "opportunity_score", 15, "subcategory"))
+def _(m):
+    return A.hidden_gems(m.subcategory_landscape)
+
+
+def _unit(c):
+    return f"({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER () + CAST(1e-9 AS DOUBLE))"
+
+
+@entry("N8_J11_opportunity_score", top(f"""SELECT * FROM (
+  SELECT subcategory, avg_revenue_per_product, pct_active, total_revenue, product_count,
+    floor(({_unit('avg_revenue_per_product')} * CAST(0.35 AS DOUBLE) + {_unit('pct_active')} * CAST(0.25 AS DOUBLE)
+      + {_unit('total_revenue')} * CAST(0.20 AS DOUBLE) + (1 - {_unit('product_count')}) * CAST(0.20 AS DOUBLE)) * 100
+      * 1000000 + 0.5) / 1000000.0 AS opportunity_score
+  FROM subcategory_landscape) WHERE total_revenue >= 1000 AND product_count >= 10""",
+    "opportunity_score", 20, "subcategory"))
+def _(m):
+    return A.opportunity_score(m.subcategory_landscape, min_revenue=1000, min_products=10, n=20)
+
+
+TYPOLOGY = """SELECT subcategory, revenue_per_product, pct_active, product_count, total_revenue,
+  CASE WHEN revenue_per_product >= med_rev THEN if(pct_active >= med_act, 'Star', 'Niche Premium')
+    ELSE if(pct_active >= med_act, 'Volume Play', 'Graveyard') END AS category_type
+  FROM (SELECT *, median(revenue_per_product) OVER () AS med_rev, median(pct_active) OVER () AS med_act
+    FROM (SELECT *, total_revenue / nullif(product_count, 0) AS revenue_per_product
+          FROM subcategory_landscape))"""
+
+
+@entry("N9_P23_category_typology", TYPOLOGY)
+def _(m):
+    return A.category_typology(m.subcategory_landscape)
+
+
+@entry("N9_W5_typology_revenue", f"""SELECT category_type, subcategories, cents / 100.0 AS total_revenue,
+  floor(cents * 100.0 / sum(cents) OVER () * 10 + 0.5) / 10.0 AS revenue_share_pct
+  FROM (SELECT category_type, count(*) AS subcategories,
+          CAST(sum(CAST(round(total_revenue * 100) AS BIGINT)) AS BIGINT) AS cents
+        FROM ({TYPOLOGY}) GROUP BY category_type)""")
+def _(m):
+    return A.typology_revenue(m.subcategory_landscape)
+
+
+YEARLY = f"""SELECT source_category, review_year, CAST(sum(review_count) AS BIGINT) AS review_count,
+  {S.rated('avg_rating', 100)} AS avg_rating FROM temporal_trends
+  WHERE review_year BETWEEN {LO} AND {HI} GROUP BY ALL"""
+
+
+@entry("N10_A15_yearly_trend", f"""SELECT review_year, CAST(sum(review_count) AS BIGINT) AS total_reviews,
+  floor(sum(CAST(round(avg_rating * 100) AS BIGINT) * review_count) / sum(review_count) / 100 * 10000 + 0.5) / 10000.0
+    AS weighted_avg_rating FROM ({YEARLY}) GROUP BY review_year""")
+def _(m):
+    return A.yearly_trend(m.temporal_trends, LO, HI)
+
+
+@entry("N11_A13_W9_yoy_growth", f"""SELECT source_category, review_year, review_count,
+  floor((review_count / nullif(prev, 0) - 1) * 100 * 10000 + 0.5) / 10000.0 AS growth_pct FROM (
+    SELECT *, lag(review_count) OVER (PARTITION BY source_category ORDER BY review_year) AS prev FROM (
+      SELECT c.source_category, y.review_year, coalesce(t.review_count, 0) AS review_count
+      FROM (SELECT DISTINCT source_category FROM ({YEARLY})) c,
+        (SELECT unnest(range({LO}, {HI} + 1)) AS review_year) y
+      LEFT JOIN ({YEARLY}) t ON t.source_category = c.source_category AND t.review_year = y.review_year))
+  WHERE review_year > {LO}""")
+def _(m):
+    return A.yoy_growth(m.temporal_trends, LO, HI)
+
+
+CAGR = f"""SELECT *, floor((pow(end_vol / start_vol, CAST(1 AS DOUBLE) / ({HI} - {LO})) - 1) * 100 * 10000 + 0.5)
+    / 10000.0 AS cagr_pct FROM (
+  SELECT source_category,
+    CAST(coalesce(sum(review_count) FILTER (WHERE review_year = {LO}), 0) AS BIGINT) AS start_vol,
+    CAST(coalesce(sum(review_count) FILTER (WHERE review_year = {HI}), 0) AS BIGINT) AS end_vol
+  FROM temporal_trends GROUP BY source_category) WHERE start_vol > 0"""
+
+
+@entry("N12_K4_cagr", both_ends(CAGR, "cagr_pct", 3, "source_category"))
+def _(m):
+    return A.cagr(m.temporal_trends, LO, HI, 3)
+
+
+B0, B1 = roles.BASE_YEARS
+NOW, THEN = f"review_year >= {roles.RECENT_YEAR}", f"review_year BETWEEN {B0} AND {B1}"
+R100 = "CAST(round(avg_rating * 100) AS BIGINT)"
+
+
+@entry("N13_period_shift", f"""SELECT source_category,
+  floor((avg(review_count) FILTER (WHERE {NOW}) / nullif(avg(review_count) FILTER (WHERE {THEN}), 0) - 1)
+    * 100 * 10 + 0.5) / 10.0 AS volume_change_pct,
+  floor((avg({R100}) FILTER (WHERE {NOW}) - avg({R100}) FILTER (WHERE {THEN})) / 100 * 1000 + 0.5) / 1000.0
+    AS rating_shift
+  FROM temporal_trends GROUP BY source_category""")
+def _(m):
+    return A.period_shift(m.temporal_trends, roles.RECENT_YEAR, roles.BASE_YEARS)
+
+
+CENTS = "CAST(sum(CAST(round(total_revenue * 100) AS BIGINT)) AS BIGINT)"
+
+
+def totals(t: str, key: str) -> str:
+    return (
+        f"SELECT {key}, {CENTS} / 100.0 AS total_revenue, CAST(sum(product_count) AS BIGINT) AS total_products, "
+        f"{CENTS} / 100.0 / nullif(sum(product_count), 0) AS rev_per_product FROM {t} GROUP BY {key}"
+    )
+
+
+@entry("N14_K2_tier_totals", f"""SELECT price_tier, cents / 100.0 AS total_revenue, total_products,
+  cents / 100.0 / nullif(total_products, 0) AS rev_per_product,
+  floor(cents * 100.0 / sum(cents) OVER () * 10 + 0.5) / 10.0 AS rev_pct
+  FROM (SELECT price_tier, {CENTS} AS cents, CAST(sum(product_count) AS BIGINT) AS total_products
+        FROM price_positioning GROUP BY price_tier)""")
+def _(m):
+    return A.tier_totals(m.price_positioning)
+
+
+def dominant(t: str, tier: str) -> str:
+    return (
+        f"SELECT subcategory, {tier}, total_revenue FROM (SELECT *, row_number() OVER ("
+        f"PARTITION BY subcategory ORDER BY total_revenue DESC NULLS LAST, {tier} DESC) AS nth FROM {t}) "
+        "WHERE nth = 1"
+    )
+
+
+for _n, _t, _tier in [
+    ("price", "price_positioning", "price_tier"), ("discount", "discount_effectiveness", "discount_tier"),
+]:
+    entry(f"N15_W7_dominant_{_n}_tier", dominant(_t, _tier))(
+        lambda m, t=_t, tier=_tier: A.dominant(getattr(m, t), tier))
+    entry(f"N15_A20_{_n}_tier_wins",
+          f"SELECT {_tier}, count(*) AS categories_won FROM ({dominant(_t, _tier)}) GROUP BY {_tier}")(
+        lambda m, t=_t, tier=_tier: A.tier_wins(getattr(m, t), tier))
+    entry(f"N16_K5_W6_{_n}_tier_share", f"""
+      SELECT subcategory, {_tier}, cents / 100.0 AS total_revenue,
+        floor(cents / nullif(sum(cents) OVER (PARTITION BY subcategory), 0) * 100 * 10000 + 0.5) / 10000.0 AS rev_share
+      FROM (SELECT subcategory, {_tier}, CAST(round(total_revenue * 100) AS BIGINT) AS cents FROM {_t})
+      WHERE subcategory IN (SELECT subcategory FROM {_t} GROUP BY subcategory
+        ORDER BY sum(CAST(round(total_revenue * 100) AS BIGINT)) DESC, subcategory LIMIT 15)""")(
+        lambda m, t=_t, tier=_tier: A.tier_share(getattr(m, t), tier))
+
+
+TIER_RATIO = """SELECT subcategory, hi / nullif(lo, 0) AS ratio FROM (SELECT subcategory,
+  max(total_revenue / product_count) FILTER (WHERE price_tier = 'Luxury') AS hi,
+  max(total_revenue / product_count) FILTER (WHERE price_tier = 'Budget') AS lo
+  FROM price_positioning GROUP BY subcategory)"""
+
+
+@entry("N17_K4_tier_ratio", f"""SELECT subcategory, floor(ratio * 10000 + 0.5) / 10000.0 AS ratio,
+  floor(log2(ratio) * 10000 + 0.5) / 10000.0 AS log2_ratio
+  FROM ({both_ends(TIER_RATIO, 'ratio', 5, 'subcategory')}) WHERE ratio > 0""")
+def _(m):
+    return A.tier_ratio(m.price_positioning, k=5)
+
+
+@entry("N18_tier_rating", f"""SELECT price_tier,
+  floor(sum({R100}) / count(avg_rating) / 100 * 10000 + 0.5) / 10000.0 AS avg_rating,
+  CAST(sum(product_count) AS BIGINT) AS total_products FROM price_positioning GROUP BY price_tier""")
+def _(m):
+    return A.tier_rating(m.price_positioning)
+
+
+@entry("N19_discount_curve", totals("discount_effectiveness", "discount_tier"))
+def _(m):
+    return A.discount_curve(m.discount_effectiveness)
+
+
+@entry("N20_discounted_vs_full", totals(
+    "(SELECT *, if(discount_tier = 'No Discount', 'Full Price', 'Discounted') AS label "
+    "FROM discount_effectiveness)", "label"))
+def _(m):
+    return A.discounted_vs_full(m.discount_effectiveness)
+
+
+@entry("N21_K5_sweet_spot", """SELECT subcategory, price_tier, total_revenue / product_count AS rev_per_product
+  FROM price_positioning WHERE subcategory IN (SELECT subcategory FROM price_positioning GROUP BY subcategory
+    ORDER BY sum(CAST(round(total_revenue * 100) AS BIGINT)) DESC, subcategory LIMIT 4)""")
+def _(m):
+    return A.sweet_spot(m.price_positioning)
+
+
+@entry("N22_brand_totals", totals("brand_dynamics", "brand_status"))
+def _(m):
+    return A.brand_totals(m.brand_dynamics)
+
+
+BRAND_RATIO = """SELECT subcategory,
+  max(total_revenue / product_count) FILTER (WHERE brand_status = 'Branded')
+  / nullif(max(total_revenue / product_count) FILTER (WHERE brand_status = 'Unbranded'), 0) AS brand_multiplier
+  FROM brand_dynamics GROUP BY subcategory"""
+
+
+@entry("N23_A13_brand_multiplier", f"""SELECT subcategory,
+  floor(brand_multiplier * 10000 + 0.5) / 10000.0 AS brand_multiplier,
+  floor(log2(brand_multiplier) * 10000 + 0.5) / 10000.0 AS log2_multiplier
+  FROM ({both_ends(BRAND_RATIO, 'brand_multiplier', 15, 'subcategory')}) WHERE brand_multiplier > 0""")
+def _(m):
+    return A.brand_multiplier(m.brand_dynamics)
+
+
+BRAND_SHARE = f"""SELECT *, {S.ratio('branded', 'branded + unbranded', 1000, 10)} AS branded_pct FROM (
+  SELECT subcategory,
+    coalesce(max(product_count) FILTER (WHERE brand_status = 'Branded'), 0) AS branded,
+    coalesce(max(product_count) FILTER (WHERE brand_status = 'Unbranded'), 0) AS unbranded
+  FROM brand_dynamics GROUP BY subcategory)"""
+
+
+@entry("N23_brand_presence", both_ends(BRAND_SHARE, "branded_pct", 20, "subcategory"))
+def _(m):
+    return A.brand_presence(m.brand_dynamics)
+
+
+@entry("N24_A14_element_multipliers", " UNION ALL ".join(
+    f"SELECT '{name}' AS element, floor(median({a} / nullif({b}, 0)) * 10000 + 0.5) / 10000.0 AS median_multiplier "
+    "FROM listing_quality" for name, (a, b) in A.LISTING_ELEMENTS.items()))
+def _(m):
+    return A.element_multipliers(m.listing_quality)
+
+
+@entry("N25_completeness_leaders", top(
+    "SELECT subcategory, avg_rev_high_completeness / nullif(avg_rev_low_completeness, 0) "
+    "AS completeness_multiplier FROM listing_quality", "completeness_multiplier", 20, "subcategory"))
+def _(m):
+    return A.completeness_leaders(m.listing_quality)
+
+
+@entry("N25_badge_leaders", top(
+    "SELECT subcategory, bestseller_revenue_multiplier FROM bestseller_analysis",
+    "bestseller_revenue_multiplier", 20, "subcategory"))
+def _(m):
+    return A.badge_leaders(m.bestseller_analysis)
+
+
+@entry("N25_badge_rates", """SELECT
+  floor(median(CAST(round(pct_bestsellers * 100) AS BIGINT)) / 100 * 10000 + 0.5) / 10000.0 AS median_badge_rate,
+  count(*) FILTER (WHERE pct_bestsellers > 3) AS categories_above FROM bestseller_analysis""")
+def _(m):
+    return A.badge_rates(m.bestseller_analysis, 3)
+
+
+DENSE = "(SELECT *, total_revenue / nullif(product_count, 0) AS rev_per_product FROM subcategory_landscape)"
+
+
+@entry("N26_A16_coverage_correlations", " UNION ALL ".join(
+    f"SELECT '{p}' AS element, floor(corr(pct_with_{p}, rev_per_product) * 1000000 + 0.5) / 1000000.0 AS corr FROM {DENSE}"
+    for p in ("brand", "features", "description", "store")))
+def _(m):
+    return A.coverage_correlations(m.subcategory_landscape)
+
+
+@entry("N26_A16_signal_correlations", " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, floor(corr({a}, {b}) * 1000000 + 0.5) / 1000000.0 AS corr FROM {DENSE}"
+    for a in A.SIGNALS for b in A.SIGNALS))
+def _(m):
+    return A.signal_correlations(m.subcategory_landscape)
+
+
+@entry("N27_J9_badge_vs_activity", """SELECT b.subcategory, pct_bestsellers, l.pct_active
+  FROM bestseller_analysis b LEFT JOIN subcategory_landscape l
+  ON b.subcategory IS NOT DISTINCT FROM l.subcategory""")
+def _(m):
+    return A.badge_vs_activity(m.bestseller_analysis, m.subcategory_landscape)
+
+
+@entry("N28_store_size_stats", f"""SELECT count(*) AS stores, {S.pct('listed_products = 1')} AS pct_single_product,
+  max(listed_products) AS max_products,
+  floor(median(listed_products) * 100 + 0.5) / 100.0 / 1.0 AS median_products,
+  floor(quantile_cont(listed_products, 0.99) * 100 + 0.5) / 100.0 / 1.0 AS p99_products
+  FROM store_performance""")
+def _(m):
+    return A.store_size_stats(m.store_performance)
+
+
+def mean4(c: str, per: int = 100) -> str:
+    return (
+        f"floor(sum(CAST(round({c} * {per}) AS BIGINT)) / count({c}) / {per} * 10000 + 0.5) / 10000.0"
+    )
+
+
+AVG_LISTED = "floor(avg(listed_products) * 10000 + 0.5) / 10000.0"
+
+
+@entry("N28_P20_store_size_tiers", f"""SELECT * EXCLUDE (cents), cents / 100.0 AS total_revenue,
+  floor(store_count * 100.0 / sum(store_count) OVER () * 10000 + 0.5) / 10000.0 AS pct_stores,
+  floor(cents * 100.0 / sum(cents) OVER () * 10000 + 0.5) / 10000.0 AS pct_revenue FROM (
+  SELECT CASE WHEN listed_products > 100 THEN '100+ products' WHEN listed_products > 20 THEN '21-100 products'
+      WHEN listed_products > 5 THEN '6-20 products' WHEN listed_products > 1 THEN '2-5 products'
+      WHEN listed_products > 0 THEN '1 product' END AS size_tier,
+    count(*) AS store_count, {CENTS} AS cents,
+    {mean4('avg_revenue_per_product')} AS avg_rev_per_product, {AVG_LISTED} AS avg_products
+  FROM store_performance GROUP BY 1)""")
+def _(m):
+    return A.store_size_tiers(m.store_performance)
+
+
+@entry("N29_P16_store_type_stats", f"""SELECT *,
+  floor(store_count * 100.0 / sum(store_count) OVER () * 10000 + 0.5) / 10000.0 AS pct_stores FROM (
+  SELECT store_type, count(*) AS store_count, {mean4('avg_revenue_per_product')} AS avg_rev_per_product,
+    {CENTS} / 100.0 AS total_revenue, {AVG_LISTED} AS avg_products, {mean4('avg_rating')} AS avg_rating
+  FROM store_performance GROUP BY store_type)""")
+def _(m):
+    return A.store_type_stats(m.store_performance)
+
+
+@entry("N29_diversification", f"""SELECT category_count, count(*) AS store_count,
+  {mean4('avg_revenue_per_product')} AS avg_rev_per_product, {AVG_LISTED} AS avg_products
+  FROM store_performance WHERE category_count <= 10 GROUP BY category_count""")
+def _(m):
+    return A.diversification(m.store_performance)
+
+
+CURVE = """SELECT store, cents / 100.0 AS total,
+  row_number() OVER falling AS rank, sum(cents) OVER falling / 100.0 AS cumulative,
+  sum(cents) OVER falling / sum(cents) OVER () * 100 AS cum_pct_total,
+  row_number() OVER falling / count(*) OVER () * 100 AS cum_pct_rows
+  FROM (SELECT store, CAST(round(total_revenue * 100) AS BIGINT) AS cents FROM store_performance)
+  WINDOW falling AS (ORDER BY cents DESC NULLS LAST, md5(store), store
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+@entry("N30_W8_concentration", CURVE)
+def _(m):
+    return A.concentration(m.store_performance)
+
+
+@entry("N30_W8_concentration_summary", """SELECT count(*) AS rows_total,
+  count(*) FILTER (WHERE running * 100 <= 50 * whole) AS rows_for_50pct,
+  count(*) FILTER (WHERE running * 100 <= 80 * whole) AS rows_for_80pct,
+  count(*) FILTER (WHERE running * 100 <= 90 * whole) AS rows_for_90pct,
+  floor(sum(cents) FILTER (WHERE nth <= greatest(n // 100, 1)) / max(whole) * 100 * 10 + 0.5) / 10.0
+    AS top_1pct_share
+  FROM (SELECT cents, sum(cents) OVER falling AS running, sum(cents) OVER () AS whole,
+      row_number() OVER falling AS nth, count(*) OVER () AS n
+    FROM (SELECT store, CAST(round(total_revenue * 100) AS BIGINT) AS cents FROM store_performance)
+    WINDOW falling AS (ORDER BY cents DESC, store ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""")
+def _(m):
+    return A.concentration_summary(m.store_performance)
+
+
+EARNING = "store_performance WHERE avg_rating > 0 AND avg_revenue_per_product > 0"
+
+
+@entry("N31_P21_rating_vs_revenue", f"""SELECT rating_bin, count(*) AS store_count,
+  {S.money('cents')} AS avg_rev, floor(median(cents) + 0.5) / 100.0 AS median_rev FROM (
+  SELECT CAST(round(avg_revenue_per_product * 100) AS BIGINT) AS cents,
+    CASE WHEN avg_rating <= 2 THEN '0-2' WHEN avg_rating <= 3 THEN '2-3' WHEN avg_rating <= 3.5 THEN '3-3.5'
+      WHEN avg_rating <= 4 THEN '3.5-4' WHEN avg_rating <= 4.5 THEN '4-4.5'
+      WHEN avg_rating <= 5.01 THEN '4.5-5' END AS rating_bin
+  FROM {EARNING}) GROUP BY rating_bin""")
+def _(m):
+    return A.rating_vs_revenue(m.store_performance)
+
+
+@entry("N31_A16_rating_revenue_corr", f"""SELECT
+  floor(corr(avg_rating, avg_revenue_per_product) * 1000000 + 0.5) / 1000000.0 AS corr FROM {EARNING}""")
+def _(m):
+    return A.rating_revenue_corr(m.store_performance)
+
+
+@entry("P27_trim_upper", """SELECT store, store_type, listed_products,
+  CAST(round(avg_revenue_per_product * 100) AS BIGINT) AS cents FROM store_performance
+  WHERE listed_products <= (SELECT quantile_cont(listed_products, 0.95) FROM store_performance)
+    AND CAST(round(avg_revenue_per_product * 100) AS BIGINT)
+      <= (SELECT quantile_cont(CAST(round(avg_revenue_per_product * 100) AS BIGINT), 0.95) FROM store_performance)
+    AND avg_revenue_per_product > 0""")
+def _(m):
+    return A.trim_stores(m.store_performance, 0.95)
+
+
+LIFT = " UNION ALL ".join(
+    f"SELECT subcategory, '{n}' AS element, coalesce({a}, 0) AS with_part, coalesce({b}, 0) AS without_part, "
+    f"CASE WHEN coalesce({b}, 0) > 0 THEN floor((coalesce({a}, 0) / {b} - 1) * 100 * 10000 + 0.5) / 10000.0 "
+    "ELSE 0 END AS lift_pct FROM listing_quality"
+    for n, (a, b) in list(A.LISTING_ELEMENTS.items())[:3]
+)
+
+
+@entry("N33_listing_lift", LIFT)
+def _(m):
+    return A.listing_lift(m.listing_quality)
+
+
+ASIN = "102"
+
+
+def _versus(label, own, avg):
+    return (
+        f"SELECT asin, '{label}' AS metric, coalesce({own}, 0) AS product, coalesce(l.{avg}, 0) AS category_avg, "
+        f"CASE WHEN coalesce(l.{avg}, 0) > 0 THEN floor((coalesce({own}, 0) / l.{avg} - 1) * 100 * 10 + 0.5) / 10.0 "
+        f"ELSE 0 END AS difference_pct FROM products p JOIN subcategory_landscape l "
+        f"ON p.subcategory IS NOT DISTINCT FROM l.subcategory WHERE asin = '{ASIN}'"
+    )
+
+
+@entry("N34_product_vs_category", " UNION ALL ".join([
+    _versus("Price", "price_cents / 100.0", "avg_price"),
+    _versus("Rating", "rating_tenths / 10.0", "avg_rating"),
+    _versus("Reviews", "CAST(p.review_count AS DOUBLE)", "avg_reviews"),
+    _versus("Revenue/Product", "revenue_cents / 100.0", "avg_revenue_per_product"),
+]))
+def _(m):
+    return A.product_vs_category(m.products, m.subcategory_landscape, ASIN)
+
+
+for _id, _t, _c, _k, _asc, _key in [
+    ("top_revenue", "subcategory_landscape", "total_revenue", 20, False, "subcategory"),
+    ("least_active", "subcategory_landscape", "pct_active", 20, True, "subcategory"),
+    ("largest_ecosystems", "main_category_landscape", "ecosystem_products", 25, False, "main_category"),
+    ("top_stores", "store_performance", "total_revenue", 20, False, "store"),
+]:
+    entry(f"N39_K3_{_id}", top(f"SELECT * FROM {_t}", _c, _k, _key, asc=_asc))(
+        lambda m, t=_t, c=_c, k=_k, asc=_asc, key=_key: gp.leaderboard(getattr(m, t), c, k, asc, [key]))
+
+
+@entry("N39_K3_top_density", top(
+    "SELECT *, total_revenue / nullif(product_count, 0) AS revenue_per_product FROM subcategory_landscape",
+    "revenue_per_product", 20, "subcategory"))
+def _(m):
+    return gp.leaderboard(A.demand_density(m.subcategory_landscape), "revenue_per_product", 20, key=["subcategory"])
+
+
+@entry("N39_K3_most_oversaturated", top(
+    "SELECT *, product_count / nullif(pct_active, 0) AS competition_score FROM subcategory_landscape",
+    "competition_score", 20, "subcategory"))
+def _(m):
+    return gp.leaderboard(A.competition(m.subcategory_landscape), "competition_score", 20, key=["subcategory"])

@@ -130,7 +130,8 @@ def quantiles(df: DataFrame, part: list[str], specs: dict[str, tuple]) -> DataFr
 
 def with_quantiles(agg: DataFrame, df: DataFrame, part: list[str], specs: dict) -> DataFrame:
     """Add quantile columns to an aggregate over the same groups."""
-    return null_safe_join(agg, quantiles(df, part, specs), part)
+    found = quantiles(df, part, specs)
+    return null_safe_join(agg, found, part) if part else add_single_row(agg, found)
 
 
 def percent_rank_in(df: DataFrame, part: list[str], cols: dict[str, str]) -> DataFrame:

@@ -38,10 +38,15 @@ def share_of_total(df: DataFrame, measure: str, name: str, scale: int | None = N
     return out.withColumn(name, share if scale is None else half_up(share, scale)).drop("_total")
 
 
-def explode_tokens(df: DataFrame, c: str, name: str = "word") -> DataFrame:
-    """One row per token of a text: lower case, everything but a-z, 0-9 splits."""
-    cleaned = F.regexp_replace(F.lower(F.col(c)), "[^a-z0-9 ]", " ")
-    return df.withColumn(name, F.explode(F.split(cleaned, " "))).where(F.col(name) != "")
+def explode_tokens(df: DataFrame, c: str, name: str = "word", min_length: int = 1) -> DataFrame:
+    """One row per token of a text: lower-case runs of a-z and 0-9.
+
+    Short tokens are dropped inside the array, before rows are made of them.
+    """
+    tokens = F.filter(
+        F.split(F.lower(F.col(c)), "[^a-z0-9]+"), lambda w: F.length(w) >= min_length
+    )
+    return df.withColumn(name, F.explode(tokens))
 
 
 # ---- aggregation ----------------------------------------------------------

@@ -203,9 +203,7 @@ def review_keywords(
     texts = sample_rows(reviews.where(F.col(column) != ""), sample_pct, sample_key).select(
         "source_category", C.sentiment().alias("sentiment"), column
     )
-    words = explode_tokens(texts, column).where(
-        (F.length("word") > 2) & ~F.col("word").isin(STOPWORDS)
-    )
+    words = explode_tokens(texts, column, min_length=3).where(~F.col("word").isin(STOPWORDS))
     counts = words.groupBy("source_category", "sentiment", "word").agg(rows().alias("word_count"))
     return counts.where(F.col("word_count") >= min_count)
 
@@ -227,7 +225,7 @@ def distinctive_keywords(keywords: DataFrame, side: str = "negative", k: int | N
     return ratio if k is None else top_k(ratio, "ratio", k, tiebreak=["word"])
 
 
-def unverified_gap(trust: DataFrame, k: int = 5) -> DataFrame:
+def unverified_gap(trust: DataFrame, k: int | None = 5) -> DataFrame:
     """Categories where unverified reviewers give most five stars beyond verified ones."""
     gap = trust.select(
         "source_category", "pct_verified", "pct_5star_among_unverified", "pct_5star_among_verified",
@@ -235,6 +233,8 @@ def unverified_gap(trust: DataFrame, k: int = 5) -> DataFrame:
             "unverified_5star_gap"
         ),
     )
+    if k is None:
+        return gap.orderBy(F.desc_nulls_last("unverified_5star_gap"), "source_category")
     return top_k(gap, "unverified_5star_gap", k, tiebreak=["source_category"])
 
 

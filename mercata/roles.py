@@ -128,7 +128,9 @@ def reviews(spark, sf_dir) -> DataFrame:
     One review in eleven has no text.  A seventh line reviews an unlisted
     product, and a first line in state 'N' files under a second category.
     """
-    line = table(spark, sf_dir, "lineitem")
+    # Spread by order before texts are attached; the orders join needs the same partitioning.
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    line = table(spark, sf_dir, "lineitem").repartition(spread, "l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     docs = table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("_docs"))
