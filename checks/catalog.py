@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from checks import sql as S
 from mercata import roles
 from mercata.market import Market
+from mercata.market import Market
+from mercata.ml import anomalies, attributions, clusters, models, success
+from mercata.plans import analysis, quality, serving, silver
 from mercata.plans import gold_products as gp
 from mercata.plans import gold_reviews as gr
 from mercata.plans import analysis, silver
-from mercata.session import tune
+from mercata.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -801,3 +804,208 @@ def _(m):
     "competition_score", 20, "subcategory"))
 def _(m):
     return gp.leaderboard(A.competition(m.subcategory_landscape), "competition_score", 20, key=["subcategory"])
+
+
+# ---- models -----------------------------------------------------------------------
+
+SELLABLE = "products WHERE bought_last_month > 0 AND price_cents > 0 AND rating_tenths > 0"
+
+
+def prank(c: str, name: str) -> str:
+    return f"percent_rank() OVER (PARTITION BY subcategory ORDER BY {c} NULLS LAST) AS {name}"
+
+
+@entry("M1_W1_cluster_features", f"""SELECT asin, subcategory, price_cents, rating_tenths, review_count,
+  bought_last_month, revenue_cents, title_length, rating_tenths / 10.0 AS rating,
+  is_best_seller::INTEGER AS is_best_seller, {prank('price_cents', 'price_rank')},
+  {prank('bought_last_month', 'sales_rank')}, {prank('review_count', 'reviews_rank')},
+  {prank('title_length', 'title_length_rank')} FROM {SELLABLE}""")
+def _(m):
+    return clusters.cluster_features(m.products)
+
+
+@entry("M2_choose_k")
+def _(m):
+    return clusters.choose_k(clusters.cluster_features(m.products), range(2, 9), 6)
+
+
+@entry("M3_product_clusters")
+def _(m):
+    return m.product_clusters
+
+
+@entry("M3_A17_archetype_profiles")
+def _(m):
+    return clusters.archetype_profiles(clusters.assign_archetypes(clusters.cluster_features(m.products)))
+
+
+@entry("M4_projection")
+def _(m):
+    df = clusters.cluster_features(m.products)
+    return clusters.project(df, clusters.FEATURES).select("asin", "pc1", "pc2")
+
+
+@entry("M4_loadings")
+def _(m):
+    return clusters.loadings(clusters.cluster_features(m.products), clusters.FEATURES)
+
+
+@entry("M5_W1_W2_success_features", f"""SELECT asin, subcategory, revenue_cents,
+  CAST(revenue_quartile AS INTEGER) AS revenue_quartile, (revenue_quartile = 4)::INTEGER AS is_success,
+  price_cents / 100.0 AS price, rating_tenths / 10.0 AS rating, CAST(review_count AS DOUBLE) AS review_count,
+  CAST(title_length AS DOUBLE) AS title_length, CAST(is_best_seller AS DOUBLE) AS is_best_seller,
+  CAST(has_brand AS DOUBLE) AS has_brand, CAST(has_features AS DOUBLE) AS has_features,
+  CAST(has_description AS DOUBLE) AS has_description, CAST(has_store AS DOUBLE) AS has_store,
+  coalesce(discount_tenths / 10.0, 0) AS discount_pct, CAST(is_matched AS DOUBLE) AS is_matched,
+  price_rank, reviews_rank, title_length_rank
+  FROM (SELECT *, {prank('price_cents', 'price_rank')}, {prank('review_count', 'reviews_rank')},
+      {prank('title_length', 'title_length_rank')},
+      ntile(4) OVER (PARTITION BY subcategory ORDER BY revenue_cents, md5(asin), asin) AS revenue_quartile
+    FROM {SELLABLE})""")
+def _(m):
+    return success.success_features(m.products)
+
+
+def _success(m):
+    """Split and model shared by the success queries; small settings for a small sample."""
+    split = clusters.checkpointed(success.stratified_split(success.success_features(m.products)))
+    return split, success.train_success(split, max_iter=8, max_depth=4)
+
+
+def _held_out(m):
+    split, model = _success(m)
+    return success.predict(model, split.where("fold = 'test'")), model
+
+
+@entry("M5_success_predictions")
+def _(m):
+    predicted, _ = _held_out(m)
+    return predicted.select("asin", "subcategory", "is_success", "predicted", "score")
+
+
+@entry("M5e_success_evaluation")
+def _(m):
+    return success.evaluate_success(_held_out(m)[0])
+
+
+@entry("M5e_confusion_matrix")
+def _(m):
+    return success.confusion_matrix(_held_out(m)[0])
+
+
+@entry("M5e_roc_curve")
+def _(m):
+    return success.roc_curve(_held_out(m)[0])
+
+
+@entry("M5e_feature_importance")
+def _(m):
+    return success.feature_importance(m.products.sparkSession, _success(m)[1])
+
+
+def _explained(m):
+    split, model = _success(m)
+    return attributions.explain(model, split.where("fold = 'test'"))
+
+
+@entry("M6_attributions")
+def _(m):
+    return _explained(m)
+
+
+@entry("M6_waterfall")
+def _(m):
+    return attributions.waterfall(_explained(m))
+
+
+@entry("M7_shap_summary")
+def _(m):
+    return attributions.shap_summary(_explained(m))
+
+
+TRUST_SQL = """SELECT parent_asin, source_category, t.review_count, reviews_per_day,
+  pct_verified / 100.0 AS verified_rate, pct_extreme_ratings / 100.0 AS extreme_ratio,
+  pct_with_text / 100.0 AS text_rate, pct_very_short_text / 100.0 AS short_text_rate, reviews_per_reviewer,
+  coalesce(pct_5star_unverified - pct_5star_verified, 0) AS unverified_5star_gap, pct_5star, pct_1star,
+  coalesce(t.avg_text_length, 0) AS avg_text_length, s.reviews_per_month, pct_with_helpful_votes
+  FROM product_review_trust t
+  JOIN (SELECT parent_asin, source_category, reviews_per_month FROM product_review_summary) s
+    USING (parent_asin, source_category) WHERE t.review_count >= 5"""
+
+
+@entry("M8_J7_trust_features", TRUST_SQL)
+def _(m):
+    return anomalies.trust_features(m.product_review_trust, m.product_review_summary)
+
+
+@entry("M9_product_trust_scores")
+def _(m):
+    return m.product_trust_scores
+
+
+@entry("M9_trust_cutoff")
+def _(m):
+    return anomalies.trust_cutoff(m.product_trust_scores)
+
+
+@entry("M11_compare_groups")
+def _(m):
+    return serving.compare_groups(m.product_trust_scores)
+
+
+@entry("N35_anomaly_by_category")
+def _(m):
+    return A.anomaly_by_category(m.product_trust_scores)
+
+
+@entry("N36_suspicious_deviation")
+def _(m):
+    return A.suspicious_deviation(m.product_trust_scores, A.TRUST_FEATURES)
+
+
+@entry("N37_P22_trust_tiers")
+def _(m):
+    return A.trust_tiers(m.product_trust_scores)
+
+
+def _quintile(c: str) -> str:
+    edges = ", ".join(f"quantile_cont({c}, {i / 5})" for i in range(6))
+    return f"""SELECT bucket, edges[bucket] AS bucket_low, edges[bucket + 1] AS bucket_high,
+      count(*) AS products, floor(sum(is_success) / count(*) * 10000 + 0.5) / 10000.0 AS success_rate
+    FROM (SELECT is_success, edges,
+        CAST(greatest(len(list_filter(edges, lambda e: e < v)), 1) AS INTEGER) AS bucket
+      FROM (SELECT {c} AS v, (revenue_quartile = 4)::INTEGER AS is_success,
+          ntile_edges.edges AS edges
+        FROM (SELECT *, ntile(4) OVER (PARTITION BY subcategory ORDER BY revenue_cents, md5(asin), asin)
+                AS revenue_quartile FROM {SELLABLE}),
+          (SELECT list_sort(list_distinct([{edges}])) AS edges FROM {SELLABLE}) ntile_edges))
+    GROUP BY bucket, edges"""
+
+
+@entry("N38_W11_success_by_quintile", _quintile("review_count"))
+def _(m):
+    df = success.success_features(m.products).withColumn("review_count", F.col("review_count").cast("long"))
+    return A.success_by_quintile(df, "review_count")
+
+
+@entry("N40_A18_archetype_mix")
+def _(m):
+    return clusters.archetype_mix(m.product_clusters)
+
+
+@entry("N41_cluster_radar")
+def _(m):
+    return clusters.cluster_radar(clusters.assign_archetypes(clusters.cluster_features(m.products)))
+
+
+@entry("M10_save_and_load_model")
+def _(m):
+    """Fit, save, load, and apply the loaded pipeline."""
+    from pyspark.ml import PipelineModel
+
+    features = clusters.checkpointed(clusters.cluster_features(m.products))
+    path = scratch_path(features.sparkSession, "archetypes")
+    models.save(clusters.fit_archetypes(features), path, {"features": clusters.FEATURES, "k": 5})
+    model, info = models.load(features.sparkSession, path)
+    assert isinstance(model, PipelineModel) and info["k"] == 5
+    return clusters.assign_archetypes(features, model=model).select("asin", "cluster", "cluster_name")
