@@ -8,14 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import sql as S
 from mercata import roles
+from mercata.functions import columns as C
+from mercata.functions import exact as E
 from mercata.market import Market
 from mercata.market import Market
 from mercata.ml import anomalies, attributions, clusters, models, success
+from mercata.operators import ranks
+from mercata.operators import relational as rel
 from mercata.plans import analysis, quality, serving, silver
 from mercata.plans import gold_products as gp
 from mercata.plans import gold_reviews as gr
@@ -30,7 +34,12 @@ def entry(name: str, sql: str | None = None, **extra: str):
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"{name} registered twice")
-        QUERIES[name] = lambda spark, sf_dir: fn(roles.market(tune(spark), sf_dir))
+        def run(spark, sf_dir):
+            market = roles.market(tune(spark), sf_dir)
+            market.origin = (spark.sparkContext.applicationId, sf_dir)
+            return fn(market)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = S.query(sql, **extra)
         return fn
@@ -38,6 +47,23 @@ def entry(name: str, sql: str | None = None, **extra: str):
     return add
 
 
+_STORED: dict = {}
+
+
+def once(m: Market, name: str, make):
+    """What several model queries share is made once per application and folder,
+    as a pipeline would store it, instead of once per query."""
+    key = (*m.origin, name)
+    if key not in _STORED:
+        _STORED[key] = make()
+    return _STORED[key]
+
+
+def stored(m: Market, name: str) -> DataFrame:
+    """A table of the market, written to the shared folder once."""
+    return once(m, name, lambda: clusters.checkpointed(getattr(m, name)))
+
+
 def raw_entry(name: str, sql: str | None = None, **extra: str):
     """For operators that start from files: the function gets (spark, sf_dir)."""
     def add(fn):
@@ -815,6 +841,15 @@ def prank(c: str, name: str) -> str:
     return f"percent_rank() OVER (PARTITION BY subcategory ORDER BY {c} NULLS LAST) AS {name}"
 
 
+def _features(m):
+    return once(m, "cluster_features", lambda: clusters.checkpointed(
+        clusters.cluster_features(stored(m, "products"))))
+
+
+def _assigned(m):
+    return once(m, "assigned", lambda: clusters.checkpointed(clusters.assign_archetypes(_features(m))))
+
+
 @entry("M1_W1_cluster_features", f"""SELECT asin, subcategory, price_cents, rating_tenths, review_count,
   bought_last_month, revenue_cents, title_length, rating_tenths / 10.0 AS rating,
   is_best_seller::INTEGER AS is_best_seller, {prank('price_cents', 'price_rank')},
@@ -826,7 +861,7 @@ def _(m):
 
 @entry("M2_choose_k")
 def _(m):
-    return clusters.choose_k(clusters.cluster_features(m.products), range(2, 9), 6)
+    return clusters.choose_k(_features(m), range(2, 8), 6)
 
 
 @entry("M3_product_clusters")
@@ -836,18 +871,18 @@ def _(m):
 
 @entry("M3_A17_archetype_profiles")
 def _(m):
-    return clusters.archetype_profiles(clusters.assign_archetypes(clusters.cluster_features(m.products)))
+    return clusters.archetype_profiles(_assigned(m))
 
 
 @entry("M4_projection")
 def _(m):
-    df = clusters.cluster_features(m.products)
+    df = _features(m)
     return clusters.project(df, clusters.FEATURES).select("asin", "pc1", "pc2")
 
 
 @entry("M4_loadings")
 def _(m):
-    return clusters.loadings(clusters.cluster_features(m.products), clusters.FEATURES)
+    return clusters.loadings(_features(m), clusters.FEATURES)
 
 
 @entry("M5_W1_W2_success_features", f"""SELECT asin, subcategory, revenue_cents,
@@ -868,8 +903,12 @@ def _(m):
 
 def _success(m):
     """Split and model shared by the success queries; small settings for a small sample."""
-    split = clusters.checkpointed(success.stratified_split(success.success_features(m.products)))
-    return split, success.train_success(split, max_iter=8, max_depth=4)
+    def make():
+        features = success.success_features(stored(m, "products"))
+        split = clusters.checkpointed(success.stratified_split(features))
+        return split, success.train_success(split, max_iter=8, max_depth=4)
+
+    return once(m, "success", make)
 
 
 def _held_out(m):
@@ -904,8 +943,11 @@ def _(m):
 
 
 def _explained(m):
-    split, model = _success(m)
-    return attributions.explain(model, split.where("fold = 'test'"))
+    def make():
+        split, model = _success(m)
+        return clusters.checkpointed(attributions.explain(model, split.where("fold = 'test'")))
+
+    return once(m, "explained", make)
 
 
 @entry("M6_attributions")
@@ -945,27 +987,27 @@ def _(m):
 
 @entry("M9_trust_cutoff")
 def _(m):
-    return anomalies.trust_cutoff(m.product_trust_scores)
+    return anomalies.trust_cutoff(stored(m, "product_trust_scores"))
 
 
 @entry("M11_compare_groups")
 def _(m):
-    return serving.compare_groups(m.product_trust_scores)
+    return serving.compare_groups(stored(m, "product_trust_scores"))
 
 
 @entry("N35_anomaly_by_category")
 def _(m):
-    return A.anomaly_by_category(m.product_trust_scores)
+    return A.anomaly_by_category(stored(m, "product_trust_scores"))
 
 
 @entry("N36_suspicious_deviation")
 def _(m):
-    return A.suspicious_deviation(m.product_trust_scores, A.TRUST_FEATURES)
+    return A.suspicious_deviation(stored(m, "product_trust_scores"), A.TRUST_FEATURES)
 
 
 @entry("N37_P22_trust_tiers")
 def _(m):
-    return A.trust_tiers(m.product_trust_scores)
+    return A.trust_tiers(stored(m, "product_trust_scores"))
 
 
 def _quintile(c: str) -> str:
@@ -990,12 +1032,12 @@ def _(m):
 
 @entry("N40_A18_archetype_mix")
 def _(m):
-    return clusters.archetype_mix(m.product_clusters)
+    return clusters.archetype_mix(_assigned(m))
 
 
 @entry("N41_cluster_radar")
 def _(m):
-    return clusters.cluster_radar(clusters.assign_archetypes(clusters.cluster_features(m.products)))
+    return clusters.cluster_radar(_assigned(m))
 
 
 @entry("M10_save_and_load_model")
@@ -1003,9 +1045,649 @@ def _(m):
     """Fit, save, load, and apply the loaded pipeline."""
     from pyspark.ml import PipelineModel
 
-    features = clusters.checkpointed(clusters.cluster_features(m.products))
+    features = _features(m)
     path = scratch_path(features.sparkSession, "archetypes")
     models.save(clusters.fit_archetypes(features), path, {"features": clusters.FEATURES, "k": 5})
     model, info = models.load(features.sparkSession, path)
     assert isinstance(model, PipelineModel) and info["k"] == 5
     return clusters.assign_archetypes(features, model=model).select("asin", "cluster", "cluster_name")
+
+
+# ---- derived columns ------------------------------------------------------------------
+
+@entry("P1_P6_flags_metadata", """SELECT parent_asin, (price IS NULL OR price IN ('', '—')) AS flag_no_price,
+  (store IS NULL OR store = '') AS flag_no_store, (details_brand IS NULL OR details_brand = '') AS flag_no_brand,
+  (title IS NULL OR title = '') AS flag_no_title, coalesce(rating_number = 0, FALSE) AS flag_no_ratings FROM metadata""")
+def _(m):
+    return m.metadata.select("parent_asin", *[c for c in m.metadata.columns if c.startswith("flag_")])
+
+
+@entry("P2_flags_categories", """SELECT id, category_name,
+  (category_name IS NULL OR trim(category_name) = '')::INTEGER AS flag_missing_name,
+  length(trim(category_name)) AS name_length FROM categories""")
+def _(m):
+    return m.categories
+
+
+@entry("P3_P4_flags_reviews", """SELECT parent_asin, user_id, timestamp, text IS NOT NULL AND text <> '' AS has_text,
+  title IS NOT NULL AND title <> '' AS has_title, helpful_vote > 0 AS has_helpful_votes,
+  image_count, length(text) AS text_length FROM reviews""")
+def _(m):
+    plain = m.raw_reviews.drop("has_text", "has_title", "has_helpful_votes", "text_length")
+    return C.flag_reviews(plain).select(
+        "parent_asin", "user_id", "timestamp", "has_text", "has_title", "has_helpful_votes",
+        "image_count", "text_length",
+    )
+
+
+@entry("P5_parse_price", """SELECT parent_asin, price,
+  CAST(round(try_cast(replace(replace(nullif(price, '—'), '$', ''), ',', '') AS DOUBLE) * 100) AS BIGINT) / 100.0
+    AS amount FROM metadata""")
+def _(m):
+    return m.metadata.select("parent_asin", "price", E.units(C.parse_price("price")).alias("amount"))
+
+
+@entry("P7_P8_P9_P10_P12_P19_listing_columns", """SELECT asin,
+  CASE WHEN price_cents > 0 AND list_cents > price_cents
+    THEN floor(1000 * (list_cents - price_cents) / list_cents + 0.5) / 10.0 END AS discount_pct,
+  price_cents * bought_last_month / 100.0 AS estimated_revenue,
+  CASE WHEN price_cents < 1000 THEN 'Budget' WHEN price_cents < 2500 THEN 'Low'
+    WHEN price_cents < 5000 THEN 'Mid' WHEN price_cents < 10000 THEN 'Premium'
+    WHEN price_cents >= 10000 THEN 'Luxury' ELSE 'Unknown' END AS price_tier,
+  CASE WHEN price_cents > 0 AND list_cents > price_cents THEN
+      CASE WHEN floor(1000 * (list_cents - price_cents) / list_cents + 0.5) >= 500 THEN 'Deep (50%+)'
+        WHEN floor(1000 * (list_cents - price_cents) / list_cents + 0.5) >= 200 THEN 'Medium (20-49%)'
+        WHEN floor(1000 * (list_cents - price_cents) / list_cents + 0.5) > 0 THEN 'Light (1-19%)'
+        ELSE 'No Discount' END
+    ELSE 'No Discount' END AS discount_tier,
+  CASE WHEN bought_last_month < 1 THEN '1. Zero sales' WHEN bought_last_month < 50 THEN '2. 1-49'
+    WHEN bought_last_month < 500 THEN '3. 50-499' WHEN bought_last_month < 5000 THEN '4. 500-4999'
+    ELSE '5. 5000+' END AS sales_tier,
+  length(title) AS title_length FROM listings""")
+def _(m):
+    tenths = C.discount_tenths("price_cents", "list_cents")
+    return m.listings.select(
+        "asin", E.units(tenths, 10).alias("discount_pct"),
+        E.units(C.estimated_revenue("price_cents", "bought_last_month")).alias("estimated_revenue"),
+        C.price_tier("price_cents").alias("price_tier"), C.discount_tier(tenths).alias("discount_tier"),
+        C.sales_tier("bought_last_month").alias("sales_tier"), F.length("title").cast("long").alias("title_length"),
+    )
+
+
+@entry("P11_P17_listing_parts", f"""SELECT parent_asin, {S.FILLED.format('features')}::INTEGER AS has_features,
+  {S.FILLED.format('description')}::INTEGER AS has_description, (store IS NOT NULL)::INTEGER AS has_store,
+  (details_brand IS NOT NULL)::INTEGER AS has_brand,
+  if(details_brand IS NOT NULL, 'Branded', 'Unbranded') AS brand_status FROM metadata""")
+def _(m):
+    return C.listing_parts(m.metadata.withColumnRenamed("details_brand", "brand")).select(
+        "parent_asin", "has_features", "has_description", "has_store", "has_brand",
+        C.brand_status("has_brand").alias("brand_status"),
+    )
+
+
+@entry("P13_drop_without_main_category", """SELECT count(*) AS kept, count(DISTINCT parent_asin) AS products
+  FROM metadata WHERE main_category IS NOT NULL""")
+def _(m):
+    return m.products_full.agg(F.count(F.lit(1)).alias("kept"), F.count_distinct("parent_asin").alias("products"))
+
+
+@entry("P14_P25_review_dates", """SELECT review_date, review_year, review_month,
+  make_date(review_year, review_month, 1) AS month_start, count(*) AS n FROM reviews GROUP BY ALL""")
+def _(m):
+    start = C.month_start(F.col("review_year").cast("int"), F.col("review_month").cast("int"))
+    return m.reviews.groupBy("review_date", "review_year", "review_month", start.alias("month_start")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@entry("P15_sentiment", """SELECT source_category, sentiment, count(*) AS n FROM (SELECT source_category,
+  CASE WHEN rating >= 4 THEN 'positive' WHEN rating <= 2 THEN 'negative' ELSE 'neutral' END AS sentiment FROM reviews)
+  GROUP BY ALL""")
+def _(m):
+    return m.reviews.groupBy("source_category", C.sentiment().alias("sentiment")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@entry("P16_store_type", """SELECT store_type, category_count, count(*) AS stores FROM stores GROUP BY ALL""")
+def _(m):
+    return m.stores.groupBy("store_type", "category_count").agg(F.count(F.lit(1)).alias("stores"))
+
+
+@entry("P18_title_bands", """SELECT count(*) FILTER (WHERE title_length < 50) AS short_title,
+  count(*) FILTER (WHERE title_length BETWEEN 50 AND 100) AS medium_title,
+  count(*) FILTER (WHERE title_length BETWEEN 100 AND 150) AS long_title,
+  count(*) FILTER (WHERE title_length > 150) AS very_long_title,
+  count(*) FILTER (WHERE title_length = 100) AS in_two_bands FROM products""")
+def _(m):
+    n = F.col("title_length")
+    return m.products.agg(
+        *[F.count_if(band(n)).alias(name) for name, band in C.TITLE_BANDS.items()],
+        F.count_if(n == 100).alias("in_two_bands"),
+    )
+
+
+@entry("P24_casts_and_defaults", """SELECT asin, is_best_seller::INTEGER AS badge, coalesce(has_brand, 0) AS has_brand,
+  coalesce(discount_tenths, 0) / 10.0 AS discount_pct FROM products""")
+def _(m):
+    return m.products.select(
+        "asin", C.as_int(F.col("is_best_seller")).alias("badge"), F.coalesce("has_brand", F.lit(0)).alias("has_brand"),
+        E.units(F.coalesce("discount_tenths", F.lit(0)), 10).alias("discount_pct"),
+    )
+
+
+@entry("P26_A11_filters", """SELECT source_category, review_year, sum(review_count)::BIGINT AS reviews
+  FROM temporal_trends WHERE source_category IN ('PROMO', 'MISC') AND review_year BETWEEN 1998 AND 2000
+  GROUP BY ALL HAVING sum(review_count) >= 100""")
+def _(m):
+    kept = m.temporal_trends.where(
+        F.col("source_category").isin("PROMO", "MISC") & F.col("review_year").between(1998, 2000)
+    )
+    per = kept.groupBy("source_category", "review_year").agg(F.sum("review_count").alias("reviews"))
+    return rel.having(per, F.col("reviews") >= 100)
+
+
+# ---- joins ------------------------------------------------------------------------------
+
+@entry("J1_attach_category", """SELECT asin, category_id, category_name AS subcategory
+  FROM listings LEFT JOIN categories ON category_id = id""")
+def _(m):
+    return silver.attach_category(m.listings, m.categories).select("asin", "category_id", "subcategory")
+
+
+@entry("J2_enrich", """SELECT asin, main_category, store, is_matched FROM products""")
+def _(m):
+    return m.products.select("asin", "main_category", "store", "is_matched")
+
+
+@entry("J2_enrich_deduped", """SELECT asin, main_category, store, is_matched FROM products""")
+def _(m):
+    return silver.products(m.listings, m.categories, m.metadata, dedupe=True, dedupe_metadata=True).select(
+        "asin", "main_category", "store", "is_matched"
+    )
+
+
+@entry("J3_join_ecosystem", """SELECT main_category, c.product_count, r.revenue
+  FROM category_profile c LEFT JOIN (SELECT main_category, sum(revenue_cents) / 100.0 AS revenue
+    FROM products WHERE main_category IS NOT NULL GROUP BY main_category) r USING (main_category)""")
+def _(m):
+    revenue = m.products.where("main_category is not null").groupBy("main_category").agg(
+        E.total_money("revenue_cents").alias("revenue")
+    )
+    return gp.join_ecosystem(m.category_profile.select("main_category", "product_count"), revenue)
+
+
+@entry("J4_join_store", """SELECT store, product_count, n AS listed_products FROM stores
+  JOIN (SELECT store, count(*) AS n FROM products WHERE store IS NOT NULL GROUP BY store) USING (store)""")
+def _(m):
+    sold = m.products.where("store is not null").groupBy("store").agg(F.count(F.lit(1)).alias("listed_products"))
+    return gp.join_store(m.stores.select("store", "product_count"), sold)
+
+
+@entry("J5_join_review_summary", """SELECT asin, source_category, s.avg_rating AS review_rating
+  FROM products LEFT JOIN (SELECT parent_asin, source_category, avg_rating FROM product_review_summary) s
+  ON parent_asin = asin""")
+def _(m):
+    return gp.join_review_summary(m.products, m.product_review_summary).select(
+        "asin", "source_category", "review_rating"
+    )
+
+
+@entry("J6_only_known", """SELECT parent_asin, count(*) AS reviews FROM reviews
+  WHERE parent_asin IN (SELECT asin FROM listings) GROUP BY parent_asin""")
+def _(m):
+    return rel.only_known(m.reviews, m.listings, "parent_asin").groupBy("parent_asin").agg(
+        F.count(F.lit(1)).alias("reviews")
+    )
+
+
+@entry("J7_join_trust", """SELECT parent_asin, source_category, t.review_count, t.pct_verified,
+  s.review_span_days, s.reviews_per_month, s.pct_negative FROM product_review_trust t
+  JOIN product_review_summary s USING (parent_asin, source_category) WHERE t.review_count >= 5""")
+def _(m):
+    return gr.join_trust(m.product_review_trust, m.product_review_summary).select(
+        "parent_asin", "source_category", "review_count", "pct_verified", "review_span_days",
+        "reviews_per_month", "pct_negative",
+    )
+
+
+@entry("J10_explode_tokens", """SELECT word, count(*) AS n FROM (
+  SELECT unnest(string_split(regexp_replace(lower(title), '[^a-z0-9 ]', ' ', 'g'), ' ')) AS word FROM listings)
+  WHERE word <> '' GROUP BY word""")
+def _(m):
+    return rel.explode_tokens(m.listings.select("title"), "title").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+@entry("J11_with_scalars", """SELECT asin, price_cents / 100.0 AS price,
+  (SELECT max(price_cents) FROM listings) / 100.0 AS highest,
+  floor(price_cents * 100 / (SELECT max(price_cents) FROM listings) * 10 + 0.5) / 10.0 AS pct_of_highest FROM listings""")
+def _(m):
+    df = rel.with_scalars(m.listings.select("asin", "price_cents"), top=F.max("price_cents"))
+    return df.select(
+        "asin", E.units("price_cents").alias("price"), E.units("top").alias("highest"),
+        E.half_up(F.try_divide((F.col("price_cents") * 100).cast("double"), F.col("top")), 10).alias("pct_of_highest"),
+    )
+
+
+# ---- aggregates ---------------------------------------------------------------------------
+
+@entry("A1_A2_A6_A7_A8_A9_primitives", f"""SELECT subcategory, count(*) AS n, {S.big('sum(bought_last_month)')} AS units,
+  min(price_cents) / 100.0 AS low, max(price_cents) / 100.0 AS high, {S.money('price_cents')} AS avg_price,
+  count(DISTINCT store) AS stores, count(DISTINCT brand) AS brands,
+  {S.big("coalesce(sum(revenue_cents) FILTER (WHERE is_best_seller), 0)")} AS badge_cents,
+  {S.money('revenue_cents', 'is_best_seller')} AS badge_avg, count(*) FILTER (WHERE is_best_seller) AS badges,
+  {S.pct('has_store = 1')} AS pct_store, {S.half_up('sum(bought_last_month) / nullif(sum(review_count), 0)', 1000)} AS sold_per_review,
+  {S.ratio('count(*)', 'greatest(count(*) FILTER (WHERE is_best_seller), 1)', 100, 100)} AS per_badge
+  FROM products GROUP BY subcategory""")
+def _(m):
+    badge = F.col("is_best_seller")
+    return m.products.groupBy("subcategory").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bought_last_month").alias("units"),
+        E.units(F.min("price_cents")).alias("low"), E.units(F.max("price_cents")).alias("high"),
+        E.money_mean("price_cents").alias("avg_price"),
+        rel.count_distinct("store").alias("stores"), rel.count_distinct("brand").alias("brands"),
+        F.coalesce(E.sum_if(badge, "revenue_cents"), F.lit(0)).alias("badge_cents"),
+        E.avg_if(badge, "revenue_cents", 1, 100).alias("badge_avg"), E.count_if(badge).alias("badges"),
+        E.pct(F.col("has_store") == 1).alias("pct_store"),
+        E.safe_ratio(F.sum("bought_last_month"), F.sum("review_count"), 1000).alias("sold_per_review"),
+        E.floor_ratio(F.count(F.lit(1)), F.count_if(badge)).alias("per_badge"),
+    )
+
+
+@entry("A2_approx_count_distinct")
+def _(m):
+    return m.reviews.groupBy("source_category").agg(rel.count_distinct("user_id", approx=True).alias("users"))
+
+
+@entry("A3_A4_quantiles", """SELECT subcategory, price_tier, floor(median(price_cents) + 0.5) / 100.0 AS mid,
+  floor(quantile_cont(revenue_cents, 0.9) + 0.5) / 100.0 AS p90 FROM products GROUP BY ALL""")
+def _(m):
+    keys = ["subcategory", "price_tier"]
+    return ranks.with_quantiles(m.products.select(*keys).distinct(), m.products, keys, {
+        "mid": ("price_cents", 0.5, 1, 100), "p90": ("revenue_cents", 0.9, 1, 100),
+    })
+
+
+@entry("A5_approx_quantile", """SELECT parent_asin, source_category, quantile_disc(rating, 0.5) AS median_rating
+  FROM listed_reviews GROUP BY ALL""")
+def _(m):
+    summary = gr.product_review_summary(m.reviews, m.listings, approx_median=True)
+    return summary.select("parent_asin", "source_category", "median_rating")
+
+
+@entry("A10_group_by_derived", """SELECT if(has_brand = 1, 'Branded', 'Unbranded') AS brand_status,
+  count(*) AS n FROM products GROUP BY 1""")
+def _(m):
+    return m.products.groupBy(C.brand_status("has_brand").alias("brand_status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@entry("A14_unpivot", " UNION ALL ".join(
+    f"SELECT subcategory, '{c}' AS metric, {c} AS value FROM subcategory_landscape"
+    for c in ("pct_with_brand", "pct_with_features", "pct_with_store")))
+def _(m):
+    return rel.unpivot(
+        m.subcategory_landscape, ["subcategory"], ["pct_with_brand", "pct_with_features", "pct_with_store"]
+    )
+
+
+@entry("A17_group_profile", """SELECT price_tier, """ + ", ".join(
+    f"floor(sum({c}) / count({c}) * 100 + 0.5) / 100.0 AS {c}_mean, "
+    f"floor(median({c}) * 100 + 0.5) / 100.0 / 1.0 AS {c}_median"
+    for c in ("review_count", "bought_last_month")) + " FROM products GROUP BY price_tier")
+def _(m):
+    return rel.group_profile(m.products, "price_tier", ["review_count", "bought_last_month"])
+
+
+@entry("A18_crosstab_pct", """SELECT subcategory, price_tier, n,
+  floor(n * 100.0 / sum(n) OVER (PARTITION BY subcategory) * 10 + 0.5) / 10.0 AS pct
+  FROM (SELECT subcategory, price_tier, count(*) AS n FROM products GROUP BY ALL)""")
+def _(m):
+    return rel.crosstab_pct(m.products, "subcategory", "price_tier")
+
+
+@entry("A19_distinct_values", "SELECT DISTINCT source_category FROM temporal_trends")
+def _(m):
+    return rel.distinct_values(m.temporal_trends, "source_category")
+
+
+@entry("A20_value_counts", "SELECT price_tier, count(*) AS count FROM products GROUP BY price_tier")
+def _(m):
+    return rel.value_counts(m.products, "price_tier")
+
+
+@entry("A21_describe", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count({c}) AS DOUBLE) AS non_null, "
+    f"CAST(count(*) - count({c}) AS DOUBLE) AS nulls, floor(avg({c}) * 10000 + 0.5) / 10000.0 AS mean, "
+    f"floor(stddev_samp({c}) * 10000 + 0.5) / 10000.0 AS std, CAST(min({c}) AS DOUBLE) AS min, "
+    f"CAST(max({c}) AS DOUBLE) AS max FROM products"
+    for c in ("price_cents", "review_count", "title_length")))
+def _(m):
+    return rel.describe(m.products, ["price_cents", "review_count", "title_length"])
+
+
+@entry("A21_histogram", """SELECT bin, count(*) AS n, lo + (hi - lo) / 20 * bin AS low FROM (
+  SELECT lo, hi, CAST(least(floor((title_length - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin
+  FROM products, (SELECT min(title_length) AS lo, max(title_length) AS hi FROM products))
+  GROUP BY bin, lo, hi""")
+def _(m):
+    return rel.histogram(m.products, "title_length", 20)
+
+
+# ---- windows ------------------------------------------------------------------------------
+
+@entry("W1_percent_rank", f"""SELECT asin, subcategory, {prank('price_cents', 'price_rank')},
+  {prank('title_length', 'title_rank')} FROM products""")
+def _(m):
+    ranked = ranks.percent_rank_in(m.products, ["subcategory"], {"price_rank": "price_cents", "title_rank": "title_length"})
+    return ranked.select("asin", "subcategory", "price_rank", "title_rank")
+
+
+@entry("W2_ntile", """SELECT asin, subcategory, CAST(ntile(4) OVER (PARTITION BY subcategory
+  ORDER BY revenue_cents NULLS LAST, md5(asin), asin) AS INTEGER) AS quartile FROM products""")
+def _(m):
+    return ranks.ntile_in(m.products, ["subcategory"], "revenue_cents", 4, "asin", "quartile").select(
+        "asin", "subcategory", "quartile"
+    )
+
+
+@entry("W4_share_of_group", """SELECT subcategory, price_tier, n,
+  n / sum(n) OVER (PARTITION BY subcategory) * 100 AS share_pct
+  FROM (SELECT subcategory, price_tier, count(*) AS n FROM products GROUP BY ALL)""")
+def _(m):
+    per = m.products.groupBy("subcategory", "price_tier").agg(F.count(F.lit(1)).alias("n"))
+    return ranks.share_of_group(per, ["subcategory"], "n")
+
+
+_POS = {
+    "price_pctile": "price_cents", "rating_pctile": "rating_tenths", "reviews_pctile": "review_count",
+    "sales_pctile": "bought_last_month", "revenue_pctile": "revenue_cents",
+}
+
+
+@entry("W10_Q7_health_position", "SELECT * FROM (SELECT asin, subcategory, "
+       + ", ".join(prank(c, n) for n, c in _POS.items())
+       + " FROM products) WHERE asin IN ('7', '102', '1999')")
+def _(m):
+    return serving.health_position(m, ["7", "102", "1999"])
+
+
+@entry("W11_quantile_buckets", """SELECT bucket, count(*) AS n, min(review_count) AS lowest, max(review_count) AS highest FROM (
+  SELECT review_count, CAST(greatest(len(list_filter(edges, lambda e: e < review_count)), 1) AS INTEGER) AS bucket
+  FROM products, (SELECT list_sort(list_distinct([""" + ", ".join(
+      f"quantile_cont(review_count, {i / 5})" for i in range(6)) + """])) AS edges FROM products)) GROUP BY bucket""")
+def _(m):
+    cut = ranks.quantile_buckets(m.products.select("review_count"), "review_count", 5)
+    return cut.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("review_count").alias("lowest"), F.max("review_count").alias("highest")
+    )
+
+
+# ---- order, limit, sample, sets -------------------------------------------------------------
+
+@entry("K1_sort_nulls_last", """SELECT asin, price_cents, position FROM (SELECT asin, price_cents,
+  row_number() OVER (ORDER BY price_cents DESC NULLS LAST, asin) AS position FROM products) WHERE position <= 25""")
+def _(m):
+    first = rel.sort(m.products.select("asin", "price_cents"), "-price_cents", "asin").limit(25)
+    nth = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc_nulls_last("price_cents"), "asin"))
+    return first.withColumn("position", nth.cast("long"))
+
+
+@entry("K4_extremes", both_ends("SELECT subcategory, avg_price FROM subcategory_landscape", "avg_price", 3, "subcategory"))
+def _(m):
+    return rel.extremes(m.subcategory_landscape.select("subcategory", "avg_price"), "avg_price", 3, ["subcategory"])
+
+
+@entry("K6_sample_rows")
+def _(m):
+    return rel.sample_rows(m.products.select("asin", "subcategory"), 10, "asin")
+
+
+@entry("K7_sample_n")
+def _(m):
+    return rel.sample_n(m.products.select("asin", "subcategory"), 500, "asin")
+
+
+@entry("K8_preview")
+def _(m):
+    return m.reviews.select("review_date", "review_year", "review_month", "rating", "verified_purchase").limit(5)
+
+
+@entry("U2_concat", """SELECT asin AS id, 'listing' AS kind FROM listings
+  UNION ALL SELECT parent_asin, 'metadata' FROM metadata""")
+def _(m):
+    return rel.concat(
+        m.listings.select(F.col("asin").alias("id"), F.lit("listing").alias("kind")),
+        m.metadata.select(F.col("parent_asin").alias("id"), F.lit("metadata").alias("kind")),
+    )
+
+
+@entry("F_scalar_functions", """SELECT parent_asin, length(trim(features)) AS trimmed, lower(title) AS lowered,
+  replace(title, ' ', '_') AS joined, len(string_split(title, ' ')) AS words,
+  regexp_matches(store, '(?i)store#m') AS is_m, lpad(CAST(rating_tenths AS VARCHAR), 4, '0') AS padded,
+  greatest(rating_tenths, rating_number) AS larger, nullif(rating_number, 0) AS nonzero,
+  floor(log2(rating_tenths) * 10000 + 0.5) / 10000.0 AS log2_rating,
+  floor(pow(rating_tenths, 0.5) * 10000 + 0.5) / 10000.0 AS root,
+  try_cast(price AS DOUBLE) AS price_number, coalesce(store, 'none') AS store_or_none,
+  rating_tenths BETWEEN 20 AND 40 AS middling, main_category IN ('PROMO', 'LARGE') AS promo_or_large FROM metadata""")
+def _(m):
+    return m.metadata.select(
+        "parent_asin", F.length(F.trim("features")).cast("long").alias("trimmed"), F.lower("title").alias("lowered"),
+        F.replace("title", F.lit(" "), F.lit("_")).alias("joined"),
+        F.size(F.split("title", " ")).cast("long").alias("words"), F.col("store").rlike("(?i)store#m").alias("is_m"),
+        F.lpad(F.col("rating_tenths").cast("string"), 4, "0").alias("padded"),
+        F.greatest("rating_tenths", "rating_number").alias("larger"),
+        F.nullif("rating_number", F.lit(0)).alias("nonzero"),
+        E.half_up(F.log2("rating_tenths"), 10000).alias("log2_rating"),
+        E.half_up(F.pow("rating_tenths", F.lit(0.5)), 10000).alias("root"),
+        F.col("price").try_cast("double").alias("price_number"),
+        F.coalesce("store", F.lit("none")).alias("store_or_none"),
+        F.col("rating_tenths").between(20, 40).alias("middling"),
+        F.col("main_category").isin("PROMO", "LARGE").alias("promo_or_large"),
+    )
+
+
+@entry("F_date_functions", """SELECT parent_asin, source_category, min(review_date) AS first_review,
+  date_diff('day', min(review_date), max(review_date)) AS days,
+  date_diff('month', min(review_date), max(review_date)) AS months FROM reviews GROUP BY ALL""")
+def _(m):
+    first, last = F.min("review_date"), F.max("review_date")
+    return m.reviews.groupBy("parent_asin", "source_category").agg(
+        first.alias("first_review"), F.datediff(last, first).cast("long").alias("days"),
+        C.months_between_dates(first, last).cast("long").alias("months"),
+    )
+
+
+@entry("F_numeric_cleanup", """SELECT parent_asin, source_category,
+  coalesce(pct_5star_unverified, 0) AS unverified FROM product_review_trust""")
+def _(m):
+    return m.product_review_trust.select(
+        "parent_asin", "source_category", anomalies.finite("pct_5star_unverified").alias("unverified")
+    )
+
+
+# ---- serving ---------------------------------------------------------------------------------
+
+@entry("Q1_scout_summary", f"""SELECT {CENTS} / 100.0 AS total_revenue, CAST(sum(product_count) AS BIGINT) AS products,
+  count(*) AS subcategories, {mean4('avg_rating')} AS avg_rating FROM subcategory_landscape""")
+def _(m):
+    return serving.scout_summary(m)
+
+
+@entry("Q2_scout_ecosystem", """SELECT CAST(sum(ecosystem_products) AS BIGINT) AS ecosystem_products,
+  CAST(sum(store_count) AS BIGINT) AS stores, CAST(sum(brand_count) AS BIGINT) AS brands, count(*) AS main_categories
+  FROM (SELECT * FROM main_category_landscape ORDER BY total_revenue DESC NULLS LAST, main_category LIMIT 33)""")
+def _(m):
+    return serving.scout_ecosystem(m)
+
+
+@entry("Q3_P25_category_trend", """SELECT review_year, review_month, make_date(review_year, review_month, 1) AS date,
+  review_count, avg_rating, pct_verified, pct_negative FROM temporal_trends
+  WHERE source_category = 'PROMO' AND review_year >= 1998""")
+def _(m):
+    return serving.category_trend(m, "PROMO", 1998)
+
+
+@entry("Q4_positioning", f"""SELECT subcategory, CAST(sum(product_count) AS BIGINT) AS products,
+  {CENTS} / 100.0 AS total_revenue,
+  floor(sum({R100} * product_count) / greatest(sum(product_count), 1) / 100 * 10000 + 0.5) / 10000.0 AS weighted_rating,
+  first(price_tier ORDER BY avg_revenue_per_product DESC NULLS LAST,
+    list_position(['Budget', 'Low', 'Mid', 'Premium', 'Luxury', 'Unknown'], price_tier)) AS winning_tier,
+  any_value(brand_multiplier) AS brand_multiplier
+  FROM price_positioning LEFT JOIN (
+    SELECT subcategory, floor(branded_rev / nullif(unbranded_rev, 0) * 10 + 0.5) / 10.0 AS brand_multiplier
+    FROM ({WIDE_BRANDS})) USING (subcategory)
+  WHERE subcategory = '{SUB}' GROUP BY subcategory""")
+def _(m):
+    return serving.positioning(m, SUB)
+
+
+@entry("Q4_K2_positioning_tiers", f"SELECT * FROM price_positioning WHERE subcategory = '{SUB}'")
+def _(m):
+    return serving.positioning_tiers(m, SUB)
+
+
+@entry("Q4_K2_positioning_discounts", f"SELECT * FROM discount_effectiveness WHERE subcategory = '{SUB}'")
+def _(m):
+    return serving.positioning_discounts(m, SUB)
+
+
+def _with_models(m):
+    """The market with the model tables already written."""
+    m.__dict__.update(
+        products=stored(m, "products"),
+        product_clusters=_assigned(m),
+        product_trust_scores=stored(m, "product_trust_scores"),
+    )
+    return m
+
+
+@entry("Q5_archetype_mix_of")
+def _(m):
+    return serving.archetype_mix_of(_with_models(m), SUB)
+
+
+@entry("Q5_A14_archetype_ranks_long")
+def _(m):
+    return serving.archetype_ranks_long(_with_models(m), SUB)
+
+
+@entry("Q6_listing_impact", f"SELECT * FROM ({LIFT}) WHERE subcategory = '{SUB}'")
+def _(m):
+    return serving.listing_impact(m, SUB)
+
+
+@entry("Q8_health_archetype")
+def _(m):
+    return serving.health_archetype(_with_models(m), ASIN)
+
+
+@entry("Q9_health_diagnosis")
+def _(m):
+    return serving.health_diagnosis(_with_models(m), _success(m)[1], [ASIN, "7"])
+
+
+@entry("Q10_voice_sentiment", "SELECT * FROM review_sentiment WHERE source_category = 'PROMO'")
+def _(m):
+    return serving.voice_sentiment(m, "PROMO")
+
+
+for _side in ("negative", "positive"):
+    entry(f"Q10_voice_words_{_side}", top(WORDS.format(_side), "word_count", 20, "word"))(
+        lambda m, side=_side: serving.voice_words(m, "PROMO", side))
+
+
+@entry("Q10_voice_trend", """SELECT review_year, review_month, review_count, avg_rating, pct_negative,
+  negative_reviews, positive_reviews, neutral_reviews FROM temporal_trends
+  WHERE source_category = 'PROMO' AND review_year >= 1998""")
+def _(m):
+    return serving.voice_trend(m, "PROMO", 1998)
+
+
+def _weighted(c):
+    return (
+        f"floor(sum(CAST(round({c} * 10) AS BIGINT) * total_reviews) / sum(total_reviews) / 10 * 10000 + 0.5) / 10000.0"
+    )
+
+
+@entry("Q11_A15_trust_overview", f"""SELECT CAST(sum(total_reviews) AS BIGINT) AS total_reviews,
+  {_weighted('pct_verified')} AS avg_verified, {_weighted('pct_extreme_ratings')} AS avg_extreme,
+  count(*) AS categories FROM review_trust""")
+def _(m):
+    return serving.trust_overview(m)
+
+
+@entry("Q11_trust_gap_ranking", GAP)
+def _(m):
+    return serving.trust_gap_ranking(m)
+
+
+@entry("Q12_trust_summary")
+def _(m):
+    return serving.trust_summary(_with_models(m))
+
+
+@entry("Q12_trust_profiles")
+def _(m):
+    return serving.trust_profiles(_with_models(m), "PROMO")
+
+
+@entry("Q12_trust_products")
+def _(m):
+    return serving.trust_products(_with_models(m))
+
+
+# ---- checks ----------------------------------------------------------------------------------
+
+@entry("D1_require_tables", " UNION ALL ".join(
+    f"SELECT 'table {n}' AS \"check\", {p} AS passed, '{d}' AS detail" for n, p, d in [
+        ("products", "TRUE", ""), ("stores", "TRUE", ""), ("nowhere", "FALSE", "missing")]))
+def _(m):
+    return quality.require_tables({"products": m.products, "stores": m.stores}, ["products", "stores", "nowhere"])
+
+
+@entry("D2_check_rows", "SELECT 'rows' AS \"check\", n = 25 AS passed, CAST(n AS VARCHAR) AS detail "
+       "FROM (SELECT count(*) AS n FROM subcategory_landscape)")
+def _(m):
+    return quality.check_rows(m.subcategory_landscape, 25)
+
+
+@entry("D3_check_not_null", " UNION ALL ".join(
+    f"SELECT 'no nulls in {c}' AS \"check\", count(*) = count({c}) AS passed, "
+    f"CAST(count(*) - count({c}) AS VARCHAR) AS detail FROM products"
+    for c in ("asin", "subcategory", "price_cents", "store")))
+def _(m):
+    return quality.check_not_null(m.products, ["asin", "subcategory", "price_cents", "store"])
+
+
+@entry("D3_D8_check_columns", """SELECT 'column review_year' AS "check", TRUE AS passed, '' AS detail
+  UNION ALL SELECT 'column bought_together', FALSE, 'missing'""")
+def _(m):
+    return quality.check_columns(m.temporal_trends, ["review_year", "bought_together"])
+
+
+@entry("D4_check_range", """SELECT 'avg_rating in range' AS "check", min(avg_rating) >= 0 AND max(avg_rating) <= 5 AS passed,
+  min(avg_rating) || '..' || max(avg_rating) AS detail FROM subcategory_landscape""")
+def _(m):
+    return quality.check_range(m.subcategory_landscape, "avg_rating", 0, 5)
+
+
+@entry("D5_check_cardinality", """SELECT 'distinct review_year' AS "check", count(DISTINCT review_year) >= 5 AS passed,
+  CAST(count(DISTINCT review_year) AS VARCHAR) AS detail FROM temporal_trends""")
+def _(m):
+    return quality.check_cardinality(m.temporal_trends, "review_year", 5, at_least=True)
+
+
+@entry("D6_check_rate")
+def _(m):
+    return quality.check_rate(stored(m, "product_trust_scores"), "is_suspicious", 2, 10)
+
+
+@entry("D7_flag_totals", "SELECT count(*) AS total, " + ", ".join(
+    f"count(*) FILTER (WHERE {f}) AS {f}"
+    for f in ("flag_no_price", "flag_no_reviews", "flag_no_sales", "flag_no_rating", "flag_no_title"))
+    + " FROM products")
+def _(m):
+    return quality.flag_totals(m.products)
+
+
+@entry("D7_rows_by", "SELECT source_category, count(*) AS rows FROM reviews GROUP BY source_category")
+def _(m):
+    return quality.rows_by(m.reviews, "source_category")

@@ -77,16 +77,18 @@ def choose_k(features: DataFrame, ks=range(2, 13), silhouette_up_to: int = 10, s
     base = checkpointed(features.select("asin", *FEATURES))
     _, scaled = scale(base)
     scaled = checkpointed(scaled.select("asin", "vector"))
-    sample = checkpointed(sample_n(scaled, SILHOUETTE_ROWS, "asin", seed))
+    small = scaled.count() <= SILHOUETTE_ROWS
+    sample = scaled if small else checkpointed(sample_n(scaled, SILHOUETTE_ROWS, "asin", seed))
     judge = ClusteringEvaluator(featuresCol="vector", predictionCol="cluster")
     rows = []
     for k in ks:
         means = KMeans(k=k, seed=seed, maxIter=300, featuresCol="vector", predictionCol="cluster")
-        cost = means.fit(scaled).summary.trainingCost
+        model = means.fit(scaled)
         score = None
         if k <= silhouette_up_to:
-            score = judge.evaluate(means.fit(sample).transform(sample))
-        rows.append((k, float(cost), score))
+            judged = model if small else means.fit(sample)
+            score = judge.evaluate(judged.transform(sample))
+        rows.append((k, float(model.summary.trainingCost), score))
     return features.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
