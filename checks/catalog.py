@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import sql as S
-from mercata import roles
+from mercata import roles, schemas
 from mercata.functions import columns as C
 from mercata.functions import exact as E
 from mercata.market import Market
@@ -25,6 +25,7 @@ from mercata.plans import gold_products as gp
 from mercata.plans import gold_reviews as gr
 from mercata.plans import analysis, silver
 from mercata.session import scratch_path, tune
+from mercata.sources import readers, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -1576,7 +1577,7 @@ def _(m):
 
 @entry("Q8_health_archetype")
 def _(m):
-    return serving.health_archetype(_with_models(m), ASIN)
+    return serving.health_archetype(_with_models(m), "7")
 
 
 @entry("Q9_health_diagnosis")
@@ -1691,3 +1692,171 @@ def _(m):
 @entry("D7_rows_by", "SELECT source_category, count(*) AS rows FROM reviews GROUP BY source_category")
 def _(m):
     return quality.rows_by(m.reviews, "source_category")
+
+
+# ---- sources: tables go out as raw files and come back through the readers -------------------
+
+def _csv_out(df: DataFrame, label: str) -> str:
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+    return path
+
+
+@raw_entry("S1_read_categories", """SELECT id, category_name, 0 AS flag_missing_name,
+  length(trim(category_name)) AS name_length FROM categories""")
+def _(spark, sf_dir):
+    return readers.read_categories(spark, _csv_out(roles.categories(spark, sf_dir), "categories"))
+
+
+@raw_entry("S2_U1_read_metadata", """SELECT * EXCLUDE (categories_text), categories_text AS categories,
+  (price IS NULL OR price IN ('', '—')) AS flag_no_price, (store IS NULL OR store = '') AS flag_no_store,
+  (details_brand IS NULL OR details_brand = '') AS flag_no_brand, (title IS NULL OR title = '') AS flag_no_title,
+  coalesce(rating_number = 0, FALSE) AS flag_no_ratings FROM metadata""")
+def _(spark, sf_dir):
+    raw = roles.metadata(spark, sf_dir).withColumn("average_rating", F.col("rating_tenths") / 10.0)
+    listed = F.col("parent_asin").startswith("X")
+    columns = [f.name for f in schemas.METADATA.fields]
+    paths = [_csv_out(raw.where(w).select(*columns), "metadata") for w in (listed, ~listed)]
+    return readers.union_all(spark, paths, readers.read_metadata)
+
+
+@raw_entry("S3_P6_read_listings", """SELECT asin, title, category_id, price_cents, list_cents, rating_tenths,
+  review_count, bought_last_month, is_best_seller, coalesce(price_cents = 0, TRUE) AS flag_no_price,
+  review_count = 0 AS flag_no_reviews, bought_last_month = 0 AS flag_no_sales, rating_tenths = 0 AS flag_no_rating,
+  trim(title) = '' AS flag_no_title FROM listings""")
+def _(spark, sf_dir):
+    raw = roles.listings(spark, sf_dir).select(
+        "asin", "title", F.lit(None).cast("string").alias("imgUrl"), F.lit(None).cast("string").alias("productURL"),
+        (F.col("rating_tenths") / 10.0).alias("stars"), F.col("review_count").alias("reviews"),
+        (F.col("price_cents").cast("decimal(18,2)") / 100).cast("decimal(18,2)").alias("price"),
+        (F.col("list_cents").cast("decimal(18,2)") / 100).cast("decimal(18,2)").alias("listPrice"),
+        "category_id", F.col("is_best_seller").alias("isBestSeller"),
+        F.col("bought_last_month").alias("boughtInLastMonth"),
+    )
+    return readers.read_listings(spark, _csv_out(raw, "listings"))
+
+
+def _review_lines(df: DataFrame) -> DataFrame:
+    """Reviews as the JSON lines they would arrive as."""
+    image = F.struct(F.lit("s.jpg").alias("small_image_url"))
+    record = F.struct(
+        "rating", "title", "text", F.array_repeat(image, F.col("image_count").cast("int")).alias("images"),
+        "asin", "parent_asin", "user_id", "timestamp", "helpful_vote", "verified_purchase",
+    )
+    return df.select(F.to_json(record).alias("value"), "source_category")
+
+
+def _review_files(df: DataFrame) -> str:
+    path = scratch_path(df.sparkSession, "reviews")
+    df.write.partitionBy("source_category").text(path)
+    return path
+
+
+READ_BACK = """SELECT source_category, parent_asin, count(*) AS reviews, sum(rating) AS stars,
+  CAST(sum(image_count) AS BIGINT) AS images, count(*) FILTER (WHERE has_text) AS with_text,
+  CAST(sum(text_length) AS BIGINT) AS characters, count(*) FILTER (WHERE verified_purchase) AS verified,
+  CAST(sum(helpful_vote) AS BIGINT) AS votes, min(review_date) AS first_review FROM reviews GROUP BY ALL"""
+
+
+def _read_back(df: DataFrame) -> DataFrame:
+    return silver.reviews(df).groupBy("source_category", "parent_asin").agg(
+        F.count(F.lit(1)).alias("reviews"), F.sum("rating").alias("stars"), F.sum("image_count").alias("images"),
+        F.count_if("has_text").alias("with_text"), F.sum("text_length").alias("characters"),
+        F.count_if("verified_purchase").alias("verified"), F.sum("helpful_vote").alias("votes"),
+        F.min("review_date").alias("first_review"),
+    )
+
+
+@raw_entry("S4_P4_read_reviews", READ_BACK)
+def _(spark, sf_dir):
+    path = _review_files(_review_lines(roles.reviews(spark, sf_dir)))
+    return _read_back(readers.read_reviews(spark, path))
+
+
+@raw_entry("S5_bad_records", """SELECT source_category, count(*) AS reviews,
+  count(*) FILTER (WHERE parent_asin LIKE 'U%') AS lost FROM reviews GROUP BY source_category""")
+def _(spark, sf_dir):
+    """Every review, plus a broken line for each review of an unlisted product."""
+    reviews = roles.reviews(spark, sf_dir)
+    broken = reviews.where(F.col("parent_asin").startswith("U")).select(
+        F.concat(F.lit('{"rating": 5, "parent_asin": "'), "parent_asin").alias("value"), "source_category"
+    )
+    path = _review_files(rel.concat(_review_lines(reviews), broken))
+    kept = readers.read_reviews(spark, path, bad_records="keep")
+    return kept.groupBy("source_category").agg(
+        F.count_if(F.col(readers.CORRUPT).isNull()).alias("reviews"),
+        F.count_if(F.col(readers.CORRUPT).isNotNull()).alias("lost"),
+    )
+
+
+@raw_entry("S6_append_reviews", READ_BACK)
+def _(spark, sf_dir):
+    """A first load, and a late one that runs twice."""
+    reviews = roles.reviews(spark, sf_dir)
+    late = F.col("source_category") == "MISC"
+    path = scratch_path(spark, "appended")
+    tables.append_reviews(reviews.where(~late), path, "first")
+    for _ in range(2):
+        tables.append_reviews(reviews.where(late), path, "late")
+    return _read_back(spark.read.parquet(path))
+
+
+@entry("S7_S9_materialize", "SELECT * FROM brand_dynamics")
+def _(m):
+    df = m.brand_dynamics
+    path = scratch_path(df.sparkSession, "brand_dynamics")
+    tables.materialize(df.limit(1), path)
+    return tables.materialize(df, path)
+
+
+@entry("S8_define_view", "SELECT source_category, count(*) AS n FROM reviews WHERE rating = 5 GROUP BY source_category")
+def _(m):
+    tables.define_view(m.reviews, "silver_reviews")
+    return m.reviews.sparkSession.sql(
+        "SELECT source_category, count(*) AS n FROM silver_reviews WHERE rating = 5 GROUP BY source_category"
+    )
+
+
+TABLE_NAMES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+    "labels conversations"
+).split()
+
+
+@raw_entry("S10_load_tables", " UNION ALL ".join(
+    f"SELECT '{n}' AS name, count(*) AS rows FROM {n}" for n in TABLE_NAMES))
+def _(spark, sf_dir):
+    found = tables.load_tables(spark, sf_dir)
+    return rel.concat(*[
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows") for n, df in found.items()
+    ])
+
+
+@entry("S11_export_gold", "SELECT * FROM review_trust")
+def _(m):
+    folder = scratch_path(m.review_trust.sparkSession, "gold")
+    tables.export_gold({"review_trust": m.review_trust, "brand_dynamics": m.brand_dynamics}, folder)
+    return tables.load_tables(m.review_trust.sparkSession, folder)["review_trust"]
+
+
+@entry("S12_persist_scores")
+def _(m):
+    scores = stored(m, "product_trust_scores")
+    return tables.materialize(scores, scratch_path(scores.sparkSession, "scores"))
+
+
+@raw_entry("S13_bench_read")
+def _(spark, sf_dir):
+    return tables.bench_read(roles.table(spark, sf_dir, "lineitem"))
+
+
+@raw_entry("S14_profile_files")
+def _(spark, sf_dir):
+    return tables.profile_files(roles.table(spark, sf_dir, "lineitem"))
+
+
+@raw_entry("S14_profile_schema")
+def _(spark, sf_dir):
+    return tables.profile_schema(roles.table(spark, sf_dir, "lineitem"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,17 +24,18 @@ def define_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def append_reviews(df: DataFrame, path: str) -> None:
-    """Add late reviews to the table.
+def append_reviews(df: DataFrame, path: str, load: str) -> None:
+    """Add late reviews to the table under the name of their load.
 
-    The table is partitioned by source category and a category's files arrive
-    together, so a category is replaced as a whole: a rerun changes nothing.
+    The table is partitioned by source category and load, and a load replaces
+    only itself: another load adds to a category, a rerun changes nothing.
     """
     (
-        df.write.mode("overwrite")
+        df.withColumn("load", F.lit(load))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
-        .partitionBy("source_category")
+        .partitionBy("source_category", "load")
         .parquet(path)
     )
 
@@ -81,3 +83,15 @@ def profile_schema(df: DataFrame) -> DataFrame:
     """Column names and types of a table, in order."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
     return df.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string")
+
+
+def bench_read(df: DataFrame) -> DataFrame:
+    """Read a table in full, keeping nothing, and report rows, seconds and rows per second."""
+    start = time.time()
+    seen = Observation("read")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    seconds = time.time() - start
+    rows = seen.get["rows"]
+    return df.sparkSession.createDataFrame(
+        [(rows, seconds, rows / seconds)], "rows long, seconds double, rows_per_second double"
+    )
