@@ -1577,7 +1577,7 @@ def _(m):
 
 @entry("Q8_health_archetype")
 def _(m):
-    return serving.health_archetype(_with_models(m), "7")
+    return serving.health_archetype(_with_models(m), "18")
 
 
 @entry("Q9_health_diagnosis")

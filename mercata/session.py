@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Medians of ratings keep a few values per group; hash that many groups before sorting.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     # Noting the Python call site of every column costs seconds per large plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
