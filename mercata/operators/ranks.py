@@ -1,12 +1,15 @@
 """Ranks, quantiles and running totals that never gather a group in one task.
 
 A window over a category would put every row of a hot category in a single
-task.  Here a group is first reduced to its distinct values with counts
-(combined before the shuffle), and the number of rows before each value is
-built from two levels: inside a block of ``2**BLOCK_BITS`` neighbouring values,
-and over the blocks.  Each window partition therefore holds at most
-``2**BLOCK_BITS`` rows per level (values up to about ``2**(2*BLOCK_BITS)``), however many rows
-share a group or a value.  Ranked columns are integers (cents, tenths, counts).
+task.  Two ideas avoid that; ranked columns are integers (cents, tenths, counts).
+
+* ``counts_before`` reduces a group to its distinct values with counts (combined
+  before the shuffle) and sums them in two levels: inside blocks of
+  ``2**BLOCK_BITS`` neighbouring values, then over the blocks.
+* ``placed`` ranks rows.  It cuts each group into cells of neighbouring values,
+  ranks inside a cell and adds what lies before it.  Cells with more than
+  ``HOT_ROWS`` rows are found from a histogram and cut finer, down to a share of the
+  rows of one value, so no cell is unbounded and rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -20,7 +23,9 @@ from pyspark.sql import functions as F
 from mercata.functions.exact import col, half_up
 from mercata.operators.relational import add_single_row
 
-BLOCK_BITS = 22
+BLOCK_BITS = 20
+CELL_BITS = 16
+HOT_ROWS = 2_000_000  # a cell with more rows is cut finer
 NULL_RANK = 1 << 62  # nulls sort after every value
 MAX_WANTED = 1000    # rows looked up at once by percentile_position
 TIE_HEX_DIGITS = 4   # ties are spread over 16**4 buckets of the key's digest
@@ -38,6 +43,49 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _prefix(table: DataFrame, group: list[str], name: str, split: bool = True) -> DataFrame:
+    """Add to a table of (group, name, n, v) the sums of n and v before each row's name,
+    and the group's totals.  Splits into blocks first, so no window sees more than
+    ``2**BLOCK_BITS`` rows (for names below ``2**(2*BLOCK_BITS)``)."""
+    totals = {}
+    if split:
+        table = table.withColumn("_block", F.shiftright(name, BLOCK_BITS))
+        group_keys = [*group, "_block"]
+        blocks = table.groupBy(*group_keys).agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+        blocks = _prefix(blocks, group, "_block", split=False).drop("n", "v").withColumnsRenamed(
+            {"n_before": "_n0", "v_before": "_v0"}
+        )
+    else:
+        group_keys = group
+        over = W.partitionBy(*group)
+        totals = {"n_total": F.sum("n").over(over), "v_total": F.sum("v").over(over)}
+    before = W.partitionBy(*group_keys).orderBy(name).rowsBetween(W.unboundedPreceding, -1)
+    out = table.withColumns({
+        "n_before": F.coalesce(F.sum("n").over(before), F.lit(0)),
+        "v_before": F.coalesce(F.sum("v").over(before), F.lit(0)),
+        **totals,
+    })
+    if not split:
+        return out
+    return (
+        null_safe_join(out, blocks, group_keys, "inner")
+        .withColumns({
+            "n_before": F.col("n_before") + F.col("_n0"), "v_before": F.col("v_before") + F.col("_v0"),
+        })
+        .drop("_block", "_n0", "_v0")
+    )
+
+
+def _ranked(value) -> Column:
+    """The value to rank by; nulls rank last."""
+    return F.coalesce(col(value), F.lit(NULL_RANK)).cast("long")
+
+
+def _counted(value) -> Column:
+    """The value to sum; nulls add nothing."""
+    return F.when(value == NULL_RANK, F.lit(0)).otherwise(value)
+
+
 def counts_before(df: DataFrame, part: list[str], value, name: str = "value") -> DataFrame:
     """Per (part, value): rows with it ``n``, rows ordered before it ``n_before``,
     their sum ``v_before``, and the group's ``n_total`` and ``v_total``.
@@ -47,35 +95,13 @@ def counts_before(df: DataFrame, part: list[str], value, name: str = "value") ->
     group = part or ["_all"]
     source = df if part else df.withColumn("_all", F.lit(0))
     per_value = (
-        source.select(*group, F.coalesce(col(value), F.lit(NULL_RANK)).cast("long").alias(name))
+        source.select(*group, _ranked(value).alias(name))
         .groupBy(*group, name)
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_block", F.shiftright(name, BLOCK_BITS))
-        .withColumn("_v", F.when(F.col(name) == NULL_RANK, F.lit(0)).otherwise(F.col(name) * F.col("n")))
-    )
-    inside = W.partitionBy(*group, "_block").orderBy(name).rowsBetween(W.unboundedPreceding, -1)
-    blocks = per_value.groupBy(*group, "_block").agg(
-        F.sum("n").alias("_bn"), F.sum("_v").alias("_bv")
-    )
-    over = W.partitionBy(*group)
-    upto = over.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = blocks.select(
-        *group, "_block",
-        F.coalesce(F.sum("_bn").over(upto), F.lit(0)).alias("_n0"),
-        F.coalesce(F.sum("_bv").over(upto), F.lit(0)).alias("_v0"),
-        F.sum("_bn").over(over).alias("n_total"),
-        F.sum("_bv").over(over).alias("v_total"),
+        .withColumn("v", _counted(F.col(name)) * F.col("n"))
     )
-    per_value = per_value.withColumns({
-        "_n1": F.coalesce(F.sum("n").over(inside), F.lit(0)),
-        "_v1": F.coalesce(F.sum("_v").over(inside), F.lit(0)),
-    })
-    out = null_safe_join(per_value, blocks, [*group, "_block"], "inner")
-    return out.select(
-        *part, name, "n",
-        (F.col("_n0") + F.col("_n1")).alias("n_before"),
-        (F.col("_v0") + F.col("_v1")).alias("v_before"),
-        "n_total", "v_total",
+    return _prefix(per_value, group, name).select(
+        *part, name, "n", "n_before", "v_before", "n_total", "v_total"
     )
 
 
@@ -134,70 +160,107 @@ def with_quantiles(agg: DataFrame, df: DataFrame, part: list[str], specs: dict)
     return null_safe_join(agg, found, part) if part else add_single_row(agg, found)
 
 
-def percent_rank_in(df: DataFrame, part: list[str], cols: dict[str, str]) -> DataFrame:
-    """Add ``PERCENT_RANK`` of each column within ``part`` (output name -> column).
-
-    Rows fetch the rank of their value; when many rows share a value the join
-    is split by AQE, and a small rank table is broadcast by its measured size.
-    """
-    out = df
-    for name, c in cols.items():
-        ranks = counts_before(df, part, c, "_value").select(
-            *part, "_value",
-            F.when(F.col("n_total") == 1, F.lit(0.0))
-            .otherwise(F.col("n_before") / (F.col("n_total") - 1))
-            .alias(name),
-        )
-        out = out.withColumn("_value", F.coalesce(F.col(c), F.lit(NULL_RANK)).cast("long"))
-        out = null_safe_join(out, ranks, [*part, "_value"], "left").drop("_value")
-    return out
-
-
-def ordered_position(
-    df: DataFrame, part: list[str], value: str, key: str, descending: bool = False
+def placed(
+    df: DataFrame, part: list[str], value: str, key: str | None = None, descending: bool = False
 ) -> DataFrame:
-    """Add each row's 0-based ``position`` within ``part`` by value (nulls last), the
-    group's ``n_total`` and ``v_total``, and ``v_upto``, the running sum of the value.
+    """Add to each row its 0-based ``rank`` within ``part`` (rows with a smaller value; nulls
+    last), the group's ``n_total`` and ``v_total``, and, with a ``key``, its ``position``
+    and ``v_upto``, the running sum of the value.
 
     Rows with equal values follow the digest of their key, which spreads a hot
-    value over many buckets and gives every engine the same order.
+    value over many cells and gives every engine the same order.
     """
     sign = -1 if descending else 1
     group = part or ["_all"]
-    rows = df.withColumns({
-        "_all": F.lit(0),
-        "_value": F.coalesce(F.col(value) * sign, F.lit(NULL_RANK)).cast("long"),
-        "_digest": F.md5(F.col(key)),
-    })
-    rows = rows.withColumn(
-        "_bucket", F.conv(F.substring("_digest", 1, TIE_HEX_DIGITS), 16, 10).cast("int")
+    digest = F.md5(F.col(key)) if key else None
+    if key:
+        bucket = F.conv(F.substring(digest, 1, TIE_HEX_DIGITS), 16, 10)
+    else:  # order among equals is not asked for; any spread will do
+        bucket = F.pmod(F.xxhash64(*df.columns), F.lit(16**TIE_HEX_DIGITS))
+    rows = df.withColumns({"_all": F.lit(0), "_value": _ranked(F.col(value) * sign)})
+    rows = rows.withColumn("_cell", F.shiftright("_value", CELL_BITS))
+
+    # 1. A histogram of cells, and the cells too full for one task.  There are at most
+    #    (rows / HOT_ROWS) of those, so the list is small enough to broadcast.
+    cells = rows.groupBy(*group, "_cell").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_counted(F.col("_value"))).alias("v")
     )
-    buckets = rows.groupBy(*group, "_value", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        W.partitionBy(*group, "_value").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    cells = _prefix(cells, group, "_cell")
+    hot = cells.where(F.col("n") > HOT_ROWS).select(*group, "_cell", F.lit(True).alias("_hot"))
+    rows = null_safe_join(rows, F.broadcast(hot), [*group, "_cell"]).withColumns({
+        "_sub": F.when(F.col("_hot"), F.col("_value")),
+        "_bucket": F.when(F.col("_hot"), bucket.cast("int")),
+    })
+
+    # 2. Hot cells split by value and key digest.
+    per_value = ["_cell", "_sub"]
+    fine = rows.where("_hot").groupBy(*group, *per_value, "_bucket").agg(F.count(F.lit(1)).alias("_m"))
+    ties = W.partitionBy(*group, *per_value).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    fine = fine.withColumn("_ties", F.coalesce(F.sum("_m").over(ties), F.lit(0)))
+    values = fine.groupBy(*group, *per_value).agg(F.sum("_m").alias("_m"))
+    lower = W.partitionBy(*group, "_cell").orderBy("_sub").rowsBetween(W.unboundedPreceding, -1)
+    values = values.select(
+        *group, *per_value,
+        F.coalesce(F.sum("_m").over(lower), F.lit(0)).alias("_below"),
+        F.coalesce(F.sum(_counted(F.col("_sub")) * F.col("_m")).over(lower), F.lit(0)).alias("_vbelow"),
     )
-    buckets = buckets.withColumn("_ties", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    values = counts_before(rows, group, "_value", "_value").drop("n")
-    buckets = null_safe_join(buckets, values, [*group, "_value"], "inner")
-    inside = W.partitionBy(*group, "_value", "_bucket").orderBy("_digest", key)
-    rows = rows.withColumn("_nth", F.row_number().over(inside))
-    out = null_safe_join(rows, buckets, [*group, "_value", "_bucket"], "inner")
-    ties = F.col("_ties") + F.col("_nth")
-    own = F.when(F.col(value).isNull(), F.lit(0)).otherwise(ties * F.col("_value"))
+    fine = null_safe_join(fine.drop("_m"), values, [*group, *per_value], "inner")
+    whole = cells.withColumns({"_sub": F.lit(None).cast("long"), "_bucket": F.lit(None).cast("int")})
+    zero = F.lit(0).cast("long")
+    starts = whole.where(F.col("n") <= HOT_ROWS).withColumns(
+        {"_ties": zero, "_below": zero, "_vbelow": zero}
+    ).unionByName(
+        null_safe_join(fine, cells, [*group, "_cell"], "inner"), allowMissingColumns=True
+    ).drop("n", "v")
+
+    # 3. Rank inside the cell and add what lies before; one shuffle serves window and join.
+    keys = [*group, "_cell", "_sub", "_bucket"]
+    inside = W.partitionBy(*keys).orderBy("_value")
+    ranked = {"_rank": F.rank().over(inside)}
+    if key:
+        exact = W.partitionBy(*keys).orderBy("_value", "_digest", key)
+        rows = rows.withColumn("_digest", digest)
+        ranked = {
+            "_rank": F.rank().over(inside), "_nth": F.row_number().over(exact),
+            "_run": F.sum(_counted(F.col("_value"))).over(exact.rowsBetween(W.unboundedPreceding, 0)),
+        }
+    out = null_safe_join(rows.withColumns(ranked), starts, keys, "inner")
+    start = F.col("n_before") + F.col("_below")
+    found = {"rank": start + F.col("_rank") - 1}
+    if key:
+        done = _counted(F.col("_value")) * F.col("_ties")
+        found["position"] = start + F.col("_ties") + F.col("_nth") - 1
+        found["v_upto"] = (F.col("v_before") + F.col("_vbelow") + done + F.col("_run")) * sign
     return out.select(
-        *df.columns,
-        (F.col("n_before") + ties - 1).alias("position"),
-        ((F.col("v_before") + own) * sign).alias("v_upto"),
-        "n_total",
+        *df.columns, *[c.alias(n) for n, c in found.items()], "n_total",
         (F.col("v_total") * sign).alias("v_total"),
     )
 
 
+def percent_rank_in(df: DataFrame, part: list[str], cols: dict[str, str]) -> DataFrame:
+    """Add ``PERCENT_RANK`` of each column within ``part`` (output name -> column)."""
+    out = df
+    for name, c in cols.items():
+        kept = out.columns
+        share = F.when(F.col("n_total") == 1, F.lit(0.0)).otherwise(
+            F.col("rank") / (F.col("n_total") - 1)
+        )
+        out = placed(out, part, c).select(*kept, share.alias(name))
+    return out
+
+
+def ordered_position(
+    df: DataFrame, part: list[str], value: str, key: str, descending: bool = False
+) -> DataFrame:
+    """Rows with their unique ``position`` by value, then key digest (see :func:`placed`)."""
+    return placed(df, part, value, key, descending).drop("rank")
+
+
 def ntile_in(
     df: DataFrame, part: list[str], order: str, n: int, key: str, name: str = "ntile"
 ) -> DataFrame:
     """Add ``NTILE(n)`` of the rows ordered by ``order`` then key digest."""
-    placed = ordered_position(df, part, order, key)
+    rows = ordered_position(df, part, order, key)
     size = F.floor(F.col("n_total") / n)
     extra = F.col("n_total") % n
     fat = extra * (size + 1)
@@ -205,13 +268,13 @@ def ntile_in(
     tile = F.when(p < fat, F.floor(p / (size + 1))).otherwise(
         extra + F.floor(F.try_divide((p - fat).cast("double"), size))
     )
-    return placed.select(*df.columns, (tile + 1).cast("int").alias(name))
+    return rows.select(*df.columns, (tile + 1).cast("int").alias(name))
 
 
 def concentration_curve(df: DataFrame, measure: str, key: str, per_unit: int = 100) -> DataFrame:
     """Rows by falling measure with their rank, running total, and both as shares."""
-    placed = ordered_position(df.select(key, measure), [], measure, key, descending=True)
-    return placed.select(
+    rows = ordered_position(df.select(key, measure), [], measure, key, descending=True)
+    return rows.select(
         key,
         (F.col(measure) / F.lit(float(per_unit))).alias("total"),
         (F.col("position") + 1).alias("rank"),

@@ -138,13 +138,33 @@ def test_argmax_share_and_change(frame):
     assert got == [None, None, 50.0]
 
 
-def test_no_window_holds_a_whole_group(skewed):
-    """Rank plans never partition a window by the group alone over raw rows."""
+@pytest.mark.parametrize("hot_rows", [0, 3, 40, 200])
+def test_hot_cells_give_the_same_ranks(spark, skewed, monkeypatch, hot_rows):
+    """Cut every cell, many cells or few: ranks, positions and sums stay the same."""
     df, _ = skewed
-    plan = R.percent_rank_in(df, ["grp"], {"r": "value"})._jdf.queryExecution().optimizedPlan().toString()
-    for line in plan.splitlines():
-        if "Window [" in line and "grp" in line:
-            assert "_block" in line or "_bn" in line
+    want = {r.key: r for r in R.placed(df, ["grp"], "value", "key").collect()}
+    monkeypatch.setattr(R, "HOT_ROWS", hot_rows)
+    got = {r.key: r for r in R.placed(df, ["grp"], "value", "key").collect()}
+    assert got == want
+    ranks = {r.key: r["rank"] for r in R.placed(df, ["grp"], "value").collect()}
+    assert ranks == {k: r["rank"] for k, r in want.items()}
+    down = {r.key: (r.position, r.v_upto) for r in R.placed(df, ["grp"], "value", "key", True).collect()}
+    df.createOrReplaceTempView("skewed")
+    sql = spark.sql(
+        "SELECT key, row_number() OVER w - 1 AS position, coalesce(sum(value) OVER w, 0) AS v_upto FROM skewed "
+        "WINDOW w AS (PARTITION BY grp ORDER BY value DESC NULLS LAST, md5(key), key "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    )
+    assert down == {r.key: (r.position, r.v_upto) for r in sql.collect()}
+
+
+def test_hot_rows_are_split_between_tasks(spark, monkeypatch):
+    """With one value holding all rows, the rank window is partitioned by digest as well."""
+    monkeypatch.setattr(R, "HOT_ROWS", 100)
+    df = spark.range(5000).select(F.col("id").cast("string").alias("key"), F.lit(1).alias("v"))
+    got = R.placed(df, [], "v", "key")
+    assert sorted(r.position for r in got.collect()) == list(range(5000))
+    assert "_bucket" in got._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_null_safe_join_keeps_null_groups(frame):
