@@ -857,7 +857,7 @@ def _assigned(m):
   {prank('bought_last_month', 'sales_rank')}, {prank('review_count', 'reviews_rank')},
   {prank('title_length', 'title_length_rank')} FROM {SELLABLE}""")
 def _(m):
-    return clusters.cluster_features(m.products)
+    return clusters.cluster_features(stored(m, "products"))
 
 
 @entry("M2_choose_k")
@@ -899,13 +899,13 @@ def _(m):
       ntile(4) OVER (PARTITION BY subcategory ORDER BY revenue_cents, md5(asin), asin) AS revenue_quartile
     FROM {SELLABLE})""")
 def _(m):
-    return success.success_features(m.products)
+    return success.success_features(stored(m, "products"))
 
 
 def _success(m):
     """Split and model shared by the success queries; small settings for a small sample."""
     def make():
-        features = success.success_features(stored(m, "products"))
+        features = clusters.checkpointed(success.success_features(stored(m, "products")))
         split = clusters.checkpointed(success.stratified_split(features))
         return split, success.train_success(split, max_iter=8, max_depth=4)
 
@@ -1027,7 +1027,7 @@ def _quintile(c: str) -> str:
 
 @entry("N38_W11_success_by_quintile", _quintile("review_count"))
 def _(m):
-    df = success.success_features(m.products).withColumn("review_count", F.col("review_count").cast("long"))
+    df = _success(m)[0].withColumn("review_count", F.col("review_count").cast("long"))
     return A.success_by_quintile(df, "review_count")
 
 
@@ -1377,7 +1377,7 @@ def _(m):
 @entry("W1_percent_rank", f"""SELECT asin, subcategory, {prank('price_cents', 'price_rank')},
   {prank('title_length', 'title_rank')} FROM products""")
 def _(m):
-    ranked = ranks.percent_rank_in(m.products, ["subcategory"], {"price_rank": "price_cents", "title_rank": "title_length"})
+    ranked = ranks.percent_rank_in(stored(m, "products"), ["subcategory"], {"price_rank": "price_cents", "title_rank": "title_length"})
     return ranked.select("asin", "subcategory", "price_rank", "title_rank")
 
 

@@ -45,7 +45,9 @@ def success_features(products: DataFrame, population=sellable) -> DataFrame:
     ranked = R.percent_rank_in(base, ["subcategory"], {
         "price_rank": "price_cents", "reviews_rank": "review_count", "title_length_rank": "title_length",
     })
-    ranked = R.ntile_in(ranked, ["subcategory"], "revenue_cents", 4, "asin", "revenue_quartile")
+    ranked = R.ntile_in(
+        ranked, ["subcategory"], "revenue_cents", 4, "asin", "revenue_quartile", source=base
+    )
     labelled = ranked.withColumn(LABEL, (F.col("revenue_quartile") == 4).cast("int"))
     return feature_columns(labelled, "revenue_cents", "revenue_quartile", LABEL)
 

@@ -161,40 +161,50 @@ def with_quantiles(agg: DataFrame, df: DataFrame, part: list[str], specs: dict)
 
 
 def placed(
-    df: DataFrame, part: list[str], value: str, key: str | None = None, descending: bool = False
+    df: DataFrame, part: list[str], value: str, key: str | None = None, descending: bool = False,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add to each row its 0-based ``rank`` within ``part`` (rows with a smaller value; nulls
     last), the group's ``n_total`` and ``v_total``, and, with a ``key``, its ``position``
     and ``v_upto``, the running sum of the value.
 
     Rows with equal values follow the digest of their key, which spreads a hot
-    value over many cells and gives every engine the same order.
+    value over many cells and gives every engine the same order.  The histogram is
+    taken of ``source``: the same rows before columns were added to them, so that a
+    chain of rankings does not repeat itself.
     """
     sign = -1 if descending else 1
     group = part or ["_all"]
+    source = df if source is None else source
     digest = F.md5(F.col(key)) if key else None
     if key:
         bucket = F.conv(F.substring(digest, 1, TIE_HEX_DIGITS), 16, 10)
     else:  # order among equals is not asked for; any spread will do
-        bucket = F.pmod(F.xxhash64(*df.columns), F.lit(16**TIE_HEX_DIGITS))
-    rows = df.withColumns({"_all": F.lit(0), "_value": _ranked(F.col(value) * sign)})
-    rows = rows.withColumn("_cell", F.shiftright("_value", CELL_BITS))
+        bucket = F.pmod(F.xxhash64(*source.columns), F.lit(16**TIE_HEX_DIGITS))
+
+    def with_cell(frame):
+        valued = frame.withColumns({"_all": F.lit(0), "_value": _ranked(F.col(value) * sign)})
+        return valued.withColumn("_cell", F.shiftright("_value", CELL_BITS))
 
     # 1. A histogram of cells, and the cells too full for one task.  There are at most
     #    (rows / HOT_ROWS) of those, so the list is small enough to broadcast.
-    cells = rows.groupBy(*group, "_cell").agg(
+    cells = with_cell(source).groupBy(*group, "_cell").agg(
         F.count(F.lit(1)).alias("n"), F.sum(_counted(F.col("_value"))).alias("v")
     )
     cells = _prefix(cells, group, "_cell")
     hot = cells.where(F.col("n") > HOT_ROWS).select(*group, "_cell", F.lit(True).alias("_hot"))
-    rows = null_safe_join(rows, F.broadcast(hot), [*group, "_cell"]).withColumns({
-        "_sub": F.when(F.col("_hot"), F.col("_value")),
-        "_bucket": F.when(F.col("_hot"), bucket.cast("int")),
-    })
+
+    def marked(frame):
+        return null_safe_join(with_cell(frame), F.broadcast(hot), [*group, "_cell"]).withColumns({
+            "_sub": F.when(F.col("_hot"), F.col("_value")),
+            "_bucket": F.when(F.col("_hot"), bucket.cast("int")),
+        })
+
+    rows = marked(df)
 
     # 2. Hot cells split by value and key digest.
     per_value = ["_cell", "_sub"]
-    fine = rows.where("_hot").groupBy(*group, *per_value, "_bucket").agg(F.count(F.lit(1)).alias("_m"))
+    fine = marked(source).where("_hot").groupBy(*group, *per_value, "_bucket").agg(F.count(F.lit(1)).alias("_m"))
     ties = W.partitionBy(*group, *per_value).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     fine = fine.withColumn("_ties", F.coalesce(F.sum("_m").over(ties), F.lit(0)))
     values = fine.groupBy(*group, *per_value).agg(F.sum("_m").alias("_m"))
@@ -245,22 +255,24 @@ def percent_rank_in(df: DataFrame, part: list[str], cols: dict[str, str]) -> Dat
         share = F.when(F.col("n_total") == 1, F.lit(0.0)).otherwise(
             F.col("rank") / (F.col("n_total") - 1)
         )
-        out = placed(out, part, c).select(*kept, share.alias(name))
+        out = placed(out, part, c, source=df).select(*kept, share.alias(name))
     return out
 
 
 def ordered_position(
-    df: DataFrame, part: list[str], value: str, key: str, descending: bool = False
+    df: DataFrame, part: list[str], value: str, key: str, descending: bool = False,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with their unique ``position`` by value, then key digest (see :func:`placed`)."""
-    return placed(df, part, value, key, descending).drop("rank")
+    return placed(df, part, value, key, descending, source).drop("rank")
 
 
 def ntile_in(
-    df: DataFrame, part: list[str], order: str, n: int, key: str, name: str = "ntile"
+    df: DataFrame, part: list[str], order: str, n: int, key: str, name: str = "ntile",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``NTILE(n)`` of the rows ordered by ``order`` then key digest."""
-    rows = ordered_position(df, part, order, key)
+    rows = ordered_position(df, part, order, key, source=source)
     size = F.floor(F.col("n_total") / n)
     extra = F.col("n_total") % n
     fat = extra * (size + 1)
