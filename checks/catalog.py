@@ -727,7 +727,7 @@ CURVE = """SELECT store, cents / 100.0 AS total,
 
 @entry("N30_W8_concentration", CURVE)
 def _(m):
-    return A.concentration(m.store_performance)
+    return A.concentration(stored(m, "store_performance"))
 
 
 @entry("N30_W8_concentration_summary", """SELECT count(*) AS rows_total,
