@@ -16,14 +16,12 @@ from mercata import roles, schemas
 from mercata.functions import columns as C
 from mercata.functions import exact as E
 from mercata.market import Market
-from mercata.market import Market
 from mercata.ml import anomalies, attributions, clusters, models, success
 from mercata.operators import ranks
 from mercata.operators import relational as rel
-from mercata.plans import analysis, quality, serving, silver
 from mercata.plans import gold_products as gp
 from mercata.plans import gold_reviews as gr
-from mercata.plans import analysis, silver
+from mercata.plans import analysis, quality, serving, silver
 from mercata.session import scratch_path, tune
 from mercata.sources import readers, tables
 
@@ -862,7 +860,7 @@ def _(m):
 
 @entry("M2_choose_k")
 def _(m):
-    return clusters.choose_k(_features(m), range(2, 8), 6)
+    return clusters.choose_k(_features(m))
 
 
 @entry("M3_product_clusters")
@@ -903,11 +901,11 @@ def _(m):
 
 
 def _success(m):
-    """Split and model shared by the success queries; small settings for a small sample."""
+    """Split and model shared by the success queries."""
     def make():
         features = clusters.checkpointed(success.success_features(stored(m, "products")))
         split = clusters.checkpointed(success.stratified_split(features))
-        return split, success.train_success(split, max_iter=8, max_depth=4)
+        return split, success.train_success(split)
 
     return once(m, "success", make)
 
@@ -946,7 +944,8 @@ def _(m):
 def _explained(m):
     def make():
         split, model = _success(m)
-        return clusters.checkpointed(attributions.explain(model, split.where("fold = 'test'")))
+        leaves = once(m, "leaves", lambda: attributions.tree_leaves(model, m.products.sparkSession))
+        return clusters.checkpointed(attributions.explain(model, split.where("fold = 'test'"), leaves))
 
     return once(m, "explained", make)
 
@@ -1436,19 +1435,25 @@ def _(m):
     return rel.extremes(m.subcategory_landscape.select("subcategory", "avg_price"), "avg_price", 3, ["subcategory"])
 
 
-@entry("K6_sample_rows")
+DRAW = "CAST(('0x' || substr(md5(asin || ':42'), 1, 13)) AS BIGINT) / 4503599627370496.0"
+
+
+@entry("K6_sample_rows", f"SELECT asin, subcategory FROM products WHERE {DRAW} * 100 < 10")
 def _(m):
     return rel.sample_rows(m.products.select("asin", "subcategory"), 10, "asin")
 
 
-@entry("K7_sample_n")
+@entry("K7_sample_n", f"SELECT asin, subcategory FROM products ORDER BY {DRAW}, asin LIMIT 500")
 def _(m):
     return rel.sample_n(m.products.select("asin", "subcategory"), 500, "asin")
 
 
-@entry("K8_preview")
+PREVIEW = ["review_date", "review_year", "review_month", "rating", "verified_purchase"]
+
+
+@entry("K8_preview", f"SELECT {', '.join(PREVIEW)} FROM reviews ORDER BY {', '.join(f'{c} NULLS LAST' for c in PREVIEW)} LIMIT 5")
 def _(m):
-    return m.reviews.select("review_date", "review_year", "review_month", "rating", "verified_purchase").limit(5)
+    return m.reviews.select(*PREVIEW).orderBy(*[F.asc_nulls_last(c) for c in PREVIEW]).limit(5)
 
 
 @entry("U2_concat", """SELECT asin AS id, 'listing' AS kind FROM listings
@@ -1582,7 +1587,9 @@ def _(m):
 
 @entry("Q9_health_diagnosis")
 def _(m):
-    return serving.health_diagnosis(_with_models(m), _success(m)[1], [ASIN, "7"])
+    model = _success(m)[1]
+    leaves = once(m, "leaves", lambda: attributions.tree_leaves(model, m.products.sparkSession))
+    return serving.health_diagnosis(_with_models(m), model, [ASIN, "7"], leaves=leaves)
 
 
 @entry("Q10_voice_sentiment", "SELECT * FROM review_sentiment WHERE source_category = 'PROMO'")
@@ -1638,8 +1645,8 @@ def _(m):
 # ---- checks ----------------------------------------------------------------------------------
 
 @entry("D1_require_tables", " UNION ALL ".join(
-    f"SELECT 'table {n}' AS \"check\", {p} AS passed, '{d}' AS detail" for n, p, d in [
-        ("products", "TRUE", ""), ("stores", "TRUE", ""), ("nowhere", "FALSE", "missing")]))
+    f"SELECT 'table {n}' AS \"check\", count(*) > 0 AS passed, CAST(count(*) AS VARCHAR) AS detail FROM {n}"
+    for n in ("products", "stores")) + " UNION ALL SELECT 'table nowhere', FALSE, 'missing'")
 def _(m):
     return quality.require_tables({"products": m.products, "stores": m.stores}, ["products", "stores", "nowhere"])
 
@@ -1658,7 +1665,8 @@ def _(m):
     return quality.check_not_null(m.products, ["asin", "subcategory", "price_cents", "store"])
 
 
-@entry("D3_D8_check_columns", """SELECT 'column review_year' AS "check", TRUE AS passed, '' AS detail
+@entry("D3_D8_check_columns", """SELECT 'column review_year' AS "check", count(review_year) > 0 AS passed,
+  CAST(count(review_year) AS VARCHAR) AS detail FROM temporal_trends
   UNION ALL SELECT 'column bought_together', FALSE, 'missing'""")
 def _(m):
     return quality.check_columns(m.temporal_trends, ["review_year", "bought_together"])
@@ -1857,6 +1865,19 @@ def _(spark, sf_dir):
     return tables.profile_files(roles.table(spark, sf_dir, "lineitem"))
 
 
-@raw_entry("S14_profile_schema")
+@raw_entry("S14_file_rows", "SELECT 'lineitem' AS table_name, count(*) AS rows FROM lineitem")
+def _(spark, sf_dir):
+    per_file = tables.profile_files(roles.table(spark, sf_dir, "lineitem"))
+    return per_file.agg(F.sum("rows").alias("rows")).select(F.lit("lineitem").alias("table_name"), "rows")
+
+
+SUPPLIER = {
+    "s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double",
+}
+
+
+@raw_entry("S14_profile_schema", " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS column_type, count({c}) AS non_null FROM supplier"
+    for i, (c, t) in enumerate(SUPPLIER.items())))
 def _(spark, sf_dir):
-    return tables.profile_schema(roles.table(spark, sf_dir, "lineitem"))
+    return tables.profile_schema(roles.table(spark, sf_dir, "supplier").select(*SUPPLIER))

@@ -54,25 +54,26 @@ def _draw(*parts):
 
 
 def tree_samples(df: DataFrame, trees: int, size: int, seed: int) -> DataFrame:
-    """At most ``size`` distinct rows for each tree.
+    """At most ``size`` distinct rows for each tree, drawn from all rows.
 
-    A pool of a few rows per tree place is thinned from the data first; then
-    every pool row joins each tree by an independent draw.
+    Every row joins every tree by an independent draw.  One draw per row tells the first tree it joins,
+    if any, so the further trees are drawn for the few rows that join one.
     """
     key = F.concat_ws("|", *PRODUCT)
     total = df.agg(F.count(F.lit(1)).alias("_n"))
-    pool_size = F.least(F.col("_n"), F.lit(2 * trees * size))
-    pooled = (
-        add_single_row(df.withColumn("_key", key), total)
-        .withColumn("_pool", pool_size)
-        .where(_draw("_key", F.lit(seed)) < F.col("_pool") / F.col("_n"))
-    )
     slack = size + 6 * size**0.5
-    member = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: _draw(F.col("_key"), t, F.lit(seed + 1)) < F.lit(slack) / F.col("_pool"),
+    chance = F.least(F.lit(1.0), F.lit(slack) / F.col("_n"))
+    draws = F.log1p(-_draw("_key", F.lit(seed))) / F.log1p(-F.col("_chance"))  # failures before the first success
+    first = F.when(F.col("_chance") >= 1, F.lit(0)).otherwise(F.least(F.floor(draws), F.lit(trees)).cast("int"))
+    later = F.filter(
+        F.sequence(F.col("_first") + 1, F.lit(trees)),
+        lambda t: (t < trees) & (_draw(F.col("_key"), t, F.lit(seed + 1)) < F.col("_chance")),
+    )
+    drawn = (
+        add_single_row(df.withColumn("_key", key), total)
+        .withColumn("_chance", chance).withColumn("_first", first).where(F.col("_first") < trees)
+        .withColumn("tree", F.explode(F.concat(F.array("_first"), later)))
     )
-    drawn = pooled.withColumn("tree", F.explode(member))
     order = W.partitionBy("tree").orderBy(_draw("_key", "tree", F.lit(seed + 2)), "_key")
     return drawn.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= size).select(
         "tree", "_nth", *TRUST_FEATURES
@@ -114,7 +115,7 @@ def fit_forest(features: DataFrame, trees: int = 200, size: int = 256, seed: int
     """The forest as a node table.  Every tree is grown in its own group of at most ``size`` rows."""
     max_depth = int(np.ceil(np.log2(size)))
 
-    def fit(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_nth")
         rng = np.random.default_rng([seed, int(key[0])])
         nodes = grow_tree(rows[TRUST_FEATURES].to_numpy(float), rng, max_depth)

@@ -3,7 +3,8 @@
 Path-dependent Shapley values for trees (Lundberg et al., 2018): in each leaf
 a feature either follows the path (the row decides) or is unknown (the share of
 training rows that went that way).  Leaves are few and the same for every row, so
-the model is broadcast and whole Arrow batches go through each leaf at once.
+the model is broadcast, and Arrow batches go through all leaves with the same
+features at once.
 """
 
 from __future__ import annotations
@@ -11,14 +12,15 @@ from __future__ import annotations
 from math import factorial
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercata.functions.exact import half_up
 from mercata.ml.success import FEATURES
-from mercata.session import scratch_path
+from mercata.session import drop_path, scratch_path
+
+ROWS_AT_ONCE = 256  # rows that go through a group of leaves together
 
 
 def tree_leaves(model: PipelineModel, spark) -> tuple[list, float]:
@@ -36,6 +38,7 @@ def tree_leaves(model: PipelineModel, spark) -> tuple[list, float]:
         node["rightChild"].alias("right"), node["split"]["featureIndex"].alias("feature"),
         node["split"]["leftCategoriesOrThreshold"].alias("cut"),
     ).collect()
+    drop_path(spark, path)
     weights = model.stages[-1].treeWeights
     trees: dict[int, dict] = {}
     for r in rows:
@@ -61,48 +64,63 @@ def tree_leaves(model: PipelineModel, spark) -> tuple[list, float]:
     return leaves, base
 
 
-def shapley_batch(x: np.ndarray, leaves: list) -> tuple[np.ndarray, np.ndarray]:
+def leaf_groups(leaves: list) -> list[tuple]:
+    """Leaves with the same features together: (features, values, shares, lower and upper bounds)."""
+    groups: dict[tuple, list] = {}
+    for value, path in leaves:
+        groups.setdefault(tuple(sorted(path)), []).append((value, path))
+    return [
+        (
+            features, np.array([v for v, _ in members]),
+            *(np.array([[path[f][i] for f in features] for _, path in members]).reshape(len(members), len(features)) for i in range(3)),
+        )
+        for features, members in groups.items()
+    ]
+
+
+def shapley_batch(x: np.ndarray, groups: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     """Attributions and margin of each row of a feature matrix."""
     phi, margin = np.zeros(x.shape), np.zeros(len(x))
-    for value, path in leaves:
-        m = len(path)
-        share = [s for s, _, _ in path.values()]
-        follows = [
-            ((x[:, f] > above) & (x[:, f] <= up_to)).astype(float)
-            for f, (_, above, up_to) in path.items()
-        ]
-        reached = np.ones(len(x))
-        for o in follows:
-            reached = reached * o
-        margin += value * reached
-        weight = [factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)]
-        for i, f in enumerate(path):
-            # by[k]: sum over sets of k known other features of their joint path share
-            by = [np.ones(len(x))]
-            for j in range(m):
-                if j != i:
-                    grown = [b * share[j] for b in by] + [np.zeros(len(x))]
-                    for k, b in enumerate(by):
-                        grown[k + 1] = grown[k + 1] + b * follows[j]
-                    by = grown
-            known = sum(w * b for w, b in zip(weight, by))
-            phi[:, f] += value * (follows[i] - share[i]) * known
+    for at in range(0, len(x), ROWS_AT_ONCE):
+        rows = slice(at, at + ROWS_AT_ONCE)
+        for features, value, share, above, up_to in groups:
+            m = len(features)
+            if not m:
+                margin[rows] += value.sum()
+                continue
+            held = x[rows][:, None, list(features)]
+            follows = ((held > above) & (held <= up_to)).astype(float)  # rows x leaves x features
+            margin[rows] += follows.prod(axis=2) @ value
+            weight = [factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)]
+            for i, f in enumerate(features):
+                # by[k]: sum over sets of k known other features of their joint path share
+                by = [np.ones(follows.shape[:2])]
+                for j in range(m):
+                    if j != i:
+                        grown = [b * share[:, j] for b in by]
+                        grown.append(by[-1] * follows[:, :, j])
+                        for k in range(len(by) - 1):
+                            grown[k + 1] += by[k] * follows[:, :, j]
+                        by = grown
+                known = sum(w * b for w, b in zip(weight, by))
+                phi[rows, f] += ((follows[:, :, i] - share[:, i]) * known) @ value
     return phi, margin
 
 
-def explain(model: PipelineModel, df: DataFrame) -> DataFrame:
+def explain(model: PipelineModel, df: DataFrame, leaves: tuple[list, float] | None = None) -> DataFrame:
     """Add ``shap_<feature>``, ``base_value``, ``margin`` and ``probability`` to each row.
 
-    Attributions and base value add up to the margin; the probability is the model's.
+    Attributions and base value add up to the margin; the probability is the model's.  ``leaves``, from
+    :func:`tree_leaves`, spares reading the trees out of the model again.
     """
     spark = df.sparkSession
-    leaves, base = tree_leaves(model, spark)
-    shared = spark.sparkContext.broadcast((leaves, base))
+    found, base = leaves or tree_leaves(model, spark)
+    shared = spark.sparkContext.broadcast((leaf_groups(found), base))
 
     def run(batches):
-        leaves, base = shared.value
+        groups, base = shared.value
         for batch in batches:
-            phi, margin = shapley_batch(batch[FEATURES].to_numpy(float), leaves)
+            phi, margin = shapley_batch(batch[FEATURES].to_numpy(float), groups)
             out = {f"shap_{f}": phi[:, i] for i, f in enumerate(FEATURES)}
             yield batch.assign(
                 **out, base_value=base, margin=margin, probability=1 / (1 + np.exp(-2 * margin))
@@ -119,17 +137,13 @@ def explain(model: PipelineModel, df: DataFrame) -> DataFrame:
 def shap_summary(explained: DataFrame) -> DataFrame:
     """Mean absolute attribution per feature, and the shift from low to high values.
 
-    High means above the feature's median over the explained rows; the medians
-    are exact over values in thousandths.
+    High means above the feature's exact median over the explained rows.
     """
-    from mercata.operators.ranks import quantiles
+    from mercata.operators.ranks import medians as medians_of
     from mercata.operators.relational import add_single_row
 
-    milli = explained.select(
-        *[F.round(F.col(f) * 1000).cast("long").alias(f) for f in FEATURES],
-        *[f"shap_{f}" for f in FEATURES],
-    )
-    medians = quantiles(milli, [], {f"_m_{f}": (f, 0.5, None, 1) for f in FEATURES})
+    rated = explained.select(*FEATURES, *[f"shap_{f}" for f in FEATURES])
+    medians = medians_of(rated, {f"_m_{f}": f for f in FEATURES})
     rows = F.array(*[
         F.struct(
             F.lit(f).alias("feature"), F.col(f"shap_{f}").alias("shap"),
@@ -137,7 +151,7 @@ def shap_summary(explained: DataFrame) -> DataFrame:
         )
         for f in FEATURES
     ])
-    long = add_single_row(milli, medians).select(F.explode(rows).alias("_r")).select("_r.*")
+    long = add_single_row(rated, medians).select(F.explode(rows).alias("_r")).select("_r.*")
     high = F.coalesce(F.avg(F.when(F.col("high"), F.col("shap"))), F.lit(0.0))
     low = F.coalesce(F.avg(F.when(~F.col("high"), F.col("shap"))), F.lit(0.0))
     return long.groupBy("feature").agg(

@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 
 from mercata.functions.exact import half_up
 from mercata.operators import ranks as R
-from mercata.operators.relational import crosstab_pct, rows_of_top_groups, sample_n
+from mercata.operators.relational import crosstab_pct, rows_of_top_groups
 from mercata.session import shared_dir
 
 FEATURES = ["price_rank", "sales_rank", "reviews_rank", "rating", "is_best_seller", "title_length_rank"]
-SILHOUETTE_ROWS = 50_000  # fixed value: silhouettes are judged on at most this many rows
 
 # Archetypes in the order they claim a cluster, with the feature
 # whose centroid must be highest among the clusters still free.
@@ -69,25 +68,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def choose_k(features: DataFrame, ks=range(2, 13), silhouette_up_to: int = 10, seed: int = 42) -> DataFrame:
-    """Training cost per k on all rows, and silhouette on a sample of rows.
+    """Training cost and silhouette per k, of one model on all rows.
 
-    The silhouette uses squared distances.  Each fit is a distributed job; only
-    one number per k reaches the driver.
+    The silhouette uses squared distances, for which it needs one pass over sums per cluster.  Each fit
+    is a distributed job; only one number per k reaches the driver.
     """
-    base = checkpointed(features.select("asin", *FEATURES))
-    _, scaled = scale(base)
+    _, scaled = scale(features.select("asin", *FEATURES))
     scaled = checkpointed(scaled.select("asin", "vector"))
-    small = scaled.count() <= SILHOUETTE_ROWS
-    sample = scaled if small else checkpointed(sample_n(scaled, SILHOUETTE_ROWS, "asin", seed))
     judge = ClusteringEvaluator(featuresCol="vector", predictionCol="cluster")
     rows = []
     for k in ks:
         means = KMeans(k=k, seed=seed, maxIter=300, featuresCol="vector", predictionCol="cluster")
         model = means.fit(scaled)
-        score = None
-        if k <= silhouette_up_to:
-            judged = model if small else means.fit(sample)
-            score = judge.evaluate(judged.transform(sample))
+        score = judge.evaluate(model.transform(scaled)) if k <= silhouette_up_to else None
         rows.append((k, float(model.summary.trainingCost), score))
     return features.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 

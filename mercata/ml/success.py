@@ -21,6 +21,9 @@ FEATURES = [
     "title_length_rank",
 ]
 LABEL = "is_success"
+ROC_CELLS = 1 << 20    # cells of neighbouring scores that are summed together
+MAX_BINS = 128         # split candidates per feature
+ROWS_PER_PART = 50_000  # training rows per partition
 
 
 def feature_columns(ranked: DataFrame, *keep: str) -> DataFrame:
@@ -39,38 +42,60 @@ def feature_columns(ranked: DataFrame, *keep: str) -> DataFrame:
 def success_features(products: DataFrame, population=sellable) -> DataFrame:
     """Inputs and label of every listing in the population.
 
-    Ranks and quarters are taken within the population's subcategories.
+    Ranks and quarters are taken within the population's subcategories, over the few columns
+    the model needs.
     """
-    base = population(products)
-    ranked = R.percent_rank_in(base, ["subcategory"], {
+    base = population(products).select(
+        "asin", "subcategory", "revenue_cents", "price_cents", "rating_tenths", "discount_tenths",
+        *[f for f in FEATURES if f in products.columns and f not in ("price", "rating", "discount_pct")],
+    )
+    ranked = R.ntile_in(base, ["subcategory"], "revenue_cents", 4, "asin", "revenue_quartile")
+    ranked = R.percent_rank_in(ranked, ["subcategory"], {
         "price_rank": "price_cents", "reviews_rank": "review_count", "title_length_rank": "title_length",
     })
-    ranked = R.ntile_in(
-        ranked, ["subcategory"], "revenue_cents", 4, "asin", "revenue_quartile", source=base
-    )
     labelled = ranked.withColumn(LABEL, (F.col("revenue_quartile") == 4).cast("int"))
     return feature_columns(labelled, "revenue_cents", "revenue_quartile", LABEL)
 
 
 def stratified_split(df: DataFrame, test: float = 0.2, validation: float = 0.1, seed: int = 42) -> DataFrame:
-    """Add ``fold``: train, validation or test, with the same shares in each label.
+    """Add ``fold``: train, validation or test.
 
-    Rows are placed by the hash of their id, so a rerun splits the same way.
+    Every row is drawn by the hash of its id, label by label alike, so the shares in each label are
+    met within sampling error, nothing is shuffled, and a rerun splits the same way.
     """
-    drawn = df.withColumn("_draw", F.shiftrightunsigned(F.xxhash64("asin", F.lit(seed)), 24))
-    placed = R.ordered_position(drawn, [LABEL], "_draw", "asin")
-    at = F.col("position") / F.col("n_total")
-    fold = F.when(at < test, "test").when(at < test + (1 - test) * validation, "validation").otherwise("train")
-    return placed.withColumn("fold", fold).select(*df.columns, "fold")
+    draw = F.shiftrightunsigned(F.xxhash64("asin", F.lit(seed)), 11).cast("double") / F.lit(float(1 << 53))
+    fold = F.when(draw < test, "test").when(draw < test + (1 - test) * validation, "validation").otherwise("train")
+    return df.withColumn("fold", fold)
+
+
+def in_fixed_order(df: DataFrame, key: str) -> DataFrame:
+    """Rows in partitions and an order that depend on them alone: sampling by partition then
+    draws the same rows on any cluster."""
+    parts = max(1, -(-df.count() // ROWS_PER_PART))
+    return checkpointed(df.repartition(parts, key).sortWithinPartitions(key))
+
+
+def rounds_to_keep(losses: list[float], patience: int) -> int | None:
+    """Rounds up to the best one after which ``patience`` rounds bring no gain; None while
+    the losses are too few to tell."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        if i - best >= patience:
+            return best + 1
+    return None
 
 
 def train_success(
-    split: DataFrame, max_iter: int = 300, max_depth: int = 6, step: float = 0.1, seed: int = 42
+    split: DataFrame, max_iter: int = 300, max_depth: int = 6, step: float = 0.1, seed: int = 42, patience: int = 20
 ) -> PipelineModel:
     """Boosted trees on the train fold, stopped early on the validation fold.
 
-    Successes are weighted so both labels count the same.  The validation fold
-    is not the test fold, so the test scores stay honest.
+    Boosting goes on until ``patience`` rounds bring no gain on the validation fold, and the model
+    is refitted with the rounds up to the best.  Rounds are tried in batches that double, since the first
+    rounds of a longer fit are the same.  Successes are weighted so both labels count the same.
+    The validation fold is not the test fold, so the test scores stay honest.
     """
     used = split.where(F.col("fold") != "test")
     totals = used.where("fold = 'train'").agg(
@@ -79,17 +104,33 @@ def train_success(
     from mercata.operators.relational import add_single_row
 
     weighted = add_single_row(used, totals).select(
-        *FEATURES, F.col(LABEL).cast("double").alias("label"),
-        F.when(F.col(LABEL) == 1, F.col("_w")).otherwise(1.0).alias("weight"),
-        (F.col("fold") == "validation").alias("is_validation"),
-    )
-    trees = GBTClassifier(
-        featuresCol="features", labelCol="label", weightCol="weight",
-        validationIndicatorCol="is_validation", maxIter=max_iter, maxDepth=max_depth, stepSize=step,
-        subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=5, seed=seed,
+        "asin", *FEATURES, F.col(LABEL).cast("double").alias("label"),
+        F.when(F.col(LABEL) == 1, F.col("_w")).otherwise(1.0).alias("weight"), "fold",
     )
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    return Pipeline(stages=[assembler, trees]).fit(checkpointed(weighted))
+    rows = in_fixed_order(weighted, "asin")
+    train, judge = rows.where("fold = 'train'"), rows.where("fold = 'validation'")
+
+    def fitted(rounds):
+        return Pipeline(stages=[assembler, GBTClassifier(
+            featuresCol="features", labelCol="label", weightCol="weight", maxIter=rounds, maxDepth=max_depth,
+            stepSize=step, subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=5, maxBins=MAX_BINS,
+            seed=seed,
+        )]).fit(train)
+
+    tried = min(max_iter, 2 * patience)
+    has_judge = not judge.isEmpty()
+    while True:
+        model = fitted(tried if has_judge else max_iter)
+        if not has_judge:
+            return model
+        losses = model.stages[-1].evaluateEachIteration(assembler.transform(judge))
+        keep = rounds_to_keep(losses, patience)
+        if keep is None and tried < max_iter:
+            tried = min(max_iter, 2 * tried)
+            continue
+        keep = keep or losses.index(min(losses)) + 1
+        return model if keep == tried else fitted(keep)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -107,7 +148,7 @@ def evaluate_success(predicted: DataFrame) -> DataFrame:
     counts = predicted.agg(
         F.avg(right.cast("double")).alias("accuracy"), F.try_divide(2.0 * tp, 2 * tp + wrong).alias("f1")
     )
-    auc = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=LABEL).evaluate(predicted)
+    auc = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=LABEL, numBins=0).evaluate(predicted)
     return counts.withColumn("auc", F.lit(float(auc))).unpivot([], ["accuracy", "f1", "auc"], "metric", "value")
 
 
@@ -115,19 +156,22 @@ def confusion_matrix(predicted: DataFrame) -> DataFrame:
     return predicted.groupBy(F.col(LABEL).alias("actual"), "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
-def roc_curve(predicted: DataFrame, buckets: int = 1000) -> DataFrame:
-    """True and false positive rates by score threshold, from counts per score bucket."""
-    per = predicted.groupBy(F.floor(F.col("score") * buckets).alias("bucket")).agg(
-        F.count_if(F.col(LABEL) == 1).alias("pos"), F.count_if(F.col(LABEL) == 0).alias("neg")
-    )
-    one = per.withColumn("_all", F.lit(0))  # at most ``buckets`` rows
-    falling = W.partitionBy("_all").orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, 0)
-    whole = W.partitionBy("_all")
-    return one.select(
-        (F.col("bucket") / float(buckets)).alias("threshold"),
-        F.try_divide(F.sum("neg").over(falling).cast("double"), F.sum("neg").over(whole)).alias("fpr"),
-        F.try_divide(F.sum("pos").over(falling).cast("double"), F.sum("pos").over(whole)).alias("tpr"),
-    )
+def roc_curve(predicted: DataFrame) -> DataFrame:
+    """True and false positive rates at every distinct score.
+
+    Scores are counted before they are shuffled and summed in two steps, inside cells of neighbouring
+    scores and over the cells, so no task holds them all."""
+    per = predicted.groupBy(F.col("score").alias("threshold")).agg(
+        F.count_if(F.col(LABEL) == 1).alias("v"), F.count_if(F.col(LABEL) == 0).alias("n")
+    ).withColumns({"_all": F.lit(0), "_cell": F.floor(F.col("threshold") * ROC_CELLS)})
+    cells = per.groupBy("_all", "_cell").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    cells = R.prefix_sums(cells, ["_all"], "_cell").drop("n", "v", "_all")
+    below = W.partitionBy("_cell").orderBy("threshold").rowsBetween(W.unboundedPreceding, -1)
+    def rate(c):
+        before = F.col(f"{c}_before") + F.coalesce(F.sum(c).over(below), F.lit(0))
+        return F.try_divide((F.col(f"{c}_total") - before).cast("double"), F.col(f"{c}_total"))
+
+    return per.join(cells, "_cell").select("threshold", rate("n").alias("fpr"), rate("v").alias("tpr"))
 
 
 def feature_importance(spark, model: PipelineModel) -> DataFrame:

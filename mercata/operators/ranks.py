@@ -6,10 +6,14 @@ task.  Two ideas avoid that; ranked columns are integers (cents, tenths, counts)
 * ``counts_before`` reduces a group to its distinct values with counts (combined
   before the shuffle) and sums them in two levels: inside blocks of
   ``2**BLOCK_BITS`` neighbouring values, then over the blocks.
-* ``placed`` ranks rows.  It cuts each group into cells of neighbouring values,
-  ranks inside a cell and adds what lies before it.  Cells with more than
-  ``HOT_ROWS`` rows are found from a histogram and cut finer, down to a share of the
-  rows of one value, so no cell is unbounded and rows are shuffled once.
+* ``placed`` gives every row a place of its own.  It cuts each group into cells of
+  neighbouring values, orders inside a cell and adds what lies before it.  Cells with more
+  than ``hot_rows`` rows are found from a histogram and cut finer, down to a share of the
+  rows of one value, so no cell is unbounded.  The rows' one shuffle, by cell, serves the
+  window and the join with the cells' starts.
+
+``PERCENT_RANK`` depends on the value alone, so it needs no row's place: it is looked up in
+``counts_before``.
 """
 
 from __future__ import annotations
@@ -25,10 +29,10 @@ from mercata.operators.relational import add_single_row
 
 BLOCK_BITS = 20
 CELL_BITS = 16
-HOT_ROWS = 2_000_000  # a cell with more rows is cut finer
+HOT_ROWS = 2_000_000  # a cell with more rows is cut finer, unless the caller says otherwise
 NULL_RANK = 1 << 62  # nulls sort after every value
-MAX_WANTED = 1000    # rows looked up at once by percentile_position
 TIE_HEX_DIGITS = 4   # ties are spread over 16**4 buckets of the key's digest
+NOT_CUT = -(1 << 63) + 1  # stands for the value where a cell is not cut
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
@@ -43,16 +47,18 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _prefix(table: DataFrame, group: list[str], name: str, split: bool = True) -> DataFrame:
+def prefix_sums(table: DataFrame, group: list[str], name: str, levels: int = 2) -> DataFrame:
     """Add to a table of (group, name, n, v) the sums of n and v before each row's name,
-    and the group's totals.  Splits into blocks first, so no window sees more than
-    ``2**BLOCK_BITS`` rows (for names below ``2**(2*BLOCK_BITS)``)."""
+    and the group's totals.  Names are summed in blocks of ``2**BLOCK_BITS``, blocks in
+    blocks again, so no window holds more than ``2**BLOCK_BITS`` rows but the last, which
+    holds at most ``2**(62 - levels * BLOCK_BITS)``."""
     totals = {}
-    if split:
-        table = table.withColumn("_block", F.shiftright(name, BLOCK_BITS))
-        group_keys = [*group, "_block"]
+    if levels:
+        block = f"_block{levels}"
+        table = table.withColumn(block, F.shiftright(name, BLOCK_BITS))
+        group_keys = [*group, block]
         blocks = table.groupBy(*group_keys).agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-        blocks = _prefix(blocks, group, "_block", split=False).drop("n", "v").withColumnsRenamed(
+        blocks = prefix_sums(blocks, group, block, levels - 1).drop("n", "v").withColumnsRenamed(
             {"n_before": "_n0", "v_before": "_v0"}
         )
     else:
@@ -65,14 +71,14 @@ def _prefix(table: DataFrame, group: list[str], name: str, split: bool = True) -
         "v_before": F.coalesce(F.sum("v").over(before), F.lit(0)),
         **totals,
     })
-    if not split:
+    if not levels:
         return out
     return (
         null_safe_join(out, blocks, group_keys, "inner")
         .withColumns({
             "n_before": F.col("n_before") + F.col("_n0"), "v_before": F.col("v_before") + F.col("_v0"),
         })
-        .drop("_block", "_n0", "_v0")
+        .drop(block, "_n0", "_v0")
     )
 
 
@@ -100,7 +106,7 @@ def counts_before(df: DataFrame, part: list[str], value, name: str = "value") ->
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("v", _counted(F.col(name)) * F.col("n"))
     )
-    return _prefix(per_value, group, name).select(
+    return prefix_sums(per_value, group, name).select(
         *part, name, "n", "n_before", "v_before", "n_total", "v_total"
     )
 
@@ -154,57 +160,89 @@ def quantiles(df: DataFrame, part: list[str], specs: dict[str, tuple]) -> DataFr
     return wide.select(*part, *[finish(n, s, u) for n, (_, _, s, u) in specs.items()])
 
 
+def medians(df: DataFrame, cols: dict[str, str], cells_per_unit: int = 1000) -> DataFrame:
+    """One row of exact medians of columns of doubles (output name -> column).
+
+    Values are counted in cells first; only the distinct values of the cells that hold a middle
+    row are then put in order."""
+    names = list(cols)
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("metric"), F.col(cols[n]).cast("double").alias("value")) for i, n in enumerate(names)
+    ])).alias("_m")).select("_m.*").where(F.col("value").isNotNull())
+    per = long.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n")).withColumns(
+        {"v": F.lit(0).cast("long"), "cell": F.floor(F.col("value") * cells_per_unit)}
+    )
+    cells = per.groupBy("metric", "cell").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    cells = prefix_sums(cells, ["metric"], "cell")
+    low, high = F.floor((F.col("n_total") - 1) / 2), F.ceil((F.col("n_total") - 1) / 2)
+    middle = cells.where((F.col("n_before") <= high) & (low < F.col("n_before") + F.col("n"))).select(
+        "metric", "cell", "n_before", low.alias("_lo"), high.alias("_hi")
+    )
+    inside = W.partitionBy("metric", "cell").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
+    held = per.join(middle, ["metric", "cell"]).withColumn(
+        "_from", F.col("n_before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    )
+    def at(i, place):
+        hit = (F.col("metric") == i) & (F.col("_from") <= F.col(place)) & (F.col(place) < F.col("_from") + F.col("n"))
+        return F.max(F.when(hit, F.col("value")))
+
+    return held.agg(*[((at(i, "_lo") + at(i, "_hi")) / 2).alias(n) for i, n in enumerate(names)])
+
+
 def with_quantiles(agg: DataFrame, df: DataFrame, part: list[str], specs: dict) -> DataFrame:
     """Add quantile columns to an aggregate over the same groups."""
     found = quantiles(df, part, specs)
     return null_safe_join(agg, found, part) if part else add_single_row(agg, found)
 
 
+def _without_nulls(c: str) -> Column:
+    """A key that is never null, so that a window and a plain join share one partitioning."""
+    return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+
+
 def placed(
-    df: DataFrame, part: list[str], value: str, key: str | None = None, descending: bool = False,
-    source: DataFrame | None = None,
+    df: DataFrame, part: list[str], value: str, key: str, descending: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
     """Add to each row its 0-based ``rank`` within ``part`` (rows with a smaller value; nulls
-    last), the group's ``n_total`` and ``v_total``, and, with a ``key``, its ``position``
-    and ``v_upto``, the running sum of the value.
+    last), its own ``position`` and ``v_upto``, the running sum of the value, and the group's
+    ``n_total`` and ``v_total``.
 
     Rows with equal values follow the digest of their key, which spreads a hot
-    value over many cells and gives every engine the same order.  The histogram is
-    taken of ``source``: the same rows before columns were added to them, so that a
-    chain of rankings does not repeat itself.
+    value over many cells and gives every engine the same order.  All columns of ``df`` are
+    shuffled once, so hand over the few that are needed.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     sign = -1 if descending else 1
-    group = part or ["_all"]
-    source = df if source is None else source
-    digest = F.md5(F.col(key)) if key else None
-    if key:
-        bucket = F.conv(F.substring(digest, 1, TIE_HEX_DIGITS), 16, 10)
-    else:  # order among equals is not asked for; any spread will do
-        bucket = F.pmod(F.xxhash64(*source.columns), F.lit(16**TIE_HEX_DIGITS))
+    group = [f"_k{i}" for i in range(len(part))] or ["_k0"]
+    group_values = [_without_nulls(p) for p in part] or [F.lit("")]
+    digest = F.md5(F.col(key))
+    bucket = F.conv(F.substring(digest, 1, TIE_HEX_DIGITS), 16, 10).cast("int")
 
     def with_cell(frame):
-        valued = frame.withColumns({"_all": F.lit(0), "_value": _ranked(F.col(value) * sign)})
+        valued = frame.withColumns(dict(zip(group, group_values))).withColumn("_value", _ranked(F.col(value) * sign))
         return valued.withColumn("_cell", F.shiftright("_value", CELL_BITS))
 
-    # 1. A histogram of cells, and the cells too full for one task.  There are at most
-    #    (rows / HOT_ROWS) of those, so the list is small enough to broadcast.
-    cells = with_cell(source).groupBy(*group, "_cell").agg(
+    # 1. A histogram of cells, and the cells too full for one task.  There are at most rows / hot_rows of
+    #    them (500,000 entries of some 30 bytes for 10**12 rows), so the list is broadcast and spares the
+    #    rows a shuffle of their own.
+    slim = with_cell(df.select(*dict.fromkeys([*part, value, key])))
+    cells = slim.groupBy(*group, "_cell").agg(
         F.count(F.lit(1)).alias("n"), F.sum(_counted(F.col("_value"))).alias("v")
     )
-    cells = _prefix(cells, group, "_cell")
-    hot = cells.where(F.col("n") > HOT_ROWS).select(*group, "_cell", F.lit(True).alias("_hot"))
+    cells = prefix_sums(cells, group, "_cell")
+    hot = cells.where(F.col("n") > hot_rows).select(*group, "_cell", F.lit(True).alias("_hot"))
 
     def marked(frame):
-        return null_safe_join(with_cell(frame), F.broadcast(hot), [*group, "_cell"]).withColumns({
-            "_sub": F.when(F.col("_hot"), F.col("_value")),
-            "_bucket": F.when(F.col("_hot"), bucket.cast("int")),
+        return frame.join(F.broadcast(hot), [*group, "_cell"], "left").withColumns({
+            "_sub": F.when(F.col("_hot"), F.col("_value")).otherwise(F.lit(NOT_CUT)),
+            "_bucket": F.when(F.col("_hot"), bucket).otherwise(F.lit(-1)),
         })
 
-    rows = marked(df)
+    rows = marked(with_cell(df))
 
     # 2. Hot cells split by value and key digest.
     per_value = ["_cell", "_sub"]
-    fine = marked(source).where("_hot").groupBy(*group, *per_value, "_bucket").agg(F.count(F.lit(1)).alias("_m"))
+    fine = marked(slim).where("_hot").groupBy(*group, *per_value, "_bucket").agg(F.count(F.lit(1)).alias("_m"))
     ties = W.partitionBy(*group, *per_value).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     fine = fine.withColumn("_ties", F.coalesce(F.sum("_m").over(ties), F.lit(0)))
     values = fine.groupBy(*group, *per_value).agg(F.sum("_m").alias("_m"))
@@ -214,65 +252,55 @@ def placed(
         F.coalesce(F.sum("_m").over(lower), F.lit(0)).alias("_below"),
         F.coalesce(F.sum(_counted(F.col("_sub")) * F.col("_m")).over(lower), F.lit(0)).alias("_vbelow"),
     )
-    fine = null_safe_join(fine.drop("_m"), values, [*group, *per_value], "inner")
-    whole = cells.withColumns({"_sub": F.lit(None).cast("long"), "_bucket": F.lit(None).cast("int")})
+    fine = fine.drop("_m").join(values, [*group, *per_value])
     zero = F.lit(0).cast("long")
-    starts = whole.where(F.col("n") <= HOT_ROWS).withColumns(
-        {"_ties": zero, "_below": zero, "_vbelow": zero}
-    ).unionByName(
-        null_safe_join(fine, cells, [*group, "_cell"], "inner"), allowMissingColumns=True
-    ).drop("n", "v")
+    starts = cells.where(F.col("n") <= hot_rows).withColumns({
+        "_sub": F.lit(NOT_CUT), "_bucket": F.lit(-1), "_ties": zero, "_below": zero, "_vbelow": zero,
+    }).unionByName(fine.join(cells, [*group, "_cell"])).drop("n", "v")
 
-    # 3. Rank inside the cell and add what lies before; one shuffle serves window and join.
+    # 3. Order inside the cell and add what lies before; one shuffle serves window and join.
     keys = [*group, "_cell", "_sub", "_bucket"]
     inside = W.partitionBy(*keys).orderBy("_value")
-    ranked = {"_rank": F.rank().over(inside)}
-    if key:
-        exact = W.partitionBy(*keys).orderBy("_value", "_digest", key)
-        rows = rows.withColumn("_digest", digest)
-        ranked = {
-            "_rank": F.rank().over(inside), "_nth": F.row_number().over(exact),
-            "_run": F.sum(_counted(F.col("_value"))).over(exact.rowsBetween(W.unboundedPreceding, 0)),
-        }
-    out = null_safe_join(rows.withColumns(ranked), starts, keys, "inner")
+    exact = W.partitionBy(*keys).orderBy("_value", "_digest", key)
+    ranked = rows.withColumn("_digest", digest).withColumns({
+        "_rank": F.rank().over(inside), "_nth": F.row_number().over(exact),
+        "_run": F.sum(_counted(F.col("_value"))).over(exact.rowsBetween(W.unboundedPreceding, 0)),
+    })
+    out = ranked.join(starts, keys)
     start = F.col("n_before") + F.col("_below")
-    found = {"rank": start + F.col("_rank") - 1}
-    if key:
-        done = _counted(F.col("_value")) * F.col("_ties")
-        found["position"] = start + F.col("_ties") + F.col("_nth") - 1
-        found["v_upto"] = (F.col("v_before") + F.col("_vbelow") + done + F.col("_run")) * sign
+    done = _counted(F.col("_value")) * F.col("_ties")
     return out.select(
-        *df.columns, *[c.alias(n) for n, c in found.items()], "n_total",
-        (F.col("v_total") * sign).alias("v_total"),
+        *[ranked[c] for c in df.columns], (start + F.col("_rank") - 1).alias("rank"),
+        (start + F.col("_ties") + F.col("_nth") - 1).alias("position"),
+        ((F.col("v_before") + F.col("_vbelow") + done + F.col("_run")) * sign).alias("v_upto"),
+        "n_total", (F.col("v_total") * sign).alias("v_total"),
     )
 
 
 def percent_rank_in(df: DataFrame, part: list[str], cols: dict[str, str]) -> DataFrame:
-    """Add ``PERCENT_RANK`` of each column within ``part`` (output name -> column)."""
+    """Add ``PERCENT_RANK`` of each column within ``part`` (output name -> column).
+
+    The rank is looked up by value in a table that is counted before it is shuffled."""
     out = df
     for name, c in cols.items():
-        kept = out.columns
-        share = F.when(F.col("n_total") == 1, F.lit(0.0)).otherwise(
-            F.col("rank") / (F.col("n_total") - 1)
-        )
-        out = placed(out, part, c, source=df).select(*kept, share.alias(name))
+        share = F.when(F.col("n_total") == 1, F.lit(0.0)).otherwise(F.col("n_before") / (F.col("n_total") - 1))
+        found = counts_before(df.select(*part, c), part, c, "_looked_up").select(*part, "_looked_up", share.alias(name))
+        out = null_safe_join(out.withColumn("_looked_up", _ranked(c)), found, [*part, "_looked_up"]).drop("_looked_up")
     return out
 
 
 def ordered_position(
-    df: DataFrame, part: list[str], value: str, key: str, descending: bool = False,
-    source: DataFrame | None = None,
+    df: DataFrame, part: list[str], value: str, key: str, descending: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
     """Rows with their unique ``position`` by value, then key digest (see :func:`placed`)."""
-    return placed(df, part, value, key, descending, source).drop("rank")
+    return placed(df, part, value, key, descending, hot_rows).drop("rank")
 
 
 def ntile_in(
-    df: DataFrame, part: list[str], order: str, n: int, key: str, name: str = "ntile",
-    source: DataFrame | None = None,
+    df: DataFrame, part: list[str], order: str, n: int, key: str, name: str = "ntile", hot_rows: int | None = None
 ) -> DataFrame:
     """Add ``NTILE(n)`` of the rows ordered by ``order`` then key digest."""
-    rows = ordered_position(df, part, order, key, source=source)
+    rows = ordered_position(df, part, order, key, hot_rows=hot_rows)
     size = F.floor(F.col("n_total") / n)
     extra = F.col("n_total") % n
     fat = extra * (size + 1)
@@ -335,34 +363,18 @@ def percentile_position(
 ) -> DataFrame:
     """``PERCENT_RANK`` of a few chosen rows: rows below them over rows less one.
 
-    The chosen rows (at most ``MAX_WANTED`` keys) are broadcast; one pass of
-    conditional counts over their groups answers every column, with nothing
-    sorted and hot groups combined before the shuffle.
+    Ranks are looked up by value, as in :func:`percent_rank_in`, among the chosen rows' groups
+    only; any number of keys can be wanted.
     """
-    if len(wanted) > MAX_WANTED:
-        raise ValueError(f"{len(wanted)} keys; rank that many with percent_rank_in")
-    mine = df.where(F.col(key).isin(list(wanted))).select(
-        key, part, *[F.col(c).alias(f"_own_{c}") for c in dict.fromkeys(cols.values())]
-    )
-    peers = df.select(F.col(part).alias("_part"), *dict.fromkeys(cols.values()))
-    joined = peers.join(F.broadcast(mine), F.col(part).eqNullSafe(F.col("_part")))
-    below = [
-        F.count_if(
-            (F.col(c) < F.col(f"_own_{c}"))
-            | (F.col(f"_own_{c}").isNull() & F.col(c).isNotNull())
-        ).alias(f"_b_{name}")
-        for name, c in cols.items()
-    ]
-    counted = joined.groupBy(key, part).agg(F.count(F.lit(1)).alias("_n"), *below)
-    return counted.select(
-        key, part,
-        *[
-            F.when(F.col("_n") == 1, F.lit(0.0))
-            .otherwise(F.col(f"_b_{name}") / (F.col("_n") - 1))
-            .alias(name)
-            for name in cols
-        ],
-    )
+    mine = df.where(F.col(key).isin(list(wanted))).select(key, part, *dict.fromkeys(cols.values()))
+    groups = mine.select(F.col(part).alias("_part")).distinct()
+    peers = df.select(part, *dict.fromkeys(cols.values())).join(groups, F.col(part).eqNullSafe(F.col("_part")), "left_semi")
+    out = mine
+    for name, c in cols.items():
+        share = F.when(F.col("n_total") == 1, F.lit(0.0)).otherwise(F.col("n_before") / (F.col("n_total") - 1))
+        found = counts_before(peers, [part], c, "_looked_up").select(part, "_looked_up", share.alias(name))
+        out = null_safe_join(out.withColumn("_looked_up", _ranked(c)), found, [part, "_looked_up"]).drop("_looked_up")
+    return out.select(key, part, *cols)
 
 
 def quantile_buckets(df: DataFrame, c: str, n: int = 5, name: str = "bucket") -> DataFrame:

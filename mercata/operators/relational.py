@@ -194,9 +194,9 @@ def rows_of_top_groups(df: DataFrame, group: str, measure: Column, k: int) -> Da
 
 
 def _draw(key, seed: int) -> Column:
-    """A reproducible uniform number in [0, 1) per key."""
-    bits = F.shiftrightunsigned(F.xxhash64(col(key), F.lit(seed)), 11)
-    return bits.cast("double") / F.lit(float(1 << 53))
+    """A reproducible uniform number in [0, 1) per key, from a digest that other engines have too."""
+    digest = F.md5(F.concat(col(key).cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
 
 
 def sample_rows(df: DataFrame, pct: float, key: str, seed: int = 42) -> DataFrame:

@@ -3,6 +3,8 @@ combined and written like any other table."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +22,13 @@ def _one(df: DataFrame, name: str, passed, detail, *aggs) -> DataFrame:
 
 
 def require_tables(tables: dict[str, DataFrame], names: list[str]) -> DataFrame:
-    """Which of the named tables exist with at least one column."""
+    """Which of the named tables exist and have rows, with their number."""
     some = next(iter(tables.values()))
-    return _finding(some, [
-        (f"table {n}", n in tables and bool(tables[n].columns), "" if n in tables else "missing")
-        for n in names
-    ])
+    found = [
+        _one(tables[n], f"table {n}", F.col("n") > 0, F.col("n"), F.count(F.lit(1)).alias("n")) for n in names if n in tables
+    ]
+    missing = _finding(some, [(f"table {n}", False, "missing") for n in names if n not in tables])
+    return reduce(DataFrame.unionByName, [*found, missing])
 
 
 def check_rows(df: DataFrame, exact: int | None = None, name: str = "rows") -> DataFrame:
@@ -50,9 +53,16 @@ def has_column(df: DataFrame, c: str) -> bool:
 
 
 def check_columns(df: DataFrame, cols: list[str]) -> DataFrame:
-    return _finding(df, [
-        (f"column {c}", has_column(df, c), "" if has_column(df, c) else "missing") for c in cols
-    ])
+    """Which columns a table has and fills, with the number of values."""
+    there = [c for c in cols if has_column(df, c)]
+    missing = _finding(df, [(f"column {c}", False, "missing") for c in cols if c not in there])
+    if not there:
+        return missing
+    one = df.agg(*[F.count(c).alias(c) for c in there])
+    return one.unpivot([], there, "column", "values").select(
+        F.concat(F.lit("column "), "column").alias("check"), (F.col("values") > 0).alias("passed"),
+        F.col("values").cast("string").alias("detail"),
+    ).unionByName(missing)
 
 
 def check_range(df: DataFrame, c: str, lo=None, hi=None) -> DataFrame:

@@ -141,13 +141,13 @@ def health_archetype(m: Market, asin: str) -> DataFrame:
 
 
 def probability_band(p) -> "F.Column":
-    return F.when(p >= 0.6, "well-positioned").when(p >= 0.4, "room for improvement").otherwise(
-        "significant challenges"
-    )
+    return F.when(p >= 0.6, "strong").when(p >= 0.4, "middling").otherwise("weak")
+
 
+def health_diagnosis(m: Market, model, asins: list[str], parts: int = 3, leaves=None) -> DataFrame:
+    """Success probability of products, its band, and what helps and hurts most.
 
-def health_diagnosis(m: Market, model, asins: list[str], parts: int = 3) -> DataFrame:
-    """Success probability of products, its band, and what helps and hurts most."""
+    ``leaves`` of the model (see :func:`mercata.ml.attributions.tree_leaves`) are read once by the caller."""
     from mercata.ml import success
     from mercata.ml.attributions import explain
 
@@ -157,7 +157,7 @@ def health_diagnosis(m: Market, model, asins: list[str], parts: int = 3) -> Data
     )
     rows = m.products.where(F.col("asin").isin(asins))
     features = success.feature_columns(R.null_safe_join(rows, ranks, ["asin", "subcategory"], "inner"))
-    explained = explain(model, features)
+    explained = explain(model, features, leaves)
     entries = F.array(*[
         F.struct(F.col(f"shap_{f}").alias("value"), F.lit(f).alias("feature"))
         for f in success.FEATURES

@@ -63,3 +63,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(folder, True)

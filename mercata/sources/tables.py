@@ -80,9 +80,17 @@ def profile_files(df: DataFrame) -> DataFrame:
 
 
 def profile_schema(df: DataFrame) -> DataFrame:
-    """Column names and types of a table, in order."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string")
+    """Column names and types of a table, in order, with the values each column holds."""
+    names = df.columns
+    one = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(names)])
+    rows = F.array(*[
+        F.struct(
+            F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("column_type"), F.col(f"c{i}").alias("non_null"),
+        )
+        for i, f in enumerate(df.schema.fields)
+    ])
+    return one.select(F.explode(rows).alias("_r")).select("_r.*")
 
 
 def bench_read(df: DataFrame) -> DataFrame:

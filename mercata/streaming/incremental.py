@@ -10,7 +10,7 @@ from mercata.sources.tables import append_reviews
 
 
 def refresh_reviews(
-    spark: SparkSession, folder: str, path: str, checkpoint: str, bad_records: str = "drop",
+    spark: SparkSession, folder: str, path: str, checkpoint: str, bad_records: str = "fail",
     files_per_batch: int = 1000,
 ) -> None:
     """Append all files not seen before to the reviews table, then stop.

@@ -32,7 +32,7 @@ def brute_force_shapley(x, nodes):
     return phi
 
 
-def test_attributions_equal_the_definition():
+def test_attributions_equal_the_definition(monkeypatch):
     # feature 0 splits twice on one path; shares are the part going left
     nodes = [
         ("split", 0, 0.5, 1, 2, 0.6), ("split", 1, 0.3, 3, 4, 0.25), ("split", 2, 0.7, 5, 6, 0.5),
@@ -53,11 +53,13 @@ def test_attributions_equal_the_definition():
     walk(0, {})
     rng = np.random.default_rng(0)
     x = rng.random((20, 3))
-    phi, margin = attributions.shapley_batch(x, leaves)
+    monkeypatch.setattr(attributions, "ROWS_AT_ONCE", 7)
+    phi, margin = attributions.shapley_batch(x, attributions.leaf_groups([*leaves, (0.25, {})]))
+    margin = margin - 0.25
     for row, got, m in zip(x, phi, margin):
         np.testing.assert_allclose(got, brute_force_shapley(row, nodes), atol=1e-12)
         reached = [v for v, p in leaves if all(lo < row[f] <= hi for f, (_, lo, hi) in p.items())]
-        assert reached == [m]
+        assert reached == [pytest.approx(m)]
 
 
 @pytest.fixture(scope="module")
@@ -82,13 +84,13 @@ def products(spark):
 @pytest.fixture(scope="module")
 def trained(products):
     split = clusters.checkpointed(success.stratified_split(success.success_features(products)))
-    return split, success.train_success(split, max_iter=5, max_depth=3)
+    return split, success.train_success(split, max_iter=30, max_depth=3, patience=3)
 
 
 def test_split_is_stratified_and_repeats(trained, products):
     split, _ = trained
     shares = split.groupBy("is_success").agg(F.avg((F.col("fold") == "test").cast("int")).alias("t")).collect()
-    assert all(abs(r.t - 0.2) < 0.02 for r in shares)
+    assert all(abs(r.t - 0.2) < 0.06 for r in shares)  # drawn row by row
     again = success.stratified_split(success.success_features(products.repartition(5)))
     assert split.select("asin", "fold").exceptAll(again.select("asin", "fold")).count() == 0
 
@@ -108,18 +110,87 @@ def test_model_explanations_add_up(trained):
     assert attributions.waterfall(explained).count() == len(success.FEATURES)
 
 
+def test_rounds_are_kept_up_to_the_best():
+    falling = [1 / (i + 1) for i in range(30)]
+    assert success.rounds_to_keep(falling, 5) is None
+    assert success.rounds_to_keep([*falling, *[1.0] * 4], 5) is None
+    assert success.rounds_to_keep([*falling, *[1.0] * 5], 5) == 30
+    assert success.rounds_to_keep([0.3, 0.5, 0.2, 0.4, 0.4, 0.4, 0.1], 3) == 3
+    assert success.rounds_to_keep([], 3) is None
+
+
+def made_split(spark, n, noise, seed=5):
+    """Listings whose success follows from a sum of features (or from nothing)."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        x = rng.random(len(success.FEATURES))
+        y = rng.random() < (0.5 if noise else 0.97 if x[:4].sum() > 2 else 0.03)
+        rows.append((f"p{i}", "s", int(y), *(float(v) for v in x)))
+    cols = ", ".join(f"{f} double" for f in success.FEATURES)
+    return success.stratified_split(spark.createDataFrame(rows, f"asin string, subcategory string, is_success int, {cols}"), 0.2, 0.2)
+
+
+def test_boosting_goes_on_while_the_loss_falls_and_not_longer(spark):
+    settings = {"max_iter": 24, "max_depth": 2, "step": 0.2, "patience": 4}
+    learnt = success.train_success(made_split(spark, 1500, False), **settings)
+    nothing = success.train_success(made_split(spark, 1500, True), **settings)
+    assert learnt.stages[-1].getNumTrees > 8 and nothing.stages[-1].getNumTrees < 8
+
+
+def test_predictions_do_not_depend_on_partitions(spark):
+    split = made_split(spark, 400, False)
+    found = []
+    for parts in (1, 3, 7):
+        model = success.train_success(split.repartition(parts), max_iter=6, max_depth=3, patience=2)
+        found.append({r.asin: r.score for r in success.predict(model, split).select("asin", "score").collect()})
+    assert found[0] == found[1] == found[2]
+
+
 def test_success_scores(trained):
     split, model = trained
     predicted = success.predict(model, split.where("fold = 'test'"))
     scores = {r.metric: r.value for r in success.evaluate_success(predicted).collect()}
     assert scores["auc"] > 0.6 and 0 <= scores["f1"] <= 1
     assert sum(r.n for r in success.confusion_matrix(predicted).collect()) == predicted.count()
-    roc = success.roc_curve(predicted).orderBy("fpr", "tpr").collect()
-    assert roc[-1].fpr == 1.0 and roc[-1].tpr == 1.0
     rates = A.success_by_quintile(split.withColumn("review_count", F.col("review_count").cast("long")), "review_count")
     assert rates.agg(F.sum("products")).first()[0] == split.count()
 
 
+def test_curve_and_area_use_every_threshold(spark):
+    """More distinct scores than any binning would keep, many within one cell."""
+    rng = np.random.default_rng(8)
+    rows = [(float(s), float(s), int(rng.random() < s)) for s in np.concatenate([rng.random(3000), 0.5 + np.arange(300) * 1e-12, [0.0, 1.0]])]
+    df = spark.createDataFrame(rows, "score double, rawPrediction double, is_success int").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    got = {r.threshold: (r.fpr, r.tpr) for r in success.roc_curve(df).collect()}
+    score, label = np.array([r[0] for r in rows]), np.array([r[2] for r in rows])
+    assert set(got) == set(score.tolist())
+    for t in sorted(got)[::97]:
+        at = score >= t
+        assert got[t] == (at[label == 0].mean(), at[label == 1].mean())
+    fpr, tpr = np.array(sorted([(0.0, 0.0), *got.values()])).T
+    area = {r.metric: r.value for r in success.evaluate_success(df).collect()}["auc"]
+    assert area == pytest.approx(np.trapezoid(tpr, fpr), abs=1e-9)
+
+
+def test_summary_compares_with_exact_medians(spark):
+    """Values closer together than a thousandth fall on the right side of the median."""
+    rows = [(*([i * 1e-6] * len(success.FEATURES)), *([1.0 if i > 50 else -1.0] * len(success.FEATURES))) for i in range(101)]
+    cols = ", ".join(f"{f} double" for f in success.FEATURES) + ", " + ", ".join(f"shap_{f} double" for f in success.FEATURES)
+    for r in attributions.shap_summary(spark.createDataFrame(rows, cols)).collect():
+        assert (r.avg_shap_high, r.avg_shap_low, r.direction) == (1.0, -1.0, 2.0)
+
+
+def test_silhouettes_are_taken_of_all_rows(spark):
+    """Beyond 50,000 rows inertia and silhouette still describe one model."""
+    rows = spark.range(52_000).select(F.col("id").cast("string").alias("asin"), *[
+        (F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 1000.0 + F.when(F.col("id") < 100, 60.0).otherwise(0.0)).alias(f)
+        for i, f in enumerate(clusters.FEATURES)
+    ])
+    r = clusters.choose_k(rows, range(2, 3)).first()
+    assert r.silhouette > 0.9  # the hundred far rows form a cluster of their own
+
+
 def test_archetypes(spark, products, tmp_path):
     features = clusters.cluster_features(products)
     model = clusters.fit_archetypes(features)
@@ -174,6 +245,15 @@ def test_tree_samples_are_bounded_and_distinct(signals):
     assert len(per) == 20 and all(r.n == r.d <= 64 for r in per) and min(r.n for r in per) > 48
 
 
+def test_trees_draw_from_all_rows_independently(spark):
+    """Far more rows than trees times size: no pool, so trees hardly share rows."""
+    cols = [F.col("id").cast("double").alias(f) for f in A.TRUST_FEATURES]
+    df = spark.range(40_000).select(F.concat(F.lit("p"), "id").alias("parent_asin"), F.lit("c").alias("source_category"), *cols)
+    drawn = [r.reviews_per_day for r in anomalies.tree_samples(df, trees=10, size=32, seed=1).collect()]
+    assert len(drawn) == 320 and len(set(drawn)) > 310
+    assert 15_000 < np.mean(drawn) < 25_000
+
+
 def test_expected_path():
     assert list(anomalies.expected_path([0, 1, 2])) == [0.0, 0.0, 1.0]
     assert anomalies.expected_path(256) == pytest.approx(10.2448, abs=1e-3)

@@ -110,8 +110,6 @@ def test_percentile_position_agrees_with_the_rank(skewed):
     keys = ["k0", "k3", "k2", "k1", "k43"]
     got = R.percentile_position(df, "grp", "key", keys, {"r": "value"}).collect()
     assert {r.key: r.r for r in got} == {k: want[k] for k in keys}
-    with pytest.raises(ValueError):
-        R.percentile_position(df, "grp", "key", ["x"] * 1001, {"r": "value"})
 
 
 def test_quantile_buckets_match_qcut(frame):
@@ -146,8 +144,6 @@ def test_hot_cells_give_the_same_ranks(spark, skewed, monkeypatch, hot_rows):
     monkeypatch.setattr(R, "HOT_ROWS", hot_rows)
     got = {r.key: r for r in R.placed(df, ["grp"], "value", "key").collect()}
     assert got == want
-    ranks = {r.key: r["rank"] for r in R.placed(df, ["grp"], "value").collect()}
-    assert ranks == {k: r["rank"] for k, r in want.items()}
     down = {r.key: (r.position, r.v_upto) for r in R.placed(df, ["grp"], "value", "key", True).collect()}
     df.createOrReplaceTempView("skewed")
     sql = spark.sql(
@@ -178,3 +174,52 @@ def test_quantiles_over_columns_with_different_nulls(frame):
     df = frame([("a", 1, None), ("a", 3, 10), ("a", None, 20)], "g string, x long, y long")
     r = R.quantiles(df, ["g"], {"mx": ("x", 0.5, None, 1), "my": ("y", 0.5, None, 1)}).first()
     assert (r.mx, r.my) == (2.0, 15.0)
+
+
+def test_any_number_of_keys_in_one_group(spark):
+    df = spark.range(6000).select(F.col("id").cast("string").alias("key"), F.lit("g").alias("grp"), (F.col("id") * 7 % 601).alias("v"))
+    keys = [str(i) for i in range(5000)]
+    got = {r.key: r.r for r in R.percentile_position(df, "grp", "key", keys, {"r": "v"}).collect()}
+    want = {r.key: r.r for r in R.percent_rank_in(df, ["grp"], {"r": "v"}).collect()}
+    assert got == {k: want[k] for k in keys}
+
+
+def test_prefix_over_very_large_names(frame):
+    """Names beyond 2**40 fall into blocks of blocks."""
+    names = [5, 1 << 21, 1 << 41, (1 << 41) + 1, 1 << 60, (1 << 62)]
+    df = frame([("g", n, 1, n % 7) for n in names], "g string, name long, n long, v long")
+    rows = sorted(R.prefix_sums(df, ["g"], "name").collect(), key=lambda r: r.name)
+    assert [r.n_before for r in rows] == list(range(6)) and all(r.n_total == 6 for r in rows)
+    assert [r.v_before for r in rows] == [sum(n % 7 for n in names[:i]) for i in range(6)]
+
+
+def test_medians_are_exact(frame):
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 7, 200):
+        values = [(float(a) * 1e-5, None if i % 3 == 1 else float(b)) for i, (a, b) in enumerate(rng.integers(-50, 50, (n, 2)))]
+        got = R.medians(frame(values, "a double, b double"), {"ma": "a", "mb": "b"}).first()
+        assert got.ma == np.median([a for a, _ in values])
+        assert got.mb == np.median([b for _, b in values if b is not None])
+
+
+def test_rows_are_shuffled_once_per_ranking_and_text_stays_behind(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).select(
+        F.col("id").cast("string").alias("asin"), F.lit("s").alias("subcategory"), (F.col("id") % 97).alias("revenue_cents"),
+        F.lit("long text").alias("description"),
+    ).write.parquet(path)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = spark.read.parquet(path).select("asin", "subcategory", "revenue_cents")
+        ranked = R.ntile_in(df, ["subcategory"], "revenue_cents", 4, "asin", "q")
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    lines = plan.splitlines()
+    top = next(i for i, line in enumerate(lines) if "SortMergeJoin [_k0" in line and "_bucket" in line)
+    window = next(i for i, line in enumerate(lines) if i > top and "Window" in line)
+    assert not any("Exchange" in line for line in lines[top:window])  # the join takes the window's partitioning
+    assert "description" not in plan

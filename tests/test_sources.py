@@ -63,14 +63,29 @@ def test_reviews_take_their_category_from_the_file(spark, tmp_path):
     assert [r.has_text for r in rows if r.image_count is None] == [False]
 
 
-def test_malformed_and_oversized_records(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(readers, "MAX_RECORD_CHARS", 1000)
+def test_malformed_and_oversized_records(spark, tmp_path):
     write(tmp_path / "C.jsonl", review(), '{"rating": 5, "title": "cut', review(text="x" * 2000), review(rating=1.0))
-    assert readers.read_reviews(spark, str(tmp_path)).count() == 2
-    kept = readers.read_reviews(spark, str(tmp_path), bad_records="keep")
-    assert kept.where(F.col(readers.CORRUPT).isNotNull()).count() == 2 and kept.count() == 4
+    folder = str(tmp_path)
     with pytest.raises(Exception, match="malformed review"):
-        readers.read_reviews(spark, str(tmp_path), bad_records="fail").collect()
+        readers.read_reviews(spark, folder).collect()
+    assert readers.read_reviews(spark, folder, bad_records="drop").count() == 3  # no bound on size unless asked for
+    assert readers.read_reviews(spark, folder, bad_records="drop", max_chars=1000).count() == 2
+    kept = readers.read_reviews(spark, folder, bad_records="keep", max_chars=1000)
+    assert kept.where(F.col(readers.CORRUPT).isNotNull()).count() == 2 and kept.count() == 4
+    lost = readers.count_bad(spark, folder, max_chars=1000).collect()
+    assert [(r.file_name, r.lines, r.bad_lines) for r in lost] == [("C.jsonl", 4, 2)]
+
+
+def test_listings_of_one_file_are_read_by_several_tasks(spark, tmp_path):
+    head = "asin,title,imgUrl,productURL,stars,reviews,price,listPrice,category_id,isBestSeller,boughtInLastMonth\n"
+    (tmp_path / "l.csv").write_text(head + "".join(f"a{i},T,i,u,4.5,10,9.99,19.98,1,True,50\n" for i in range(5000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        df = readers.read_listings(spark, str(tmp_path / "l.csv"))
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_late_loads_add_and_reruns_do_not(spark, tmp_path):
@@ -93,7 +108,9 @@ def test_files_arriving_later_are_loaded_once(spark, tmp_path):
     refresh_reviews(*args)
     refresh_reviews(*args)
     write(inbox / "A.part2.jsonl", review(), "{broken")
-    refresh_reviews(*args)
+    with pytest.raises(Exception, match="malformed review"):
+        refresh_reviews(*args)
+    refresh_reviews(*args, bad_records="drop")
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 3 and {r.source_category for r in got.collect()} == {"A"}
 
