@@ -900,6 +900,21 @@ def _(m):
     return success.success_features(stored(m, "products"))
 
 
+def _trust_signals(m):
+    return once(m, "trust_signals", lambda: clusters.checkpointed(
+        anomalies.trust_features(m.product_review_trust, m.product_review_summary)))
+
+
+@entry("M4_trust_projection")
+def _(m):
+    return clusters.project(_trust_signals(m), A.TRUST_FEATURES).select("parent_asin", "source_category", "pc1", "pc2")
+
+
+@entry("M4_trust_loadings")
+def _(m):
+    return clusters.loadings(_trust_signals(m), A.TRUST_FEATURES)
+
+
 def _success(m):
     """Split and model shared by the success queries."""
     def make():
@@ -1198,6 +1213,14 @@ def _(m):
     return m.products.select("asin", "main_category", "store", "is_matched")
 
 
+@entry("J2_enrich_repeated_metadata", "SELECT asin, main_category, store, revenue_cents FROM products")
+def _(m):
+    """Every metadata row twice: no listing may be multiplied."""
+    return silver.products(m.listings, m.categories, rel.concat(m.metadata, m.metadata)).select(
+        "asin", "main_category", "store", "revenue_cents"
+    )
+
+
 @entry("J2_enrich_deduped", """SELECT asin, main_category, store, is_matched FROM products""")
 def _(m):
     return silver.products(m.listings, m.categories, m.metadata, dedupe=True, dedupe_metadata=True).select(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from checks import sql as S
 from checks.catalog import SELLABLE, SUB, TRUST_SQL, entry, once, prank, stored, top
 from mercata.functions import exact as E
+from mercata.functions.columns import TRUST_TIERS
 from mercata.ml import anomalies, attributions, clusters, success
 from mercata.operators import ranks
 from mercata.plans import analysis as A
@@ -122,11 +123,8 @@ def _(m):
     return serving.trust_products(with_ruled(m))
 
 
-TIER_BOUNDS = (20, 40, 60, 80, 100)
-
-
 @entry("N37_P22_ruled_trust_tiers", "SELECT trust_tier, count(*) AS products FROM (SELECT CASE "
-       + " ".join(f"WHEN trust_score <= {b} THEN '{b - 20}-{b}'" for b in TIER_BOUNDS)
+       + " ".join(f"WHEN trust_score <= {upper} THEN '{name}'" for upper, name in TRUST_TIERS)
        + " END AS trust_tier FROM ruled_scores) GROUP BY trust_tier")
 def _(m):
     return A.trust_tiers(ruled_scores(m))
@@ -233,13 +231,15 @@ def ruled_predictions(m) -> DataFrame:
     return features.withColumns({"score": score, "rawPrediction": score, "predicted": (number >= 512).cast("int")})
 
 
-@entry("M5e_ruled_evaluation", """WITH ranked AS (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS place
-    FROM ruled_predictions), c AS (SELECT count(*) FILTER (WHERE is_success = 1) AS pos, count(*) FILTER (WHERE is_success = 0) AS neg,
+@entry(
+    "M5e_ruled_evaluation", """SELECT metric, floor(value * 1e6 + 0.5) / 1e6 AS value FROM (
+    SELECT 'accuracy' AS metric, fit / n AS value FROM tallied UNION ALL SELECT 'f1', 2 * tp / (2 * tp + n - fit) FROM tallied
+    UNION ALL SELECT 'auc', (places - pos * (pos + 1) / 2) / (pos * neg) FROM tallied)""",
+    ranked="SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS place FROM ruled_predictions",
+    tallied="""SELECT count(*) FILTER (WHERE is_success = 1) AS pos, count(*) FILTER (WHERE is_success = 0) AS neg,
     count(*) FILTER (WHERE predicted = is_success) AS fit, count(*) AS n,
-    count(*) FILTER (WHERE predicted = 1 AND is_success = 1) AS tp, sum(place) FILTER (WHERE is_success = 1) AS places FROM ranked)
-  SELECT metric, floor(value * 1e6 + 0.5) / 1e6 AS value FROM (
-    SELECT 'accuracy' AS metric, fit / n AS value FROM c UNION ALL SELECT 'f1', 2 * tp / (2 * tp + n - fit) FROM c
-    UNION ALL SELECT 'auc', (places - pos * (pos + 1) / 2) / (pos * neg) FROM c)""")
+    count(*) FILTER (WHERE predicted = 1 AND is_success = 1) AS tp, sum(place) FILTER (WHERE is_success = 1) AS places FROM ranked""",
+)
 def _(m):
     return _rounded(success.evaluate_success(ruled_predictions(m)), "value")
 
@@ -285,7 +285,7 @@ def _(m):
 
 
 @entry("M6_ruled_waterfall", " UNION ALL ".join(
-    f"""SELECT asin, 0.5 AS base_value, score AS margin, '{f}' AS feature, CAST({v} AS DOUBLE) AS value, {_shap(success.FEATURES.index(f))} AS shap
+    f"""SELECT asin, CAST(0.5 AS DOUBLE) AS base_value, score AS margin, '{f}' AS feature, CAST({v} AS DOUBLE) AS value, {_shap(success.FEATURES.index(f))} AS shap
     FROM (SELECT * FROM ruled_predictions WHERE is_success = 1 ORDER BY score DESC, asin LIMIT 3)""" for f, v in SHAP_CHECKED.items()))
 def _(m):
     return attributions.waterfall(ruled_attributions(m), 3).where(F.col("feature").isin(*SHAP_CHECKED))

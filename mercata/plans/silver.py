@@ -34,12 +34,12 @@ def one_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
 
 def products(
     listings: DataFrame, categories: DataFrame, metadata: DataFrame,
-    dedupe: bool = False, dedupe_metadata: bool = False,
+    dedupe: bool = False, dedupe_metadata: bool = True,
 ) -> DataFrame:
     """One row per listing, enriched; money in cents, stars in tenths.
 
-    Listing ids may repeat and are kept by default.  ``dedupe_metadata`` keeps the
-    most-rated metadata row per id, for sources where the id is not unique.
+    Listing ids may repeat and are kept by default.  Of repeated metadata ids the most-rated row
+    is joined, so that none multiplies a listing; ``dedupe_metadata=False`` trusts them to be unique.
     """
     if dedupe:
         listings = one_per_key(listings, "asin", "review_count", "title")

@@ -80,8 +80,8 @@ def test_listings_keep_duplicates_unless_asked(market):
 
 def test_repeated_metadata_multiplies_only_when_kept(market):
     twice = market.metadata.unionByName(market.metadata)
-    assert silver.products(market.listings, market.categories, twice).count() == 8
-    assert silver.products(market.listings, market.categories, twice, dedupe_metadata=True).count() == 6
+    assert silver.products(market.listings, market.categories, twice, dedupe_metadata=False).count() == 8
+    assert silver.products(market.listings, market.categories, twice).count() == 6
 
 
 def test_full_catalogue_drops_only_rows_without_category(market):
