@@ -10,16 +10,20 @@ among their first tokens.  Two similar sets share tokens among the first few of
   share bounds their overlap from above, which leaves few pairs to compare.
 
 The size that parts small from large sets has the lowest cost, counted from the lists and the
-sizes themselves.  A set with too few rare tokens for that (a member of a large group of near
-copies, say) is *bound*.  Bound sets meet the others by the rare tokens of their whole text, and
-each other by lists in which only links between different components are looked for: first to a
-member drawn per list, then, between components that are still apart, to all.
+sizes themselves.
+
+A set with too few rare tokens among its emitted ones is *bound*; it meets the other sets by the rare
+tokens of its whole text.  Among bound sets, tokens that many of them hold come last as well.  What
+then still lacks rare tokens belongs to a large group of near copies.  Such sets form families, which
+share tokens of their fronts; a family is compared in tiles of bounded size, whose inverted
+lists give exact overlaps and from which only a spanning forest of links comes out.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from mercata.llm.graph import components
@@ -29,7 +33,8 @@ from mercata.llm.support import discard, stored
 SHARE = 85              # hundredths of the union that similar sets have in common
 HEAVY = 32              # lists longer than this are heavy
 BOUNDARIES = (0, 13, 20, 32, 48)  # sizes among which the largest small set is chosen
-DRAWN_PARTNERS = 3      # partners per set that are compared in the first round
+TILE_SETS = 2_048       # sets of a family on either side of a tile, about
+TILE_TOKENS = 2_000_000  # tokens of these sets, about
 
 
 def lowest(n: Column) -> Column:
@@ -98,6 +103,8 @@ def boundary(scans: Observation, sizes: list) -> int:
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
     pairs = stored(pairs.select("a", "b"), "ngram-pairs")
+    if pairs.isEmpty():
+        return pairs
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     sets = stored(token_sets(docs.join(ids, "doc_id", "left_semi"), whole=True).select("doc_id", "tokens"), "ngram-sets")
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("tokens").alias(f"{c}_tokens"))
@@ -174,17 +181,23 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("doc", "n", "bound", F.when(F.col("bound"), F.col("tokens")).otherwise(F.slice("rare", F.lit(1), first)).alias("tokens")),
         "ngram-marked",
     )
-    bound = marked.filter("bound").select("doc", "n", F.slice("tokens", F.lit(1), first).alias("tokens"))
-
-    # bound sets by the rare tokens of their whole text
-    texts = docs.join(bound.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
-    full = token_sets(texts, whole=True).select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("tokens").alias("token"))
-    rest = (
-        full.join(heavy, "token", "left_anti").groupBy("doc", "n")
-        .agg(F.sort_array(F.collect_set("token")).alias("tokens"))
-        .select("doc", "n", F.lit(True).alias("bound"), F.slice("tokens", F.lit(1), first).alias("tokens"))
+
+    # bound sets: rare tokens of the whole text, without those that many bound sets hold, too
+    texts = docs.join(marked.filter("bound").select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
+    full = stored(
+        token_sets(texts, whole=True).select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "tokens"), "ngram-full"
+    )
+    front = lambda rows: rows.groupBy("doc", "n").agg(F.sort_array(F.collect_set("token")).alias("all")).select(
+        "doc", "n", (F.size("all") < first).alias("bound"), F.slice("all", F.lit(1), first).alias("tokens")
+    )
+    deep = stored(full.select("doc", "n", F.explode("tokens").alias("token")).join(heavy, "token", "left_anti"), "ngram-deep")
+    rest = front(deep).withColumn("bound", F.lit(True))
+    crowded = deep.groupBy("token").agg(count.alias("length")).filter(F.col("length") > HEAVY).select("token")
+    freed = stored(front(deep.join(crowded, "token", "left_anti")), "ngram-freed")
+    family = full.join(freed.filter("not bound").select("doc"), "doc", "left_anti")
+    among = bounded_pairs(
+        freed.select("doc", "n", "bound", F.explode("tokens").alias("token")), ~(F.col("a.bound") & F.col("b.bound")), 0
     )
-    rest = stored(rest, "ngram-rest")
     every = marked.filter("not bound").unionByName(rest)
     single = every.filter(F.col("n") * 100 > SHARE * small).select(
         "doc", "n", "bound", F.lit(1).alias("kind"), F.explode("tokens").alias("token")
@@ -197,38 +210,82 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # a token that only bound sets hold meets nobody here
     general = bounded_pairs(entries, ~(F.col("a.bound") & F.col("b.bound")) & (F.col("a.kind") == F.col("b.kind")), small)
 
-    # bound sets among each other, in plain hash order
-    lists = bound.select("doc", "n", F.explode("tokens").alias("token"))
-    lengths = lists.groupBy("token").agg(count.alias("length"), F.min(F.struct(F.xxhash64("token", "doc"), "doc", "n")).alias("drawn"))
-    lists = stored(lists.join(lengths.filter("length > 1"), "token"), "ngram-lists")
-    drawn = (
-        lists.filter(F.col("doc") != F.col("drawn.doc"))
-        .filter((F.col("n") * 100 >= F.col("drawn.n") * SHARE) & (F.col("drawn.n") * 100 >= F.col("n") * SHARE))
-        .groupBy(F.least("doc", "drawn.doc").alias("a"), F.greatest("doc", "drawn.doc").alias("b"))
-        .agg(count.alias("shared"))
+    pairs = stored(general.unionByName(among), "ngram-candidates")
+
+    # the most promising partner of each set first, then whatever lies between components
+    fronts = marked.filter("bound").select("doc", F.slice("tokens", F.lit(1), first).alias("front"))
+    near = stored(in_families(family, fronts), "ngram-links")
+    links = verified(promising(pairs), docs).union(near)
+    more = verified(apart(pairs.select("a", "b"), stored(components(links), "ngram-components")), docs)
+    return sets.select("doc_id", "n_shingles", "print"), components(links.union(more))
+
+
+def in_families(sets: DataFrame, fronts: DataFrame) -> DataFrame:
+    """A spanning forest (a, b) of the links among ``sets`` (doc, n, tokens), similar pairs of which share
+    a token of their ``fronts`` (doc, front)."""
+    entries = sets.select("doc").join(fronts, "doc").select("doc", F.explode("front").alias("token"))
+    least = entries.groupBy("token").agg(F.min("doc").alias("least"))
+    related = entries.join(least, "token").select(F.col("doc").alias("a"), F.col("least").alias("b"))
+    families = stored(components(related.distinct()), "ngram-families").select(F.col("node").alias("doc"), F.col("component").alias("family"))
+    members = sets.join(families, "doc")
+    sizes = members.groupBy("family").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / TILE_SETS, F.sum("n") / TILE_TOKENS)).cast("int").alias("blocks")
     )
-    pairs = stored(general.unionByName(drawn), "ngram-candidates")
-
-    # the most promising partners of each set first, then whatever lies between components
-    links = verified(promising(pairs), docs)
-    found = stored(components(links), "ngram-components")
-    across = apart(pairs.select("a", "b"), found)
-    placed = lists.join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "token", "doc", "n", F.coalesce("component", "doc").alias("component")
+    placed = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    tiles = placed.withColumn("other", other).select(
+        "family", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
+        (F.col("block") < F.col("other")).alias("on_left"), "doc", "tokens",
     )
-    mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    placed = placed.join(mixed.select("token"), "token", "left_semi")
-    across = across.union(bounded_pairs(placed, F.col("a.component") != F.col("b.component"), 0).select("a", "b")).distinct()
-    more = verified(across, docs)
-    return sets.select("doc_id", "n_shingles", "print"), components(links.union(more))
+
+    def run(rows: pa.Table) -> pa.Table:
+        ids, on_left = rows.column("doc").to_numpy(), rows.column("on_left").to_numpy(zero_copy_only=False)
+        tokens = rows.column("tokens").combine_chunks()
+        links = forest(ids, np.diff(tokens.offsets.to_numpy()), tokens.flatten().to_numpy(), on_left)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return tiles.groupBy("family", "left", "right").applyInArrow(run, "a long, b long")
+
+
+def forest(ids: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, on_left: np.ndarray) -> list[tuple]:
+    """Links (smaller id, larger id) that join what similar pairs join: pairs between the sets on the left
+    and the others, or all pairs where no set is on the left."""
+    owner = np.repeat(np.arange(len(ids)), sizes)
+    _, token, length = np.unique(tokens, return_inverse=True, return_counts=True)
+    order = np.argsort(token, kind="stable")
+    lists, start = owner[order], np.concatenate([[0], np.cumsum(length)])
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    root = list(range(len(ids)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    links, split = [], on_left.any()
+    for i in np.flatnonzero(on_left) if split else range(len(ids)):
+        mine = token[begin[i]:begin[i + 1]]
+        mine = mine[length[mine] > 1]
+        if not len(mine):
+            continue
+        common = np.bincount(np.concatenate([lists[start[t]:start[t + 1]] for t in mine]), minlength=len(ids))
+        similar = common * 100 >= (sizes + sizes[i] - common) * SHARE
+        similar[i] = False
+        for j in np.flatnonzero(similar & ~on_left if split else similar):
+            a, b = find(i), find(int(j))
+            if a != b and ids[i] != ids[j]:
+                root[a] = b
+                links.append((min(int(ids[i]), int(ids[j])), max(int(ids[i]), int(ids[j]))))
+    return links
 
 
 def promising(pairs: DataFrame) -> DataFrame:
-    """Per set the pairs with the ``DRAWN_PARTNERS`` partners that share most lists with it."""
+    """Per set the pair with the partner that shares most lists with it."""
     both = pairs.union(pairs.select(F.col("b"), F.col("a"), "shared"))
-    nth = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
-    kept = both.withColumn("nth", nth).filter(F.col("nth") <= DRAWN_PARTNERS)
-    return kept.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    best = both.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("b"))).alias("best"))
+    other = -F.col("best.b")
+    return best.select(F.least("a", other).alias("a"), F.greatest("a", other).alias("b")).distinct()
 
 
 def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -256,6 +313,15 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows and columns of ``docs`` whose document is the smallest id of its component; rows without an id stay."""
-    later = near_copies(docs).filter("component_id <> doc_id").select(F.col("doc_id").alias("_later")).distinct()
-    return docs.join(later, docs["doc_id"] == F.col("_later"), "left_anti")
+    """The rows and columns of ``docs`` whose document is the smallest id of its component.
+
+    Of several rows with one id the first in order of their columns stays; rows without an id stay."""
+    found = stored(near_copies(docs).filter("doc_id is not null").select("doc_id", "component_id"), "ngram-classes")
+    later = found.filter("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(later, "doc_id", "left_anti")
+    twice = found.filter("component_id = doc_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if twice.isEmpty():
+        return kept
+    once, rows = kept.join(twice, "doc_id", "left_anti"), kept.join(twice, "doc_id", "left_semi")
+    rows = rows.select(F.struct("*").alias("row")).groupBy("row.doc_id").agg(F.min("row").alias("row")).select("row.*")
+    return once.unionByName(rows)
