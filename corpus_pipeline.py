@@ -1,12 +1,50 @@
-"""A corpus pipeline of five stages, each calling one operator of ``mercata.llm``."""
+"""A corpus pipeline of five stages, each calling one operator of ``mercata.llm``.
+
+Toxic documents go; one document of each group of near copies stays; secrets are masked in
+place; sources are mixed to their target weights, so a document may leave or stay twice; what is
+left is packed into sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mercata.llm import mixing, ngram_join, packing, secrets, toxicity
 from mercata.llm.support import prepare, stored, table
 
-STAGES = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.train(docs, table(prepare(spark), sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=True)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return ngram_join.one_of_each(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return secrets.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return mixing.mixture(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("secrets", mask_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 #: The stages train a model and draw a sample by hash; SQL cannot express them.
 ORACLE_SQL = None
 
@@ -15,5 +53,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents, each over the written result of the one before."""
     docs = table(prepare(spark), sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

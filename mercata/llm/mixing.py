@@ -129,26 +129,28 @@ def mix_plan(docs: DataFrame, seed: int = 11) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = 11) -> DataFrame:
-    """All rows and columns of ``docs`` with ``mix``: a struct (size, source_size, target, copies).
+    """All rows of ``docs`` as (row, mix): the row's columns, and size, source_size, target, copies.
 
     A null or empty text has size 0 and a null source is a source of its own.  Rows that agree in
     doc_id, source and size are taken alike.  An empty table gives no rows.  Which rows are
     taken depends on doc_id, size and seed only, so reruns and retries agree.
     """
-    plan = mix_plan(docs, seed).select(F.struct("*").alias("_plan"))
-    size = words(F.col("text"))
-    at = docs.withColumns({"_key": source_key(F.col("source")), "_size": size})
-    joined = at.join(plan, F.col("_key") == F.col("_plan.key"))
+    plan = mix_plan(docs, seed).select(F.struct("*").alias("plan"))
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.select("row", source_key(F.col("row.source")).alias("key"), words(F.col("row.text")).alias("size"))
+    joined = rows.join(plan, F.col("key") == F.col("plan.key"))
     own = F.struct(
-        rank(F.col("_plan.inclusion"), seed, F.col("doc_id"), F.col("_size")).alias("rank"),
-        F.col("doc_id").alias("doc_id"), F.col("_size").alias("size"),
+        rank(F.col("plan.inclusion"), seed, F.col("row.doc_id"), F.col("size")).alias("rank"),
+        F.col("row.doc_id").alias("doc_id"), F.col("size").alias("size"),
     )
-    more = F.coalesce((own["rank"] < F.col("_plan.floor")) | (own <= F.col("_plan.cut")), F.lit(False))
-    return joined.withColumn(
-        "mix",
-        F.struct(
-            F.col("_size").alias("size"), F.col("_plan.source_size").alias("source_size"),
-            F.col("_plan.target").alias("target"),
-            (F.col("_plan.whole") + more.cast("int")).alias("copies"),
-        ),
-    ).drop("_key", "_size", "_plan")
+    more = F.coalesce((own["rank"] < F.col("plan.floor")) | (own <= F.col("plan.cut")), F.lit(False))
+    return joined.select("row", F.struct(
+        F.col("size"), F.col("plan.source_size").alias("source_size"), F.col("plan.target").alias("target"),
+        (F.col("plan.whole") + more.cast("int")).alias("copies"),
+    ).alias("mix"))
+
+
+def mixture(docs: DataFrame, seed: int = 11) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with its columns."""
+    taken = mix(docs, seed).filter("mix.copies > 0")
+    return taken.select(F.explode(F.array_repeat("row", F.col("mix.copies"))).alias("row")).select("row.*")

@@ -35,7 +35,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select(
-        "doc_id", "source", F.col("mix.size").alias("size"), F.col("mix.source_size").alias("source_size"),
+        "row.doc_id", "row.source", F.col("mix.size").alias("size"), F.col("mix.source_size").alias("source_size"),
         F.col("mix.target").alias("target"), F.col("mix.copies").alias("copies"),
         (F.col("mix.copies") * F.col("mix.size")).cast("long").alias("taken"),
     )

@@ -1,0 +1,43 @@
+"""The pipeline against its stages done by hand on the smallest tables."""
+
+from collections import Counter
+
+import corpus_pipeline
+from mercata.llm import ngram_join, secrets, toxicity
+from mercata.llm.support import table
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_pipeline_stage_by_stage(spark):
+    docs = table(spark, SF, "documents")
+    columns = docs.columns
+    out = docs
+    for name, stage in corpus_pipeline.STAGES:
+        before, out = out, stage(spark, out, SF)
+        if name != "packing":
+            assert out.columns == columns
+            out = spark.createDataFrame(out.collect(), docs.schema)
+        if name == "toxicity":
+            model = toxicity.train(before, table(spark, SF, "labels"))
+            flagged = {r.doc_id for r in toxicity.score(before, model).filter("predicted = 1").collect()}
+            assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in before.collect() if r.doc_id not in flagged)
+        if name == "near_copies":
+            kept = {r.component_id for r in ngram_join.near_copies(before).collect()}
+            assert sorted(r.doc_id for r in out.collect()) == sorted(kept)
+        if name == "secrets":
+            assert out.count() == before.count()
+            for r in out.collect():
+                assert not secrets.base_spans(r.text) and r.n_chars == len(r.text)
+        if name == "mixing":
+            times = Counter(r.doc_id for r in out.collect())
+            assert set(times) <= {r.doc_id for r in before.collect()} and max(times.values()) <= 2
+        if name == "packing":
+            words = Counter()
+            for r in out.collect():
+                words[r.doc_id] += r.n_words
+            want = Counter()
+            for r in before.collect():
+                want[r.doc_id] += len(r.text.split(" ")) and len([w for w in r.text.encode().split()])
+            assert words == want
+    assert len(out.collect()) == len(corpus_pipeline.run(spark, SF).collect())
