@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,7 +22,7 @@ from mercata.plans import analysis as A
 from mercata.plans import gold_products as gp
 from mercata.plans import gold_reviews as gr
 from mercata.plans import serving
-from mercata.session import build_session
+from mercata.session import build_session, scratch_path
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -99,8 +98,8 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    run(spark, tempfile.mkdtemp(prefix="bench-"), False)
-    times = run(spark, tempfile.mkdtemp(prefix="bench-"), True)
+    run(spark, scratch_path(spark, "bench"), False)
+    times = run(spark, scratch_path(spark, "bench"), True)
     print(json.dumps({
         "metric": "marketplace pipeline and reports", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(SF_DIR.rstrip("/")),

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Medians of ratings keep a few values per group; hash that many groups before sorting.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
+    # Checkpoint files go with the tables that were cut off by them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Noting the Python call site of every column costs seconds per large plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
