@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from mercata.llm.graph import components
 from mercata.llm.shingles import WORDS, shingle_sets
-from mercata.llm.support import discard, stored
+from mercata.llm.support import discard, picked, stored
 
 SHARE = 85              # hundredths of the union that similar sets have in common
 HEAVY = 32              # lists longer than this are heavy
@@ -105,8 +105,8 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = stored(pairs.select("a", "b"), "ngram-pairs")
     if pairs.isEmpty():
         return pairs
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stored(token_sets(docs.join(ids, "doc_id", "left_semi"), whole=True).select("doc_id", "tokens"), "ngram-sets")
+    ids = stored(pairs.select("a").union(pairs.select("b")).distinct(), "ngram-ids")
+    sets = stored(token_sets(picked(docs, ids, "doc_id"), whole=True).select("doc_id", "tokens"), "ngram-sets")
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("tokens").alias(f"{c}_tokens"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -148,7 +148,8 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = stored(
         sets.select("doc_id", "print").join(same, "print").filter("doc_id <> node").select("doc_id"), "ngram-copies"
     )
-    nodes = sets.filter(F.size("tokens") > 0).filter("doc_id is not null").join(copies, "doc_id", "left_anti").select(
+    fit = sets.filter(F.size("tokens") > 0).filter("doc_id is not null")
+    nodes = picked(fit, copies, "doc_id", "left_anti").select(
         F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "tokens"
     )
     count = F.count(F.lit(1))
@@ -183,7 +184,7 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
     # bound sets: rare tokens of the whole text, without those that many bound sets hold, too
-    texts = docs.join(marked.filter("bound").select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
+    texts = picked(docs, marked.filter("bound").select("doc"), "doc_id")
     full = stored(
         token_sets(texts, whole=True).select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "tokens"), "ngram-full"
     )
@@ -317,11 +318,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of several rows with one id the first in order of their columns stays; rows without an id stay."""
     found = stored(near_copies(docs).filter("doc_id is not null").select("doc_id", "component_id"), "ngram-classes")
-    later = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(later, "doc_id", "left_anti")
+    later = stored(found.filter("component_id <> doc_id").select("doc_id").distinct(), "ngram-later")
+    kept = picked(docs, later, "doc_id", "left_anti")
     twice = found.filter("component_id = doc_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    twice = stored(twice, "ngram-twice")
     if twice.isEmpty():
         return kept
-    once, rows = kept.join(twice, "doc_id", "left_anti"), kept.join(twice, "doc_id", "left_semi")
+    once, rows = picked(kept, twice, "doc_id", "left_anti"), picked(kept, twice, "doc_id")
     rows = rows.select(F.struct("*").alias("row")).groupBy("row.doc_id").agg(F.min("row").alias("row")).select("row.*")
     return once.unionByName(rows)

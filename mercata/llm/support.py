@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercata.session import scratch_path
+from mercata.session import drop_path, scratch_path
 
-ARROW_ROWS = 1_000  # rows of text handed to Python at once
+ARROW_ROWS = 1_000        # rows of text handed to Python at once
+BROADCAST_IDS = 4_000_000  # ids (32 MB) that are broadcast to pick rows; more are joined by a shuffle
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,24 +21,38 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+WRITTEN: list[str] = []  # folders of the tables that ``stored`` wrote in this application, oldest first
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here, a lost
     executor costs no recomputation, and Spark knows the table's size."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Delete the tables stored after the first ``since``, but for the last ``keep``, once nothing reads them."""
+    for path in WRITTEN[since:len(WRITTEN) - keep]:
+        drop_path(spark, path)
+    del WRITTEN[since:len(WRITTEN) - keep]
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that ``stored`` made and that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
-    for folder in folders:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(path, True)
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        drop_path(df.sparkSession, folder)
+
+
+def picked(rows: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
+    """Rows whose ``on`` is among (``left_anti``: not among) a written table of ids.  The ids are broadcast if
+    their number, which is checked, allows; so the rows, with their texts, mostly stay where they are."""
+    ids = ids.select(ids.columns[0]).toDF("picked_id")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return rows.alias("r").join(ids.alias("i"), F.col(f"r.{on}") == F.col("i.picked_id"), how)
 
 
 def blocks_of(rows: int, per_block: int) -> int:
