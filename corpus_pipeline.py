@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from mercata.llm import mixing, ngram_join, packing, secrets, toxicity
-from mercata.llm.support import prepare, stored, table
+from mercata.llm.support import WRITTEN, prepare, release, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents, each over the written result of the one before."""
+    """Apply the stages to documents, each over the written result of the one before.
+
+    Once a stage's result is written, its intermediate tables and its input go."""
     docs = table(prepare(spark), sf_dir, "documents")
+    before = len(WRITTEN)
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(spark, before, keep=1)
     return docs

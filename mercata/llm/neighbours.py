@@ -49,7 +49,7 @@ def best(queries, rows, k: int):
                 near = np.flatnonzero((high[j] >= certain) & ~own[j])
             else:
                 near = np.flatnonzero(~own[j])
-            score = (exact_r[near] * exact[j]).sum(axis=1)
+            score = np.cumsum(exact_r[near] * exact[j], axis=1)[:, -1]  # added up in order of dimension
             top = np.lexsort((row_ids[near], -score))[:k]
             found.append((np.full(len(top), query), row_ids[near][top], score[top]))
     return tuple(map(np.concatenate, zip(*found)))

@@ -341,7 +341,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, labels))], pa.binary())], names=["model"])
 
     model = stored(sampled(docs, labels).repartition(1).mapInArrow(run, "model binary"), "toxic-model")
-    return pickle.loads(model.first()["model"])
+    found = model.first()  # no partition, and so no row, without labelled documents
+    return pickle.loads(found["model"]) if found else fit([], [])
 
 
 def score(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:

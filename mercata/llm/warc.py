@@ -28,6 +28,7 @@ LEVEL = 3
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+ONCE = ("warc-type", "warc-record-id", "warc-date", "content-length")
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -68,7 +69,10 @@ def parsed(data: bytes, at: int = 0):
         name, colon, value = line.partition(b":")
         if not colon:
             return "malformed header"
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        name = name.strip().lower().decode("latin-1")
+        if name in fields and name in ONCE:  # a cut record runs into the next one's header
+            return "repeated field"
+        fields[name] = value.strip().decode("utf-8", "replace")
     length = fields.get("content-length", "")
     if not length.isdigit():
         return "no length"

@@ -22,7 +22,7 @@ def brute(ids, data, every, k, whole=False):
     out = {}
     for i, q in zip(ids, x):
         if i % every == 0:
-            scores = (x * q).sum(axis=1)
+            scores = np.cumsum(x * q, axis=1)[:, -1]
             others = [(-s, j) for s, j in zip(scores, ids) if j != i]
             out[i] = [(j, -s) for s, j in sorted(others)[:k]]
     return out
