@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from mercata.llm import mixing, ngram_join, packing, secrets, toxicity
 from mercata.llm.support import WRITTEN, prepare, release, stored, table
 
+COPY_WORDS, COPY_SHARE = 5, 80  # near copies: runs of five words, 0.8 of the union; op1 has its own 4 and 0.85
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(prepare(spark), sf_dir, "labels"))
@@ -20,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, COPY_WORDS, COPY_SHARE)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

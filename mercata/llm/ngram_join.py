@@ -30,31 +30,31 @@ from mercata.llm.graph import components
 from mercata.llm.shingles import WORDS, shingle_sets
 from mercata.llm.support import discard, picked, stored
 
-SHARE = 85              # hundredths of the union that similar sets have in common
+SHARE = 85              # hundredths of the union that similar sets have in common, by default
 HEAVY = 32              # lists longer than this are heavy
 BOUNDARIES = (0, 13, 20, 32, 48)  # sizes among which the largest small set is chosen
 TILE_SETS = 2_048       # sets of a family on either side of a tile, about
 TILE_TOKENS = 2_000_000  # tokens of these sets, about
 
 
-def lowest(n: Column) -> Column:
+def lowest(n: Column, share: int = SHARE) -> Column:
     """Size of the smallest set that can be similar to one of size n."""
-    return F.ceil(n * SHARE / 100).cast("int")
+    return F.ceil(n * share / 100).cast("int")
 
 
-def overlap(n: Column, m: Column) -> Column:
+def overlap(n: Column, m: Column, share: int = SHARE) -> Column:
     """Common tokens that similar sets of sizes n and m have at least."""
-    return F.ceil((n + m) * SHARE / (100 + SHARE)).cast("int")
+    return F.ceil((n + m) * share / (100 + share)).cast("int")
 
 
-def first_tokens(n: Column) -> Column:
+def first_tokens(n: Column, share: int = SHARE) -> Column:
     """Tokens from the front of a set's order, two of which any similar set shares among its own."""
-    return (n - lowest(n) + 2).cast("int")
+    return (n - lowest(n, share) + 2).cast("int")
 
 
-def emitted(n: int) -> int:
+def emitted(n: int, share: int = SHARE) -> int:
     """Tokens kept in hash order: the first ones, and spare ones in place of heavy tokens."""
-    first = n - -(-n * SHARE // 100) + 2
+    first = n - -(-n * share // 100) + 2
     return min(n, first + first // 4 + 8)
 
 
@@ -66,61 +66,61 @@ def smallest_linked(share: int = SHARE) -> int:
     return n
 
 
-def token_sets(docs: DataFrame, whole: bool) -> DataFrame:
+def token_sets(docs: DataFrame, whole: bool, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """(doc_id, n_shingles, print, tokens): the set's size, a fingerprint, and its sorted tokens,
     all of them or the emitted ones; an empty set has no fingerprint."""
     def run(batches):
         import xxhash
 
         for batch in batches:
-            sets = list(shingle_sets(batch.column("text"), WORDS))
+            sets = list(shingle_sets(batch.column("text"), words))
             prints = [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets]
-            kept = sets if whole else [s[:emitted(len(s))] if len(s) >= least else s[:0] for s in sets]
+            kept = sets if whole else [s[:emitted(len(s), share)] if len(s) >= least else s[:0] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.string()),
                  pa.array(kept, pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "print", "tokens"],
             )
 
-    least = smallest_linked()
+    least = smallest_linked(share)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, n_shingles long, print string, tokens array<long>"
     )
 
 
-def boundary(scans: Observation, sizes: list) -> int:
+def boundary(scans: Observation, sizes: list, share: int = SHARE) -> int:
     """The largest small set: enumerating pairs costs what they number, scanning costs list entries
     and the pairs of entries of a list."""
     found = scans.get
     costs = {}
     for at in BOUNDARIES:
         pairs = sum(c * (p * (p - 1) // 2) for n, p, c in sizes if n <= at)
-        entries = sum(c * p for n, p, c in sizes if 100 * n > SHARE * at)
+        entries = sum(c * p for n, p, c in sizes if 100 * n > share * at)
         costs[at] = pairs + entries + float(found[f"scan_{at}"] or 0)
     return min(costs, key=costs.get)
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, words: int, share: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
     pairs = stored(pairs.select("a", "b"), "ngram-pairs")
     if pairs.isEmpty():
         return pairs
     ids = stored(pairs.select("a").union(pairs.select("b")).distinct(), "ngram-ids")
-    sets = stored(token_sets(picked(docs, ids, "doc_id"), whole=True).select("doc_id", "tokens"), "ngram-sets")
+    sets = stored(token_sets(picked(docs, ids, "doc_id"), True, words, share).select("doc_id", "tokens"), "ngram-sets")
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("tokens").alias(f"{c}_tokens"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    similar = common * 100 >= (F.size("a_tokens") + F.size("b_tokens") - common) * SHARE
+    similar = common * 100 >= (F.size("a_tokens") + F.size("b_tokens") - common) * share
     links = stored(both.filter(similar).select("a", "b"), "ngram-links")
     discard(sets)
     return links
 
 
-def bounded_pairs(entries: DataFrame, keep: Column, small: int) -> DataFrame:
+def bounded_pairs(entries: DataFrame, keep: Column, small: int, share: int) -> DataFrame:
     """Pairs of entries (token, doc, n, kind, ...) of a list, with the number ``shared`` of lists
     they share; pairs that cannot overlap enough are left out."""
     a, b = entries.alias("a"), entries.alias("b")
-    near = (F.col("a.n") * 100 >= F.col("b.n") * SHARE) & (F.col("b.n") * 100 >= F.col("a.n") * SHARE)
+    near = (F.col("a.n") * 100 >= F.col("b.n") * share) & (F.col("b.n") * 100 >= F.col("a.n") * share)
     single = F.lit(True) if "kind" not in entries.columns else (
         (F.col("a.kind") == 2) | (F.greatest("a.n", "b.n") > small)
     )
@@ -128,8 +128,8 @@ def bounded_pairs(entries: DataFrame, keep: Column, small: int) -> DataFrame:
     pairs = met.groupBy(F.col("a.doc").alias("a"), F.col("b.doc").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).agg(
         F.count(F.lit(1)).alias("shared")
     )
-    beyond = F.greatest(F.col("n_a") - first_tokens(F.col("n_a")), F.col("n_b") - first_tokens(F.col("n_b")))
-    enough = F.col("shared") + beyond >= overlap(F.col("n_a"), F.col("n_b"))
+    beyond = F.greatest(F.col("n_a") - first_tokens(F.col("n_a"), share), F.col("n_b") - first_tokens(F.col("n_b"), share))
+    enough = F.col("shared") + beyond >= overlap(F.col("n_a"), F.col("n_b"), share)
     return pairs.filter(enough | (F.greatest("n_a", "n_b") <= small)).select("a", "b", "shared")
 
 
@@ -140,10 +140,10 @@ def subsets(tokens: Column) -> Column:
     ))
 
 
-def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def similar_sets(docs: DataFrame, words: int, share: int) -> tuple[DataFrame, DataFrame]:
     """All documents' sets (doc_id, n_shingles, print), and the components of sets that links
     reach: (node, component), a node being the smallest doc_id of a set."""
-    sets = stored(token_sets(docs, whole=False), "ngram-sets")
+    sets = stored(token_sets(docs, False, words, share), "ngram-sets")
     same = sets.filter("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("node"))
     copies = stored(
         sets.select("doc_id", "print").join(same, "print").filter("doc_id <> node").select("doc_id"), "ngram-copies"
@@ -155,7 +155,7 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     count = F.count(F.lit(1))
     lists = nodes.select(F.explode("tokens").alias("token"), "n").groupBy("token").agg(
         count.alias("length"),
-        *[F.count(F.when(F.col("n") * 100 > SHARE * at, 1)).alias(f"in_{at}") for at in BOUNDARIES],
+        *[F.count(F.when(F.col("n") * 100 > share * at, 1)).alias(f"in_{at}") for at in BOUNDARIES],
     )
     scans = Observation("ngram-scan")
     light = F.col("length") <= HEAVY
@@ -164,11 +164,11 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         lists.observe(scans, *[F.sum(pairs_of(F.col(f"in_{at}"))).alias(f"scan_{at}") for at in BOUNDARIES])
         .filter(~light).select("token"), "ngram-heavy",
     )
-    first = first_tokens(F.col("n"))
+    first = first_tokens(F.col("n"), share)
     sizes = (
         nodes.filter(F.col("n") <= 4 * max(BOUNDARIES)).groupBy("n", first.alias("p")).agg(count.alias("c"))
     )  # at most 4 * max(BOUNDARIES) rows; larger sets scan lists at every boundary
-    small = boundary(scans, [(r["n"], r["p"], r["c"]) for r in sizes.collect()])
+    small = boundary(scans, [(r["n"], r["p"], r["c"]) for r in sizes.collect()], share)
 
     # rare tokens of every set, in hash order
     tokens = nodes.select("doc", "n", F.posexplode("tokens").alias("place", "token"))
@@ -186,7 +186,7 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # bound sets: rare tokens of the whole text, without those that many bound sets hold, too
     texts = picked(docs, marked.filter("bound").select("doc"), "doc_id")
     full = stored(
-        token_sets(texts, whole=True).select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "tokens"), "ngram-full"
+        token_sets(texts, True, words, share).select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "tokens"), "ngram-full"
     )
     front = lambda rows: rows.groupBy("doc", "n").agg(F.sort_array(F.collect_set("token")).alias("all")).select(
         "doc", "n", (F.size("all") < first).alias("bound"), F.slice("all", F.lit(1), first).alias("tokens")
@@ -197,10 +197,10 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     freed = stored(front(deep.join(crowded, "token", "left_anti")), "ngram-freed")
     family = full.join(freed.filter("not bound").select("doc"), "doc", "left_anti")
     among = bounded_pairs(
-        freed.select("doc", "n", "bound", F.explode("tokens").alias("token")), ~(F.col("a.bound") & F.col("b.bound")), 0
+        freed.select("doc", "n", "bound", F.explode("tokens").alias("token")), ~(F.col("a.bound") & F.col("b.bound")), 0, share
     )
     every = marked.filter("not bound").unionByName(rest)
-    single = every.filter(F.col("n") * 100 > SHARE * small).select(
+    single = every.filter(F.col("n") * 100 > share * small).select(
         "doc", "n", "bound", F.lit(1).alias("kind"), F.explode("tokens").alias("token")
     )
     entries = single
@@ -209,19 +209,19 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             "doc", "n", "bound", F.lit(2).alias("kind"), F.explode(subsets(F.col("tokens"))).alias("token")
         ))
     # a token that only bound sets hold meets nobody here
-    general = bounded_pairs(entries, ~(F.col("a.bound") & F.col("b.bound")) & (F.col("a.kind") == F.col("b.kind")), small)
+    general = bounded_pairs(entries, ~(F.col("a.bound") & F.col("b.bound")) & (F.col("a.kind") == F.col("b.kind")), small, share)
 
     pairs = stored(general.unionByName(among), "ngram-candidates")
 
     # the most promising partner of each set first, then whatever lies between components
     fronts = marked.filter("bound").select("doc", F.slice("tokens", F.lit(1), first).alias("front"))
-    near = stored(in_families(family, fronts), "ngram-links")
-    links = verified(promising(pairs), docs).union(near)
-    more = verified(apart(pairs.select("a", "b"), stored(components(links), "ngram-components")), docs)
+    near = stored(in_families(family, fronts, share), "ngram-links")
+    links = verified(promising(pairs), docs, words, share).union(near)
+    more = verified(apart(pairs.select("a", "b"), stored(components(links), "ngram-components")), docs, words, share)
     return sets.select("doc_id", "n_shingles", "print"), components(links.union(more))
 
 
-def in_families(sets: DataFrame, fronts: DataFrame) -> DataFrame:
+def in_families(sets: DataFrame, fronts: DataFrame, share: int) -> DataFrame:
     """A spanning forest (a, b) of the links among ``sets`` (doc, n, tokens), similar pairs of which share
     a token of their ``fronts`` (doc, front)."""
     entries = sets.select("doc").join(fronts, "doc").select("doc", F.explode("front").alias("token"))
@@ -242,13 +242,13 @@ def in_families(sets: DataFrame, fronts: DataFrame) -> DataFrame:
     def run(rows: pa.Table) -> pa.Table:
         ids, on_left = rows.column("doc").to_numpy(), rows.column("on_left").to_numpy(zero_copy_only=False)
         tokens = rows.column("tokens").combine_chunks()
-        links = forest(ids, np.diff(tokens.offsets.to_numpy()), tokens.flatten().to_numpy(), on_left)
+        links = forest(ids, np.diff(tokens.offsets.to_numpy()), tokens.flatten().to_numpy(), on_left, share)
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return tiles.groupBy("family", "left", "right").applyInArrow(run, "a long, b long")
 
 
-def forest(ids: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, on_left: np.ndarray) -> list[tuple]:
+def forest(ids: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, on_left: np.ndarray, share: int = SHARE) -> list[tuple]:
     """Links (smaller id, larger id) that join what similar pairs join: pairs between the sets on the left
     and the others, or all pairs where no set is on the left."""
     owner = np.repeat(np.arange(len(ids)), sizes)
@@ -271,7 +271,7 @@ def forest(ids: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, on_left: np.n
         if not len(mine):
             continue
         common = np.bincount(np.concatenate([lists[start[t]:start[t + 1]] for t in mine]), minlength=len(ids))
-        similar = common * 100 >= (sizes + sizes[i] - common) * SHARE
+        similar = common * 100 >= (sizes + sizes[i] - common) * share
         similar[i] = False
         for j in np.flatnonzero(similar & ~on_left if split else similar):
             a, b = find(i), find(int(j))
@@ -296,16 +296,18 @@ def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
-    A-Z count as a-z; words are runs of other than ASCII white space.  A set is the distinct runs of four
-    words of the whole text, or the whole sequence of fewer words.  Two documents link when their sets' intersection
-    has at least 0.85 of their union; component_id is the smallest doc_id reachable by links.  Null, empty and
+    A-Z count as a-z; words are runs of other than ASCII white space.  A set is the distinct runs of
+    ``words`` words of the whole text, or the whole sequence of fewer words.  Two documents link when their sets'
+    intersection has at least ``share`` hundredths (51 to 99) of their union; component_id is the smallest doc_id reachable by links.  Null, empty and
     wordless texts have no shingles and stay alone.  Rows with the same doc_id are one document, linked through
     any of them.  A row without an id takes the component of its equals, or null.  Other columns are ignored.
     """
-    sets, reached = similar_sets(docs)
+    if words < 1 or not 50 < share < 100:  # similar sets that differ share two tokens only above one half
+        raise ValueError(f"words {words} or share {share} out of range")
+    sets, reached = similar_sets(docs, words, share)
     same = sets.filter("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("node"))
     classes = same.join(reached, "node", "left").select("print", F.coalesce("component", "node").alias("component_id"))
     return sets.join(classes, "print", "left").select(
@@ -313,11 +315,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """The rows and columns of ``docs`` whose document is the smallest id of its component.
 
     Of several rows with one id the first in order of their columns stays; rows without an id stay."""
-    found = stored(near_copies(docs).filter("doc_id is not null").select("doc_id", "component_id"), "ngram-classes")
+    found = stored(near_copies(docs, words, share).filter("doc_id is not null").select("doc_id", "component_id"), "ngram-classes")
     later = stored(found.filter("component_id <> doc_id").select("doc_id").distinct(), "ngram-later")
     kept = picked(docs, later, "doc_id", "left_anti")
     twice = found.filter("component_id = doc_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")

@@ -134,3 +134,48 @@ def test_components_of_chains_and_stars(spark, frame):
     got = {r.node: r.component for r in graph.components(frame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}, 150: 150, 200: 150}
     assert graph.components(frame([], "a long, b long")).collect() == []
+
+
+def brute_of(rows, size, share):
+    """Smallest reachable id of every row by runs of ``size`` words and ``share`` hundredths."""
+    sets = []
+    for i, text in rows:
+        w = words_of(text)
+        sets.append((i, {tuple(w[j:j + size]) for j in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())))
+    links = [
+        (i, j) for x, (i, a) in enumerate(sets) for j, b in sets[:x] if a and b and 100 * len(a & b) >= share * len(a | b)
+    ]
+    least, changed = {i: i for i, _ in rows}, True
+    while changed:
+        changed = False
+        for i, j in links:
+            low = min(least[i], least[j])
+            changed |= least[i] != low or least[j] != low
+            least[i] = least[j] = low
+    return {i: (len(s), least[i]) for i, s in sets}
+
+
+@pytest.mark.parametrize("seed,heavy,small,size,share", [
+    (1, 32, None, 5, 80), (2, 3, 48, 5, 80), (3, 2, 20, 5, 80), (4, 1, 0, 5, 80), (5, 32, 48, 2, 51), (6, 3, None, 3, 95),
+])
+def test_other_words_and_shares_match_brute_force(spark, frame, monkeypatch, seed, heavy, small, size, share):
+    monkeypatch.setattr(ngram_join, "HEAVY", heavy)
+    if small is not None:
+        monkeypatch.setattr(ngram_join, "boundary", lambda *_: small)
+    rows = corpus(seed + 20, 60, 9)
+    extra = [(i, t, "x", 1, 2, 3, 4) for i, t in rows]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_copies(frame(extra, SCHEMA), size, share).collect()}
+    assert got == brute_of(rows, size, share)
+
+
+def test_pipeline_drops_near_copies_of_five_words_and_four_fifths(spark, frame):
+    """One word of 50 differs: 41 of 51 runs of five are common (0.80), 43 of 51 of four (0.84)."""
+    import corpus_pipeline
+
+    w = [f"a{i}" for i in range(50)]
+    rows = [(1, " ".join(w)), (2, " ".join([*w[:25], "other", *w[26:]])), (3, "something else altogether")]
+    rows += [(i + 10, t) for i, t in corpus(31, 40, 9)]
+    out = corpus_pipeline.drop_near_copies(spark, frame([(i, t, "x", 1, 2, 3, 4) for i, t in rows], SCHEMA), None)
+    kept = {r.doc_id for r in out.collect()}
+    assert kept == {c for _, c in brute_of(rows, 5, 80).values()} != {c for _, c in brute(rows).values()}
+    assert 1 in kept and 2 not in kept
