@@ -121,12 +121,17 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = Non
     groups = blocks_of(each.count(), PACKED_ROWS)
     rest = F.col("size") % capacity
     whole = F.col("size") - rest
-    whole_pieces = each.filter(whole > 0).select(
-        "doc_id", "source", "size",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.floor(whole / capacity) - 1)).alias("piece"), F.col("cluster"),
+    key = ["doc_id", "source", "size", "cluster"]  # rows that agree in these are numbered as copies
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    whole_pieces = (
+        each.filter(whole > 0).groupBy(*key).count().select(*key, upto(F.col("count")).alias("copy"))
+        .select(*key, "copy", upto(F.floor(whole / capacity)).alias("piece"))
     ).select(
         "doc_id", "source", "size", "piece", F.lit(capacity).cast("long").alias("n_words"),
-        F.concat_ws("-", F.lit("whole"), F.hex(F.xxhash64("doc_id", "cluster")), F.col("doc_id"), F.col("piece")).alias("sequence"),
+        F.concat_ws(
+            "-", F.lit("whole"), F.hex(F.xxhash64("doc_id", "cluster")), F.hex(F.xxhash64("source", "size")),
+            F.col("doc_id"), F.col("piece"), F.col("copy"),
+        ).alias("sequence"),
         F.lit(0).cast("long").alias("offset"), F.lit(capacity).cast("long").alias("fill"),
     )
     empty = each.filter("size = 0").select(

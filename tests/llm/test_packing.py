@@ -69,3 +69,21 @@ def test_packs_whole_documents(spark, frame, monkeypatch):
         assert members[0].n_words == 32 or len({r.source for r in members}) == len(members)
     assert sum(r.doc_id == 7 and r.n_words == 2 for r in got) == 5
     assert packing.pack(frame([], SCHEMA)).collect() == []
+
+
+def test_repeated_rows_of_several_capacities_are_packed_apart(spark, frame):
+    """Equal rows, and rows of one id and text under other sources, share no sequence."""
+    long, longer = "w " * 70, "v " * 96
+    rows = [(7, s, long, 1, "c", 2, "q", 3) for s in ("a", "a", "a", "b", None, None)]
+    rows += [(8, "a", longer, 1, "c", 2, "q", 3)] * 2 + [(None, None, long, 1, "c", 2, "q", 3)] * 2 + [(9, "b", "short text", 1, "c", 2, "q", 3)] * 3
+    got = packing.pack(frame(rows, SCHEMA), capacity=32).collect()
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence].append(r)
+    assert sum(r.n_words for r in got) == sum(len(row[2].split()) for row in rows)
+    assert sum(r.n_words == 32 for r in got) == 8 * 2 + 2 * 3
+    for members in sequences.values():
+        assert sum(r.n_words for r in members) == members[0].fill <= 32
+        assert len({r.source for r in members}) == len(members)
+        assert len({(r.doc_id, r.size) for r in members}) == len(members)
+        assert sorted(r.offset for r in members)[0] == 0
