@@ -2,7 +2,7 @@
 
 A vocabulary learnt from text spells words with long tokens and random strings with short
 ones.  Runs of key characters that need many tokens for their length are reported, unless
-they have the form of a known digest or identifier.
+they have the form of a known digest or identifier; runs without a digit need more still.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LONGEST_RATIO = 2.0   # characters per token of a random string, at most
+LETTERS_RATIO = 1.8   # the same of a string without digits
 SHORTEST = 20         # characters of a string that is tested
 LONGEST = 512         # longer runs are encoded data, judged piece by piece
 
@@ -46,21 +47,44 @@ def encoding(path: str):
 
 
 def identifier(run: str) -> bool:
-    """Known digests, UUIDs, numbers, and names without digits or of dictionary-like words."""
-    if DIGEST.fullmatch(run) or UUID.fullmatch(run) or DIGITS.fullmatch(run):
-        return True
-    return not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run))
+    """Known digests, UUIDs and numbers."""
+    return bool(DIGEST.fullmatch(run) or UUID.fullmatch(run) or DIGITS.fullmatch(run))
 
 
-def random_runs(text: str, path: str) -> Iterator[tuple[int, int]]:
+def uncovered(start: int, end: int, base: list) -> Iterator[tuple[int, int]]:
+    """What the base spans, sorted by start, leave of a run."""
+    for b_start, _, b_end in base:
+        if b_start >= end:
+            break
+        if b_end > start:
+            if b_start > start:
+                yield start, b_start
+            start = b_end
+    if start < end:
+        yield start, end
+
+
+def pieces(start: int, end: int) -> Iterator[tuple[int, int]]:
+    """A run in pieces of ``LONGEST`` characters; a last one too short to be tested goes with the one before."""
+    while start < end:
+        stop = start + LONGEST if end - start >= LONGEST + SHORTEST else end
+        yield start, stop
+        start = stop
+
+
+def random_runs(text: str, path: str, base: list) -> Iterator[tuple[int, int]]:
+    """Random pieces of what the base spans leave of each run."""
     for run in RUN.finditer(text):
         if identifier(run.group()):
             continue
-        for at in range(run.start(), run.end(), LONGEST):
-            end = min(at + LONGEST, run.end())
-            piece = text[at:end]
-            if len(piece) >= SHORTEST and len(piece) <= LONGEST_RATIO * len(encoding(path).encode_ordinary(piece)):
-                yield at, end
+        for start, end in uncovered(run.start(), run.end(), base):
+            rest = text[start:end]
+            if len(rest) < SHORTEST or identifier(rest):
+                continue
+            ratio = LONGEST_RATIO if any(c.isdigit() for c in rest) else LETTERS_RATIO
+            for at, stop in pieces(start, end):
+                if stop - at <= ratio * len(encoding(path).encode_ordinary(text[at:stop])):
+                    yield at, stop
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -74,14 +98,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def spans(text: str, path: str = VOCABULARY) -> tuple[list, list]:
-    """Base spans and all spans of a text, by start, then kind as listed.  A random run that a
-    base span covers or overlaps adds nothing."""
+    """Base spans and all spans of a text, by start, then kind as listed.  A random run is what
+    the base spans leave of it."""
     base = base_spans(text)
-    extra = [
-        (start, 3, end) for start, end in random_runs(text, path)
-        if not any(start < b_end and b_start < end for b_start, _, b_end in base)
-    ]
-    return base, sorted(base + extra)
+    return base, sorted(base + [(start, 3, end) for start, end in random_runs(text, path, base)])
 
 
 def written(found: list) -> str:
