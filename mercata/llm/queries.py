@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.llm import (
-    mixing, neighbours, ngram_join, packing, secrets, sharding, toxicity, vafile, warc, wrappers,
+    manifest, mixing, neighbours, ngram_join, packing, secrets, sharding, toxicity, vafile, warc, wrappers,
 )
 from mercata.llm.support import prepare, table
 
@@ -115,3 +115,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @entry("op1_ngram_jaccard")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_copies(table(spark, sf_dir, "documents"))
+
+
+@entry("op12_merkle_manifest", manifest.manifest_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
