@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.llm import (
-    manifest, mixing, neighbours, ngram_join, packing, secrets, sharding, toxicity, vafile, warc, wrappers,
+    decontamination, manifest, mixing, neighbours, ngram_join, packing, secrets, sharding, toxicity, vafile, warc,
+    wrappers,
 )
 from mercata.llm.support import prepare, table
 
@@ -117,6 +118,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_copies(table(spark, sf_dir, "documents"))
 
 
+@entry("op11_decontamination", decontamination.CONTAMINATED_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @entry("op12_merkle_manifest", manifest.manifest_sql())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"))
