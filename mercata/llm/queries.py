@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.llm import (
-    decontamination, manifest, mixing, neighbours, ngram_join, packing, secrets, sharding, toxicity, vafile, warc,
-    wrappers,
+    decontamination, manifest, mixing, negatives, neighbours, ngram_join, packing, secrets, sharding, toxicity,
+    vafile, warc, wrappers,
 )
 from mercata.llm.support import prepare, table
 
@@ -126,3 +126,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @entry("op12_merkle_manifest", manifest.manifest_sql())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+@entry("op13_hard_negatives", negatives.HARD_NEGATIVES_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    moved = (F.col("label").cast("long") + 1) % 10
+    label = F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label"))
+    return negatives.hard_negatives(embeddings.withColumn("label", label))
