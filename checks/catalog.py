@@ -845,8 +845,12 @@ def _features(m):
         clusters.cluster_features(stored(m, "products"))))
 
 
+def _archetypes(m):
+    return once(m, "archetypes", lambda: clusters.fit_archetypes(_features(m)))
+
+
 def _assigned(m):
-    return once(m, "assigned", lambda: clusters.checkpointed(clusters.assign_archetypes(_features(m))))
+    return once(m, "assigned", lambda: clusters.checkpointed(clusters.assign_archetypes(_features(m), model=_archetypes(m))))
 
 
 @entry("M1_W1_cluster_features", f"""SELECT asin, subcategory, price_cents, rating_tenths, review_count,
@@ -868,6 +872,26 @@ def _(m):
     return m.product_clusters
 
 
+@entry("M3_nearest_centre", f"SELECT count(*) AS listings, count(*) AS at_nearest FROM {SELLABLE}")
+def _(m):
+    return clusters.placement_check(_assigned(m), clusters.centre_table(_archetypes(m)))
+
+
+@entry("M3_centres_at_rest", f"SELECT least(count(*), 5) AS archetypes, least(count(*), 5) AS at_rest FROM {SELLABLE}")
+def _(m):
+    return clusters.rest_check(_assigned(m), clusters.centre_table(_archetypes(m)))
+
+
+@entry("M3_same_answer_in_other_partitions", f"""SELECT count(*) AS listings, count(*) AS same_cluster FROM {SELLABLE}""")
+def _(m):
+    """The model fitted once more, on the listings in other partitions and another order."""
+    other = clusters.fit_archetypes(_features(m).repartition(7, "title_length_rank"))
+    again = clusters.assign_archetypes(_features(m), model=other).select("asin", F.col("cluster").alias("again"))
+    return _assigned(m).join(again, "asin").agg(
+        F.count(F.lit(1)).alias("listings"), F.count_if(F.col("cluster") == F.col("again")).alias("same_cluster")
+    )
+
+
 @entry("M3_A17_archetype_profiles")
 def _(m):
     return clusters.archetype_profiles(_assigned(m))

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.functions.exact import half_up
+from mercata.ml import kmeans
 from mercata.operators import ranks as R
 from mercata.operators.relational import crosstab_pct, rows_of_top_groups
 from mercata.session import shared_dir
@@ -48,7 +47,7 @@ def cluster_features(products: DataFrame) -> DataFrame:
     return ranked.na.drop(subset=FEATURES)
 
 
-def scaler(features: list[str] = FEATURES) -> Pipeline:
+def scaler(features: list[str]) -> Pipeline:
     """Assemble the features and scale them to zero mean and unit deviation."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=features, outputCol="raw_vector"),
@@ -56,32 +55,26 @@ def scaler(features: list[str] = FEATURES) -> Pipeline:
     ])
 
 
-def scale(df: DataFrame, features: list[str] = FEATURES) -> tuple[PipelineModel, DataFrame]:
-    model = scaler(features).fit(df)
-    return model, model.transform(df)
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder before an iterative job."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
-def choose_k(features: DataFrame, ks=range(2, 13), silhouette_up_to: int = 10, seed: int = 42) -> DataFrame:
+def choose_k(
+    features: DataFrame, ks=range(2, 13), silhouette_up_to: int = 10, seed: int = 42, sample: int = kmeans.SILHOUETTE_SAMPLE
+) -> DataFrame:
     """Training cost and silhouette per k, of one model on all rows.
 
-    The silhouette uses squared distances, for which it needs one pass over sums per cluster.  Each fit
-    is a distributed job; only one number per k reaches the driver.
+    All models share the passes over the rows.  Silhouettes are by Euclidean distance, of up to
+    ``sample`` rows against each other; of all rows only sums per cluster reach the driver.
     """
-    _, scaled = scale(features.select("asin", *FEATURES))
-    scaled = checkpointed(scaled.select("asin", "vector"))
-    judge = ClusteringEvaluator(featuresCol="vector", predictionCol="cluster")
-    rows = []
-    for k in ks:
-        means = KMeans(k=k, seed=seed, maxIter=300, featuresCol="vector", predictionCol="cluster")
-        model = means.fit(scaled)
-        score = judge.evaluate(model.transform(scaled)) if k <= silhouette_up_to else None
-        rows.append((k, float(model.summary.trainingCost), score))
+    ks = list(ks)
+    _, points = kmeans.points_of(features, "asin", FEATURES)
+    models = kmeans.fit(points, ks, seed, max_iter=300)
+    judged = [m for k, (m, _) in zip(ks, models) if k <= silhouette_up_to]
+    scores = iter(kmeans.silhouettes(points, judged, seed, sample))
+    rows = [(k, cost, next(scores) if k <= silhouette_up_to else None) for k, (_, cost) in zip(ks, models)]
     return features.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
@@ -105,11 +98,10 @@ def name_clusters(centers: list, features: list[str] = FEATURES) -> dict[int, st
 
 
 def fit_archetypes(features: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 500) -> PipelineModel:
-    stages = [
-        *scaler().getStages(),
-        KMeans(k=k, seed=seed, maxIter=max_iter, initSteps=5, featuresCol="vector", predictionCol="cluster"),
-    ]
-    return Pipeline(stages=stages).fit(features)
+    """One answer for one set of listings, in whatever order and partitions they come."""
+    scale, points = kmeans.points_of(features, "asin", FEATURES)
+    centres, _ = kmeans.fit(points, [k], seed, max_iter)[0]
+    return PipelineModel([kmeans.CentresModel(features=FEATURES, scale=[list(s) for s in scale], centres=centres.tolist())])
 
 
 def assign_archetypes(features: DataFrame, k: int = 5, model: PipelineModel | None = None) -> DataFrame:
@@ -122,6 +114,51 @@ def assign_archetypes(features: DataFrame, k: int = 5, model: PipelineModel | No
     return model.transform(features).withColumn("cluster_name", F.element_at(label, F.col("cluster")))
 
 
+def centre_table(model: PipelineModel) -> DataFrame:
+    """The fitted centres as rows: (cluster, feature, mean, deviation, centre), the centre in deviations from the mean."""
+    stage = model.stages[-1]
+    features, scale = stage.getOrDefault(stage.features), stage.getOrDefault(stage.scale)
+    rows = [
+        (i, f, float(mean), float(spread), float(x))
+        for i, c in enumerate(stage.clusterCenters()) for f, (mean, spread), x in zip(features, scale, c)
+    ]
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame(rows, "cluster int, feature string, mean double, deviation double, centre double")
+
+
+def centre_distances(assigned: DataFrame, centres: DataFrame) -> DataFrame:
+    """(asin, cluster, other, distance): squared distance of every listing to every centre, by the table of centres."""
+    long = assigned.select("asin", "cluster", F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in FEATURES
+    ])).alias("x")).select("asin", "cluster", "x.*")
+    gap = F.try_divide(F.col("value") - F.col("mean"), F.col("deviation"))
+    gap = F.coalesce(gap, F.lit(0.0)) - F.col("centre")
+    return long.join(centres.withColumnRenamed("cluster", "other"), "feature").groupBy("asin", "cluster", "other").agg(
+        F.sum(gap * gap).alias("distance")
+    )
+
+
+def placement_check(assigned: DataFrame, centres: DataFrame, slack: float = 1e-5) -> DataFrame:
+    """How many listings lie with their nearest centre: (listings, at_nearest).  ``slack`` covers the rounding of scaled
+    features to whole units."""
+    own = F.min(F.when(F.col("other") == F.col("cluster"), F.col("distance"))).alias("own")
+    each = centre_distances(assigned, centres).groupBy("asin").agg(own, F.min("distance").alias("least"))
+    return each.agg(
+        F.count(F.lit(1)).alias("listings"), F.count_if(F.col("own") <= F.col("least") + slack).alias("at_nearest")
+    )
+
+
+def rest_check(assigned: DataFrame, centres: DataFrame) -> DataFrame:
+    """(archetypes, at_rest): the centres, and those that lie at the mean of their listings within the tolerance of the fit."""
+    means = assigned.groupBy("cluster").agg(*[F.avg(F.col(f).cast("double")).alias(f) for f in FEATURES])
+    means = means.unpivot("cluster", FEATURES, "feature", "value")
+    gap = F.coalesce(F.try_divide(F.col("value") - F.col("mean"), F.col("deviation")), F.lit(0.0)) - F.col("centre")
+    each = centres.join(means, ["cluster", "feature"], "left").groupBy("cluster").agg(F.sum(gap * gap).alias("moved"))
+    return each.agg(
+        F.count(F.lit(1)).alias("archetypes"), F.count_if(F.col("moved") <= 2 * kmeans.TOLERANCE).alias("at_rest")
+    )
+
+
 def product_clusters(products: DataFrame, k: int = 5) -> DataFrame:
     assigned = assign_archetypes(cluster_features(products), k)
     return assigned.select(

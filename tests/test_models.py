@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mercata.ml import anomalies, attributions, clusters, models, success
+from mercata.ml import anomalies, attributions, clusters, kmeans, models, success
 from mercata.plans import analysis as A
 
 
@@ -181,14 +181,61 @@ def test_summary_compares_with_exact_medians(spark):
         assert (r.avg_shap_high, r.avg_shap_low, r.direction) == (1.0, -1.0, 2.0)
 
 
-def test_silhouettes_are_taken_of_all_rows(spark):
-    """Beyond 50,000 rows inertia and silhouette still describe one model."""
-    rows = spark.range(52_000).select(F.col("id").cast("string").alias("asin"), *[
+def test_inertia_of_all_rows_and_silhouette_of_a_sample(spark):
+    """Beyond the sample inertia and silhouette still describe one model."""
+    rows = spark.range(12_000).select(F.col("id").cast("string").alias("asin"), *[
         (F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 1000.0 + F.when(F.col("id") < 100, 60.0).otherwise(0.0)).alias(f)
         for i, f in enumerate(clusters.FEATURES)
     ])
-    r = clusters.choose_k(rows, range(2, 3)).first()
+    r = clusters.choose_k(rows, range(2, 3), sample=3_000).first()
     assert r.silhouette > 0.9  # the hundred far rows form a cluster of their own
+    values = np.array([[r[f] for f in clusters.FEATURES] for r in rows.collect()])
+    values = (values - values.mean(axis=0)) / values.std(axis=0, ddof=1)
+    far = values[:, 0] > 5
+    cost = sum(((part - part.mean(axis=0)) ** 2).sum() for part in (values[far], values[~far]))
+    assert far.sum() == 100 and r.inertia == pytest.approx(cost, rel=1e-4)
+
+
+def test_silhouette_by_euclidean_distance(spark):
+    rng = np.random.default_rng(8)
+    rows = np.rint(rng.normal(size=(2_000, 3)) * kmeans.UNIT).astype(int)
+    rows[:3] = 9 * kmeans.UNIT  # equal rows, in a cluster of their own
+    centres = [np.array([[0, 0, 0], [kmeans.UNIT, 0, 0], [9 * kmeans.UNIT] * 3, [-99 * kmeans.UNIT] * 3], float), np.zeros((1, 3))]
+    points = spark.createDataFrame([(str(i), r.tolist()) for i, r in enumerate(rows)], "key string, z array<long>")
+    label = ((rows[:, None] - centres[0][None]) ** 2.0).sum(axis=2).argmin(axis=1)
+    apart = np.sqrt(((rows[:, None] - rows[None]) ** 2.0).sum(axis=2))
+    scores = []
+    for i, own in enumerate(label):
+        mine = apart[i][label == own]
+        a = mine.sum() / max(len(mine) - 1, 1)
+        b = min(apart[i][label == c].mean() for c in set(label) if c != own)
+        scores.append((b - a) / max(a, b) if len(mine) > 1 else 0.0)
+    got = kmeans.silhouettes(points, centres, seed=1)
+    assert got[0] == pytest.approx(np.mean(scores), abs=1e-9) and got[1] is None
+
+
+def test_centres_do_not_depend_on_order_or_partitions(spark):
+    rows = spark.range(3_000).select(F.col("id").cast("string").alias("asin"), *[
+        (F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 1000.0 + F.pmod("id", F.lit(i + 2))).alias(f)
+        for i, f in enumerate(clusters.FEATURES)
+    ])
+    fits = [
+        [c.tolist() for c in clusters.fit_archetypes(x).stages[0].clusterCenters()]
+        for x in (rows, rows, rows.repartition(3), rows.repartition(7, "rating"), rows.orderBy(F.desc("sales_rank")).coalesce(1))
+    ]
+    assert all(f == fits[0] for f in fits)
+
+
+def test_fewer_different_rows_than_centres(spark):
+    rows = spark.createDataFrame([(str(i), 1.0, 1.0, 1.0, 4.0, 0, float(i % 3)) for i in range(20)], "asin string, " + ", ".join(
+        f"{f} double" if f != "is_best_seller" else f"{f} int" for f in clusters.FEATURES))
+    model = clusters.fit_archetypes(rows)
+    assert len(model.stages[0].clusterCenters()) == 3  # features that don't vary are 0
+    assigned = clusters.assign_archetypes(rows, model=model)
+    assert assigned.select("cluster").distinct().count() == 3
+    assert tuple(clusters.placement_check(assigned, clusters.centre_table(model)).first()) == (20, 20)
+    with pytest.raises(ValueError, match="no rows"):
+        clusters.fit_archetypes(rows.limit(0))
 
 
 def test_archetypes(spark, products, tmp_path):
