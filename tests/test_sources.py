@@ -1,10 +1,12 @@
 import json
+import random
 import shutil
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mercata.sources import readers, tables
+from mercata.sources import csv_ranges, readers, tables
 from mercata.streaming.incremental import refresh_reviews
 
 
@@ -38,6 +40,50 @@ def test_metadata_folder_keeps_prices_and_line_breaks(spark, tmp_path):
     assert both.count() == 2
 
 
+@pytest.fixture
+def small_ranges(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def quoted_file(rng, rows, end):
+    """CSV text with line breaks, quotes, commas and empty fields, some records longer than a byte range."""
+    out = ["a,b,c" + end]
+    for i in range(rows):
+        words = ["x", 'say ""hi""', end, "\n", ",", "é", '""', end + end, " "]
+        text = "".join(rng.choices(words, k=rng.choice([0, 1, 3, 9, 400 if i % 17 == 0 else 5])))
+        out.append(f'{i},"{text}",' + rng.choice(["", '""', "plain", f'"{end}"', " spaced "]) + end)
+        if rng.random() < 0.1:
+            out.append(end)  # an empty line between records
+    return "".join(out)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_line_breaks_are_read_in_byte_ranges(spark, tmp_path, small_ranges, end):
+    rng = random.Random(len(end))
+    for name, rows in (("one.csv", 300), ("two.csv", 40), ("three.csv", 0)):
+        (tmp_path / name).write_bytes(quoted_file(rng, rows, end).encode())
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType()), T.StructField("c", T.StringType())])
+    got = csv_ranges.read(spark, str(tmp_path), schema, readers.CSV)
+    want = spark.read.schema(schema).option("header", True).option("multiLine", True).options(**readers.CSV).csv(str(tmp_path))
+    assert csv_ranges.lines(spark, str(tmp_path / "one.csv")).rdd.getNumPartitions() > 10
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert got.count() == 340
+
+
+def test_a_quoted_field_may_last_to_the_end_of_the_file(spark, tmp_path, small_ranges):
+    (tmp_path / "a.csv").write_text('a,b\n1,"' + "long\n" * 1_000 + '"')
+    (tmp_path / "b.csv").write_text("a,b\n2,x")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    rows = sorted(csv_ranges.read(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], schema, readers.CSV).collect())
+    assert [tuple(r) for r in rows] == [(1, "long\n" * 1_000), (2, "x")]
+
+
 def test_listings_and_categories(spark, tmp_path):
     (tmp_path / "listings.csv").write_text(
         "asin,title,imgUrl,productURL,stars,reviews,price,listPrice,category_id,isBestSeller,boughtInLastMonth\n"
