@@ -17,13 +17,14 @@ from mercata.functions import columns as C
 from mercata.functions import exact as E
 from mercata.market import Market
 from mercata.ml import anomalies, attributions, clusters, models, success
-from mercata.operators import ranks
+from mercata.operators import ranks, sketches
 from mercata.operators import relational as rel
 from mercata.plans import gold_products as gp
 from mercata.plans import gold_reviews as gr
 from mercata.plans import analysis, quality, serving, silver
-from mercata.session import scratch_path, tune
+from mercata.session import folder_exists, scratch_path, tune
 from mercata.sources import readers, tables
+from mercata.streaming import summaries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -1339,9 +1340,40 @@ def _(m):
     )
 
 
-@entry("A2_approx_count_distinct")
+@entry("A2_approx_count_distinct", """SELECT source_category, count(DISTINCT user_id) AS users, TRUE AS within_bound
+  FROM reviews GROUP BY source_category""")
 def _(m):
-    return m.reviews.groupBy("source_category").agg(rel.count_distinct("user_id", approx=True).alias("users"))
+    """Exact counts, and whether the approximate ones are within three of their standard errors (5 %)."""
+    users = rel.count_distinct("user_id"), rel.count_distinct("user_id", approx=True)
+    per = m.reviews.groupBy("source_category").agg(users[0].alias("users"), users[1].alias("about"))
+    return per.select("source_category", "users", (F.abs(F.col("about") - F.col("users")) <= F.col("users") * 0.15 + 1).alias("within_bound"))
+
+
+def _user_sketches(m):
+    """Distinct users per product and category, as a pipeline would store them."""
+    return once(m, "user_sketches", lambda: clusters.checkpointed(sketches.distinct_sketches(m.reviews, gr.PRODUCT, "user_id")))
+
+
+@entry("A2_sketched_users_per_category", """SELECT source_category, count(DISTINCT user_id) AS users, TRUE AS within_bound
+  FROM reviews GROUP BY source_category""")
+def _(m):
+    """Estimates from the sketches of the categories' products, against exact counts."""
+    merged = sketches.merge_distinct(_user_sketches(m), ["source_category"])
+    return sketches.distinct_checked(m.reviews, ["source_category"], "user_id", merged).select(
+        "source_category", F.col("exact").alias("users"), F.col("within").alias("within_bound")
+    )
+
+
+@entry("A2_union_of_sketches", """SELECT count(DISTINCT user_id) AS users, TRUE AS within_bound, TRUE AS union_as_whole FROM reviews""")
+def _(m):
+    """The union over products and categories says what one sketch over all reviews says."""
+    whole = sketches.distinct_sketches(m.reviews, [], "user_id").select(sketches.sketch_distinct("sketch").alias("whole"))
+    union = sketches.merge_distinct(_user_sketches(m), []).select(sketches.sketch_distinct("sketch").alias("union"))
+    users = m.reviews.agg(F.count_distinct("user_id").alias("users"))
+    return users.select(
+        "users", (F.abs(union.scalar() - F.col("users")) <= F.col("users") * sketches.DISTINCT_ERROR + 1).alias("within_bound"),
+        (union.scalar() == whole.scalar()).alias("union_as_whole"),
+    )
 
 
 @entry("A3_A4_quantiles", """SELECT subcategory, price_tier, floor(median(price_cents) + 0.5) / 100.0 AS mid,
@@ -1356,10 +1388,33 @@ def _(m):
 @entry("A5_approx_quantile", """SELECT parent_asin, source_category, quantile_disc(rating, 0.5) AS median_rating
   FROM listed_reviews GROUP BY ALL""")
 def _(m):
+    listed = rel.only_known(m.reviews, m.listings, "parent_asin")
+    return listed.groupBy(*gr.PRODUCT).agg(rel.approx_quantile("rating", 0.5).alias("median_rating"))
+
+
+@entry("A5_G16_sketch_median", "SELECT parent_asin, source_category, median_rating FROM product_review_summary")
+def _(m):
+    """Medians from sketches; products have few reviews, so the sketches still hold them all."""
     summary = gr.product_review_summary(m.reviews, m.listings, approx_median=True)
     return summary.select("parent_asin", "source_category", "median_rating")
 
 
+def _length_sketches(m):
+    return once(m, "length_sketches", lambda: clusters.checkpointed(sketches.quantile_sketches(m.reviews, gr.PRODUCT, "text_length")))
+
+
+for _q in (0.1, 0.5, 0.9):
+    @entry(f"A5_merged_sketch_p{int(100 * _q)}", """SELECT source_category, count(text_length) AS texts, TRUE AS within_bound
+      FROM reviews GROUP BY source_category""")
+    def _(m, q=_q):
+        """Quantiles per category from the sketches of its products, each within the bound of its rank."""
+        keys = ["source_category"]
+        merged = sketches.merge_quantiles(_length_sketches(m), keys).select(
+            *keys, F.kll_sketch_get_n_double("sketch").alias("texts"), sketches.sketch_quantile("sketch", q).alias("estimate"))
+        checked = sketches.rank_checked(m.reviews, keys, "text_length", q, merged.drop("texts"))
+        return merged.select(*keys, "texts").join(checked, keys).select(*keys, "texts", F.col("within").alias("within_bound"))
+
+
 @entry("A10_group_by_derived", """SELECT if(has_brand = 1, 'Branded', 'Unbranded') AS brand_status,
   count(*) AS n FROM products GROUP BY 1""")
 def _(m):
@@ -1858,6 +1913,21 @@ def _(spark, sf_dir):
     return _read_back(spark.read.parquet(path))
 
 
+def _refreshed(m: Market, name: str) -> DataFrame:
+    """Reviews in five loads cut across products and months; the second runs three times, first with other reviews."""
+    reviews, spark = m.raw_reviews, m.reviews.sparkSession
+    folder = once(m, "refreshed", lambda: scratch_path(spark, "refreshed"))
+    if not folder_exists(spark, folder):
+        number = F.pmod(F.xxhash64("text", "timestamp"), F.lit(5))
+        for load, rows in [(0, number == 0), (1, number == 3), (1, number == 1), (2, number == 2), (3, number == 3), (1, number == 1), (4, number == 4)]:
+            summaries.add_load(reviews.where(rows), folder, f"load-{load}", m.listings, m.recent_since, m.trend_years)
+    return summaries.table(spark, folder, name)
+
+
+for _id, _name in [("G20", "temporal_trends"), ("G16", "product_review_summary")]:
+    entry(f"{_id}_S4_refreshed_{_name}", f"SELECT * FROM {_name}")(lambda m, n=_name: _refreshed(m, n))
+
+
 @entry("S7_S9_materialize", "SELECT * FROM brand_dynamics")
 def _(m):
     df = m.brand_dynamics

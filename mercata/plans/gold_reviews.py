@@ -10,8 +10,9 @@ from mercata.functions.exact import (
     count_if, floor_ratio, half_up, mean, pct, pct_of, rounded, safe_ratio,
 )
 from mercata.operators.relational import (
-    approx_quantile, explode_tokens, only_known, pivot_labels, sample_rows, top_k,
+    explode_tokens, only_known, pivot_labels, sample_rows, top_k,
 )
+from mercata.operators.sketches import QUANTILE_K, sketch_quantile
 
 PRODUCT = ["parent_asin", "source_category"]
 
@@ -62,10 +63,12 @@ def product_review_summary(
 
     One job over all categories.  Reviews are combined per product before the
     semi join with the listings, so a product with very many reviews is one row by then.
+    With ``approx_median`` medians come from bounded sketches, interpolated as the exact ones are.
     """
     recent = F.col("review_date") >= F.to_date(F.lit(since))
     first, last = F.min("review_date"), F.max("review_date")
-    median = approx_quantile("rating", 0.5) if approx_median else F.median("rating")
+    sketch = F.kll_sketch_agg_double("rating", F.lit(QUANTILE_K))
+    median = sketch_quantile(sketch, 0.5) if approx_median else F.median("rating")
     per_product = reviews.groupBy(*PRODUCT).agg(
         rows().alias("review_count"),
         star_mean().alias("avg_rating"),
