@@ -898,18 +898,81 @@ def _(m):
     return clusters.archetype_profiles(_assigned(m))
 
 
-@entry("M4_projection")
+TRUST_SQL = """SELECT parent_asin, source_category, t.review_count, reviews_per_day,
+  pct_verified / 100.0 AS verified_rate, pct_extreme_ratings / 100.0 AS extreme_ratio,
+  pct_with_text / 100.0 AS text_rate, pct_very_short_text / 100.0 AS short_text_rate, reviews_per_reviewer,
+  coalesce(pct_5star_unverified - pct_5star_verified, 0) AS unverified_5star_gap, pct_5star, pct_1star,
+  coalesce(t.avg_text_length, 0) AS avg_text_length, s.reviews_per_month, pct_with_helpful_votes
+  FROM product_review_trust t
+  JOIN (SELECT parent_asin, source_category, reviews_per_month FROM product_review_summary) s
+    USING (parent_asin, source_category) WHERE t.review_count >= 5"""
+
+
+def _axes(source: str, features: list[str]) -> dict[str, str]:
+    """SQL of the first two principal axes of scaled features: power iteration on their correlations, the second after taking
+    the first out.  A column that does not vary has no correlations."""
+    m = "[" + ", ".join("[" + ", ".join(f"coalesce(corr({f}, {g}), 0)" for g in features) + "]" for f in features) + "]"
+    d = len(features)
+    step = "[list_dot_product(r, v) FOR r IN m]"
+    unit = "[x / sqrt(list_dot_product(w, w)) FOR x IN w]"
+    start = "[" + ", ".join(f"CAST({1 + i / 7} AS DOUBLE)" for i in range(d)) + "]"
+
+    def power(name: str, matrix: str) -> dict[str, str]:
+        return {
+            f"{name}_steps": f"""SELECT m, i, v FROM (WITH RECURSIVE walk AS (
+                SELECT {matrix} AS m, 0 AS i, {start} AS v
+                UNION ALL SELECT m, i + 1, {unit} FROM (SELECT m, i, {step} AS w FROM walk) WHERE i < 2000) SELECT * FROM walk)""",
+            f"{name}_axis": f"""SELECT v AS raw, list_dot_product(v, {step}) AS spread,
+                CASE WHEN v[list_position([round(abs(x), 9) FOR x IN v], list_max([round(abs(x), 9) FOR x IN v]))] >= 0 THEN v ELSE [-x FOR x IN v] END AS v
+                FROM {name}_steps WHERE i = 2000""",
+        }
+
+    return {
+        "correlations": f"SELECT {m} AS m FROM ({source})",
+        **power("first", "(SELECT m FROM correlations)"),
+        **power("second", f"""(SELECT [[m[i][j] - spread * raw[i] * raw[j] FOR j IN generate_series(1, {d})]
+            FOR i IN generate_series(1, {d})] FROM correlations, first_axis)"""),
+    }
+
+
+def _projection_sql(source: str, keys: str, features: list[str]) -> str:
+    scaled = ", ".join(f"coalesce(({f} - avg({f}) OVER ()) / nullif(stddev_samp({f}) OVER (), 0), 0)" for f in features)
+    rounded = "floor(list_dot_product(z, (SELECT v FROM {}_axis)) * 1e4 + 0.5) / 1e4 AS {}"
+    return f"""SELECT {keys}, {rounded.format("first", "pc1")}, {rounded.format("second", "pc2")}
+      FROM (SELECT {keys}, [{scaled}] AS z FROM ({source}))"""
+
+
+def _loadings_sql(features: list[str]) -> str:
+    # The variance of all components together is the number of columns that vary.
+    total = "(SELECT list_sum([m[i][i] FOR i IN generate_series(1, len(m))]) FROM correlations)"
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS component, '{f}' AS feature, floor(v[{i + 1}] * 1000 + 0.5) / 1000.0 AS loading,
+        floor(spread / {total} * 1e4 + 0.5) / 1e4 AS explained_variance FROM {axis}_axis"""
+        for name, axis in (("PC1", "first"), ("PC2", "second")) for i, f in enumerate(features))
+
+
+def _four(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: E.half_up(c, 10**4) for c in columns})
+
+
+CLUSTER_SQL = f"""SELECT asin, rating_tenths / 10.0 AS rating, is_best_seller::INTEGER AS is_best_seller, {prank('price_cents', 'price_rank')},
+  {prank('bought_last_month', 'sales_rank')}, {prank('review_count', 'reviews_rank')},
+  {prank('title_length', 'title_length_rank')} FROM {SELLABLE}"""
+
+
+@entry("M4_projection", _projection_sql("cluster_listing", "asin", clusters.FEATURES), cluster_listing=CLUSTER_SQL,
+       **_axes("SELECT * FROM cluster_listing", clusters.FEATURES))
 def _(m):
     df = _features(m)
-    return clusters.project(df, clusters.FEATURES).select("asin", "pc1", "pc2")
+    return _four(clusters.project(df, clusters.FEATURES).select("asin", "pc1", "pc2"), "pc1", "pc2")
 
 
-@entry("M4_loadings")
+@entry("M4_loadings", _loadings_sql(clusters.FEATURES), cluster_listing=CLUSTER_SQL, **_axes("SELECT * FROM cluster_listing", clusters.FEATURES))
 def _(m):
-    return clusters.loadings(_features(m), clusters.FEATURES)
+    return _four(clusters.loadings(_features(m), clusters.FEATURES), "explained_variance")
 
 
-@entry("M5_W1_W2_success_features", f"""SELECT asin, subcategory, revenue_cents,
+SUCCESS_SQL = f"""SELECT asin, subcategory, revenue_cents,
   CAST(revenue_quartile AS INTEGER) AS revenue_quartile, (revenue_quartile = 4)::INTEGER AS is_success,
   price_cents / 100.0 AS price, rating_tenths / 10.0 AS rating, CAST(review_count AS DOUBLE) AS review_count,
   CAST(title_length AS DOUBLE) AS title_length, CAST(is_best_seller AS DOUBLE) AS is_best_seller,
@@ -920,7 +983,10 @@ def _(m):
   FROM (SELECT *, {prank('price_cents', 'price_rank')}, {prank('review_count', 'reviews_rank')},
       {prank('title_length', 'title_length_rank')},
       ntile(4) OVER (PARTITION BY subcategory ORDER BY revenue_cents, md5(asin), asin) AS revenue_quartile
-    FROM {SELLABLE})""")
+    FROM {SELLABLE})"""
+
+
+@entry("M5_W1_W2_success_features", SUCCESS_SQL)
 def _(m):
     return success.success_features(stored(m, "products"))
 
@@ -930,14 +996,19 @@ def _trust_signals(m):
         anomalies.trust_features(m.product_review_trust, m.product_review_summary)))
 
 
-@entry("M4_trust_projection")
+_TRUST_AXES = _axes("SELECT * FROM trust_signals", A.TRUST_FEATURES)
+
+
+@entry("M4_trust_projection", _projection_sql("trust_signals", "parent_asin, source_category", A.TRUST_FEATURES),
+       trust_signals=TRUST_SQL, **_TRUST_AXES)
 def _(m):
-    return clusters.project(_trust_signals(m), A.TRUST_FEATURES).select("parent_asin", "source_category", "pc1", "pc2")
+    df = clusters.project(_trust_signals(m), A.TRUST_FEATURES)
+    return _four(df.select("parent_asin", "source_category", "pc1", "pc2"), "pc1", "pc2")
 
 
-@entry("M4_trust_loadings")
+@entry("M4_trust_loadings", _loadings_sql(A.TRUST_FEATURES), trust_signals=TRUST_SQL, **_TRUST_AXES)
 def _(m):
-    return clusters.loadings(_trust_signals(m), A.TRUST_FEATURES)
+    return _four(clusters.loadings(_trust_signals(m), A.TRUST_FEATURES), "explained_variance")
 
 
 def _success(m):
@@ -1005,16 +1076,6 @@ def _(m):
     return attributions.shap_summary(_explained(m))
 
 
-TRUST_SQL = """SELECT parent_asin, source_category, t.review_count, reviews_per_day,
-  pct_verified / 100.0 AS verified_rate, pct_extreme_ratings / 100.0 AS extreme_ratio,
-  pct_with_text / 100.0 AS text_rate, pct_very_short_text / 100.0 AS short_text_rate, reviews_per_reviewer,
-  coalesce(pct_5star_unverified - pct_5star_verified, 0) AS unverified_5star_gap, pct_5star, pct_1star,
-  coalesce(t.avg_text_length, 0) AS avg_text_length, s.reviews_per_month, pct_with_helpful_votes
-  FROM product_review_trust t
-  JOIN (SELECT parent_asin, source_category, reviews_per_month FROM product_review_summary) s
-    USING (parent_asin, source_category) WHERE t.review_count >= 5"""
-
-
 @entry("M8_J7_trust_features", TRUST_SQL)
 def _(m):
     return anomalies.trust_features(m.product_review_trust, m.product_review_summary)
@@ -1988,13 +2049,50 @@ def _(spark, sf_dir):
     return per_file.agg(F.sum("rows").alias("rows")).select(F.lit("lineitem").alias("table_name"), "rows")
 
 
-SUPPLIER = {
-    "s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double",
+SCHEMAS = {
+    "lineitem": {
+        "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+        "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
+        "l_shipdate": "timestamp_ntz",
+    },
+    "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
 }
 
 
-@raw_entry("S14_profile_schema", " UNION ALL ".join(
-    f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS column_type, count({c}) AS non_null FROM supplier"
-    for i, (c, t) in enumerate(SUPPLIER.items())))
+def _schema_sql(table: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name, '{t}' AS column_type, count({c}) AS non_null FROM {table}"
+        for i, (c, t) in enumerate(SCHEMAS[table].items()))
+
+
+@raw_entry("S14_profile_schema", " UNION ALL ".join(map(_schema_sql, SCHEMAS)))
+def _(spark, sf_dir):
+    """Every column of the tables."""
+    return rel.concat(*[
+        tables.profile_schema(roles.table(spark, sf_dir, t)).select(F.lit(t).alias("table_name"), "*") for t in SCHEMAS
+    ])
+
+
+@raw_entry("S14_raw_profile", """SELECT 'csv' AS kind, CAST(1 AS BIGINT) AS files
+  UNION ALL SELECT 'json lines', 2 UNION ALL SELECT 'parquet', 1""")
+def _(spark, sf_dir):
+    """A folder of raw files, written from the tables: one CSV, two files of JSON lines, one Parquet file."""
+    path = scratch_path(spark, "raw")
+    nation, region = roles.table(spark, sf_dir, "nation").coalesce(1), roles.table(spark, sf_dir, "region").coalesce(1)
+    nation.write.option("header", True).csv(f"{path}/csv")
+    nation.write.json(f"{path}/json")
+    region.write.json(f"{path}/more")
+    region.write.parquet(f"{path}/parquet")
+    return tables.raw_profile(spark, path).select("kind", "files")
+
+
+@raw_entry("S14_readable_files", """SELECT 'csv' AS kind, count(*) + 1 AS lines, CAST(0 AS BIGINT) AS bad_lines, TRUE AS readable FROM nation
+  UNION ALL SELECT 'json lines', count(*), 0, TRUE FROM nation UNION ALL SELECT 'csv', count(*), 0, FALSE FROM region""")
 def _(spark, sf_dir):
-    return tables.profile_schema(roles.table(spark, sf_dir, "supplier").select(*SUPPLIER))
+    """A CSV file, a file of JSON lines, and a CSV file of which each line opens a quote."""
+    path = scratch_path(spark, "raw")
+    nation, region = roles.table(spark, sf_dir, "nation").coalesce(1), roles.table(spark, sf_dir, "region").coalesce(1)
+    nation.write.option("header", True).csv(f"{path}/csv")
+    nation.write.json(f"{path}/json")
+    region.select(F.concat(F.lit('"'), "r_name")).write.option("quote", "\u0000").csv(f"{path}/open")
+    return tables.readable_files(spark, path).select("kind", "lines", "bad_lines", "readable")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import sql as S
-from checks.catalog import SELLABLE, SUB, TRUST_SQL, entry, once, prank, stored, top
+from checks.catalog import SELLABLE, SUB, SUCCESS_SQL, TRUST_SQL, entry, once, prank, stored, top
 from mercata.functions import exact as E
 from mercata.functions.columns import TRUST_TIERS
 from mercata.ml import anomalies, attributions, clusters, success
@@ -215,11 +215,10 @@ def _(m):
 
 
 # ---- success scores and attributions -----------------------------------------------------
-S.table("ruled_predictions", f"""SELECT *, (price_cents * 7 + review_count * 13 + is_success * 300) % 1024 / 1024.0 AS score,
-  ((price_cents * 7 + review_count * 13 + is_success * 300) % 1024 >= 512)::INTEGER AS predicted
-  FROM (SELECT asin, price_cents, review_count, title_length, (revenue_quartile = 4)::INTEGER AS is_success
-    FROM (SELECT *, ntile(4) OVER (PARTITION BY subcategory ORDER BY revenue_cents, md5(asin), asin) AS revenue_quartile
-      FROM {SELLABLE}))""")
+S.table("success_listing", SUCCESS_SQL)
+S.table("ruled_predictions", """SELECT * EXCLUDE (number), number / 1024.0 AS score, (number >= 512)::INTEGER AS predicted
+  FROM (SELECT *, (price_cents * 7 + CAST(review_count AS BIGINT) * 13 + is_success * 300) % 1024 AS number
+    FROM (SELECT *, CAST(round(price * 100) AS BIGINT) AS price_cents FROM success_listing))""")
 
 
 def ruled_predictions(m) -> DataFrame:
@@ -268,27 +267,24 @@ def ruled_attributions(m) -> DataFrame:
 
 
 def _shap(i: int) -> str:
-    return f"((price_cents * {i + 1} + title_length) % 129 - 64) / 64.0"
-
-
-SHAP_CHECKED = {"price": "price_cents / 100.0", "review_count": "review_count", "title_length": "title_length"}
+    return f"((price_cents * {i + 1} + CAST(title_length AS BIGINT)) % 129 - 64) / 64.0"
 
 
 @entry("M7_ruled_shap_summary", " UNION ALL ".join(
     f"""SELECT '{f}' AS feature, avg(abs(s)) AS mean_abs_shap, coalesce(avg(s) FILTER (WHERE v > md), 0) AS avg_shap_high,
       coalesce(avg(s) FILTER (WHERE v <= md), 0) AS avg_shap_low,
       coalesce(avg(s) FILTER (WHERE v > md), 0) - coalesce(avg(s) FILTER (WHERE v <= md), 0) AS direction
-    FROM (SELECT {v} AS v, {_shap(success.FEATURES.index(f))} AS s, (SELECT quantile_cont({v}, 0.5) FROM ruled_predictions) AS md
-      FROM ruled_predictions)""" for f, v in SHAP_CHECKED.items()))
+    FROM (SELECT {f} AS v, {_shap(success.FEATURES.index(f))} AS s, (SELECT quantile_cont({f}, 0.5) FROM ruled_predictions) AS md
+      FROM ruled_predictions)""" for f in success.FEATURES))
 def _(m):
-    return attributions.shap_summary(ruled_attributions(m)).where(F.col("feature").isin(*SHAP_CHECKED))
+    return attributions.shap_summary(ruled_attributions(m))
 
 
 @entry("M6_ruled_waterfall", " UNION ALL ".join(
-    f"""SELECT asin, CAST(0.5 AS DOUBLE) AS base_value, score AS margin, '{f}' AS feature, CAST({v} AS DOUBLE) AS value, {_shap(success.FEATURES.index(f))} AS shap
-    FROM (SELECT * FROM ruled_predictions WHERE is_success = 1 ORDER BY score DESC, asin LIMIT 3)""" for f, v in SHAP_CHECKED.items()))
+    f"""SELECT asin, CAST(0.5 AS DOUBLE) AS base_value, score AS margin, '{f}' AS feature, CAST({f} AS DOUBLE) AS value, {_shap(success.FEATURES.index(f))} AS shap
+    FROM (SELECT * FROM ruled_predictions WHERE is_success = 1 ORDER BY score DESC, asin LIMIT 3)""" for f in success.FEATURES))
 def _(m):
-    return attributions.waterfall(ruled_attributions(m), 3).where(F.col("feature").isin(*SHAP_CHECKED))
+    return attributions.waterfall(ruled_attributions(m), 3)
 
 
 @entry("W1_percent_rank_of_medians", f"""SELECT quantile_cont(price_rank, 0.5) AS price_rank, quantile_cont(sales_rank, 0.5) AS sales_rank

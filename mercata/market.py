@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from mercata.plans import gold_products, gold_reviews, silver
 
 
+# How written tables lie: rows of a subcategory together, since dashboards ask for one, and single products quick to find.
+LAYOUT = {"products": {"sort_by": ["subcategory"], "look_up": ["asin"]}}
+
+
 class Market:
     """Names for the tables of the pipeline; each is a lazy DataFrame until written.
 
@@ -73,7 +77,7 @@ class Market:
         from mercata.sources.tables import materialize
 
         for name in names:
-            df = materialize(getattr(self, name), os.path.join(folder, name))
+            df = materialize(getattr(self, name), os.path.join(folder, name), **LAYOUT.get(name, {}))
             self.__dict__[name] = df
 
     # ---- silver

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -217,19 +218,27 @@ def fit_projection(df: DataFrame, features: list[str], n: int = 2) -> PipelineMo
     ]).fit(df)
 
 
+def directions(model: PipelineModel) -> list[float]:
+    """1 or -1 for each component, so that its largest weight (of equal ones the first) is positive: a component's sign
+    carries no meaning, and the solver's may differ between runs."""
+    weights = model.stages[-1].pc.toArray()
+    return [1.0 if w[np.abs(w).round(9).argmax()] >= 0 else -1.0 for w in weights.T]
+
+
 def project(df: DataFrame, features: list[str], n: int = 2, model: PipelineModel | None = None) -> DataFrame:
     """Rows with their first principal components."""
     model = model or fit_projection(df, features, n)
     out = model.transform(df).withColumn("_p", vector_to_array("projected"))
-    return out.withColumns({f"pc{i + 1}": F.get("_p", F.lit(i)) for i in range(n)}).drop(
+    return out.withColumns({f"pc{i + 1}": F.get("_p", F.lit(i)) * d for i, d in enumerate(directions(model))}).drop(
         "_p", "projected", "raw_vector", "vector"
     )
 
 
-def loadings(df: DataFrame, features: list[str], n: int = 2) -> DataFrame:
+def loadings(df: DataFrame, features: list[str], n: int = 2, model: PipelineModel | None = None) -> DataFrame:
     """Weight of every feature in every component, with the variance each explains."""
-    pca = fit_projection(df, features, n).stages[-1]
-    matrix, variance = pca.pc.toArray(), pca.explainedVariance.toArray()
+    model = model or fit_projection(df, features, n)
+    pca = model.stages[-1]
+    matrix, variance = pca.pc.toArray() * np.array(directions(model)), pca.explainedVariance.toArray()
     rows = [
         (f"PC{j + 1}", f, round(float(matrix[i, j]), 3), float(variance[j]))
         for j in range(n) for i, f in enumerate(features)

@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercata.functions.exact import col, half_up
 from mercata.operators.relational import add_single_row
@@ -358,15 +359,52 @@ def concentration_summary(df: DataFrame, measure: str, shares=(50, 80, 90), top_
     )
 
 
+FEW_WANTED = 64  # rows whose places are counted directly, in one pass over their groups
+
+
 def percentile_position(
     df: DataFrame, part: str, key: str, wanted: list, cols: dict[str, str]
 ) -> DataFrame:
     """``PERCENT_RANK`` of a few chosen rows: rows below them over rows less one.
 
-    Ranks are looked up by value, as in :func:`percent_rank_in`, among the chosen rows' groups
-    only; any number of keys can be wanted.
+    The chosen rows' groups are named by value, so that a table sorted by ``part`` is read in part only.  Up to
+    ``FEW_WANTED`` rows are compared with their groups directly, all measures in one pass, which is
+    combined before its shuffle; more of them look their ranks up by value, as in :func:`percent_rank_in`.
     """
-    mine = df.where(F.col(key).isin(list(wanted))).select(key, part, *dict.fromkeys(cols.values()))
+    measures = list(dict.fromkeys(cols.values()))
+    mine = df.where(F.col(key).isin(list(wanted))).select(key, part, *measures)
+    if len(wanted) > FEW_WANTED:
+        return _looked_up_positions(df, mine, part, key, cols)
+    found = mine.limit(FEW_WANTED + 1).collect()
+    if len(found) > FEW_WANTED:  # ids that many rows share
+        return _looked_up_positions(df, mine, part, key, cols)
+    groups = {r[part] for r in found}
+    inside = F.col(part).isin([g for g in groups if g is not None])
+    peers = df.where(inside | F.col(part).isNull() if None in groups else inside).select(part, *measures)
+    names = ["_row", "_part", *[f"_own{i}" for i in range(len(measures))]]
+    kinds = {f.name: f.dataType for f in mine.schema.fields}
+    schema = T.StructType([T.StructField(n, kinds[c]) for n, c in zip(names[1:], [part, *measures])])
+    rows = [(i, *(r[c] for c in (part, *measures))) for i, r in enumerate(found)]
+    own = df.sparkSession.createDataFrame(rows, T.StructType([T.StructField("_row", T.IntegerType()), *schema.fields]))
+    below = [
+        F.count_if(_ranked(c) < _ranked(o)).alias(f"_below{i}")
+        for i, (c, o) in enumerate(zip(measures, names[2:]))
+    ]
+    # At most FEW_WANTED rows are broadcast.
+    met = peers.join(F.broadcast(own), F.col(part).eqNullSafe(F.col("_part")))
+    counts = met.groupBy("_row").agg(F.count(F.lit(1)).alias("_n"), *below)
+    keys = df.sparkSession.createDataFrame(
+        [(i, r[key], r[part]) for i, r in enumerate(found)],
+        T.StructType([T.StructField("_row", T.IntegerType()), T.StructField(key, kinds[key]), T.StructField(part, kinds[part])]),
+    )
+    share = {
+        name: F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(F.col(f"_below{measures.index(c)}") / (F.col("_n") - 1))
+        for name, c in cols.items()
+    }
+    return counts.join(F.broadcast(keys), "_row").select(key, part, *[v.alias(n) for n, v in share.items()])
+
+
+def _looked_up_positions(df: DataFrame, mine: DataFrame, part: str, key: str, cols: dict[str, str]) -> DataFrame:
     groups = mine.select(F.col(part).alias("_part")).distinct()
     peers = df.select(part, *dict.fromkeys(cols.values())).join(groups, F.col(part).eqNullSafe(F.col("_part")), "left_semi")
     out = mine

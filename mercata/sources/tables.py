@@ -8,10 +8,22 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from mercata.functions.exact import half_up
 
-def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a table, replacing what was there, and read it back."""
+
+def materialize(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None, look_up: list[str] | None = None
+) -> DataFrame:
+    """Write a table, replacing what was there, and read it back.
+
+    ``sort_by`` puts neighbouring values into the same files, so that a filter on them skips most row groups;
+    ``look_up`` adds bloom filters on columns that single values are looked for in.
+    """
+    if sort_by:
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     writer = df.write.mode("overwrite").option("compression", "zstd")
+    for c in look_up or []:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -79,6 +91,52 @@ def profile_files(df: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("rows"))
 
 
+RAW_KINDS = {"csv": "csv", "json": "json lines", "jsonl": "json lines", "parquet": "parquet"}
+
+
+def raw_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every file below a folder before anything is parsed: path, name, kind (by its suffix, without that of a
+    compression) and size.  Only the listing is read, not the files; Spark leaves empty ones out."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    name = F.col("_metadata.file_name")
+    suffix = F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)(?:\.(?:gz|bz2|zst|lz4|snappy))?$", 1))
+    kinds = F.create_map(*[F.lit(x) for pair in RAW_KINDS.items() for x in pair])
+    return found.select(
+        "path", name.alias("file_name"), F.coalesce(F.try_element_at(kinds, suffix), F.lit("other")).alias("kind"),
+        F.col("length").alias("bytes"),
+    )
+
+
+def raw_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """(kind, files, bytes, megabytes, largest) of a folder of raw files, one row for each kind."""
+    return raw_files(spark, folder).groupBy("kind").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), half_up(F.sum("bytes") / (1 << 20), 10).alias("megabytes"),
+        F.max("bytes").alias("largest"),
+    )
+
+
+def readable_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file_name, kind, bytes, lines, bad_lines, readable): text files line by line, whether each can be read as what its
+    suffix says.  A JSON line is bad if it does not parse; a CSV file if its quotes don't pair; a compressed or other file is only listed."""
+    files = raw_files(spark, folder)
+    text = files.where(F.col("kind").isin("csv", "json lines") & ~F.lower("file_name").rlike(r"\.(gz|bz2|zst|lz4|snappy)$"))
+    lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(folder).select(
+        F.col("_metadata.file_name").alias("file_name"), "value"
+    ).where(F.lower("file_name").rlike(r"\.(csv|json|jsonl)$"))
+    broken = F.lower("file_name").rlike(r"\.jsonl?$") & (F.trim("value") != "") & F.try_parse_json("value").isNull()
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    seen = lines.groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(broken).alias("bad_lines"), (F.sum(quotes) % 2 == 1).alias("open_quote")
+    )
+    whole = text.join(seen, "file_name", "left")
+    odd = F.coalesce((F.col("kind") == "csv") & F.col("open_quote"), F.lit(False))
+    return whole.select(
+        "file_name", "kind", "bytes", F.coalesce("lines", F.lit(0).cast("long")).alias("lines"),
+        F.coalesce("bad_lines", F.lit(0).cast("long")).alias("bad_lines"),
+        ((F.coalesce("bad_lines", F.lit(0)) == 0) & ~odd).alias("readable"),
+    )
+
+
 def profile_schema(df: DataFrame) -> DataFrame:
     """Column names and types of a table, in order, with the values each column holds."""
     names = df.columns

@@ -112,6 +112,18 @@ def test_percentile_position_agrees_with_the_rank(skewed):
     assert {r.key: r.r for r in got} == {k: want[k] for k in keys}
 
 
+def test_few_rows_are_placed_as_many_are(frame, monkeypatch):
+    """Null groups and values, repeated rows, a row alone, and an id that is not there."""
+    rows = [("a", "g", 3, 1), ("a", "g", 3, 1), ("b", "g", None, 2), ("c", "g", 1, None), ("d", None, 5, 5), ("e", None, None, 1), ("f", "h", 2, 2)]
+    df = frame(rows, "key string, grp string, v long, w long")
+    cols, keys = {"x": "v", "y": "w", "z": "v"}, ["a", "b", "d", "e", "f", "none"]
+    got = sorted(map(tuple, R.percentile_position(df, "grp", "key", keys, cols).collect()), key=repr)
+    monkeypatch.setattr(R, "FEW_WANTED", 0)
+    many = sorted(map(tuple, R.percentile_position(df, "grp", "key", keys, cols).collect()), key=repr)
+    assert got == many and len(got) == 6 and ("f", "h", 0.0, 0.0, 0.0) in got
+    assert R.percentile_position(df, "grp", "key", ["none"], cols).count() == 0
+
+
 def test_quantile_buckets_match_qcut(frame):
     values = [0] * 30 + [1] * 5 + list(range(2, 40))
     df = frame([(v,) for v in values], "v long")

@@ -1,3 +1,4 @@
+import gzip
 import json
 import random
 import shutil
@@ -182,3 +183,36 @@ def test_shared_dir_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert named and shared_dir(spark) == named
     assert scratch_path(spark, "x").startswith(named) and scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_raw_files_are_profiled_before_they_are_read(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.csv").write_text('x,y\n1,"two\nlines"\n')
+    (tmp_path / "open.csv").write_text('x,y\n1,"two\n')
+    (tmp_path / "deep" / "b.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n')
+    (tmp_path / "bad.jsonl").write_text('{"a": 1}\n{"a": \n')
+    (tmp_path / "none.json").write_text("")
+    (tmp_path / "notes.TXT").write_text("text")
+    with gzip.open(tmp_path / "c.jsonl.gz", "wt") as f:
+        f.write('{"a": 3}\n')
+    files = {r.file_name: (r.kind, r.bytes) for r in tables.raw_files(spark, str(tmp_path)).collect()}
+    assert {n: k for n, (k, _) in files.items()} == {
+        "a.csv": "csv", "open.csv": "csv", "b.jsonl": "json lines", "bad.jsonl": "json lines",
+        "notes.TXT": "other", "c.jsonl.gz": "json lines",
+    }
+    assert files["a.csv"][1] == 18  # an empty file is not listed
+    profile = {r.kind: (r.files, r.largest) for r in tables.raw_profile(spark, str(tmp_path)).collect()}
+    assert profile["csv"] == (2, 18) and profile["json lines"][0] == 3 and profile["other"] == (1, 4)
+    got = {r.file_name: (r.lines, r.bad_lines, r.readable) for r in tables.readable_files(spark, str(tmp_path)).collect()}
+    assert got == {
+        "a.csv": (3, 0, True), "open.csv": (2, 0, False), "b.jsonl": (3, 0, True), "bad.jsonl": (2, 1, False),
+    }
+
+
+def test_sorted_tables_are_read_in_part(spark, tmp_path):
+    rows = spark.range(20_000).select(F.concat(F.lit("a"), "id").alias("asin"), F.concat(F.lit("s"), F.pmod("id", F.lit(50))).alias("sub"))
+    df = tables.materialize(rows.repartition(4), str(tmp_path / "t"), sort_by=["sub"], look_up=["asin"])
+    assert df.count() == 20_000
+    holding = df.where("sub = 's7'").select(F.col("_metadata.file_name").alias("f")).distinct().count()
+    assert holding == 1
+    assert df.where("asin = 'a77'").count() == 1
