@@ -1997,6 +1997,35 @@ def _(m):
     return tables.materialize(df, path)
 
 
+def _bucketed_reviews(m) -> DataFrame:
+    def make():
+        spark = m.reviews.sparkSession
+        name = f"bucketed_reviews_{len(_STORED)}"
+        return tables.materialize_bucketed(m.reviews, scratch_path(spark, "bucketed"), name, ["parent_asin"], 8)
+
+    return once(m, "bucketed_reviews", make)
+
+
+@entry("S7_G16_from_buckets", "SELECT * FROM product_review_summary")
+def _(m):
+    return gr.product_review_summary(_bucketed_reviews(m), m.listings, m.recent_since)
+
+
+@entry("S7_G17_from_buckets", "SELECT * FROM product_review_trust")
+def _(m):
+    return gr.product_review_trust(_bucketed_reviews(m), m.listings)
+
+
+@entry("S7_J7_from_buckets", """SELECT parent_asin, source_category, t.review_count, s.review_span_days, s.pct_negative
+  FROM product_review_trust t JOIN product_review_summary s USING (parent_asin, source_category) WHERE t.review_count >= 5""")
+def _(m):
+    reviews = _bucketed_reviews(m)
+    trust = gr.product_review_trust(reviews, m.listings)
+    return gr.join_trust(trust, gr.product_review_summary(reviews, m.listings, m.recent_since)).select(
+        "parent_asin", "source_category", "review_count", "review_span_days", "pct_negative"
+    )
+
+
 @entry("S8_define_view", "SELECT source_category, count(*) AS n FROM reviews WHERE rating = 5 GROUP BY source_category")
 def _(m):
     tables.define_view(m.reviews, "silver_reviews")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercata.plans import gold_reviews, silver
 from mercata.sources import csv_ranges, readers, tables
 from mercata.streaming.incremental import refresh_reviews
 
@@ -216,3 +217,33 @@ def test_sorted_tables_are_read_in_part(spark, tmp_path):
     holding = df.where("sub = 's7'").select(F.col("_metadata.file_name").alias("f")).distinct().count()
     assert holding == 1
     assert df.where("asin = 'a77'").count() == 1
+
+
+def test_buckets_spare_the_shuffle_of_reviews(spark, tmp_path):
+    rows = spark.range(3_000).select(
+        F.concat(F.lit("P"), F.pmod("id", F.lit(40))).alias("parent_asin"), F.lit("Books").alias("source_category"),
+        F.lit(1_600_000_000_000).alias("timestamp"), (F.pmod("id", F.lit(5)) + 1).cast("double").alias("rating"),
+        F.concat(F.lit("u"), F.pmod("id", F.lit(99))).alias("user_id"), F.lit("t").alias("title"), F.lit("x").alias("text"), F.lit("A").alias("asin"),
+        F.lit(0).cast("long").alias("helpful_vote"), F.lit(True).alias("verified_purchase"), F.lit(0).cast("long").alias("image_count"),
+        F.lit(1).cast("long").alias("text_length"), *[F.lit(True).alias(c) for c in ("has_text", "has_title", "has_helpful_votes")],
+    )
+    dated = silver.reviews(rows)
+    listed = spark.createDataFrame([(f"P{i}",) for i in range(30)], "asin string")
+    first = tables.materialize_bucketed(dated, str(tmp_path / "t"), "bucketed_once", ["parent_asin"], 4)
+    again = tables.open_bucketed(spark, str(tmp_path / "t"), "bucketed_again", first.schema, ["parent_asin"], 4)
+    try:
+        for reviews in (first, again):
+            for make in (gold_reviews.product_review_summary, gold_reviews.product_review_trust):
+                got, want = make(reviews, listed), make(dated, listed)
+                plan = got._jdf.queryExecution().executedPlan().toString()
+                scan = plan.index("bucketed_")
+                aggregates = plan[:scan].split("HashAggregate")
+                assert "Exchange hashpartitioning" not in aggregates[-1] and len(aggregates) > 2
+                below = plan[plan.index("HashAggregate"):scan]
+                assert "Exchange hashpartitioning(parent_asin" not in below
+                assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+            trust, summary = gold_reviews.product_review_trust(reviews, listed), gold_reviews.product_review_summary(reviews, listed)
+            assert gold_reviews.join_trust(trust, summary).count() == 30
+    finally:
+        for name in ("bucketed_once", "bucketed_again"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
