@@ -70,6 +70,16 @@ def _(m):
     return agreeing(margins.join(scored, "asin").withColumn("expected", 1 / (1 + F.exp(-2 * F.col("joined")))), near("score", "expected"))
 
 
+@entry("M5_loss_curve", "SELECT TRUE AS kept_up_to_the_best, TRUE AS patience_held")
+def _(m):
+    """Of the rounds tried in the one fit, those up to the smallest loss are kept, and at most 20 more were tried."""
+    curve = success.loss_curve(m.products.sparkSession, _success(m)[1])
+    best = F.min_by("round", F.struct("loss", "round"))
+    return curve.agg(best.alias("best"), F.count_if("kept").alias("kept"), F.max("round").alias("tried")).select(
+        (F.col("best") == F.col("kept")).alias("kept_up_to_the_best"), (F.col("tried") <= F.col("best") + 20).alias("patience_held")
+    )
+
+
 @entry("M6_attributions_add_up", LISTINGS)
 def _(m):
     """Attributions and base value against the margin, and the margin against the model's own score, for every listing."""

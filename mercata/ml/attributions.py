@@ -18,50 +18,32 @@ from pyspark.sql import functions as F
 
 from mercata.functions.exact import half_up
 from mercata.ml.success import FEATURES
-from mercata.session import drop_path, scratch_path
 
 ROWS_AT_ONCE = 256  # rows that go through a group of leaves together
 
 
-def tree_leaves(model: PipelineModel, spark) -> tuple[list, float]:
+def tree_leaves(model: PipelineModel, spark=None) -> tuple[list, float]:
     """Leaves of all trees as (value, {feature: (share, above, up_to)}), and the base value.
 
-    The node table comes from the model's own saved form and is bounded by the
-    number of trees and their depth.
+    The nodes are part of the model, bounded by the number of trees and their depth.
     """
-    path = scratch_path(spark, "trees")
-    model.stages[-1].write().overwrite().save(path)
-    node = F.col("nodeData")
-    rows = spark.read.parquet(f"{path}/data").select(
-        "treeID", node["id"].alias("id"), node["prediction"].alias("value"),
-        node["rawCount"].alias("cover"), node["leftChild"].alias("left"),
-        node["rightChild"].alias("right"), node["split"]["featureIndex"].alias("feature"),
-        node["split"]["leftCategoriesOrThreshold"].alias("cut"),
-    ).collect()
-    drop_path(spark, path)
-    weights = model.stages[-1].treeWeights
-    trees: dict[int, dict] = {}
-    for r in rows:
-        trees.setdefault(r.treeID, {})[r.id] = r
     leaves, base = [], 0.0
-    for tree, nodes in trees.items():
-        total = nodes[0].cover
+    for tree in model.stages[-1].kept():
+        total = tree.cover[0]
         stack = [(0, {})]
         while stack:
             at, path_so_far = stack.pop()
-            n = nodes[at]
-            if n.left < 0:
-                value = n.value * weights[tree]
-                leaves.append((value, path_so_far))
-                base += value * n.cover / total
+            if tree.feature[at] < 0:
+                leaves.append((float(tree.value[at]), path_so_far))
+                base += tree.value[at] * tree.cover[at] / total
                 continue
-            cut = n.cut[0]
-            for child, is_left in ((n.left, True), (n.right, False)):
-                share, above, up_to = path_so_far.get(n.feature, (1.0, -np.inf, np.inf))
-                share *= nodes[child].cover / n.cover
+            feature, cut = int(tree.feature[at]), float(tree.cut[at])
+            for child, is_left in ((tree.left[at], True), (tree.right[at], False)):
+                share, above, up_to = path_so_far.get(feature, (1.0, -np.inf, np.inf))
+                share *= tree.cover[child] / tree.cover[at] if tree.cover[at] else 0.0
                 bounds = (share, above, min(up_to, cut)) if is_left else (share, max(above, cut), up_to)
-                stack.append((child, {**path_so_far, n.feature: bounds}))
-    return leaves, base
+                stack.append((int(child), {**path_so_far, feature: bounds}))
+    return leaves, float(base)
 
 
 def leaf_groups(leaves: list) -> list[tuple]:

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mercata.ml.clusters import checkpointed, sellable
+from mercata.ml import boosting
+from mercata.ml.clusters import sellable
 from mercata.operators import ranks as R
 
 # What a shopper can see on the listing; nothing derived from sales.
@@ -22,8 +20,6 @@ FEATURES = [
 ]
 LABEL = "is_success"
 ROC_CELLS = 1 << 20    # cells of neighbouring scores that are summed together
-MAX_BINS = 128         # split candidates per feature
-ROWS_PER_PART = 50_000  # training rows per partition
 
 
 def feature_columns(ranked: DataFrame, *keep: str) -> DataFrame:
@@ -68,13 +64,6 @@ def stratified_split(df: DataFrame, test: float = 0.2, validation: float = 0.1,
     return df.withColumn("fold", fold)
 
 
-def in_fixed_order(df: DataFrame, key: str) -> DataFrame:
-    """Rows in partitions and an order that depend on them alone: sampling by partition then
-    draws the same rows on any cluster."""
-    parts = max(1, -(-df.count() // ROWS_PER_PART))
-    return checkpointed(df.repartition(parts, key).sortWithinPartitions(key))
-
-
 def rounds_to_keep(losses: list[float], patience: int) -> int | None:
     """Rounds up to the best one after which ``patience`` rounds bring no gain; None while
     the losses are too few to tell."""
@@ -90,11 +79,10 @@ def rounds_to_keep(losses: list[float], patience: int) -> int | None:
 def train_success(
     split: DataFrame, max_iter: int = 300, max_depth: int = 6, step: float = 0.1, seed: int = 42, patience: int = 20
 ) -> PipelineModel:
-    """Boosted trees on the train fold, stopped early on the validation fold.
+    """Boosted trees on the train fold, stopped early on the validation fold, in one fit (:mod:`mercata.ml.boosting`).
 
-    Boosting goes on until ``patience`` rounds bring no gain on the validation fold, and the model
-    is refitted with the rounds up to the best.  Rounds are tried in batches that double, since the first
-    rounds of a longer fit are the same.  Successes are weighted so both labels count the same.
+    Boosting goes on until ``patience`` rounds bring no gain on the validation fold, and the rounds up to
+    the best are kept.  Successes are weighted so both labels count the same.
     The validation fold is not the test fold, so the test scores stay honest.
     """
     used = split.where(F.col("fold") != "test")
@@ -105,39 +93,20 @@ def train_success(
 
     weighted = add_single_row(used, totals).select(
         "asin", *FEATURES, F.col(LABEL).cast("double").alias("label"),
-        F.when(F.col(LABEL) == 1, F.col("_w")).otherwise(1.0).alias("weight"), "fold",
+        F.when(F.col(LABEL) == 1, F.col("_w")).otherwise(1.0).cast("double").alias("weight"), (F.col("fold") == "train").alias("train"),
     )
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    rows = in_fixed_order(weighted, "asin")
-    train, judge = rows.where("fold = 'train'"), rows.where("fold = 'validation'")
-
-    def fitted(rounds):
-        return Pipeline(stages=[assembler, GBTClassifier(
-            featuresCol="features", labelCol="label", weightCol="weight", maxIter=rounds, maxDepth=max_depth,
-            stepSize=step, subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=5, maxBins=MAX_BINS,
-            seed=seed,
-        )]).fit(train)
-
-    tried = min(max_iter, 2 * patience)
-    has_judge = not judge.isEmpty()
-    while True:
-        model = fitted(tried if has_judge else max_iter)
-        if not has_judge:
-            return model
-        losses = model.stages[-1].evaluateEachIteration(assembler.transform(judge))
-        keep = rounds_to_keep(losses, patience)
-        if keep is None and tried < max_iter:
-            tried = min(max_iter, 2 * tried)
-            continue
-        keep = keep or losses.index(min(losses)) + 1
-        return model if keep == tried else fitted(keep)
+    return PipelineModel([boosting.fit(weighted, FEATURES, "asin", max_iter, max_depth, step, seed, patience, rounds_to_keep)])
+
+
+def loss_curve(spark, model: PipelineModel) -> DataFrame:
+    """(round, loss, kept): mean loss on the validation fold after each round that was tried."""
+    stage = model.stages[-1]
+    rows = [(i + 1, float(x), i < stage.getNumTrees) for i, x in enumerate(stage.getOrDefault(stage.lossCurve))]
+    return spark.createDataFrame(rows, "round int, loss double, kept boolean")
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    scored = model.transform(df)
-    return scored.withColumn("score", F.get(vector_to_array("probability"), F.lit(1))).withColumn(
-        "predicted", F.col("prediction").cast("int")
-    )
+    return model.transform(df).withColumn("score", F.col("probability")).withColumn("predicted", F.col("prediction").cast("int"))
 
 
 def evaluate_success(predicted: DataFrame) -> DataFrame:
@@ -175,6 +144,6 @@ def roc_curve(predicted: DataFrame) -> DataFrame:
 
 
 def feature_importance(spark, model: PipelineModel) -> DataFrame:
-    gains = model.stages[-1].featureImportances.toArray()
+    gains = model.stages[-1].featureImportances
     rows = [(f, float(g)) for f, g in zip(FEATURES, gains)]
     return spark.createDataFrame(rows, "feature string, importance double")

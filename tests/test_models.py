@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mercata.ml import anomalies, attributions, clusters, kmeans, models, success
+from mercata.ml import anomalies, attributions, boosting, clusters, kmeans, models, success
 from mercata.plans import analysis as A
 
 
@@ -138,6 +138,37 @@ def test_boosting_goes_on_while_the_loss_falls_and_not_longer(spark):
     assert learnt.stages[-1].getNumTrees > 8 and nothing.stages[-1].getNumTrees < 8
 
 
+def test_trees_split_where_the_gain_is(spark):
+    """A step in one feature is found, leaf values are second-order steps, covers and losses are those of all rows."""
+    rng = np.random.default_rng(2)
+    x = rng.random((4_000, 3))
+    label = (x[:, 1] > 0.4).astype(float)
+    rows = [(f"p{i}", *map(float, r), float(y), 1.0, i % 4 > 0) for i, (r, y) in enumerate(zip(x, label))]
+    df = spark.createDataFrame(rows, "key string, a double, b double, c double, label double, weight double, train boolean")
+    model = boosting.fit(df, ["a", "b", "c"], "key", 3, 1, 1.0, 1, 9, success.rounds_to_keep)
+    tree = next(t for t in model.kept() if t.feature[0] == 1)
+    assert tree.cut[0] == pytest.approx(0.4, abs=0.02) and tree.cover[0] == 3_000
+    first, train = model.kept()[0], np.arange(4_000) % 4 > 0
+    leaf = first.leaves(x, first.cut)
+    for node in set(leaf.tolist()):
+        mine = train & (leaf == node)
+        g, h = (0.5 - label[mine]).sum(), 0.25 * mine.sum()
+        assert first.value[node] == pytest.approx(-0.5 * g / (h + 1), abs=1e-5) and first.cover[node] == mine.sum()
+    judged, margin = np.arange(4_000) % 4 == 0, np.zeros(4_000)
+    for t, loss in zip(model.kept(), model.getOrDefault(model.lossCurve)):
+        margin = margin + t.value[t.leaves(x, t.cut)]
+        assert loss == pytest.approx(boosting.losses(margin, label, np.ones(4_000))[judged].mean(), abs=1e-5)
+
+
+def test_constant_features_and_one_label_do_no_harm(spark):
+    rows = [(f"p{i}", 1.0, 2.0, 0.0, 1.0, i % 5 > 0) for i in range(50)]
+    df = spark.createDataFrame(rows, "key string, a double, b double, label double, weight double, train boolean")
+    model = boosting.fit(df, ["a", "b"], "key", 4, 3, 0.1, 1, 2, success.rounds_to_keep)
+    assert model.getNumTrees >= 1 and all(len(t.feature) == 1 for t in model.kept())
+    assert model.featureImportances.tolist() == [0.0, 0.0]
+    assert model.transform(df).agg(F.max("probability")).first()[0] < 0.5
+
+
 def test_predictions_do_not_depend_on_partitions(spark):
     split = made_split(spark, 400, False)
     found = []
