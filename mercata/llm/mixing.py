@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 A source's documents are wanted ``target / size`` times on average.  The whole part of
-that number is allocated for certain; for the rest, documents are ranked by random odds
-divided by inclusion odds and taken in that order until the words reach the target.
+that number is allocated for certain; for the rest, a document is included with a chance that grows with its
+size, so that the words included are the rest on average.  Documents are ranked by random odds
+divided by their inclusion odds and taken in that order until the words reach the target.
 The cut of a source is found by zooming into a histogram of the ranks, so no task
 sorts a source, and applies to each row by itself.
 """
@@ -19,6 +20,7 @@ SHARE = 1.5          # words of the mix per word of the input
 MOST = 2             # a document is taken this often at most
 SLICES = 1_024       # slices of the histogram
 SORTED_ROWS = 20_000  # rows of a source that are ranked one by one
+LEAST_ODDS = 1e-9
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -62,6 +64,11 @@ def rank(inclusion: Column, seed: int, *columns) -> Column:
     return F.log(u) - F.log1p(-u) - F.log(inclusion) + F.log1p(-inclusion)
 
 
+def inclusion(slope: Column, size: Column) -> Column:
+    """Chance of one more copy of a document: ``slope`` times its size, short of 0 and 1."""
+    return F.greatest(F.lit(LEAST_ODDS), F.least(F.lit(1 - LEAST_ODDS), slope * size))
+
+
 def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Per source, the last row that is taken once more: (key, cut) with cut a struct
     (rank, doc_id, size).  ``rows``: key, doc_id, size, rank; ``plan``: key, rest (words).
@@ -107,40 +114,46 @@ def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def mix_plan(docs: DataFrame, seed: int = 11) -> DataFrame:
-    """Per source: key, source_size, target, whole (certain copies), inclusion (of one more),
+    """Per source: key, source_size, target, whole (certain copies), slope (inclusion of one more copy per word),
     floor and cut (ranks that are taken)."""
     rows = stored(
-        docs.select(source_key(F.col("source")).alias("key"), F.col("doc_id"), words(F.col("text")).alias("size")),
-        "mix-rows",
+        docs.select(
+            source_key(F.col("source")).alias("key"), F.col("doc_id"), words(F.col("text")).alias("size"), F.xxhash64("text").alias("print")
+        ), "mix-rows",
     )
-    sizes = rows.groupBy("key").agg(F.sum("size").alias("source_size"))
+    sizes = stored(rows.groupBy("key").agg(
+        F.sum("size").alias("source_size"), F.sum(F.col("size").cast("decimal(19,0)") * F.col("size")).cast("double").alias("squares")
+    ), "mix-sizes")
     times = F.col("target") / F.nullif(F.col("source_size"), F.lit(0))
     whole = F.coalesce(F.floor(times), F.lit(0)).cast("int")
-    plan = targets(sizes).withColumn("whole", whole).withColumn(
+    plan = targets(sizes.select("key", "source_size")).withColumn("whole", whole).withColumn(
         "rest", F.col("target") - F.col("whole") * F.col("source_size")
     )
-    plan = stored(plan.withColumn("inclusion", F.col("rest") / F.nullif(F.col("source_size"), F.lit(0))), "mix-plan")
-    drawn = plan.filter("rest > 0 and inclusion < 1")
-    ranked = rows.join(drawn.select("key", "inclusion"), "key").withColumn(
-        "rank", rank(F.col("inclusion"), seed, F.col("doc_id"), F.col("size"))
+    slope = F.col("rest") / F.nullif(F.col("squares"), F.lit(0.0))
+    plan = stored(plan.join(sizes.select("key", "squares"), "key").withColumn("slope", slope).drop("squares"), "mix-plan")
+    drawn = plan.filter("rest > 0 and rest < source_size")
+    ranked = rows.join(drawn.select("key", "slope"), "key").withColumn(
+        "rank", rank(inclusion(F.col("slope"), F.col("size")), seed, F.col("doc_id"), F.col("size"), F.col("print"))
     )
-    cut = cuts(ranked.drop("inclusion"), drawn.select("key", "rest"))
+    cut = cuts(ranked.drop("slope", "print"), drawn.select("key", "rest"))
     return stored(plan.join(cut, "key", "left"), "mix-cuts")
 
 
 def mix(docs: DataFrame, seed: int = 11) -> DataFrame:
     """All rows of ``docs`` as (row, mix): the row's columns, and size, source_size, target, copies.
 
-    A null or empty text has size 0 and a null source is a source of its own.  Rows that agree in
-    doc_id, source and size are taken alike.  An empty table gives no rows.  Which rows are
-    taken depends on doc_id, size and seed only, so reruns and retries agree.
+    A null or empty text has size 0 and a null source is a source of its own; texts of any length are counted
+    whole.  Rows that agree in doc_id, source and text are taken alike; null or repeated ids with different texts are not.  An
+    empty table gives no rows.  Which rows are taken depends on doc_id, text and seed only, so reruns and retries agree.
     """
     plan = mix_plan(docs, seed).select(F.struct("*").alias("plan"))
     rows = docs.select(F.struct("*").alias("row"))
-    rows = rows.select("row", source_key(F.col("row.source")).alias("key"), words(F.col("row.text")).alias("size"))
+    rows = rows.select(
+        "row", source_key(F.col("row.source")).alias("key"), words(F.col("row.text")).alias("size"), F.xxhash64("row.text").alias("print")
+    )
     joined = rows.join(plan, F.col("key") == F.col("plan.key"))
     own = F.struct(
-        rank(F.col("plan.inclusion"), seed, F.col("row.doc_id"), F.col("size")).alias("rank"),
+        rank(inclusion(F.col("plan.slope"), F.col("size")), seed, F.col("row.doc_id"), F.col("size"), F.col("print")).alias("rank"),
         F.col("row.doc_id").alias("doc_id"), F.col("size").alias("size"),
     )
     more = F.coalesce((own["rank"] < F.col("plan.floor")) | (own <= F.col("plan.cut")), F.lit(False))

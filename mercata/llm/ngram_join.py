@@ -116,18 +116,30 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, share: int) -> DataF
     return links
 
 
-def bounded_pairs(entries: DataFrame, keep: Column, small: int, share: int) -> DataFrame:
-    """Pairs of entries (token, doc, n, kind, ...) of a list, with the number ``shared`` of lists
-    they share; pairs that cannot overlap enough are left out."""
-    a, b = entries.alias("a"), entries.alias("b")
-    near = (F.col("a.n") * 100 >= F.col("b.n") * share) & (F.col("b.n") * 100 >= F.col("a.n") * share)
-    single = F.lit(True) if "kind" not in entries.columns else (
-        (F.col("a.kind") == 2) | (F.greatest("a.n", "b.n") > small)
-    )
-    met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.doc") < F.col("b.doc")) & near & single & keep)
-    pairs = met.groupBy(F.col("a.doc").alias("a"), F.col("b.doc").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")).agg(
-        F.count(F.lit(1)).alias("shared")
-    )
+def bounded_pairs(entries: DataFrame, small: int, share: int) -> DataFrame:
+    """Pairs of entries (token, doc, n, bound, perhaps kind) of a list, not both of bound sets, with the number ``shared`` of
+    lists they share; pairs that cannot overlap enough are left out.
+
+    Unbound sets meet each other and, in a join of their own, bound ones: a list holds few unbound sets, so the pairs that are
+    tried grow with a list's length, not with its square, and a list of bound sets alone is tried not at all."""
+    kinds = ["kind"] if "kind" in entries.columns else []
+
+    def met(a: DataFrame, b: DataFrame, ordered: bool) -> DataFrame:
+        a, b = a.alias("a"), b.alias("b")
+        cond = (F.col("a.n") * 100 >= F.col("b.n") * share) & (F.col("b.n") * 100 >= F.col("a.n") * share)
+        for c in ["token", *kinds]:
+            cond = cond & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+        for _ in kinds:
+            cond = cond & ((F.col("a.kind") == 2) | (F.greatest("a.n", "b.n") > small))
+        cond = cond & (F.col("a.doc") < F.col("b.doc") if ordered else F.col("a.doc") != F.col("b.doc"))
+        first, last = F.struct("a.doc", "a.n"), F.struct("b.doc", "b.n")
+        return a.join(b, cond).select(F.least(first, last).alias("a"), F.greatest(first, last).alias("b"))
+
+    unbound = entries.filter(~F.col("bound"))
+    every = met(unbound, unbound, True).unionByName(met(unbound, entries.filter("bound"), False))
+    pairs = every.groupBy(
+        F.col("a.doc").alias("a"), F.col("b.doc").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b")
+    ).agg(F.count(F.lit(1)).alias("shared"))
     beyond = F.greatest(F.col("n_a") - first_tokens(F.col("n_a"), share), F.col("n_b") - first_tokens(F.col("n_b"), share))
     enough = F.col("shared") + beyond >= overlap(F.col("n_a"), F.col("n_b"), share)
     return pairs.filter(enough | (F.greatest("n_a", "n_b") <= small)).select("a", "b", "shared")
@@ -196,9 +208,7 @@ def similar_sets(docs: DataFrame, words: int, share: int) -> tuple[DataFrame, Da
     crowded = deep.groupBy("token").agg(count.alias("length")).filter(F.col("length") > HEAVY).select("token")
     freed = stored(front(deep.join(crowded, "token", "left_anti")), "ngram-freed")
     family = full.join(freed.filter("not bound").select("doc"), "doc", "left_anti")
-    among = bounded_pairs(
-        freed.select("doc", "n", "bound", F.explode("tokens").alias("token")), ~(F.col("a.bound") & F.col("b.bound")), 0, share
-    )
+    among = bounded_pairs(freed.select("doc", "n", "bound", F.explode("tokens").alias("token")), 0, share)
     every = marked.filter("not bound").unionByName(rest)
     single = every.filter(F.col("n") * 100 > share * small).select(
         "doc", "n", "bound", F.lit(1).alias("kind"), F.explode("tokens").alias("token")
@@ -208,8 +218,7 @@ def similar_sets(docs: DataFrame, words: int, share: int) -> tuple[DataFrame, Da
         entries = single.unionByName(every.filter(F.col("n") <= small).select(
             "doc", "n", "bound", F.lit(2).alias("kind"), F.explode(subsets(F.col("tokens"))).alias("token")
         ))
-    # a token that only bound sets hold meets nobody here
-    general = bounded_pairs(entries, ~(F.col("a.bound") & F.col("b.bound")) & (F.col("a.kind") == F.col("b.kind")), small, share)
+    general = bounded_pairs(entries, small, share)
 
     pairs = stored(general.unionByName(among), "ngram-candidates")
 

@@ -112,7 +112,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = Non
     piece's sequence).  No sequence holds two documents of one source, nor two of one duplicate cluster (by default
     equal texts; null texts are no copies of each other).  A document without words has one row with no sequence.
     A null source is a source of its own; repeated rows are packed apart, being copies.  Groups of documents
-    are packed independently, dealt by hash of id and text.  An empty table gives no rows; other columns are ignored.
+    are packed independently, dealt by hash of id, text and the number of a copy.  An empty table gives no rows; other columns are ignored.
     """
     each = stored(docs.select(
         "doc_id", "source", words(F.col("text")).alias("size"),
@@ -138,10 +138,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = Non
         "doc_id", "source", "size", F.lit(0).cast("long").alias("piece"), F.lit(0).cast("long").alias("n_words"),
         F.lit(None).cast("string").alias("sequence"), F.lit(None).cast("long").alias("offset"), F.lit(None).cast("long").alias("fill"),
     )
-    left = each.filter(rest > 0).select(
+    copies = each.filter(rest > 0).groupBy(*key).count().select(*key, upto(F.col("count")).alias("copy"))
+    left = copies.select(
         "doc_id", "source", "size", F.floor(whole / capacity).alias("piece"), rest.alias("n_words"), "cluster",
-        hashed_block(groups, F.lit(5), F.col("doc_id"), F.col("cluster")).alias("group"),
-    )
+        hashed_block(groups, F.lit(5), F.col("doc_id"), F.col("cluster"), F.col("copy")).alias("group"),
+    ).repartitionByRange(groups, "group")  # by number, so that no two groups share a task
     types = pa.schema([("sequence", pa.string()), ("offset", pa.int64()), ("fill", pa.int64())])
 
     def run(rows: pa.Table) -> pa.Table:

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercata.llm.support import stored, uniform
@@ -309,9 +309,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, seed: int = 3) -> DataFrame:
-    """Up to ``SAMPLE_PER_CLASS`` labelled documents of each class outside the held-out fold: (text, toxic),
-    drawn by hash of doc_id.  Null ids and null labels take no part; of several labels of an id the
-    highest counts."""
+    """Labelled documents outside the held-out fold, (draw, doc_id, text, toxic): up to ``SAMPLE_PER_CLASS`` of each class
+    and ``SAMPLE_CHARS`` characters together, drawn by hash of doc_id.
+
+    Null ids and null labels take no part; of several labels of an id the highest counts, of several rows the shortest.  The
+    sample is cut before any text is brought to the training task, so long or repeated rows don't add to it."""
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -319,8 +321,15 @@ def sampled(docs: DataFrame, labels: DataFrame, seed: int = 3) -> DataFrame:
     )
     of = lambda one: known.filter((F.col("toxic") > 0) == one).orderBy("draw", "doc_id").limit(SAMPLE_PER_CLASS)
     chosen = stored(of(True).unionByName(of(False)), "toxic-sample")
-    # 2 * SAMPLE_PER_CLASS rows at most
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("draw", "doc_id", "text", "toxic")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # 2 * SAMPLE_PER_CLASS ids at most; one row of each
+    each = docs.select("doc_id", F.length(text).alias("size"), F.xxhash64(text).alias("print")).join(F.broadcast(chosen), "doc_id")
+    each = each.groupBy("draw", "doc_id", "toxic").agg(F.min(F.struct("size", "print")).alias("row"))
+    so_far = F.sum("row.size").over(Window.orderBy("draw", "doc_id"))
+    kept = stored(each.withColumn("so_far", so_far).filter(F.col("so_far") <= SAMPLE_CHARS).select("draw", "doc_id", "toxic", "row.*"), "toxic-kept")
+    found = docs.select("doc_id", text.alias("text")).join(F.broadcast(kept), "doc_id")
+    same = (F.length("text") == F.col("size")) & (F.xxhash64("text") == F.col("print"))
+    return found.filter(same).groupBy("draw", "doc_id", "toxic").agg(F.first("text").alias("text")).select("draw", "doc_id", "text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -328,17 +337,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     import pickle
 
     def run(batches):
-        rows = sorted(
-            (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("draw", "doc_id", "text", "toxic")))),
-            key=lambda r: (r[0], r[1], r[2] or ""),
-        )
-        texts, labels, size = [], [], 0
-        for _, _, text, toxic in rows:
-            if size + len(text or "") <= SAMPLE_CHARS:
-                texts.append(text or "")
-                labels.append(int(toxic > 0))
-                size += len(text or "")
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, labels))], pa.binary())], names=["model"])
+        rows = sorted(row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("draw", "doc_id", "text", "toxic"))))
+        fitted = fit([text for _, _, text, _ in rows], [int(toxic > 0) for *_, toxic in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fitted)], pa.binary())], names=["model"])
 
     model = stored(sampled(docs, labels).repartition(1).mapInArrow(run, "model binary"), "toxic-model")
     found = model.first()  # no partition, and so no row, without labelled documents
@@ -349,7 +350,8 @@ def score(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
     """Score every whole text: doc_id, score, predicted, n_tagged, spans (offsets of tagged words).
 
     With ``keep``, the rows and columns of ``docs`` whose documents are not predicted toxic instead.  A null or
-    empty text is scored like one without any word; rows with equal or null ids are scored one by one."""
+    empty text is scored like one without any word; rows with equal or null ids are scored one by one; very long texts are
+    scored whole.  An empty table gives no rows; without ``keep`` other columns are ignored."""
     def scored(batches):
         known = Scores(model)
         for batch in batches:

@@ -111,6 +111,22 @@ def test_pareto_draw_prefers_larger_inclusion(spark):
     assert 0.75 < sum(r.id % 2 == 0 for r in ranks) / 2000 < 0.85  # Pareto sampling meets its inclusion odds
 
 
+def test_larger_documents_are_included_more(spark, frame):
+    """Inclusion grows with size, document by document, and the order follows it; the words still meet the target."""
+    data = [(i, "a", "w " * (50 if i % 2 else 5)) for i in range(3000)]
+    mixed = mixing.mix(frame(data, "doc_id long, source string, text string")).collect()
+    more = lambda size: sum(r.mix.copies == 2 for r in mixed if r.mix.size == size) / 1500
+    slope = 0.5 * 55 / (50 * 50 + 5 * 5)
+    assert abs(more(50) - 50 * slope) < 0.05 and abs(more(5) - 5 * slope) < 0.03
+    assert abs(sum(r.mix.copies * r.mix.size for r in mixed) - mixed[0].mix.target) <= 25
+
+
+def test_null_and_repeated_ids_are_drawn_by_their_texts(spark, frame):
+    data = [(None if i % 2 else 7, "a", f"w{i} " * 10) for i in range(1000)]
+    mixed = mixing.mix(frame(data, "doc_id long, source string, text string")).collect()
+    assert {r.mix.copies for r in mixed} == {1, 2} and abs(sum(r.mix.copies for r in mixed) - 1500) <= 1
+
+
 def test_mix_edges(spark, frame):
     schema = "doc_id long, source string, text string, mix int, key string, plan int, `row` int"
     assert mixing.mix(frame([], schema)).collect() == []
