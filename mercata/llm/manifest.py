@@ -87,13 +87,15 @@ def tops(levels: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [x.filter("total = 1").select("key", "digest") for x in levels])
 
 
-def proofs(levels: list[DataFrame], above: DataFrame) -> DataFrame:
+def proofs(levels: list[DataFrame], above: DataFrame | None = None) -> DataFrame:
     """The leaves with ``top`` and ``steps``: per level up to the top the siblings before and behind,
-    then the steps that ``above`` (key, steps) has for the tree."""
+    then the steps that ``above`` (key, steps) has for the tree, if any."""
     known = None
     for nodes in reversed(levels):
         kept = [c for c in nodes.columns if c not in ("before", "behind")]
-        known_here = nodes.filter("total = 1").join(above, "key").select(*kept, F.col("digest").alias("top"), "steps")
+        tops_here = nodes.filter("total = 1")
+        tops_here = tops_here.withColumn("steps", F.array().cast(STEPS)) if above is None else tops_here.join(above, "key")
+        known_here = tops_here.select(*kept, F.col("digest").alias("top"), "steps")
         if known is not None:
             upper = known.select("key", F.col("at").alias("parent"), "top", "steps")
             inner = nodes.filter("total > 1").withColumn("parent", F.floor(F.col("at") / FANOUT))
@@ -136,8 +138,7 @@ def manifest(docs: DataFrame, trial=tampered) -> DataFrame:
     subroots = tops(levels).select(F.lit("").alias("key"), F.col("key").alias("tree"), "digest")
     over = levels_of(placed(stored(subroots, "manifest-subroots"), "key", ["tree"]))
     root = tops(over).first()
-    no_steps = docs.sparkSession.range(1).select(F.lit("").alias("key"), F.array().cast(STEPS).alias("steps"))
-    ways = stored(proofs(over, no_steps).select(F.col("tree").alias("key"), "steps"), "manifest-ways")
+    ways = stored(proofs(over).select(F.col("tree").alias("key"), "steps"), "manifest-ways")
     siblings = F.transform("steps", lambda s: F.concat(s["before"], s["behind"]))
     root = F.lit(root.digest if root else None).cast("string")
     return proofs(levels, ways).select(
