@@ -312,8 +312,8 @@ def sampled(docs: DataFrame, labels: DataFrame, seed: int = 3) -> DataFrame:
     """Labelled documents outside the held-out fold, (draw, doc_id, text, toxic): up to ``SAMPLE_PER_CLASS`` of each class
     and ``SAMPLE_CHARS`` characters together, drawn by hash of doc_id.
 
-    Null ids and null labels take no part; of several labels of an id the highest counts, of several rows the shortest.  The
-    sample is cut before any text is brought to the training task, so long or repeated rows don't add to it."""
+    Null ids and null labels take no part; of several labels of an id the highest counts, of several rows the shortest; a
+    document of more than a hundredth of ``SAMPLE_CHARS`` is not drawn.  The sample is cut before any text is brought to the training task, so long or repeated rows don't add to it."""
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -324,7 +324,7 @@ def sampled(docs: DataFrame, labels: DataFrame, seed: int = 3) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     # 2 * SAMPLE_PER_CLASS ids at most; one row of each
     each = docs.select("doc_id", F.length(text).alias("size"), F.xxhash64(text).alias("print")).join(F.broadcast(chosen), "doc_id")
-    each = each.groupBy("draw", "doc_id", "toxic").agg(F.min(F.struct("size", "print")).alias("row"))
+    each = each.filter(F.col("size") * 100 <= SAMPLE_CHARS).groupBy("draw", "doc_id", "toxic").agg(F.min(F.struct("size", "print")).alias("row"))
     so_far = F.sum("row.size").over(Window.orderBy("draw", "doc_id"))
     kept = stored(each.withColumn("so_far", so_far).filter(F.col("so_far") <= SAMPLE_CHARS).select("draw", "doc_id", "toxic", "row.*"), "toxic-kept")
     found = docs.select("doc_id", text.alias("text")).join(F.broadcast(kept), "doc_id")
