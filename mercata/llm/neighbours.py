@@ -2,8 +2,9 @@
 
 Every vector is coded as int8 with its own scale.  The product of two codes is off by no more
 than the products of the residuals' and the codes' lengths allow, so a tile's int8 products
-give a range for every inner product.  Pairs whose range reaches the k-th best lower end are
-recomputed from the original vectors in double precision; the rest cannot be among the best.
+give a range for every inner product.  Pairs whose range reaches the k-th best lower end over all tiles
+are recomputed from the original vectors in double precision and merged by heaps; the rest cannot be
+among the best.  Tiles are shipped codes only, a byte a component.
 """
 
 from __future__ import annotations
@@ -28,31 +29,27 @@ def coded(vectors: np.ndarray):
     return codes, scale, np.linalg.norm(decoded, axis=1), np.linalg.norm(vectors - decoded, axis=1)
 
 
-def best(queries, rows, k: int):
-    (query_ids, exact_q), (row_ids, exact_r) = queries, rows
-    kind = np.float32 if exact_r.shape[1] <= EXACT_FLOAT32 else np.float64
-    code_r, scale_r, length_r, residual_r = coded(exact_r)
-    code_r = code_r.astype(kind)
-    found = []
-    for at in range(0, len(query_ids), tiles.QUERIES_AT_ONCE):
-        ids, exact = query_ids[at:at + tiles.QUERIES_AT_ONCE], exact_q[at:at + tiles.QUERIES_AT_ONCE]
-        code, scale, length, residual = coded(exact)
-        product = (code.astype(kind) @ code_r.T) * scale[:, None] * scale_r[None, :]
-        error = np.outer(residual, length_r + residual_r) + np.outer(length, residual_r)
-        error = error * (1 + 1e-6) + 1e-6 * np.outer(length, length_r) + 1e-300
-        own = ids[:, None] == row_ids[None, :]
-        low, high = np.where(own, -np.inf, product - error), np.where(own, -np.inf, product + error)
-        for j, query in enumerate(ids):
-            others = len(row_ids) - int(own[j].sum())
-            if others > k:
-                certain = np.partition(low[j], len(row_ids) - k)[len(row_ids) - k]
-                near = np.flatnonzero((high[j] >= certain) & ~own[j])
-            else:
-                near = np.flatnonzero(~own[j])
-            score = np.cumsum(exact_r[near] * exact[j], axis=1)[:, -1]  # added up in order of dimension
-            top = np.lexsort((row_ids[near], -score))[:k]
-            found.append((np.full(len(top), query), row_ids[near][top], score[top]))
-    return tuple(map(np.concatenate, zip(*found)))
+def paged(vectors: np.ndarray) -> tuple[bytes, bytes]:
+    with np.errstate(all="ignore"):
+        codes, scale, length, residual = coded(vectors)
+    return codes.tobytes(), np.stack([scale, length, residual]).astype("<f8").tobytes()
+
+
+def bounds(queries: tiles.Page, rows: tiles.Page):
+    kind = np.float32 if rows.dim <= EXACT_FLOAT32 else np.float64
+    code, code_r = (np.frombuffer(p.codes, np.int8).reshape(-1, p.dim).astype(kind) for p in (queries, rows))
+    scale, length, residual = np.frombuffer(queries.marks, "<f8").reshape(3, -1)
+    scale_r, length_r, residual_r = np.frombuffer(rows.marks, "<f8").reshape(3, -1)
+    for at in range(0, len(queries.no), tiles.QUERIES_AT_ONCE):
+        some = slice(at, at + tiles.QUERIES_AT_ONCE)
+        product = (code[some] @ code_r.T) * scale[some, None] * scale_r[None, :]
+        error = np.outer(residual[some], length_r + residual_r) + np.outer(length[some], residual_r)
+        error = error * (1 + 1e-6) + 1e-6 * np.outer(length[some], length_r) + 1e-300
+        yield some, product - error, product + error
+
+
+def exact(wanted: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    return np.cumsum(vectors * wanted, axis=1)[:, -1]  # added up in order of dimension
 
 
 def nearest(embeddings: DataFrame, k: int = 20, every: int = EVERY) -> DataFrame:
@@ -64,4 +61,4 @@ def nearest(embeddings: DataFrame, k: int = 20, every: int = EVERY) -> DataFrame
     compared with every row but those that carry its own id.  The result is exact: recall is 1.
     """
     vectors = tiles.usable(embeddings, nonzero=True)
-    return tiles.search(vectors, F.col("vec_id") % every == 0, best, k, "double")
+    return tiles.search(vectors, F.col("vec_id") % every == 0, k, "codes", paged, paged, bounds, exact, "double")

@@ -3,7 +3,9 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from mercata.llm import neighbours, tiles, vafile
 
@@ -57,8 +59,61 @@ def test_codes_bound_products():
 
 def test_cells_bound_vectors():
     data = np.floor(256 * vectors(500, 5).astype(float))
-    _, low, high = vafile.cells(data)
+    number, marks = vafile.cells(data)
+    low, high = vafile.edges(number, marks)
     assert (low <= data).all() and (data <= high).all()
+    assert (vafile.unpacked(vafile.packed(number), 5) == number).all()
+    assert len(vafile.packed(number)) == 500 * 4  # 30 bits a vector
+
+
+@pytest.mark.parametrize("search, scale", [(vafile, 1), (vafile, 1e300), (neighbours, 1), (neighbours, 1e-200)])
+def test_page_bounds_hold_and_prune(search, scale):
+    data = vectors(400, 16).astype(float) * scale
+    paged = getattr(search, "paged_rows", None) or search.paged
+    asked = getattr(search, "paged_queries", None) or search.paged
+    ids = np.arange(400)
+    page = lambda code, x, no: tiles.Page(pa.table({
+        "dim": [16], "no": [no.tobytes()], "vec_id": [no.tobytes()], "codes": [code(x)[0]], "marks": [code(x)[1]]}))
+    queries, rows = page(asked, data[::20], ids[::20]), page(paged, data, ids)
+    exact = vafile.whole(data) if search is vafile else data
+    with np.errstate(all="ignore"):
+        score = exact[::20] @ exact.T
+        for some, low, high in search.bounds(queries, rows):
+            assert not (low > score[some]).any() and not (high < score[some]).any()
+    kept = tiles.pairs(queries, rows, search.bounds, 5)
+    best = {i: {j for j in np.argsort(-np.where(ids == i, -np.inf, s), kind="stable")[:5]} for i, s in zip(ids[::20], score)}
+    found = {}
+    for i, j in zip(kept[0], kept[2]):
+        found.setdefault(i, set()).add(j)
+    if np.isfinite(score).all():
+        assert all(best[i] <= found[i] for i in best)
+    if scale == 1:
+        assert len(kept[0]) < 20 * 400 / 2
+
+
+def test_copies_of_a_vector_and_of_an_id(spark, frame, monkeypatch):
+    """A third of all rows are one vector, a fifth one id: pairs stay few, results whole."""
+    data, ids = vectors(300), np.arange(300)
+    data[100:200], ids[200:260] = data[0], 0
+    df = frame([(int(i), [float(x) for x in v], 0, 1, 2, "s") for i, v in zip(ids, data)], SCHEMA)
+    for search, every, k, whole in ((neighbours.nearest, 20, 20, False), (vafile.top_k, 50, 5, True)):
+        x = np.floor(256 * data.astype(float)) if whole else data.astype(float)
+        expected = {}
+        for i in sorted({int(i) for i in ids if i % every == 0}):
+            scores = [(-s, int(j)) for q in x[ids == i] for s, j in zip(np.cumsum(x * q, axis=1)[:, -1], ids) if j != i]
+            expected[i] = [(j, -s) for s, j in sorted(scores)[:k]]
+        assert collected(search(df)) == expected
+    assert tiles.findable(tiles.usable(df, False), 5).filter(F.col("vector") == F.array(*[F.lit(float(v)) for v in data[0]])).count() <= 10
+
+
+def test_components_of_any_size(spark, frame):
+    rows = [(0, [1e300, 2.0**40]), (1, [0.0, 2.0**-8]), (2, [0.0, 3.5]), (3, [0.0, -1.0]), (50, [0.0, 2.0**10 + 0.001])]
+    df = frame([(i, v, 0, 1, 2, "s") for i, v in rows], SCHEMA.replace("float", "double"))
+    got = collected(vafile.top_k(df.filter("vec_id <> 50")))
+    assert got == {0: [(2, 2**48 * 896), (1, 2**48), (3, -(2**48) * 256)]}
+    big = frame([(50, [2.0**20, 1.0], 0, 1, 2, "s"), (1, [2.0**26, 0.5], 0, 1, 2, "s"), (2, [2.0**26, -0.5], 0, 1, 2, "s")],
+                SCHEMA.replace("float", "double"))
+    assert collected(vafile.top_k(big)) == {50: [(1, 2**62 + 2**15), (2, 2**62 - 2**15)]}
 
 
 def test_vectors_that_take_no_part(spark, frame):
