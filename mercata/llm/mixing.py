@@ -21,6 +21,8 @@ MOST = 2             # a document is taken this often at most
 SLICES = 1_024       # slices of the histogram
 SORTED_ROWS = 20_000  # rows of a source that are ranked one by one
 LEAST_ODDS = 1e-9
+EQUAL_AT_ONCE = 4_096  # rows of a group of equal ones that are counted out at once
+DRAWN_BY = ("doc_id", "size", "print", "nth")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -113,16 +115,55 @@ def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return state.select("key", F.col("low").alias("floor")).join(cut, "key", "left")
 
 
-def mix_plan(docs: DataFrame, seed: int = 11) -> DataFrame:
+def equal_rows(docs: DataFrame) -> DataFrame:
+    """(key, doc_id, size, print, n): how many rows agree in source, doc_id and text."""
+    rows = docs.select(
+        source_key(F.col("source")).alias("key"), F.col("doc_id"), words(F.col("text")).alias("size"), F.xxhash64("text").alias("print")
+    )
+    return stored(rows.groupBy("key", "doc_id", "size", "print").agg(F.count(F.lit(1)).alias("n")), "mix-rows")
+
+
+def counted(groups: DataFrame) -> DataFrame:
+    """One row for each row of the groups, with its number ``nth`` among its equals."""
+    end = F.col("n") - 1
+    return (
+        groups.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), end, F.lit(EQUAL_AT_ONCE).cast("long"))))
+        .withColumn("nth", F.explode(F.sequence("chunk", F.least(F.col("chunk") + (EQUAL_AT_ONCE - 1), end))))
+        .drop("n", "chunk")
+    )
+
+
+def numbered(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Add ``nth``, a row's number among its equals, to (row, key, size, print).
+
+    Repeated rows, the only ones that need counting, are written and numbered in two levels: partition
+    by partition, then inside each, so that a group of any size is spread over the tasks."""
+    many = groups.filter("n > 1").select("key", F.col("doc_id").alias("id"), "size", "print", F.lit(True).alias("many"))
+    if many.isEmpty():
+        return rows.withColumn("nth", F.lit(0).cast("long"))
+    r, m = rows.withColumn("id", F.col("row.doc_id")).alias("r"), many.alias("m")
+    names = ["key", "id", "size", "print"]
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"m.{c}")) for c in names]
+    flagged = r.join(m, same, "left").select("r.*", "m.many")
+    once = flagged.filter("many is null").select("row", "key", "size", "print", F.lit(0).cast("long").alias("nth"))
+    repeated = stored(flagged.filter("many").drop("many").withColumn("no", F.monotonically_increasing_id()), "mix-repeated")
+    repeated = repeated.withColumn("part", F.shiftright("no", 33))  # its upper bits are the partition's number
+    parts = repeated.groupBy(*names, "part").agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.partitionBy(*names).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0))).drop("rows").alias("p")
+    inside = F.row_number().over(Window.partitionBy(*names, "part").orderBy("no")) - 1
+    placed = repeated.withColumn("inside", inside).alias("r")
+    on = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in [*names, "part"]]
+    placed = placed.join(parts, on).select("r.row", "r.key", "r.size", "r.print", (F.col("p.start") + F.col("r.inside")).alias("nth"))
+    return once.unionByName(placed)
+
+
+def mix_plan(groups: DataFrame, seed: int = 11) -> DataFrame:
     """Per source: key, source_size, target, whole (certain copies), slope (inclusion of one more copy per word),
     floor and cut (ranks that are taken)."""
-    rows = stored(
-        docs.select(
-            source_key(F.col("source")).alias("key"), F.col("doc_id"), words(F.col("text")).alias("size"), F.xxhash64("text").alias("print")
-        ), "mix-rows",
-    )
-    sizes = stored(rows.groupBy("key").agg(
-        F.sum("size").alias("source_size"), F.sum(F.col("size").cast("decimal(19,0)") * F.col("size")).cast("double").alias("squares")
+    each = F.col("size").cast("decimal(19,0)") * F.col("size") * F.col("n")
+    sizes = stored(groups.groupBy("key").agg(
+        F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum(each).cast("double").alias("squares")
     ), "mix-sizes")
     times = F.col("target") / F.nullif(F.col("source_size"), F.lit(0))
     whole = F.coalesce(F.floor(times), F.lit(0)).cast("int")
@@ -132,10 +173,10 @@ def mix_plan(docs: DataFrame, seed: int = 11) -> DataFrame:
     slope = F.col("rest") / F.nullif(F.col("squares"), F.lit(0.0))
     plan = stored(plan.join(sizes.select("key", "squares"), "key").withColumn("slope", slope).drop("squares"), "mix-plan")
     drawn = plan.filter("rest > 0 and rest < source_size")
-    ranked = rows.join(drawn.select("key", "slope"), "key").withColumn(
-        "rank", rank(inclusion(F.col("slope"), F.col("size")), seed, F.col("doc_id"), F.col("size"), F.col("print"))
+    ranked = counted(groups.join(drawn.select("key", "slope"), "key")).withColumn(
+        "rank", rank(inclusion(F.col("slope"), F.col("size")), seed, *map(F.col, DRAWN_BY))
     )
-    cut = cuts(ranked.drop("slope", "print"), drawn.select("key", "rest"))
+    cut = cuts(ranked.drop("slope", "print", "nth"), drawn.select("key", "rest"))
     return stored(plan.join(cut, "key", "left"), "mix-cuts")
 
 
@@ -143,18 +184,19 @@ def mix(docs: DataFrame, seed: int = 11) -> DataFrame:
     """All rows of ``docs`` as (row, mix): the row's columns, and size, source_size, target, copies.
 
     A null or empty text has size 0 and a null source is a source of its own; texts of any length are counted
-    whole.  Rows that agree in doc_id, source and text are taken alike; null or repeated ids with different texts are not.  An
-    empty table gives no rows.  Which rows are taken depends on doc_id, text and seed only, so reruns and retries agree.
+    whole.  Each row is drawn for itself, null and repeated ids and equal rows included: of equal rows, their number
+    decides how many are taken once more.  An empty table gives no rows.  What is taken depends on doc_id, text, number
+    of equal rows and seed only, so reruns and retries agree.  Other columns may have any names.
     """
-    plan = mix_plan(docs, seed).select(F.struct("*").alias("plan"))
+    groups = equal_rows(docs)
+    plan = mix_plan(groups, seed).select(F.struct("*").alias("plan"))
     rows = docs.select(F.struct("*").alias("row"))
     rows = rows.select(
         "row", source_key(F.col("row.source")).alias("key"), words(F.col("row.text")).alias("size"), F.xxhash64("row.text").alias("print")
     )
-    joined = rows.join(plan, F.col("key") == F.col("plan.key"))
+    joined = numbered(rows, groups).withColumn("doc_id", F.col("row.doc_id")).join(plan, F.col("key") == F.col("plan.key"))
     own = F.struct(
-        rank(inclusion(F.col("plan.slope"), F.col("size")), seed, F.col("row.doc_id"), F.col("size"), F.col("print")).alias("rank"),
-        F.col("row.doc_id").alias("doc_id"), F.col("size").alias("size"),
+        rank(inclusion(F.col("plan.slope"), F.col("size")), seed, *map(F.col, DRAWN_BY)).alias("rank"), F.col("doc_id"), F.col("size"),
     )
     more = F.coalesce((own["rank"] < F.col("plan.floor")) | (own <= F.col("plan.cut")), F.lit(False))
     return joined.select("row", F.struct(

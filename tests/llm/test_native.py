@@ -1,9 +1,11 @@
 """Sharding and mixing."""
 
+import math
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 
 from mercata.llm import mixing, sharding
 
@@ -48,6 +50,42 @@ def test_shards_with_nulls_repeats_and_long_texts(spark, frame):
     assert sum(r.doc_id == 1 and r.size == 10 for r in got) == 20
 
 
+def hashed(*values):
+    """xxhash64 over columns: each value's hash is the next one's seed; nulls leave it."""
+    at = 42
+    for v in values:
+        if v is not None:
+            data = v.encode() if isinstance(v, str) else v[0].to_bytes(4, "little") if isinstance(v, tuple) else v.to_bytes(8, "little")
+            at = xxhash.xxh64_intdigest(data, at)
+    return at - (1 << 64) if at >> 63 else at
+
+
+@pytest.mark.parametrize("n,per_block", [(1, 50_000), (137, 50_000), (400, 60)])
+def test_places_follow_the_permutation(spark, frame, monkeypatch, n, per_block):
+    """Row numbers, permutation, walk, shard and slot reckoned again in plain Python."""
+    monkeypatch.setattr(sharding, "NUMBERED_ROWS", per_block)
+    data = [(None if i % 9 == 0 else i // 3, "s", "t" * (i % 5)) for i in range(n)]
+    keys = [(i, len(t) + 8, zlib.crc32(t.encode())) for i, _, t in data]
+    blocks, shards, seed = -(-n // per_block), 7, 7
+    ordered = sorted(keys, key=lambda k: (hashed(*k) % blocks, k[0] is not None, k[0] or 0, k[1:]))
+    a, b = sharding.grid(n)
+    assert a * b >= n > a * b - a - b
+
+    def place(row):
+        while True:
+            x, y = row % a, row // a
+            for i in range(sharding.HALF_ROUNDS):
+                m = b if i % 2 else a
+                x, y = y, (x + hashed(y, (seed * sharding.HALF_ROUNDS + i,)) % m) % m
+            row = x + y * a
+            if row < n:
+                return row
+
+    want = Counter((*k, place(i) % shards, place(i) // shards) for i, k in enumerate(ordered))
+    got = sharding.assign_shards(frame(data, "doc_id long, source string, text string"), shards, seed).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in got) == want
+
+
 def test_sharding_repeats(spark, frame):
     df = frame(rows(300), DOCS)
     assert sorted(sharding.assign_shards(df, 7).collect()) == sorted(sharding.assign_shards(df.repartition(5), 7).collect())
@@ -127,12 +165,53 @@ def test_null_and_repeated_ids_are_drawn_by_their_texts(spark, frame):
     assert {r.mix.copies for r in mixed} == {1, 2} and abs(sum(r.mix.copies for r in mixed) - 1500) <= 1
 
 
+@pytest.mark.parametrize("sorted_rows", [20_000, 7])
+def test_draw_follows_the_ranks(spark, frame, monkeypatch, sorted_rows):
+    """Inclusion, ranks, cut and copies reckoned again in plain Python, with null, repeated and equal rows."""
+    monkeypatch.setattr(mixing, "SORTED_ROWS", sorted_rows)
+    monkeypatch.setattr(mixing, "EQUAL_AT_ONCE", 5)
+    data = [(None if i % 13 == 0 else i // 2, "abc"[i % 3 % 2], f"w{i % 4} " * (1 + i * 31 % 40)) for i in range(300)]
+    data += [(7, "a", "same text here")] * 40 + [(None, "b", "x y")] * 11 + [(8, None, None)] * 3
+    seed, size = 11, lambda t: len((t or "").split())
+    sources = defaultdict(list)
+    for i, s, t in data:
+        sources[s].append((i, size(t), hashed(t)))
+    target = water_filled({s: sum(r[1] for r in rows) for s, rows in sources.items()})
+    want = Counter()
+    for s, rows in sources.items():
+        total = sum(r[1] for r in rows)
+        whole = int(target[s] // total) if total else 0
+        rest = target[s] - whole * total
+        seen, ranked = Counter(), []
+        for i, n, mark in rows:
+            chance = min(1 - 1e-9, max(1e-9, rest / (sum(r[1] ** 2 for r in rows) or 1) * n))
+            nth, seen[i, n, mark] = seen[i, n, mark], seen[i, n, mark] + 1
+            u = (((hashed((seed,), i, n, mark & (1 << 64) - 1, nth) & (1 << 64) - 1) >> 12) + 0.5) * 2.0**-52
+            ranked.append((math.log(u) - math.log1p(-u) - math.log(chance) + math.log1p(-chance), i, n))
+        before = 0
+        for _, i, n in sorted(ranked, key=lambda r: r[0]):
+            more = 0 < rest < total and before + n / 2 <= rest
+            want[i, s, n, whole + more] += 1
+            before += n
+    out = mixing.mix(frame(data, "doc_id long, source string, text string")).collect()
+    assert Counter((r.row.doc_id, r.row.source, r.mix.size, r.mix.copies) for r in out) == want
+
+
+def test_equal_rows_are_drawn_apart(spark, frame):
+    data = [(5, "a", "one two three", n) for n in range(1001)]
+    df = frame(data, "doc_id long, source string, text string, nth int")
+    for part in (1, 6):
+        mixed = mixing.mix(df.repartition(part)).collect()
+        assert len({r.row.nth for r in mixed}) == 1001
+        assert Counter(r.mix.copies for r in mixed) in (Counter({1: 501, 2: 500}), Counter({1: 500, 2: 501}))
+
+
 def test_mix_edges(spark, frame):
     schema = "doc_id long, source string, text string, mix int, key string, plan int, `row` int"
     assert mixing.mix(frame([], schema)).collect() == []
     data = [(None, None, None, 1, "k", 2, 3)] * 2 + [(1, "a", "", 1, "k", 2, 3), (2, "a", "x " * 50_000, 1, "k", 2, 3)] * 2
     mixed = mixing.mix(frame(data, schema)).collect()
-    assert len(mixed) == 6 and sum(m.mix.size * m.mix.copies for m in mixed) in (100_000, 200_000)
+    assert len(mixed) == 6 and sum(m.mix.size * m.mix.copies for m in mixed) == 150_000  # equal rows are drawn apart
     out = mixing.mixture(frame(data, schema))
     assert out.columns == ["doc_id", "source", "text", "mix", "key", "plan", "row"]
     zero = mixing.mix(frame([(1, "a", " ", 1, "k", 2, 3)], schema)).collect()
