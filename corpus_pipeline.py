@@ -54,7 +54,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents, each over the written result of the one before.
 
-    Once a stage's result is written, its intermediate tables and its input go."""
+    Once a stage's result is written, its intermediate tables and its input go.  Rows with null or empty texts are
+    clean and pass every filter; they end as rows without a sequence where the mix takes them.  Rows without an id stay
+    apart from each other; of rows with one id, and of near copies, one stays.  Texts of any length are worked
+    on whole, no documents give no rows, and other columns pass through all stages but the last."""
     docs = table(prepare(spark), sf_dir, "documents")
     before = len(WRITTEN)
     for name, stage in STAGES:
