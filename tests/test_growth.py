@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks import catalog
 from mercata import roles
 from mercata.market import Market
+from mercata.plans import gold_reviews
 from mercata.sources import readers
 from mercata.streaming import summaries
 
@@ -72,3 +73,18 @@ def test_loads_need_no_texts(spark, orders_folder, tmp_path):
         whole = sorted(map(str, getattr(market, name).collect()))
         for folder in ("with", "without"):
             assert sorted(map(str, summaries.table(spark, str(tmp_path / folder), name).collect())) == whole
+
+
+def test_keywords_split_each_text_once(spark, orders_folder):
+    references = roles.review_references(spark, orders_folder)
+    texts = roles.review_texts(spark, orders_folder).withColumnRenamed("doc_id", "text_id")
+    twice = texts.unionByName(texts.where("text_id = 0"))  # a repeated id attaches both its texts
+    for given in (texts, twice):
+        attached = references.join(given, "text_id", "left")
+        for pct in (100.0, 40.0):
+            whole = gold_reviews.review_keywords(attached, "text", 1, pct).collect()
+            split = gold_reviews.review_keywords(references, "text_id", 1, pct, texts=given)
+            assert whole and sorted(map(str, split.collect())) == sorted(map(str, whole))
+    found = catalog.QUERIES["G21_review_keywords_whole_text"](spark, orders_folder)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan[plan.index("Generate"):].split("Join")[0] and plan.index("Join") < plan.index("Generate")
