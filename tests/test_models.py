@@ -1,3 +1,4 @@
+import tracemalloc
 from itertools import combinations
 from math import factorial
 
@@ -347,3 +348,21 @@ def test_projection(signals):
     spread = out.agg(F.var_samp("pc1").alias("a"), F.var_samp("pc2").alias("b"), F.corr("pc1", "pc2").alias("c")).first()
     assert spread.a >= spread.b and abs(spread.c) < 1e-6
     assert clusters.loadings(signals, A.TRUST_FEATURES).count() == 2 * len(A.TRUST_FEATURES)
+
+
+def test_blocks_of_silhouettes_need_little_memory():
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(20_000, 3))
+    label = (rows[:, 0] > 0).astype(int)
+    size = np.bincount(label)
+    tracemalloc.start()
+    scores = kmeans.block_scores(7, rows, [label], [size], [np.eye(2)[label]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6  # a block's distances at once are 160 MB
+    at = slice(7 * kmeans.BLOCK, 8 * kmeans.BLOCK)
+    sums = np.sqrt(((rows[at, None] - rows[None]) ** 2).sum(axis=2)) @ np.eye(2)[label]
+    own = label[at]
+    a, b = sums[np.arange(1000), own] / (size[own] - 1), sums[np.arange(1000), 1 - own] / size[1 - own]
+    assert scores == [pytest.approx(((b - a) / np.maximum(a, b)).sum())]
+    assert kmeans.silhouettes(None, [], 1) == []  # no model, no pass
