@@ -20,6 +20,7 @@ from mercata.functions.exact import half_up
 from mercata.ml.success import FEATURES
 
 ROWS_AT_ONCE = 256  # rows that go through a group of leaves together
+TABLED = 6          # features of a leaf, at most, whose 2 ** n ways to follow the path are tabled
 
 
 def tree_leaves(model: PipelineModel, spark=None) -> tuple[list, float]:
@@ -60,32 +61,66 @@ def leaf_groups(leaves: list) -> list[tuple]:
     ]
 
 
+def leaf_shares(follows: np.ndarray, share: np.ndarray) -> list[np.ndarray]:
+    """Each feature's part of a leaf's value, where ``follows`` (rows x leaves x features) tells which bounds a row meets."""
+    m = follows.shape[2]
+    weight = [factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)]
+    out = []
+    for i in range(m):
+        # by[k]: sum over sets of k known other features of their joint path share
+        by = [np.ones(follows.shape[:2])]
+        for j in range(m):
+            if j != i:
+                grown = [b * share[:, j] for b in by]
+                grown.append(by[-1] * follows[:, :, j])
+                for k in range(len(by) - 1):
+                    grown[k + 1] += by[k] * follows[:, :, j]
+                by = grown
+        known = sum(w * b for w, b in zip(weight, by))
+        out.append((follows[:, :, i] - share[:, i]) * known)
+    return out
+
+
+def tabled(groups: list[tuple], rows: int) -> list[tuple]:
+    """The groups, each with a table (leaf and way to follow its path) of the features' parts and the margin's; None where
+    there are more ways than ``rows`` or the path has more than ``TABLED`` features."""
+    out = []
+    for features, value, share, above, up_to in groups:
+        m, table = len(features), None
+        if 0 < m <= TABLED and 2**m <= rows:
+            ways = (np.arange(2**m)[:, None] >> np.arange(m) & 1).astype(float)
+            follows = np.repeat(ways[:, None, :], len(value), axis=1)
+            parts = [*leaf_shares(follows, share), follows.prod(axis=2)]
+            table = np.stack([(p * value).T for p in parts], axis=2).reshape(-1, m + 1)  # leaf * 2 ** m + way
+        out.append((features, value, share, above, up_to, table))
+    return out
+
+
 def shapley_batch(x: np.ndarray, groups: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-    """Attributions and margin of each row of a feature matrix."""
+    """Attributions and margin of each row of a feature matrix; ``groups`` may have been :func:`tabled`."""
     phi, margin = np.zeros(x.shape), np.zeros(len(x))
     for at in range(0, len(x), ROWS_AT_ONCE):
         rows = slice(at, at + ROWS_AT_ONCE)
-        for features, value, share, above, up_to in groups:
+        for features, value, share, above, up_to, *table in groups:
             m = len(features)
             if not m:
                 margin[rows] += value.sum()
                 continue
-            held = x[rows][:, None, list(features)]
+            columns = list(features)
+            if table and table[0] is not None:
+                way = np.zeros((len(x[rows]), len(value)), np.intp) + np.arange(len(value)) * 2**m
+                for j, f in enumerate(columns):
+                    held = x[rows, f, None]
+                    way += ((held > above[:, j]) & (held <= up_to[:, j])).astype(np.intp) << j
+                parts = table[0][way].sum(axis=1)
+                phi[rows, columns] += parts[:, :m]
+                margin[rows] += parts[:, m]
+                continue
+            held = x[rows][:, None, columns]
             follows = ((held > above) & (held <= up_to)).astype(float)  # rows x leaves x features
             margin[rows] += follows.prod(axis=2) @ value
-            weight = [factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)]
-            for i, f in enumerate(features):
-                # by[k]: sum over sets of k known other features of their joint path share
-                by = [np.ones(follows.shape[:2])]
-                for j in range(m):
-                    if j != i:
-                        grown = [b * share[:, j] for b in by]
-                        grown.append(by[-1] * follows[:, :, j])
-                        for k in range(len(by) - 1):
-                            grown[k + 1] += by[k] * follows[:, :, j]
-                        by = grown
-                known = sum(w * b for w, b in zip(weight, by))
-                phi[rows, f] += ((follows[:, :, i] - share[:, i]) * known) @ value
+            for f, part in zip(columns, leaf_shares(follows, share)):
+                phi[rows, f] += part @ value
     return phi, margin
 
 
@@ -101,8 +136,10 @@ def explain(model: PipelineModel, df: DataFrame, leaves: tuple[list, float] | No
 
     def run(batches):
         groups, base = shared.value
+        ready = None
         for batch in batches:
-            phi, margin = shapley_batch(batch[FEATURES].to_numpy(float), groups)
+            ready = ready or tabled(groups, len(batch))
+            phi, margin = shapley_batch(batch[FEATURES].to_numpy(float), ready)
             out = {f"shap_{f}": phi[:, i] for i, f in enumerate(FEATURES)}
             yield batch.assign(
                 **out, base_value=base, margin=margin, probability=1 / (1 + np.exp(-2 * margin))

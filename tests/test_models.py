@@ -366,3 +366,20 @@ def test_blocks_of_silhouettes_need_little_memory():
     a, b = sums[np.arange(1000), own] / (size[own] - 1), sums[np.arange(1000), 1 - own] / size[1 - own]
     assert scores == [pytest.approx(((b - a) / np.maximum(a, b)).sum())]
     assert kmeans.silhouettes(None, [], 1) == []  # no model, no pass
+
+
+def test_tabled_attributions_equal_those_of_each_row():
+    rng = np.random.default_rng(4)
+    leaves = [(0.5, {})]
+    for m in (1, 2, 5, 6, 7):
+        for _ in range(9):
+            used = rng.choice(8, m, replace=False)
+            bounds = np.sort(rng.random((m, 2)), axis=1) * [0.5, 2.0]
+            leaves.append((float(rng.normal()), {int(f): (float(rng.random()), *map(float, b)) for f, b in zip(used, bounds)}))
+    groups = attributions.leaf_groups(leaves)
+    ready = attributions.tabled(groups, 10_000)
+    assert {len(g[0]) for g in ready if g[5] is not None} == {1, 2, 5, 6}
+    assert all(g[5] is None for g in attributions.tabled(groups, 1))
+    x = rng.random((700, 8))
+    for got, plain in zip(attributions.shapley_batch(x, ready), attributions.shapley_batch(x, groups)):
+        np.testing.assert_allclose(got, plain, atol=1e-12)
