@@ -59,12 +59,7 @@ def _explained_all(m) -> DataFrame:
 def _(m):
     """Each listing joined with the written leaves it falls into: their values add up to the model's margin."""
     split, model = _success(m)
-    values = F.array(*[F.col(f) for f in success.FEATURES])
-    rows = split.select("asin", values.alias("x"))
-    bounds = _leaf_table(m).groupBy("leaf", "value").agg(F.collect_list(F.struct("feature", "above", "up_to")).alias("way"))
-    here = lambda b: (b["feature"] < 0) | (
-        (F.get("x", b["feature"]) > b["above"]) & (F.get("x", b["feature"]) <= b["up_to"]))
-    met = rows.join(F.broadcast(bounds), F.forall("way", here))
+    met = attributions.join_leaves(split.select("asin", *success.FEATURES), _leaf_table(m), success.FEATURES)
     margins = met.groupBy("asin").agg(F.sum("value").alias("joined"))
     scored = success.predict(model, split).select("asin", "score")
     return agreeing(margins.join(scored, "asin").withColumn("expected", 1 / (1 + F.exp(-2 * F.col("joined")))), near("score", "expected"))

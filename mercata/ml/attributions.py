@@ -124,6 +124,20 @@ def shapley_batch(x: np.ndarray, groups: list[tuple]) -> tuple[np.ndarray, np.nd
     return phi, margin
 
 
+def join_leaves(rows: DataFrame, leaves: DataFrame, features: list[str]) -> DataFrame:
+    """Each row (key, features) with the values of the leaves it falls into; ``leaves`` has a row (leaf, value, feature, above,
+    up_to) for each bound.  The bounds of a leaf become columns, so that the join compares plain numbers and stops at the
+    first bound a row misses."""
+    held = lambda i, c: F.max(F.when(F.col("feature") == i, F.col(c)))
+    wide = leaves.groupBy("leaf", "value").agg(*[
+        held(i, c).alias(f"_{c}_{i}") for i in range(len(features)) for c in ("above", "up_to")
+    ])
+    inside = F.lit(True)
+    for i, f in enumerate(features):  # a feature without bounds has nulls
+        inside &= F.coalesce(F.col(f) > F.col(f"_above_{i}"), F.lit(True)) & F.coalesce(F.col(f) <= F.col(f"_up_to_{i}"), F.lit(True))
+    return rows.join(F.broadcast(wide), inside).select(*rows.columns, "leaf", "value")
+
+
 def explain(model: PipelineModel, df: DataFrame, leaves: tuple[list, float] | None = None) -> DataFrame:
     """Add ``shap_<feature>``, ``base_value``, ``margin`` and ``probability`` to each row.
 

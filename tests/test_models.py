@@ -383,3 +383,13 @@ def test_tabled_attributions_equal_those_of_each_row():
     x = rng.random((700, 8))
     for got, plain in zip(attributions.shapley_batch(x, ready), attributions.shapley_batch(x, groups)):
         np.testing.assert_allclose(got, plain, atol=1e-12)
+
+
+def test_rows_join_the_leaves_they_fall_into(spark):
+    inf = float("inf")
+    leaves = [(0, 1.0, 0, -inf, 0.5), (0, 1.0, 1, 2.0, inf), (1, -1.0, 0, 0.5, inf), (2, 0.25, -1, -inf, inf)]
+    table = spark.createDataFrame(leaves, "leaf int, value double, feature int, above double, up_to double")
+    rows = spark.createDataFrame([("a", 0.5, 3.0), ("b", 0.5, 2.0), ("c", 0.6, 9.0), ("d", inf, -inf)], "asin string, p double, q double")
+    met = attributions.join_leaves(rows, table, ["p", "q"])
+    assert sorted((r.asin, r.leaf, r.value) for r in met.collect()) == [
+        ("a", 0, 1.0), ("a", 2, 0.25), ("b", 2, 0.25), ("c", 1, -1.0), ("c", 2, 0.25), ("d", 1, -1.0), ("d", 2, 0.25)]
