@@ -127,11 +127,7 @@ def _(m):
 def _(m):
     """Along the thresholds of the fitted scores both rates rise, to 1."""
     split, model = _success(m)
-    curve = success.roc_curve(success.predict(model, split))
-    order = Window.orderBy(F.desc("threshold"))  # of a small test table
-    steps = curve.select("fpr", "tpr", F.lag("fpr").over(order).alias("f"), F.lag("tpr").over(order).alias("t"))
-    falls = (F.col("fpr") < F.col("f")) | (F.col("tpr") < F.col("t"))
-    return steps.agg((F.count_if(falls) == 0).alias("rises"), F.max("fpr").alias("last_fpr"), F.max("tpr").alias("last_tpr"))
+    return success.curve_ends(success.roc_curve(success.predict(model, split)))
 
 
 # ---- isolation forest --------------------------------------------------------------------

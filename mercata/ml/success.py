@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
@@ -9,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mercata.ml import boosting
-from mercata.ml.clusters import sellable
+from mercata.ml.clusters import checkpointed, sellable
 from mercata.operators import ranks as R
 
 # What a shopper can see on the listing; nothing derived from sales.
@@ -125,14 +127,19 @@ def confusion_matrix(predicted: DataFrame) -> DataFrame:
     return predicted.groupBy(F.col(LABEL).alias("actual"), "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
+def roc_cell():
+    return F.floor(F.col("threshold") * ROC_CELLS)
+
+
 def roc_curve(predicted: DataFrame) -> DataFrame:
     """True and false positive rates at every distinct score.
 
     Scores are counted before they are shuffled and summed in two steps, inside cells of neighbouring
-    scores and over the cells, so no task holds them all."""
-    per = predicted.groupBy(F.col("score").alias("threshold")).agg(
+    scores and over the cells, so no task holds them all.  The counts are written, since each step reads them and
+    the model would score all rows again for each."""
+    per = checkpointed(predicted.groupBy(F.col("score").alias("threshold")).agg(
         F.count_if(F.col(LABEL) == 1).alias("v"), F.count_if(F.col(LABEL) == 0).alias("n")
-    ).withColumns({"_all": F.lit(0), "_cell": F.floor(F.col("threshold") * ROC_CELLS)})
+    )).withColumns({"_all": F.lit(0), "_cell": roc_cell()})
     cells = per.groupBy("_all", "_cell").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
     cells = R.prefix_sums(cells, ["_all"], "_cell").drop("n", "v", "_all")
     below = W.partitionBy("_cell").orderBy("threshold").rowsBetween(W.unboundedPreceding, -1)
@@ -143,6 +150,22 @@ def roc_curve(predicted: DataFrame) -> DataFrame:
     return per.join(cells, "_cell").select("threshold", rate("n").alias("fpr"), rate("v").alias("tpr"))
 
 
+def curve_ends(curve: DataFrame) -> DataFrame:
+    """(rises, last_fpr, last_tpr): whether both rates rise as the threshold falls, and their largest values.
+
+    Neighbours are compared inside cells, and the ends of neighbouring cells, of which there are ``ROC_CELLS`` at most."""
+    down = W.partitionBy("_cell").orderBy(F.desc("threshold"))
+    falls = lambda order: reduce(lambda a, b: a | b, [F.col(c) < F.lag(f"{c}_end").over(order) for c in ("fpr", "tpr")])
+    each = curve.withColumns({"_cell": roc_cell(), "fpr_end": F.col("fpr"), "tpr_end": F.col("tpr")}).withColumn("_falls", falls(down))
+    cells = each.groupBy("_cell").agg(
+        F.count_if("_falls").alias("n"), *[F.max(c).alias(f"_last_{c}") for c in ("fpr", "tpr")],
+        *[F.max_by(c, "threshold").alias(c) for c in ("fpr", "tpr")], *[F.min_by(c, "threshold").alias(f"{c}_end") for c in ("fpr", "tpr")],
+    )
+    return cells.withColumn("_falls", falls(W.orderBy(F.desc("_cell")))).agg(
+        ((F.coalesce(F.sum("n"), F.lit(0)) == 0) & (F.count_if("_falls") == 0)).alias("rises"), F.max("_last_fpr").alias("last_fpr"), F.max("_last_tpr").alias("last_tpr")
+    )
+
+
 def feature_importance(spark, model: PipelineModel) -> DataFrame:
     gains = model.stages[-1].featureImportances
     rows = [(f, float(g)) for f, g in zip(FEATURES, gains)]

@@ -393,3 +393,17 @@ def test_rows_join_the_leaves_they_fall_into(spark):
     met = attributions.join_leaves(rows, table, ["p", "q"])
     assert sorted((r.asin, r.leaf, r.value) for r in met.collect()) == [
         ("a", 0, 1.0), ("a", 2, 0.25), ("b", 2, 0.25), ("c", 1, -1.0), ("c", 2, 0.25), ("d", 1, -1.0), ("d", 2, 0.25)]
+
+
+def test_curve_is_written_once_and_its_ends_are_found_cell_by_cell(spark):
+    cell = 1 / success.ROC_CELLS
+    steps = [(0.9, 0.1, 0.2), (0.5 + cell / 2, 0.3, 0.4), (0.5 + cell / 4, 0.3, 0.6), (0.1, 1.0, 1.0)]
+    schema = "threshold double, fpr double, tpr double"
+    assert success.curve_ends(spark.createDataFrame(steps, schema)).first()[:] == (True, 1.0, 1.0)
+    for at, fpr in ((0, 0.4), (2, 0.2), (3, 0.2)):  # a fall into a cell, inside one, out of one
+        bent = [(t, fpr if i == at else f, p) for i, (t, f, p) in enumerate(steps)]
+        assert success.curve_ends(spark.createDataFrame(bent, schema)).first()[0] is False
+    assert success.curve_ends(spark.createDataFrame([], schema)).first()[:] == (True, None, None)
+    scored = spark.range(50).select((F.col("id") % 2).cast("int").alias("is_success"), F.udf(lambda i: i / 50, "double")("id").alias("score"))
+    curve = success.roc_curve(scored)
+    assert curve.count() == 50 and "EvalPython" not in curve._jdf.queryExecution().executedPlan().toString()
