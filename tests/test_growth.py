@@ -88,3 +88,10 @@ def test_keywords_split_each_text_once(spark, orders_folder):
     found = catalog.QUERIES["G21_review_keywords_whole_text"](spark, orders_folder)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "lineitem" not in plan[plan.index("Generate"):].split("Join")[0] and plan.index("Join") < plan.index("Generate")
+
+
+def test_sketches_and_their_ranks_read_the_written_lengths(spark, orders_folder):
+    found = catalog.QUERIES["A5_merged_sketch_p90"](spark, orders_folder)
+    assert found.collect() and all(r.within_bound for r in found.collect())
+    assert sum(r.texts for r in found.collect()) == roles.reviews(spark, orders_folder).where("text_length is not null").count()
+    assert "lineitem" not in found._jdf.queryExecution().optimizedPlan().toString() and not any("lineitem" in f for f in found.inputFiles())
