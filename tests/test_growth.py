@@ -10,6 +10,7 @@ from checks import catalog
 from mercata import roles
 from mercata.market import Market
 from mercata.plans import gold_reviews
+from mercata.session import tune
 from mercata.sources import readers
 from mercata.streaming import summaries
 
@@ -95,3 +96,44 @@ def test_sketches_and_their_ranks_read_the_written_lengths(spark, orders_folder)
     assert found.collect() and all(r.within_bound for r in found.collect())
     assert sum(r.texts for r in found.collect()) == roles.reviews(spark, orders_folder).where("text_length is not null").count()
     assert "lineitem" not in found._jdf.queryExecution().optimizedPlan().toString() and not any("lineitem" in f for f in found.inputFiles())
+
+
+def test_shuffles_start_in_more_parts_than_the_session_asks_for(spark, orders_folder):
+    """With the session's 4 parts a task would hold a quarter of the reviews, however many there are."""
+    tune(spark)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    plan = roles.review_references(spark, orders_folder)._jdf.queryExecution().executedPlan().toString()
+    spread = [line for line in plan.splitlines() if "Exchange hashpartitioning(l_partkey" in line]
+    assert spread and all(int(line.split(",")[1].strip(" )")) >= 200 for line in spread)
+
+
+RATED = [
+    (p, c, u, r, len(str(u)), r > 2, r % 2, u != "c", n, dt.date(2000, 1, 1 + n))
+    for n, (p, c, u, r) in enumerate([
+        ("1", "x", "a", 5.0), ("1", "x", "a", 1.0), ("1", "x", "b", 3.0), ("1", None, "c", 5.0), ("2", "x", "a", 4.0), ("2", "x", None, 2.0),
+        ("3", "y", None, 1.0), ("U1", "y", "d", 5.0), (None, "y", "d", 5.0), (None, None, "e", 2.0), ("1", "x", "a", 5.0),
+    ])
+]
+RATED_SCHEMA = (
+    "parent_asin string, source_category string, user_id string, rating double, text_length long, verified_purchase boolean, "
+    "helpful_vote double, has_text boolean, image_count long, review_date date"
+)
+
+
+def users_are_narrow(df):
+    """Aggregates by user hold no sums."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    by_user = [line for line in plan.splitlines() if "Aggregate [" in line and "user_id" in line.split("]")[0]]
+    counts = [line for line in plan.splitlines() if "Aggregate [" in line and "count(distinct user_id" in line]
+    return (by_user or counts) and not any(" sum(" in line or "count_if" in line or "helpful" in line or "CASE" in line for line in by_user + counts)
+
+
+def test_users_of_a_category_are_counted_apart_from_its_sums(frame):
+    trust = gold_reviews.review_trust(frame(RATED, RATED_SCHEMA))
+    assert users_are_narrow(trust)
+    found = {r.source_category: r for r in trust.collect()}
+    assert {c: (r.total_reviews, r.unique_reviewers, r.reviews_per_reviewer) for c, r in found.items()} == {
+        "x": (6, 2, 3.0), "y": (3, 1, 3.0), None: (2, 2, 1.0)}
+    assert trust.columns[:5] == ["source_category", "total_reviews", "unique_reviewers", "reviews_per_reviewer", "pct_verified"]
+    only = gold_reviews.review_trust(frame([r for r in RATED if r[2] is None], RATED_SCHEMA)).collect()
+    assert {(r.unique_reviewers, r.reviews_per_reviewer) for r in only} == {(0, None)}
