@@ -137,3 +137,15 @@ def test_users_of_a_category_are_counted_apart_from_its_sums(frame):
     assert trust.columns[:5] == ["source_category", "total_reviews", "unique_reviewers", "reviews_per_reviewer", "pct_verified"]
     only = gold_reviews.review_trust(frame([r for r in RATED if r[2] is None], RATED_SCHEMA)).collect()
     assert {(r.unique_reviewers, r.reviews_per_reviewer) for r in only} == {(0, None)}
+
+
+def test_users_of_a_product_are_counted_apart_from_its_sums(frame):
+    listed = frame([("1",), ("2",), ("3",), ("1",), (None,)], "asin string")
+    trust = gold_reviews.product_review_trust(frame(RATED, RATED_SCHEMA), listed)
+    assert users_are_narrow(trust)
+    found = {(r.parent_asin, r.source_category): (r.review_count, r.unique_reviewers, r.reviews_per_reviewer) for r in trust.collect()}
+    assert found == {("1", "x"): (4, 2, 2.0), ("1", None): (1, 1, 1.0), ("2", "x"): (2, 1, 2.0), ("3", "y"): (1, 0, None)}
+    assert trust.columns[:5] == ["parent_asin", "source_category", "review_count", "unique_reviewers", "reviews_per_reviewer"]
+    plan = trust._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    semi = next(i for i, line in enumerate(plan) if "LeftSemi" in line)
+    assert any("Aggregate [" in line for line in plan[semi + 1:semi + 3])  # products, not reviews, meet the listings
