@@ -11,7 +11,7 @@ from mercata import roles
 from mercata.market import Market
 from mercata.plans import gold_reviews
 from mercata.session import tune
-from mercata.sources import readers
+from mercata.sources import readers, tables
 from mercata.streaming import summaries
 
 
@@ -149,3 +149,23 @@ def test_users_of_a_product_are_counted_apart_from_its_sums(frame):
     plan = trust._jdf.queryExecution().optimizedPlan().toString().splitlines()
     semi = next(i for i, line in enumerate(plan) if "LeftSemi" in line)
     assert any("Aggregate [" in line for line in plan[semi + 1:semi + 3])  # products, not reviews, meet the listings
+
+
+def test_appended_reviews_are_not_sorted_first(spark, orders_folder, tmp_path):
+    """Whole texts are written as they come, in small row groups, and the session's own setting stays."""
+    setting, path = "spark.sql.maxConcurrentOutputFileWriters", str(tmp_path / "appended")
+    before, reviews = spark.conf.get(setting), roles.reviews(spark, orders_folder)
+    seen = []
+    writer = type(spark.conf)
+    original = writer.set
+    writer.set = lambda self, key, value: (seen.append((key, value)), original(self, key, value))[1]
+    try:
+        for load in ("first", "late", "late"):
+            tables.append_reviews(reviews, path, load)
+    finally:
+        writer.set = original
+    assert seen.count((setting, tables.OPEN_FILES)) == 3 and spark.conf.get(setting) == before
+    again = spark.read.parquet(path)
+    assert again.groupBy("load").count().count() == 2 and again.count() == 2 * reviews.count()
+    kept = ["text", "user_id", "parent_asin", "source_category"]
+    assert sorted(map(str, again.where("load = 'late'").select(kept).collect())) == sorted(map(str, reviews.select(kept).collect()))
