@@ -13,7 +13,9 @@ repeated lists that are links on the host's pages, are the template's where the
 from __future__ import annotations
 
 import html
+import json
 import re
+import zlib
 from hashlib import blake2b
 from typing import NamedTuple
 
@@ -329,13 +331,13 @@ def host_contents(shapes: DataFrame, hosts: DataFrame) -> DataFrame:
 
 
 def host_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, articles, fixed, lists, parts, symbols): what the template of each host repeats, from all its pages.
+    """(host, articles, fixed, lists, parts, symbols, packed): what the template of each host repeats, from all its pages.
 
     ``parts`` is the union-free regular expression: by path, the content of every element, as a chain of factors that may be optional or
     repeated.  A text is fixed where at least two articles, and half of the host's, show it at one path; a path is a list of links where at
     least half of its words on such a share of articles are links.  Both show on half of a host's articles, so there
     are no more of them than twice the blocks of an average page.  Where a path shows more texts than fixed ones, it has a slot.
-    ``symbols`` names the parts.
+    ``symbols`` names the parts; ``packed`` is the wrapper in few bytes, for the rows of pages.
     """
     raw = stored(wrapper_parts(pages), "wrapper-pages")
     each = raw.filter("text is not null").groupBy("host", "article", "path", "text").agg(
@@ -359,11 +361,17 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
         F.collect_list(F.struct("path", "prose", "texts", "content")).alias("parts"), F.flatten(F.collect_list("symbols")).alias("symbols"),
     )
     found = hosts.join(fixed, "host", "left").join(lists, "host", "left").join(parts, "host", "left")
-    return stored(found, "wrappers")
+    pack = F.udf(lambda *columns: packed(*([r.asDict(True) if hasattr(r, "asDict") else r for r in c or []] for c in columns)), "binary")
+    return stored(found.withColumn("packed", pack("fixed", "lists", "parts")), "wrappers")
 
 
-def wrapper_of(fixed: list[dict] | None, lists: list[int] | None, parts: list[dict] | None) -> Wrapper:
-    return Wrapper(parts or [], {(f["path"], f["text"]) for f in fixed or ()}, lists or [])
+def packed(fixed: list[dict], lists: list[int], parts: list[dict]) -> bytes:
+    return zlib.compress(json.dumps([[[f["path"], f["text"]] for f in fixed], lists, parts]).encode())
+
+
+def unpacked(wrapper: bytes | None) -> Wrapper:
+    fixed, lists, parts = json.loads(zlib.decompress(wrapper)) if wrapper else ([], [], [])
+    return Wrapper(parts, set(map(tuple, fixed)), lists)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -373,18 +381,18 @@ def extract(pages: DataFrame) -> DataFrame:
     repeated rows are read one by one; pages of any length are read whole, in time that grows with their length; an empty table
     gives no rows; other columns are ignored."""
     salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    wrappers = host_wrappers(pages).select(F.col("host").alias("_host"), "fixed", "lists", "parts", salt.alias("_salt"))
+    wrappers = host_wrappers(pages).select(F.col("host").alias("_host"), F.col("packed").alias("_wrapper"), salt.alias("_salt"))
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("_host")).withColumn(
         "_salt", F.pmod(F.xxhash64("url", "html"), F.lit(SALTS)).cast("int")
     )
-    joined = rows.join(wrappers, ["_host", "_salt"], "left").select("page_id", "url", "html", "_host", "fixed", "lists", "parts")
+    joined = rows.join(wrappers, ["_host", "_salt"], "left").select("page_id", "url", "html", "_host", "_wrapper")
 
     def run(batches):
         for batch in batches:
             found, known = [], {}
             for i, (page, host) in enumerate(zip(batch.column("html").to_pylist(), batch.column("_host").to_pylist())):
                 if host not in known:
-                    known[host] = wrapper_of(*(batch.column(name)[i].as_py() for name in ("fixed", "lists", "parts")))
+                    known[host] = unpacked(batch.column("_wrapper")[i].as_py())
                 found.append(text_of(page, known[host]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())],

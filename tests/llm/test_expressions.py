@@ -89,7 +89,7 @@ def made(frame, pages):
     found = {}
     for row in (r.asDict(recursive=True) for r in rows):
         symbols = {s["after"]: s["symbol"] for s in row["symbols"]}
-        found[row["host"]] = wrappers.wrapper_of(row["fixed"], row["lists"], row["parts"]), symbols
+        found[row["host"]] = wrappers.unpacked(row["packed"]), symbols
     return found
 
 
