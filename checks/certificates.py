@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks.catalog import (
-    SELLABLE, TRUST_SQL, _archetypes, _assigned, _features, _success, _trust_signals, entry, once, raw_entry, stored,
+    SELLABLE, TRUST_SQL, _archetypes, _assigned, _features, _success, _trust_signals, entry, once, raw_entry, trust_scores,
 )
 from mercata import roles
 from mercata.ml import anomalies, attributions, clusters, models, success
@@ -165,7 +165,7 @@ def _(m):
 def _(m):
     """Trust scores lie in 0 to 100, flagged products score no better than any other, and 5 % of the products are flagged."""
     flag, score = F.col("is_suspicious"), F.col("trust_score")
-    return stored(m, "product_trust_scores").agg(
+    return trust_scores(m).agg(
         F.count(F.lit(1)).alias("products"), ((F.min(score) >= 0) & (F.max(score) <= 100)).alias("in_range"),
         (F.max(F.when(flag, score)) <= F.min(F.when(~flag, score))).alias("flags_lie_below"),
         (F.abs(F.count_if(flag) - F.count(F.lit(1)) * 0.05) <= 1).alias("share_flagged"),
@@ -224,7 +224,7 @@ def _(spark, sf_dir):
 @entry("S12_written_scores", f"SELECT parent_asin, source_category, review_count, pct_5star, pct_1star FROM ({TRUST_SQL})")
 def _(m):
     """The persisted scores, read back: the products and the signals they were scored by."""
-    scores = stored(m, "product_trust_scores")
+    scores = trust_scores(m)
     return tables.materialize(scores, scratch_path(scores.sparkSession, "scores")).select(
         "parent_asin", "source_category", "review_count", "pct_5star", "pct_1star"
     )

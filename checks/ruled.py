@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import sql as S
-from checks.catalog import SELLABLE, SUB, SUCCESS_SQL, TRUST_SQL, entry, once, prank, stored, top
+from checks.catalog import SELLABLE, SUB, SUCCESS_SQL, TRUST_SQL, entry, once, prank, stored, top, trust_signals
 from mercata.functions import exact as E
 from mercata.functions.columns import TRUST_TIERS
 from mercata.ml import anomalies, attributions, clusters, success
@@ -29,7 +29,7 @@ S.table("ruled_scores", f"""SELECT * EXCLUDE (tenths), tenths / 10.0 AS trust_sc
 
 def ruled_scores(m) -> DataFrame:
     def make():
-        features = anomalies.trust_features(m.product_review_trust, m.product_review_summary)
+        features = trust_signals(m)
         tenths = (
             F.col("review_count") * 37 + F.round(F.col("pct_5star") * 10).cast("long") * 3
             + F.round(F.col("verified_rate") * 1000).cast("long")

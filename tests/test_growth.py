@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from checks import catalog
 from mercata import roles
 from mercata.market import Market
-from mercata.plans import gold_reviews
-from mercata.session import tune
+from mercata.ml import clusters
+from mercata.plans import gold_reviews, silver
+from mercata.session import SHUFFLES_GO, shuffles_dropped, tune
 from mercata.sources import readers, tables
 from mercata.streaming import summaries
 
@@ -169,3 +170,68 @@ def test_appended_reviews_are_not_sorted_first(spark, orders_folder, tmp_path):
     assert again.groupBy("load").count().count() == 2 and again.count() == 2 * reviews.count()
     kept = ["text", "user_id", "parent_asin", "source_category"]
     assert sorted(map(str, again.where("load = 'late'").select(kept).collect())) == sorted(map(str, reviews.select(kept).collect()))
+
+
+def test_facts_are_the_reviews_without_titles_and_texts(spark, orders_folder, tmp_path):
+    for name in ("orders", "documents", "part"):  # repeated keys give each review as often as before
+        rows = spark.read.parquet(f"{orders_folder}/{name}.parquet")
+        rows.unionByName(rows.limit(2)).write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = spark.read.parquet(f"{orders_folder}/lineitem.parquet")
+    gaps = lines.limit(9).select("l_orderkey", "l_partkey", *[
+        F.when(F.monotonically_increasing_id() % 4 != i, F.col(c)).alias(c) for i, c in enumerate(lines.columns[2:])])
+    lines.unionByName(gaps).withColumn("l_quantity", F.when(F.col("l_linenumber") == 7, -3.0).otherwise(F.col("l_quantity"))).write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    for folder in (orders_folder, str(tmp_path)):
+        facts = roles.review_facts(spark, folder)
+        whole = roles.reviews(spark, folder).select(facts.columns)
+        assert set(roles.reviews(spark, folder).columns) - set(facts.columns) == {"title", "text"}
+        assert sorted(map(str, facts.collect())) == sorted(map(str, whole.collect())) and facts.count() >= 180
+    plan = facts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joined = next(i for i, line in enumerate(plan) if "doc_id" in line and "Join" in line)
+    assert not any("lineitem" in line or "l_partkey" in line for line in plan[joined:])  # lengths meet the orders, not the lines
+
+
+def test_trust_and_summary_read_the_written_facts(spark, frame, orders_folder):
+    """The lines are read and shuffled once, for the facts, not for trust, its users and the summary anew."""
+    market, whole = roles.market(spark, orders_folder), roles.market(spark, orders_folder)
+    market.origin = ("facts", orders_folder)
+    for m in (market, whole):
+        m.__dict__["listings"] = frame([(str(p),) for p in range(5)], "asin string")
+    catalog.with_facts(market)
+    for name in ("product_review_trust", "product_review_summary"):
+        found = getattr(market, name)
+        assert "l_partkey" not in found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(str, found.collect())) == sorted(map(str, getattr(whole, name).collect()))
+    make = {"product_review_trust": gold_reviews.product_review_trust, "product_review_summary": gold_reviews.product_review_summary}
+    for name, of in make.items():
+        plain = of(roles.reviews(spark, orders_folder).transform(silver.reviews), market.listings, *([market.recent_since] if "summary" in name else []))
+        assert sorted(map(str, plain.collect())) == sorted(map(str, getattr(market, name).collect()))
+
+
+def test_written_reviews_take_the_place_of_given_facts(spark, orders_folder, tmp_path):
+    market = roles.market(spark, orders_folder)
+    market.write(str(tmp_path), ["raw_reviews"])
+    assert "l_partkey" not in market.review_facts._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_users_in_shares_are_the_same_users(frame):
+    many = RATED + [(str(n % 3), "x", f"user {n % 40}", *RATED[0][3:]) for n in range(200)]
+    reviews = frame(many, RATED_SCHEMA)
+    plain, dealt = (gold_reviews.reviewers(reviews, gold_reviews.PRODUCT, n) for n in (None, gold_reviews.SHARES))
+    exchanges = [line for line in dealt._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and not any("user_id" in line for line in exchanges)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect()))
+
+
+def test_shuffles_of_written_tables_are_dropped(spark, tmp_path):
+    with shuffles_dropped(spark):
+        assert spark.conf.get(SHUFFLES_GO) == "true"
+    assert spark.conf.get(SHUFFLES_GO, "false") == "false"
+    seen, writer, before = [], type(spark.conf), type(spark.conf).set
+    writer.set = lambda self, key, value: (seen.append((key, value)), before(self, key, value))[1]
+    try:
+        tables.materialize(spark.range(100).repartition(5, "id"), str(tmp_path / "t"))
+        clusters.checkpointed(spark.range(100).repartition(5, "id"))
+    finally:
+        writer.set = before
+    assert seen == [(SHUFFLES_GO, "true"), (SHUFFLES_GO, "false")] * 2

@@ -333,6 +333,16 @@ def test_trees_draw_from_all_rows_independently(spark):
     assert 15_000 < np.mean(drawn) < 25_000
 
 
+def test_neighbouring_numbers_are_split():
+    """A cut between two numbers without another between them falls on the lower, so that no side is empty."""
+    class Highest:
+        choice = staticmethod(lambda columns: columns[0])
+        uniform = staticmethod(lambda low, high: high)
+
+    nodes = anomalies.grow_tree(np.array([[0.3], [0.1 + 0.2], [0.3]]), Highest, 8)
+    assert [n[0] for n in nodes] == [0, -1, -1] and [n[-1] for n in nodes] == [3, 2, 1]
+
+
 def test_expected_path():
     assert list(anomalies.expected_path([0, 1, 2])) == [0.0, 0.0, 1.0]
     assert anomalies.expected_path(256) == pytest.approx(10.2448, abs=1e-3)
