@@ -235,3 +235,20 @@ def test_shuffles_of_written_tables_are_dropped(spark, tmp_path):
     finally:
         writer.set = before
     assert seen == [(SHUFFLES_GO, "true"), (SHUFFLES_GO, "false")] * 2
+
+
+def test_words_meet_a_category_once_and_texts_are_dealt_once(spark, frame):
+    """Sentiments are columns in the shuffle by word, and words are counted where their texts lie."""
+    reviews = frame([(c, r, "u", i) for i in (0, 1, 2, None) for c in ("x", None) for r in (1.0, 3.0, 5.0, None) if (i, c) != (2, "x")],
+                    "source_category string, rating double, user_id string, text_id long")
+    texts = frame([(0, "red red blue"), (1, "Blue the"), (1, "green"), (2, "red"), (3, "unseen"), (None, "lost"), (2, None)], "text_id long, text string")
+    found = gold_reviews.review_keywords(reviews, "text_id", 1, texts=texts)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(text_id" in plan and not any("word" in line and "text_id" in line for line in plan.splitlines() if "Exchange" in line)
+    assert not any("sentiment" in line for line in plan.splitlines() if "Exchange" in line)
+    whole = gold_reviews.review_keywords(reviews.join(texts, "text_id", "left"), "text", 1)
+    assert found.columns == whole.columns and sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    assert {(r.source_category, r.sentiment, r.word_count) for r in found.where("word = 'red'").collect()} == {
+        ("x", "negative", 2), ("x", "neutral", 4), ("x", "positive", 2), (None, "negative", 3), (None, "neutral", 6), (None, "positive", 3)}
+    some = [r for r in whole.collect() if r.word_count >= 2]
+    assert sorted(map(str, gold_reviews.review_keywords(reviews, "text_id", 2, texts=texts).collect())) == sorted(map(str, some))
